@@ -10,7 +10,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tablewright.functions.records import overlay
+from tablewright.functions.numbers import plus_entries
+from tablewright.functions.records import overlay, to_map
 from tablewright.functions.text import contains_any
 
 HEADS = ("h1", "h2", "h3", "h4", "h5")
@@ -53,16 +54,16 @@ def with_sections(
     ignored: Iterable[str] = (),
     stop_text: str | None = None,
     stop_title: str | None = None,
+    drop: bool = True,
 ) -> DataFrame:
     """Walk sibling blocks in order and label each with its title and section.
 
     A ``section`` heading opens a section unless its id names an ignored one; ``skip_at`` ends
     it; both hold until the next section heading. Blocks from the sentinel on (a ``skip_at``
-    heading whose id has ``stop_text`` under ``stop_title``) are dropped. Headings are
-    labelled by their anchor id, in ``label``.
+    heading whose id has ``stop_text`` under ``stop_title``) are skipped too. Headings are
+    labelled by their anchor id, in ``label``. ``drop=False`` keeps skipped blocks, flagged.
     """
     order = _sibling_order()
-    whole = Window.partitionBy("page_id", "parent_id")
     label = F.col("label")
     opens = (F.col("tag") == section) & ~contains_any(label, ignored)
     shuts = ((F.col("tag") == section) & contains_any(label, ignored)) | (F.col("tag") == skip_at)
@@ -77,10 +78,18 @@ def with_sections(
         sentinel = (F.col("tag") == skip_at) & label.contains(stop_text)
         if stop_title:
             sentinel = sentinel & (F.col("title") == stop_title)
-        out = out.withColumn("stop_at", F.min(F.when(sentinel, F.col("node_id"))).over(whole)).where(
-            F.col("stop_at").isNull() | (F.col("node_id") < F.col("stop_at"))
-        ).drop("stop_at")
-    return out.where(~F.col("skipped")).drop("skipped")
+        past = F.coalesce(F.max(sentinel).over(order), F.lit(False))
+        out = out.withColumn("skipped", F.col("skipped") | past)
+    return out.where(~F.col("skipped")).drop("skipped") if drop else out
+
+
+def enclosing(blocks: Column, *carried: str) -> Column:
+    """Struct of the ``carried`` columns of the block a node lies in, or null.
+
+    ``blocks`` tells the blocks apart from other nodes; they must not lie in one another.
+    """
+    last = F.last(F.when(blocks, F.struct("node_id", "end_id", *carried)), ignorenulls=True).over(_page_order())
+    return F.when(last["end_id"] >= F.col("node_id"), last)
 
 
 def heading_labels(nodes: DataFrame) -> DataFrame:
@@ -190,6 +199,11 @@ def canonical_header(h: Column) -> Column:
     )
 
 
+def numbered(nodes: DataFrame) -> DataFrame:
+    """``pos`` counts the given nodes of a page from 0, in document order."""
+    return nodes.withColumn("pos", F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1)
+
+
 def align_tabs(titles: DataFrame, tables: DataFrame, drop_word: str = "unobtainable") -> DataFrame:
     """Pair the i-th title with the i-th table of a page; the first dropped tab leaves both lists.
 
@@ -249,6 +263,41 @@ def overlay_inner(outer: DataFrame, inner: DataFrame) -> DataFrame:
     ).drop("common")
 
 
+def nested_stats(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Outer rows and the rows of tables nested in them, each with its ``key +value`` lines as a map.
+
+    An outer row holds a label cell and a cell with common stats and, at will, a table of
+    level bands: ``outer(page_id, table_id, row_idx, label, fields)`` and
+    ``inner(page_id, outer_table, outer_row, inner_row, band, fields)``. Expects table, th, td
+    and ul nodes. The own text of an outer cell never holds that of the inner table.
+    """
+    held = enclosing_row()
+    rows = nodes.withColumn("held", held)
+    cells = rows.where((F.col("tag") == "td"))
+    plus = lambda lines: to_map(plus_entries(lines))
+    per_row = cells.groupBy("page_id", "table_id", "row_idx", "held").agg(
+        F.max(F.when(F.col("col_idx") == 0, F.get("lines", F.lit(0)))).alias("label"),
+        F.max(F.when(F.col("col_idx") == 1, F.col("lines"))).alias("stat_lines"),
+    )
+    stats = per_row.withColumn("fields", plus(F.coalesce("stat_lines", F.array().cast("array<string>"))))
+    outer = stats.where(F.col("held").isNull()).select("page_id", "table_id", "row_idx", "label", "fields")
+    inner = stats.where(F.col("held").isNotNull()).select(
+        "page_id",
+        F.col("held")["table_id"].alias("outer_table"),
+        F.col("held")["row_idx"].alias("outer_row"),
+        F.col("row_idx").alias("inner_row"),
+        F.col("label").alias("band"),
+        "fields",
+    )
+    return outer, inner
+
+
+def enclosing_row() -> Column:
+    """Outer table and row of the cells of a nested table, or null. Needs the table nodes."""
+    own = Window.partitionBy("page_id", F.when(F.col("tag") == "table", F.col("node_id")).otherwise(F.col("table_id")))
+    return F.max(F.when((F.col("tag") == "table") & F.col("table_id").isNotNull(), F.struct("table_id", "row_idx"))).over(own)
+
+
 def prose_names(nodes: DataFrame, on: str = "exclusive", off: Iterable[str] = ("conjunction", "."), skip: Iterable[str] = ()) -> DataFrame:
     """Linked names in running text, between a word that opens the list and one that ends it.
 
