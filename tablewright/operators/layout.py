@@ -34,15 +34,35 @@ def inside(region: Column) -> Column:
     return F.max(F.when(region, F.col("end_id"))).over(_page_order()) >= F.col("node_id")
 
 
+def seen_before(mark: Column) -> Column:
+    """True from the first marked sibling on."""
+    return F.coalesce(F.max(mark).over(_sibling_order()), F.lit(False))
+
+
+def running_count(mark: Column) -> Column:
+    """How many marked siblings there are up to here."""
+    return F.sum(F.coalesce(mark, F.lit(False)).cast("int")).over(_sibling_order())
+
+
+def last_so_far(value: Column, *within: str) -> Column:
+    """Last value that is not null among the siblings up to here, restarted per ``within``."""
+    order = Window.partitionBy("page_id", "parent_id", *within).orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
+    return F.last(value, ignorenulls=True).over(order)
+
+
+def after_colon(c: Column) -> Column:
+    return F.split_part(c, F.lit(":"), F.lit(-1))
+
+
 def has_class(name: str) -> Column:
     return F.coalesce(F.col("attrs")["class"], F.lit("")).contains(name)
 
 
-def with_headings(nodes: DataFrame, kinds: Iterable[str] = HEADS) -> DataFrame:
+def with_headings(nodes: DataFrame, kinds: Iterable[str] = HEADS, value: str = "text") -> DataFrame:
     """Nearest preceding sibling heading of each kind; a later ``h2`` does not reset ``h3``."""
     order = _sibling_order()
     return nodes.withColumns(
-        {k: F.last(F.when(F.col("tag") == k, F.col("text")), ignorenulls=True).over(order) for k in kinds}
+        {k: F.last(F.when(F.col("tag") == k, F.col(value)), ignorenulls=True).over(order) for k in kinds}
     )
 
 
@@ -93,22 +113,30 @@ def enclosing(blocks: Column, *carried: str) -> Column:
 
 
 def heading_labels(nodes: DataFrame) -> DataFrame:
-    """``label`` = id of the headline anchor inside a heading, else the heading's own id or text."""
-    order = _page_order()
-    next_span = F.first(F.when((F.col("tag") == "span") & has_class("headline"), F.struct(F.col("node_id").alias("n"), F.col("attrs")["id"].alias("id"))), ignorenulls=True).over(
-        Window.partitionBy("page_id").orderBy("node_id").rowsBetween(0, Window.unboundedFollowing)
-    )
-    span_id = F.when(next_span["n"] <= F.col("end_id"), next_span["id"])
-    return nodes.withColumn(
-        "label", F.when(F.col("tag").isin(*HEADS), F.coalesce(span_id, F.col("attrs")["id"], F.col("text")))
+    """Adds ``label`` and ``headline`` to headings: id and text of their headline anchor.
+
+    Without an anchor the heading's own id and text serve. Expects the ``span`` nodes too.
+    """
+    ahead = Window.partitionBy("page_id").orderBy("node_id").rowsBetween(0, Window.unboundedFollowing)
+    anchor = (F.col("tag") == "span") & has_class("headline")
+    found = F.struct(F.col("node_id").alias("n"), F.col("attrs")["id"].alias("id"), F.col("text").alias("text"))
+    following = F.first(F.when(anchor, found), ignorenulls=True).over(ahead)
+    own = F.when(following["n"] <= F.col("end_id"), following)
+    heading = F.col("tag").isin(*HEADS)
+    return nodes.withColumns(
+        {
+            "label": F.when(heading, F.coalesce(own["id"], F.col("attrs")["id"], F.col("text"))),
+            "headline": F.when(heading, F.coalesce(own["text"], F.col("text"))).otherwise(F.col("text")),
+        }
     )
 
 
-def classify_blocks(nodes: DataFrame, head: str = "h5") -> DataFrame:
+def classify_blocks(nodes: DataFrame, head: str = "h5", drop: bool = True) -> DataFrame:
     """Blocks under each heading, with tables told apart by what stands before them.
 
     A table that directly follows a ``dl`` lists chances; any other lists values. Needs all
-    element children of the parent among the nodes.
+    element children of the parent among the nodes. ``drop=False`` keeps the nodes without a
+    heading before them, with ``block`` 0.
     """
     order = Window.partitionBy("page_id", "parent_id").orderBy("node_id")
     running = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -116,13 +144,14 @@ def classify_blocks(nodes: DataFrame, head: str = "h5") -> DataFrame:
     kind = F.when(F.col("tag") == "table", F.when(previous == "dl", F.lit("chance")).otherwise(F.lit("value"))).when(
         F.col("tag") == head, F.lit("heading")
     ).otherwise(F.lit("note"))
-    return nodes.withColumns(
+    out = nodes.withColumns(
         {
             "block": F.sum((F.col("tag") == head).cast("int")).over(running),
             "heading": F.last(F.when(F.col("tag") == head, F.col("text")), ignorenulls=True).over(running),
             "kind": kind,
         }
-    ).where(F.col("block") > 0)
+    )
+    return out.where(F.col("block") > 0) if drop else out
 
 
 def row_arrays(cells: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
@@ -167,6 +196,11 @@ def drop_noise_rows(cells: DataFrame, markers: Iterable[str] = ()) -> DataFrame:
     return out.where(~F.col("row_empty") & ~F.col("row_noise") & ~F.col("row_repeat")).drop("row_empty", "row_noise", "row_repeat")
 
 
+def cell_values(text: Column) -> Column:
+    """Empty cells count as absent."""
+    return F.nullif(text, F.lit(""))
+
+
 def records(cells: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Zip headers and cells of each row into a map ``fields``; of equal headers the last wins."""
     row = ["page_id", "table_id", "row_idx", *keep]
@@ -292,6 +326,12 @@ def nested_stats(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return outer, inner
 
 
+def block_title(rows: DataFrame) -> DataFrame:
+    """Title of each labelled block table: ``(page_id, outer_table, Title)``."""
+    is_block = (F.col("tag") == "table") & (F.col("node_id") == F.col("block")["node_id"])
+    return rows.where(is_block).select("page_id", F.col("node_id").alias("outer_table"), F.col("block")["title"].alias("Title"))
+
+
 def enclosing_row() -> Column:
     """Outer table and row of the cells of a nested table, or null. Needs the table nodes."""
     own = Window.partitionBy("page_id", F.when(F.col("tag") == "table", F.col("node_id")).otherwise(F.col("table_id")))

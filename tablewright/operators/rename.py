@@ -47,39 +47,34 @@ def rename_substring(value: Column, dictionary: Variants) -> Column:
 
 
 def rename_substring_df(df: DataFrame, column: str, dictionary: Variants) -> DataFrame:
-    """``rename_substring`` for a dictionary of any size.
-
-    A small dictionary is compiled into one expression. A large one is matched by equality:
-    each distinct value yields its substrings of the lengths that variants have, these are
-    joined to the variants, and the best entry per value is joined back. Work on the distinct
-    values only, so a hot value is matched once.
-    """
+    """``rename_substring`` for a dictionary of any size: compiled while small, joined beyond."""
     if sum(len(v) for v in dictionary.values()) <= INLINE_VARIANTS:
         return df.withColumn(column, rename_substring(F.col(column), dictionary))
+    return rename_by_substrings(df, column, dictionary)
+
+
+def rename_by_substrings(df: DataFrame, column: str, dictionary: Variants) -> DataFrame:
+    """Substring renames by equality.
+
+    Each distinct value yields its substrings of the lengths that variants have, these are
+    joined to the variants, and the best entry per value is joined back. The matching runs on
+    distinct values only, so a hot value is matched once.
+    """
     rules = variants(df.sparkSession, dictionary)
     lengths = sorted({len(v) for names in dictionary.values() for v in names})
-    values = df.select(F.col(column).alias("_value")).where(F.col("_value").isNotNull()).distinct()
+    values = df.select(F.col(column).alias("_value")).where(F.col(column).isNotNull()).distinct()
     low = F.lower("_value")
-    grams = F.flatten(
-        F.array(
-            *[
-                F.when(
-                    F.length(low) >= n,
-                    F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1))), lambda i, n=n: F.substr(low, i, F.lit(n))),
-                ).otherwise(F.array().cast("array<string>"))
-                for n in lengths
-            ]
-        )
-    )
+    starts = lambda n: F.when(F.length(low) >= n, F.sequence(F.lit(1), F.length(low) - n + 1)).otherwise(F.array().cast("array<int>"))
+    cut = lambda n: F.transform(starts(n), lambda i: F.substr(low, i, F.lit(n)))
+    grams = F.flatten(F.array(*[cut(n) for n in lengths]))
     hits = values.select("_value", F.explode(F.array_distinct(grams)).alias("variant")).join(rules.select("variant", "rank"), "variant")
     best = hits.groupBy("_value").agg(F.min("rank").alias("rank"))
     entries = rules.groupBy("rank").agg(
-        F.first("canonical").alias("canonical"),
-        F.transform(F.sort_array(F.collect_list(F.struct("step", "variant"))), lambda e: e["variant"]).alias("names"),
+        F.first("canonical").alias("canonical"), F.sort_array(F.collect_list(F.struct("step", "variant"))).alias("names")
     )
     named = best.join(entries, "rank").select(
         F.col("_value").alias("_key"),
-        F.aggregate("names", F.lower("_value"), lambda acc, n: F.replace(acc, n, F.col("canonical"))).alias("_new"),
+        F.aggregate("names", F.lower("_value"), lambda acc, n: F.replace(acc, n["variant"], F.col("canonical"))).alias("_new"),
     )
     return df.join(named, df[column] == named["_key"], "left").withColumn(column, F.coalesce("_new", column)).drop("_key", "_new")
 

@@ -218,10 +218,7 @@ def nodes(pages: DataFrame, tags: Iterable[str] | None = None) -> DataFrame:
     )
 
 
-CELL_COLUMNS = ["page_id", "table_id", "row_idx", "col_idx", "is_header", "text", "lines"]
-
-
-def cells_of(node_rows: DataFrame) -> DataFrame:
+def cells_of(node_rows: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Cells of all tables among node rows, in long form; rows count from 0 within their table."""
     return node_rows.where(F.col("tag").isin("td", "th") & F.col("table_id").isNotNull()).select(
         "page_id",
@@ -231,6 +228,7 @@ def cells_of(node_rows: DataFrame) -> DataFrame:
         (F.col("tag") == "th").alias("is_header"),
         F.regexp_replace("text", r"^\s+|\s+$", "").alias("text"),
         "lines",
+        *keep,
     )
 
 
