@@ -159,9 +159,12 @@ def explode_list(spark, sf_dir):
 
 
 @check("unpivot_route", """
-  SELECT p_partkey, unnest(['EquipSetEffectAt', 'EquipSetEffectCul']) AS "Destination", unnest([p_name, p_type]) AS "Effect" FROM part""")
+  SELECT p_partkey, unnest(['EquipSetEffectAt', 'EquipSetEffectCul', 'EquipSetEffectAt', 'Notes']) AS "Destination",
+         unnest([p_name, p_type, p_brand, 'n']) AS "Effect" FROM part""")
 def unpivot_route(spark, sf_dir):
-    raw = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("Set Effect"), F.col("p_type").alias("Cumulative Set Effect"))
-    return S.unpivot_routes(
-        raw, ["p_partkey"], ["Set Effect", "Cumulative Set Effect"], [("Set", "EquipSetEffectAt"), ("Cumulative", "EquipSetEffectCul")]
+    raw = table(spark, sf_dir, "part").select(
+        "p_partkey", F.col("p_name").alias("Set Effect"), F.col("p_type").alias("Cumulative Effect"),
+        F.col("p_brand").alias("Cumulative Set Effect"), F.lit("n").alias("Notes"),
     )
+    effects = ["Set Effect", "Cumulative Effect", "Cumulative Set Effect", "Notes"]
+    return S.unpivot_routes(raw, ["p_partkey"], effects, [("Set", "EquipSetEffectAt"), ("Cumulative", "EquipSetEffectCul")])

@@ -27,7 +27,7 @@ def stat_and_group(c: Column) -> Column:
     group = F.trim(F.replace(after_last(named, "("), F.lit(")"), F.lit("")))
     stat = F.trim(before(named, "("))
     return F.struct(
-        F.replace(stat, F.lit("%"), F.lit("")).alias("Stat"),
+        F.trim(F.replace(stat, F.lit("%"), F.lit(""))).alias("Stat"),
         F.when(named.contains("("), group).otherwise(F.lit("Common")).alias("EquipGrp"),
     )
 

@@ -117,10 +117,12 @@ def heading_labels(nodes: DataFrame) -> DataFrame:
 
     Without an anchor the heading's own id and text serve. Expects the ``span`` nodes too.
     """
-    ahead = Window.partitionBy("page_id").orderBy("node_id").rowsBetween(0, Window.unboundedFollowing)
+    # Read backwards, the nearest following anchor is the last one seen: a running frame costs
+    # one step per row, a frame that reaches to the end would cost one step per pair of rows.
+    backwards = Window.partitionBy("page_id").orderBy(F.desc("node_id")).rowsBetween(Window.unboundedPreceding, 0)
     anchor = (F.col("tag") == "span") & has_class("headline")
     found = F.struct(F.col("node_id").alias("n"), F.col("attrs")["id"].alias("id"), F.col("text").alias("text"))
-    following = F.first(F.when(anchor, found), ignorenulls=True).over(ahead)
+    following = F.last(F.when(anchor, found), ignorenulls=True).over(backwards)
     own = F.when(following["n"] <= F.col("end_id"), following)
     heading = F.col("tag").isin(*HEADS)
     return nodes.withColumns(

@@ -105,8 +105,12 @@ def collapse_columns(df: DataFrame, columns: Sequence[str], into: str = "Stat va
     return df.withColumn(into, value).drop(*[c for c in columns if c != into])
 
 
+def routed(header: Column, routes: Sequence[tuple[str, str]]) -> Column:
+    """Destination of the first word of ``routes`` that a header contains, else the header."""
+    return F.coalesce(*[F.when(header.contains(word), F.lit(to)) for word, to in routes], header)
+
+
 def unpivot_routes(df: DataFrame, ids: Sequence[str], columns: Sequence[str], routes: Sequence[tuple[str, str]]) -> DataFrame:
-    """Each effect column becomes records of a destination; the last matching word of ``routes`` decides."""
+    """Each effect column becomes records of the destination its name is routed to."""
     long = df.unpivot(list(ids), list(columns), "Header", "Effect")
-    route = F.coalesce(*[F.when(F.col("Header").contains(word), F.lit(to)) for word, to in reversed(routes)], F.col("Header"))
-    return long.withColumn("Destination", route).drop("Header")
+    return long.withColumn("Destination", routed(F.col("Header"), routes)).drop("Header")

@@ -12,6 +12,7 @@ from tablewright.operators import details, layout as Y, predicates as P, rename,
 from tablewright.operators.links import resolve, slug_name
 from tablewright.operators.steps import run_steps
 from tablewright.rules import ACCESSORY_SLOTS, ARMOR_SLOTS, WEAPON_SETS, RulePack
+from tablewright.session import stage
 from tablewright.sources.markup import cells_of, nodes
 
 # Classes of the tab boxes, and fields a record starts with.
@@ -33,6 +34,7 @@ def list_rows(pages: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
     rows = Y.by_page(nodes(pages, ("div", "ul", "li", "table", "td", "th", "a", "img")))
     rows = rows.withColumn("tabbed", F.coalesce(Y.inside((F.col("tag") == "div") & Y.has_class(TABBER)), F.lit(False)))
     rows = rows.withColumn("titles", F.coalesce(Y.inside((F.col("tag") == "ul") & Y.has_class(TAB_TITLE)), F.lit(False)))
+    rows = stage(rows.drop("end_id", "parent_id", "pos"), "lists")
     listed = (F.col("tag") == "table") & F.col("table_id").isNull() & Y.has_class("wikitable")
     grids = Y.numbered(Y.fallback(rows.where(listed & F.col("tabbed")), rows.where(listed & ~F.col("tabbed"))))
     titles = Y.numbered(rows.where((F.col("tag") == "li") & F.col("titles"))).select("page_id", "pos", F.trim("text").alias("title"))
@@ -89,7 +91,7 @@ def _facts(pages: DataFrame, rows: DataFrame, rules: RulePack) -> DataFrame:
 
 def equipment_records(lists: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack()) -> DataFrame:
     """Records of all slots with the ``known`` stat fields, renamed and with defaults filled."""
-    rows = list_rows(lists, rules).where("kept").drop("kept")
+    rows = stage(list_rows(lists, rules).where("kept").drop("kept"), "rows")
     android = F.col("EquipSlot") == "Android"
     joined = details.join_details(rows, _facts(pages, rows.where(~android), rules), list_only=android)
     own = F.transform(
@@ -136,7 +138,7 @@ def secondary_rows(pages: DataFrame, weapon_type: Column, sets: Sequence[str] =
 
     Returns ``(page_id, WeaponType, ClassName, EquipName, header, lines)`` in long form.
     """
-    rows = Y.by_page(nodes(pages, ("p", "a", "table", "td", "th")))
+    rows = stage(Y.by_page(nodes(pages, ("p", "a", "table", "td", "th"))), "secondary")
     names = Y.prose_names(rows, skip=["Shade"]).select("page_id", F.col("idx").alias("pos"), F.translate("name", ",", "").alias("ClassName"))
     typed = pages.select("page_id", weapon_type.alias("WeaponType"))
     # Fixed value: a type whose owner the prose does not link.

@@ -8,6 +8,7 @@ from tablewright.functions.numbers import OPEN_END, OPEN_START, first_number, le
 from tablewright.functions.records import stat_and_group
 from tablewright.operators import layout as Y
 from tablewright.operators.reshape import dedupe_ordered
+from tablewright.session import stage
 from tablewright.sources.markup import cells_of, nodes
 
 # Section anchor, stats with tables per equipment type, and tier columns.
@@ -24,8 +25,8 @@ def _blocks(pages: DataFrame) -> DataFrame:
     return named.withColumn("started", started)
 
 
-def flame_table(pages: DataFrame) -> DataFrame:
-    rows = _blocks(pages)
+def flame_tables(pages: DataFrame) -> DataFrame:
+    rows = stage(_blocks(pages), "flames")
     by_h3, by_h4 = stat_and_group(F.col("h3")), stat_and_group(F.col("h4"))
     tables = rows.where((F.col("tag") == "table") & F.col("started") & F.col("h3").isNotNull()).select(
         "page_id", "node_id", "dl", "p", by_h3.alias("top"), by_h4.alias("sub")
@@ -54,6 +55,7 @@ def flame_table(pages: DataFrame) -> DataFrame:
     band = level_band(F.col("level"))
     listed = F.col("level").isNotNull()
     return wide.join(kept, ["page_id", "table_id"]).select(
+        "page_id",
         "EquipGrp",
         "EquipType",
         "Stat",

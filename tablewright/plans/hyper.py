@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablewright.functions.numbers import parse_number
 from tablewright.functions.text import after_last, ascii_only, replace_each
 from tablewright.operators import layout as Y
+from tablewright.session import stage
 from tablewright.sources.markup import cells_of, nodes
 
 # Section anchors and columns of the result tables.
@@ -34,12 +35,15 @@ def hyper_tables(pages: DataFrame) -> dict[str, DataFrame]:
     )
     stat_table = (F.col("tag") == "table") & F.col("in_stats") & F.col("points").isNull()
     rows = rows.withColumn("stat", Y.enclosing(stat_table, "h3"))
+    rows = stage(rows.where(F.col("points").isNotNull() | F.col("stat").isNotNull()), "hyper")
 
     canon = lambda df: df.withColumn("header", Y.canonical_header(F.col("header")))
     points_cells = canon(Y.with_header(cells_of(rows.where(F.col("points").isNotNull()))))
     points = Y.record_columns(points_cells, {c: c for c in POINTS_COLUMNS}).select(*POINTS_COLUMNS)
 
-    name = F.trim(replace_each(replace_each(ascii_only(F.col("stat")["h3"]), ["%", "Weapon and Magic"]), ["Increase"]))
+    shown = replace_each(ascii_only(F.col("stat")["h3"]), ["%", "Weapon and Magic"])
+    # A table without a heading before it lists costs.
+    name = F.when(F.col("stat")["h3"].isNotNull(), F.trim(replace_each(shown, ["Increase"])))
     named = rows.where(F.col("stat").isNotNull()).withColumn("StatIncrease", name)
     stat_cells = canon(Y.with_header(cells_of(named, keep=["StatIncrease"])))
     effects = Y.record_columns(stat_cells.where(F.col("StatIncrease").isNotNull()), {c: c for c in EFFECT_COLUMNS}, keep=["StatIncrease"])

@@ -9,6 +9,7 @@ from tablewright.functions.records import grade_parts
 from tablewright.functions.text import ascii_only, split_list, trim_set
 from tablewright.operators import layout as Y
 from tablewright.operators.reshape import dedupe_rows
+from tablewright.session import stage
 from tablewright.sources.markup import TEXT_TAGS, cells_of, nodes
 
 # The class of the content boxes and the text that marks another region's rows.
@@ -21,8 +22,8 @@ def _walk(pages: DataFrame) -> DataFrame:
     rows = Y.by_page(nodes(pages, (TEXT_TAGS - {"li", "ul", "script", "title"}) | {"div", "table"}))
     rows = Y.with_headings(Y.heading_labels(rows), ("h2", "h3", "h4"), value="headline")
     graded = (F.col("tag") == "div") & F.col("h4").isNotNull()
-    rows = rows.withColumn("grade", Y.enclosing(graded, "h2", "h3", "h4"))
-    rows = rows.where(F.col("grade").isNotNull())
+    rows = rows.withColumn("graded", Y.enclosing(graded, "h2", "h3", "h4"))
+    rows = rows.where(F.col("graded").isNotNull())
     content = (F.col("tag") == "div") & Y.has_class(CONTENT_CLASS)
     rows = rows.withColumn("content", Y.enclosing(content)).where(F.col("content").isNotNull())
     rows = rows.withColumn("child", F.col("parent_id") == F.col("content")["node_id"])
@@ -49,11 +50,11 @@ def _tables(rows: DataFrame) -> DataFrame:
         "page_id",
         F.col("node_id").alias("table_id"),
         F.col("content")["node_id"].alias("content_id"),
-        F.col("grade").alias("grade"),
+        "graded",
         pick("block").alias("block"),
         pick("heading").alias("heading"),
         pick("MinLvl").alias("MinLvl"),
-        F.when(boxed, F.lit("boxed")).otherwise(F.col("kind")).alias("kind"),
+        F.when(boxed, F.lit("boxed")).otherwise(F.col("kind")).alias("table_kind"),
         F.when(boxed, F.col("CubeType")).alias("CubeType"),
         F.when(boxed, F.col("BoxChance")).alias("BoxChance"),
     ).where(F.col("block") > 0)
@@ -62,12 +63,12 @@ def _tables(rows: DataFrame) -> DataFrame:
 def _with_facts(rows: DataFrame) -> DataFrame:
     """Kind, slots, grade and effect facts of the headings a row stands under."""
     display = F.trim(ascii_only(F.col("heading")))
-    grade = grade_parts(F.col("grade")["h4"])
+    grade = grade_parts(F.col("graded")["h4"])
     facts = effect_facts(display)
     return rows.select(
         "*",
-        F.when(F.lower(F.col("grade")["h2"]).contains("bonus"), "Bonus").otherwise("Main").alias("Kind"),
-        F.explode(split_list(F.col("grade")["h3"])).alias("Slot"),
+        F.when(F.lower(F.col("graded")["h2"]).contains("bonus"), "Bonus").otherwise("Main").alias("Kind"),
+        F.explode(split_list(F.col("graded")["h3"])).alias("Slot"),
         grade["Grade"].alias("Grade"),
         grade["Prime"].alias("Prime"),
         display.alias("DisplayStat"),
@@ -97,24 +98,24 @@ def _table_fields(rows: DataFrame) -> DataFrame:
 
 
 def potential_tables(pages: DataFrame) -> dict[str, DataFrame]:
-    rows = _walk(pages)
+    rows = stage(_walk(pages), "potential")
     fields = _table_fields(rows)
     tables = _tables(rows)
     # What a block holds: its chance table releases the values found before it.
     block = ["page_id", "content_id", "block"]
     held = tables.groupBy(*block).agg(
-        F.some(F.col("kind") == "chance").alias("has_chance"),
-        F.some(F.col("kind") == "boxed").alias("has_boxes"),
-        F.max(F.when(F.col("kind") == "value", F.col("table_id"))).alias("last_value"),
+        F.some(F.col("table_kind") == "chance").alias("has_chance"),
+        F.some(F.col("table_kind") == "boxed").alias("has_boxes"),
+        F.max(F.when(F.col("table_kind") == "value", F.col("table_id"))).alias("last_value"),
     )
     facts = tables.join(held, block)
-    used = facts.where((F.col("kind") == "boxed") | ((F.col("kind") == "value") & F.col("has_chance") & ~F.col("has_boxes") & (F.col("table_id") == F.col("last_value"))))
-    bare = facts.where((F.col("kind") == "chance") & F.col("last_value").isNull() & ~F.col("has_boxes"))
+    used = facts.where((F.col("table_kind") == "boxed") | ((F.col("table_kind") == "value") & F.col("has_chance") & ~F.col("has_boxes") & (F.col("table_id") == F.col("last_value"))))
+    bare = facts.where((F.col("table_kind") == "chance") & F.col("last_value").isNull() & ~F.col("has_boxes"))
     valued = _with_facts(used).join(fields, ["page_id", "table_id"])
     alone = _with_facts(bare)
     values = dedupe_rows(_value_rows(valued).unionByName(_value_rows(alone, bare=True)))
 
-    chances = _with_facts(facts.where(F.col("kind") == "chance")).join(fields, ["page_id", "table_id"])
+    chances = _with_facts(facts.where(F.col("table_kind") == "chance")).join(fields, ["page_id", "table_id"])
     rates = dedupe_rows(
         chances.select(
             *KEYS,

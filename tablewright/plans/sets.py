@@ -10,6 +10,7 @@ from tablewright.functions.records import key_value
 from tablewright.functions.text import clean_lines
 from tablewright.operators import layout as Y, predicates as P, rename, reshape
 from tablewright.rules import IGNORED_SETS, TRACKED_SETS, RulePack
+from tablewright.session import stage
 from tablewright.sources.markup import cells_of, nodes
 
 # Destination by header word, in test order.
@@ -37,13 +38,13 @@ def set_effects(pages: DataFrame, known: Sequence[str], rules: RulePack = RulePa
     grid = (F.col("tag") == "table") & Y.has_class("wikitable") & F.col("table_id").isNull()
     rows = rows.withColumn("nth", Y.running_count(grid))
     rows = rows.withColumn("grid", Y.enclosing(grid & (F.col("nth") == 1))).where(F.col("grid").isNotNull())
+    rows = stage(rows, "sets")
     marks = rows.groupBy("page_id", "table_id", "row_idx").agg(
         F.min_by(F.when(F.col("tag") == "b", F.col("text")), F.when(F.col("tag") == "b", F.col("node_id"))).alias("mark"),
         F.array_distinct(F.flatten(F.collect_list(F.when(F.col("tag") == "b", F.col("lines"))))).alias("bold"),
     )
     cells = Y.with_header(cells_of(rows)).where(F.col("header").isNotNull())
-    # Where both words stand in a header the later route wins.
-    route = F.coalesce(*[F.when(F.col("header").contains(w), F.lit(to)) for w, to in reversed(ROUTES)], F.col("header"))
+    route = reshape.routed(F.col("header"), ROUTES)
     found = cells.join(marks.where(F.col("mark").isNotNull()), ["page_id", "table_id", "row_idx"]).join(
         pages.select("page_id", "EquipSet", "ClassType"), "page_id"
     )

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablewright.functions.numbers import OPEN_END, level_band, pair_maxima, parse_number
 from tablewright.functions.records import section_key
 from tablewright.operators import layout as Y
+from tablewright.session import stage
 from tablewright.sources.markup import cells_of, nodes
 
 # Section names, titles and columns of the result tables.
@@ -86,7 +87,7 @@ def _boost_table(boosts: DataFrame, title: str, columns: list[str]) -> DataFrame
 
 
 def star_tables(pages: DataFrame) -> dict[str, DataFrame]:
-    rows = _sectioned(pages)
+    rows = stage(_sectioned(pages), "stars")
     boosts = stat_boosts(rows)
     return {
         "StarLimit": star_limits(rows),

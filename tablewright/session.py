@@ -61,3 +61,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder once and read it back.
+
+    For rows that several results are made of: the costly parse runs once, later reads take
+    only the columns they need, and a lost executor loses none of it.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import html as entities
 import re
+import sys
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
+# The parse pass travels to the executors with its task: they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_SCHEMA = (
     "page_id bigint, node_id int, end_id int, parent_id int, pos int, tag string, "
     "attrs map<string,string>, lines array<string>, table_id int, row_idx int, col_idx int"
