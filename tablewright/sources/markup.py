@@ -40,17 +40,18 @@ _ARROW = pa.schema(
 )
 _FLUSH_ROWS = 20_000
 
+# One token of markup. Script and style come with their whole text, as nothing in it is markup.
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
-    re.S,
+    r"|<(script|style)\b((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>(.*?)(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-z][\w:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+    re.S | re.I,
 )
 _ATTR = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 # HTML element kinds that decide how tags nest.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_RAW = frozenset(("script", "style"))
 _CLOSES_P = frozenset(
     "address article aside blockquote center details div dl dd dt fieldset figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr li main nav ol p pre section table tbody td tfoot th thead tr ul".split()
@@ -69,7 +70,7 @@ _IMPLIED = {
     "tfoot": (("thead", "tbody", "tfoot"), ("table",)),
     "option": (("option",), ("select",)),
 }
-_P_SCOPE = frozenset(("table", "td", "th", "li", "dd", "div", "article", "section"))
+_P_SCOPE = frozenset(("table", "tbody", "tr", "td", "th", "li", "dd", "div", "article", "section", "body", "#root"))
 # Elements whose text is handed on, in the pieces in which it is written.
 TEXT_TAGS = frozenset(
     "h1 h2 h3 h4 h5 h6 p li a td th dt dd dl b span caption title script ul".split()
@@ -79,12 +80,29 @@ TEXT_TAGS = frozenset(
 class _Open:
     """One open element while a page is read."""
 
-    __slots__ = ("tag", "row", "children", "lines", "table", "tr", "td")
+    __slots__ = ("tag", "node_id", "at", "children", "sinks", "table", "tr", "td")
 
-    def __init__(self, tag, row, lines):
-        self.tag, self.row, self.lines = tag, row, lines
+    def __init__(self, tag, node_id, at, sinks, table, tr, td):
+        self.tag, self.node_id, self.at, self.sinks = tag, node_id, at, sinks
+        self.table, self.tr, self.td = table, tr, td
         self.children = 0
-        self.table = self.tr = self.td = None
+
+
+class Columns:
+    """Node columns of any number of pages, in the order of the schema."""
+
+    def __init__(self) -> None:
+        self.values: list[list] = [[] for _ in _ARROW]
+
+    def __len__(self) -> int:
+        return len(self.values[0])
+
+    def batch(self) -> pa.RecordBatch:
+        arrays = [pa.array(v, f.type) for v, f in zip(self.values, _ARROW)]
+        return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+
+    def rows(self) -> list[tuple]:
+        return list(zip(*self.values))
 
 
 def _attributes(text: str) -> list[tuple[str, str]]:
@@ -95,12 +113,8 @@ def _attributes(text: str) -> list[tuple[str, str]]:
     return list(found.items())
 
 
-def _close_to(stack: list[_Open], depth: int, last_id: int) -> None:
-    while len(stack) > depth:
-        stack.pop().row[1] = last_id
-
-
 def _nearest(stack: list[_Open], tags, stop) -> int:
+    """Depth of the innermost open element of ``tags`` above the nearest of ``stop``, or 0."""
     for depth in range(len(stack) - 1, 0, -1):
         tag = stack[depth].tag
         if tag in tags:
@@ -110,95 +124,105 @@ def _nearest(stack: list[_Open], tags, stop) -> int:
     return 0
 
 
-def page_rows(source: str, wanted: frozenset[str] | None = None) -> list[list]:
-    """Rows ``[node_id, end_id, parent_id, pos, tag, attrs, lines, table_id, row_idx, col_idx]``.
+def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] | None = None) -> None:
+    """Append the nodes of one page, those of the ``wanted`` tags only.
 
     ``node_id`` counts elements in document order and ``end_id`` is the id of the last element
     inside, so "x is inside y" reads ``y.node_id < x.node_id <= y.end_id``.
     """
-    rows: list[list] = []
-    root = _Open("#root", [0, 0], None)
+    page_ids, node_ids, end_ids, parents, places, tags, attributes, texts, tables, table_rows, table_cols = out.values
+    root = _Open("#root", 0, -1, (), None, None, None)
     stack = [root]
     counter = 0
-    at = 0
-
-    def add_text(piece: str) -> None:
-        if not piece:
-            return
-        if "&" in piece and stack[-1].tag not in _RAW:
-            piece = entities.unescape(piece)
-        for element in reversed(stack):
-            if element.lines is not None:
-                element.lines.append(piece)
-            if element.tag == "table":  # text of an inner table stays out of the outer cell
-                break
-
-    for match in _MARKUP.finditer(source):
-        if match.start() < at:
-            continue
-        add_text(source[at : match.start()])
-        at = match.end()
-        tag = match["tag"]
-        if tag is None:
+
+    def close_to(depth: int) -> None:
+        while len(stack) > depth:
+            at = stack.pop().at
+            if at >= 0:
+                end_ids[at] = counter
+
+    # Pieces come as text, then the groups of the token that follows it.
+    pieces = _MARKUP.split(source)
+    last = len(pieces) - 1
+    for at in range(0, last + 1, 7):
+        text = pieces[at]
+        if text:
+            sinks = stack[-1].sinks
+            if sinks:
+                if "&" in text:
+                    text = entities.unescape(text)
+                for sink in sinks:
+                    sink.append(text)
+        if at == last:
+            break
+        raw, raw_attrs, raw_text, closing, tag, attrs = pieces[at + 1 : at + 7]
+        if raw is not None:
+            tag, attrs = raw, raw_attrs
+        elif tag is None:
             continue
         tag = tag.lower()
-        if match["close"]:
-            depth = _nearest(stack, (tag,), () if tag == "table" else ("table",))
-            if depth:
-                _close_to(stack, depth, counter)
+        top = stack[-1]
+        if closing:
+            if top.tag == tag:
+                stack.pop()
+                if top.at >= 0:
+                    end_ids[top.at] = counter
+            else:
+                depth = _nearest(stack, (tag,), () if tag == "table" else ("table",))
+                if depth:
+                    close_to(depth)
             continue
-        if tag in _CLOSES_P:
+        if top.tag not in _P_SCOPE and tag in _CLOSES_P:
             depth = _nearest(stack, ("p",), _P_SCOPE)
             if depth:
-                _close_to(stack, depth, counter)
-        if tag in _IMPLIED:
-            depth = _nearest(stack, *_IMPLIED[tag])
-            if depth:
-                _close_to(stack, depth, counter)
+                close_to(depth)
+        rule = _IMPLIED.get(tag)
+        if rule is not None:
+            if top.tag not in rule[1]:
+                depth = _nearest(stack, *rule)
+                if depth:
+                    close_to(depth)
         elif tag in _HEADS and stack[-1].tag in _HEADS:
-            _close_to(stack, len(stack) - 1, counter)
+            close_to(len(stack) - 1)
 
         parent = stack[-1]
         parent.children += 1
         counter += 1
-        attrs = _attributes(match["attrs"]) if "=" in match["attrs"] else []
-        lines = [] if tag in TEXT_TAGS else None
-        element = _Open(tag, None, lines)
-        element.table, element.tr, element.td = parent.table, parent.tr, parent.td
-        if tag == "tr" and element.table:
-            element.table[1] += 1
-            element.tr, element.td = [element.table[1], -1], None
-        elif tag in ("td", "th") and element.tr:
-            element.tr[1] += 1
-            element.td = element.tr[1]
-        context = (
-            element.table[0] if element.table else None,
-            element.tr[0] if element.tr else None,
-            element.td,
-        )
-        element.row = [counter, counter, parent.row[0], parent.children, tag, attrs, lines, *context]
+        table, tr, td = parent.table, parent.tr, parent.td
+        if tag == "tr" and table:
+            table[1] += 1
+            tr, td = [table[1], -1], None
+        elif (tag == "td" or tag == "th") and tr:
+            tr[1] += 1
+            td = tr[1]
+        place, sinks = -1, parent.sinks
         if wanted is None or tag in wanted:
-            rows.append(element.row)
-        if tag == "table":
-            element.table, element.tr, element.td = [counter, -1], None, None
+            place = len(node_ids)
+            lines = [] if tag in TEXT_TAGS else None
+            page_ids.append(page_id)
+            node_ids.append(counter)
+            end_ids.append(counter)
+            parents.append(parent.node_id)
+            places.append(parent.children)
+            tags.append(tag)
+            attributes.append(_attributes(attrs) if "=" in attrs else ())
+            texts.append(lines)
+            tables.append(table[0] if table else None)
+            table_rows.append(tr[0] if tr else None)
+            table_cols.append(td)
+            if lines is not None:
+                sinks = (*sinks, lines)
+        if raw is not None:
+            for sink in sinks:
+                sink.append(raw_text)
+            continue
         if tag in _VOID:
             continue
-        stack.append(element)
-        if tag in _RAW:
-            end = re.compile(rf"</{tag}", re.I).search(source, at)
-            stop = end.start() if end else len(source)
-            add_text(source[at:stop])
-            at = stop
-    add_text(source[at:])
-    _close_to(stack, 1, counter)
-    return rows
-
-
-def _batch(rows: list[list]) -> pa.RecordBatch:
-    columns = list(zip(*rows))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW
-    )
+        if tag == "table":  # text of an inner table stays out of the outer cell
+            stack.append(_Open(tag, counter, place, (), [counter, -1], None, None))
+        else:
+            stack.append(_Open(tag, counter, place, sinks, table, tr, td))
+    close_to(1)
 
 
 def nodes(pages: DataFrame, tags: Iterable[str] | None = None) -> DataFrame:
@@ -206,17 +230,16 @@ def nodes(pages: DataFrame, tags: Iterable[str] | None = None) -> DataFrame:
     wanted = frozenset(tags) if tags is not None else None
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[list] = []
+        pending = Columns()
         for batch in batches:
             for page_id, source in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if not source.is_valid:
-                    continue
-                pending.extend([page_id, *row] for row in page_rows(source.as_py(), wanted))
+                if source.is_valid:
+                    read_page(page_id, source.as_py(), pending, wanted)
                 if len(pending) >= _FLUSH_ROWS:
-                    yield _batch(pending)
-                    pending = []
-        if pending:
-            yield _batch(pending)
+                    yield pending.batch()
+                    pending = Columns()
+        if len(pending):
+            yield pending.batch()
 
     return pages.select(F.col("page_id").cast("bigint"), "html").mapInArrow(parse, NODE_SCHEMA).withColumn(
         "text", F.array_join("lines", "")
