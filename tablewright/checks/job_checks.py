@@ -322,14 +322,15 @@ def weapon_links(spark, sf_dir):
 
 @check("secondary_rows", """
   SELECT p_partkey AS page_id, 'Orb' AS "WeaponType", unnest([p_type, p_brand]) AS "ClassName", unnest([p_name, 'Other']) AS "EquipName", 'Effects' AS header,
-         unnest([['STR: +' || p_size, 'DEX: +1'], ['INT: +2']]) AS lines FROM part""")
+         unnest(['STR: +' || p_size || '|DEX: +1', 'INT: +2']) AS lines FROM part""")
 def secondary_rows(spark, sf_dir):
     grid = lambda name, lines: F.concat(F.lit("<table class='wikitable'>"), heads("Picture", "Effects"), el("tr", el("td", name), el("td", lines)), F.lit("</table>"))
     html = F.concat(
         F.lit("<div class='mw-parser-output'><p>An orb is exclusive to <a href='/a'>"), F.col("p_type"), F.lit("</a>, <a href='/b'>"), F.col("p_brand"), F.lit("</a>.</p>"),
         grid(F.concat("p_name", F.lit(",")), F.concat(F.lit("STR: +"), n("p_size"), F.lit("<br>DEX: +1"))), grid(F.lit("Other"), F.lit("INT: +2")), F.lit("</div>"),
     )
-    return equipment.secondary_rows(single(table(spark, sf_dir, "part"), "p_partkey", html), F.lit("Orb"))
+    found = equipment.secondary_rows(single(table(spark, sf_dir, "part"), "p_partkey", html), F.lit("Orb"))
+    return found.withColumn("lines", F.array_join("lines", "|"))
 
 
 @check("set_effects", """

@@ -34,11 +34,11 @@ def str_multi_replace_ordered(spark, sf_dir):
 
 
 @check("arr_clean", r"""
-  SELECT doc_id, list_transform(list_filter(string_split_regex(text || chr(10) || ' ', '\. '), lambda x: trim(x, ' ') <> chr(10)),
-         lambda x: trim(x, chr(10))) AS lines FROM documents""")
+  SELECT doc_id, array_to_string(list_transform(list_filter(string_split_regex(text || chr(10) || ' ', '\. '), lambda x: trim(x, ' ') <> chr(10)),
+         lambda x: trim(x, chr(10))), '|') AS lines FROM documents""")
 def arr_clean(spark, sf_dir):
     lines = F.split(F.concat("text", F.lit("\n ")), r"\. ")
-    return table(spark, sf_dir, "documents").select("doc_id", X.clean_lines(lines).alias("lines"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.clean_lines(lines), "|").alias("lines"))
 
 
 @check("str_trim_set", """
@@ -134,13 +134,14 @@ def num_or_null(spark, sf_dir):
 
 
 @check("pair_max", """
-  SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN [p_size + 1] ELSE [p_size + 1, p_size + 2] END AS ids FROM part""")
+  SELECT p_partkey, unnest(CASE WHEN p_size % 2 = 0 THEN [CAST(p_size AS BIGINT) + 1] ELSE [CAST(p_size AS BIGINT) + 1, CAST(p_size AS BIGINT) + 2] END) AS id FROM part""")
 def pair_max(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
     star = lambda n: F.concat((F.col("p_size") + n).cast("string"), F.lit("★"))
     one = F.concat(star(0), F.lit(" → "), star(1))
     two = F.concat(one, F.lit(", "), star(2), F.lit(" → "), star(1))
-    return parts.select("p_partkey", N.pair_maxima(F.when(F.col("p_size") % 2 == 0, one).otherwise(two)).alias("ids"))
+    ids = N.pair_maxima(F.when(F.col("p_size") % 2 == 0, one).otherwise(two))
+    return parts.select("p_partkey", F.explode(ids.cast("array<bigint>")).alias("id"))
 
 
 @check("effect_parse", """
@@ -226,10 +227,10 @@ def stat_name(spark, sf_dir):
     return parts.select("p_partkey", named["Stat"].alias("stat"), named["EquipGrp"].alias("grp"))
 
 
-@check("list_split", "SELECT p_partkey, [p_name, p_type, 'Sand ' || p_brand] AS slots FROM part")
+@check("list_split", "SELECT p_partkey, unnest([0, 1, 2]) AS pos, unnest([p_name, p_type, 'Sand ' || p_brand]) AS slot FROM part")
 def list_split(spark, sf_dir):
     shown = F.concat("p_name", F.lit(", "), "p_type", F.lit(" and Sand "), "p_brand")
-    return table(spark, sf_dir, "part").select("p_partkey", X.split_list(shown).alias("slots"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.posexplode(X.split_list(shown)).alias("pos", "slot"))
 
 
 @check("field_names", """
