@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewright.session import cut_lineage
 
 ANCHOR = r"(?is)<a(\s[^>]*)>(.*?)</a>"
+OPENING = r"(?is)^<a(\s[^>]*)>"
 
 
 def attribute(attrs: Column, name: str) -> Column:
-    """Value of a quoted attribute, or null."""
-    quoted = F.regexp_extract(attrs, rf"(?is)(?:^|\s){name}\s*=\s*(\"[^\"]*\"|'[^']*')", 1)
-    return F.when(quoted != "", F.substring(quoted, 2, F.length(quoted) - 2))
+    """Value of an attribute, quoted or not, or null."""
+    given = F.regexp_extract(attrs, rf"(?is)(?:^|\s){name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    return F.when(given != "", F.when(given.rlike("^[\"']"), F.substring(given, 2, F.length(given) - 2)).otherwise(given))
 
 
 def unescape(c: Column) -> Column:
@@ -34,7 +35,7 @@ def extract(pages: DataFrame, region: str | None = None) -> DataFrame:
     found = pages.select(
         "page_id", "url", F.posexplode(F.regexp_extract_all(area, F.lit(ANCHOR), F.lit(0))).alias("pos", "anchor")
     )
-    attrs = F.regexp_extract("anchor", ANCHOR, 1)
+    attrs = F.regexp_extract("anchor", OPENING, 1)
     body = F.regexp_extract("anchor", ANCHOR, 2)
     return found.select(
         "page_id",

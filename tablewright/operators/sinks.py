@@ -20,8 +20,12 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_routed(df: DataFrame, path: str, by: str = "Destination", mode: str = "overwrite") -> None:
-    """All destinations in one job, one folder each."""
-    df.write.mode(mode).partitionBy(by).parquet(path)
+    """All destinations in one job, one folder each.
+
+    Rebalancing brings a destination's rows together, so that not every task writes a file per
+    destination, and splits a destination that is larger than a partition should be.
+    """
+    df.hint("rebalance", F.col(by)).write.mode(mode).partitionBy(by).parquet(path)
 
 
 def destination(df: DataFrame, name: str, by: str = "Destination") -> DataFrame:
@@ -40,11 +44,19 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], seq: s
 
 
 def newest(rows: DataFrame, keys: Sequence[str], order: Column, drop: Sequence[str] = ()) -> DataFrame:
-    """The row with the highest order of each key. Ties are settled by the row itself."""
+    """The row with the highest order of each key. Ties are settled by the row itself.
+
+    One struct per row, order first, so each row crosses the shuffle once. Rows with a map
+    column cannot be compared and go by their order alone.
+    """
     rest = [c for c in rows.columns if c not in keys and c not in drop]
-    body = F.struct(*[F.col(f"`{c}`") for c in rest])
-    picked = rows.groupBy(*keys).agg(F.max_by(body, F.struct(order.alias("o"), body.alias("b"))).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    values = [F.col(f"`{c}`") for c in rest]
+    if any("map<" in rows.schema[c].dataType.simpleString() for c in rest):
+        picked = F.max_by(F.struct(*values), order)
+    else:
+        picked = F.max(F.struct(order.alias("_order"), *values))
+    found = rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(picked.alias("_row"))
+    return found.select(*[F.col(f"`{k}`") for k in keys], *[F.col("_row").getField(c).alias(c) for c in rest])
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
