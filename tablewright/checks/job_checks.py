@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.checks.registry import check, table
+from tablewright.checks.registry import check, no_gaps, table
 from tablewright.checks.render import chunked, el, heads, row_html, single
 from tablewright.operators.links import extract
 from tablewright.plans import classes, equipment, flames, hyper, potential, sets, stars
@@ -82,17 +82,18 @@ def success_rates(spark, sf_dir):
 
 @check("stat_boosts", """
   WITH p AS (SELECT *, CAST(p_size AS BIGINT) AS s, unnest(CASE WHEN p_partkey % 4 = 0 THEN [p_partkey + 1, p_partkey + 2] ELSE [p_partkey + 1] END) AS id FROM part),
-  r AS (SELECT 'Normal' AS kind, id, 0 AS lo, 300 AS hi, s + 2 AS job, CAST(NULL AS BIGINT) AS def, CAST(NULL AS BIGINT) AS att FROM p WHERE (p_partkey // 50) % 2 = 0
-    UNION ALL SELECT 'Superior', id, s, s + 9, NULL, s, 0 FROM p WHERE (p_partkey // 50) % 2 = 1
-    UNION ALL SELECT 'Superior', id, s + 10, 300, NULL, 1, s + 3 FROM p WHERE (p_partkey // 50) % 2 = 1)
+  r AS (SELECT 'Normal' AS kind, id, 0 AS lo, 300 AS hi, s + 2 AS job, CAST(-1 AS BIGINT) AS def, CAST(-1 AS BIGINT) AS att FROM p WHERE (p_partkey // 50) % 2 = 0
+    UNION ALL SELECT 'Superior', id, s, s + 9, -1, s, 0 FROM p WHERE (p_partkey // 50) % 2 = 1
+    UNION ALL SELECT 'Superior', id, s + 10, 300, -1, 1, s + 3 FROM p WHERE (p_partkey // 50) % 2 = 1)
   SELECT kind, id, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, job, def, att FROM r""")
 def stat_boosts(spark, sf_dir):
     found = stars.star_tables(star_pages(spark, sf_dir))
     big = lambda c, a: (F.col(c) if c else F.lit(None)).cast("bigint").alias(a)
     pick = lambda df, kind, job, de, att: df.select(F.lit(kind).alias("kind"), big("SFID", "id"), big("MinLvl", "lo"), big("MaxLvl", "hi"), big(job, "job"), big(de, "def"), big(att, "att"))
-    return pick(found["NormalEquipSF"], "Normal", "Job Stat", None, None).unionByName(
+    both = pick(found["NormalEquipSF"], "Normal", "Job Stat", None, None).unionByName(
         pick(found["SuperiorItemsSF"], "Superior", None, "Visible DEF", "Visible ATT")
     )
+    return no_gaps(both, "job", "def", "att")
 
 
 @check("flame_tiers", """
@@ -100,7 +101,7 @@ def stat_boosts(spark, sf_dir):
   SELECT p_brand || ' ' || CASE f WHEN 0 THEN p_type WHEN 1 THEN 'Weapons' WHEN 2 THEN 'Weapons' WHEN 3 THEN 'Common' ELSE p_type END AS grp,
     CASE f WHEN 1 THEN 'Normal' WHEN 2 THEN 'Special' ELSE 'Common' END AS kind,
     CASE f WHEN 0 THEN 'HP' WHEN 1 THEN 'Attack Power' WHEN 2 THEN 'Attack Power' WHEN 3 THEN 'Mixed Stats' ELSE 'Speed' END AS stat,
-    CASE f WHEN 0 THEN s WHEN 4 THEN 0 ELSE s + 1 END AS lo, CASE f WHEN 0 THEN s + 9 ELSE 300 END AS hi, s AS t1, CASE WHEN f = 3 THEN NULL ELSE s * 1000 END AS t2 FROM p""")
+    CASE f WHEN 0 THEN s WHEN 4 THEN 0 ELSE s + 1 END AS lo, CASE f WHEN 0 THEN s + 9 ELSE 300 END AS hi, s AS t1, CASE WHEN f = 3 THEN -1 ELSE s * 1000 END AS t2 FROM p""")
 def flame_tiers(spark, sf_dir):
     """One page per part, named by its brand, so that ordered dedupe has repeats to drop."""
     parts = table(spark, sf_dir, "part")
@@ -128,10 +129,11 @@ def flame_tiers(spark, sf_dir):
     pages = single(parts, "p_partkey", html)
     found = flames.flame_tables(pages)
     big = lambda c, a: F.col(c).cast("bigint").alias(a)
-    return found.join(brand, found["page_id"] == brand["p_partkey"]).select(
+    tiers = found.join(brand, found["page_id"] == brand["p_partkey"]).select(
         F.concat_ws(" ", "brand", "EquipGrp").alias("grp"), F.col("EquipType").alias("kind"), F.col("Stat").alias("stat"),
         big("MinLvl", "lo"), big("MaxLvl", "hi"), big("Tier 1", "t1"), big("Tier 2", "t2"),
     )
+    return no_gaps(tiers, "t2")
 
 
 def hyper_pages(spark, sf_dir):

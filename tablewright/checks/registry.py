@@ -29,5 +29,10 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def no_gaps(df: DataFrame, *columns: str) -> DataFrame:
+    """Missing numbers as -1, so that every reader of a result sees the same value."""
+    return df.fillna(-1, subset=list(columns))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.checks.registry import check, table
+from tablewright.checks.registry import check, no_gaps, table
 from tablewright.operators import reshape as S
 from tablewright.rules import COLUMN_ORDER
 
@@ -69,12 +69,12 @@ def pivot_wide(spark, sf_dir):
 
 @check("union_missing", """
   SELECT c_name AS name, c_nationkey AS nation, c_mktsegment AS segment, NULL AS brand FROM customer
-  UNION ALL SELECT s_name, s_nationkey, NULL, NULL FROM supplier UNION ALL SELECT p_name, NULL, NULL, p_brand FROM part""")
+  UNION ALL SELECT s_name, s_nationkey, NULL, NULL FROM supplier UNION ALL SELECT p_name, -1, NULL, p_brand FROM part""")
 def union_missing(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"))
     s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_name").alias("name"))
     p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.col("p_name").alias("name"))
-    return S.union_by_name([c, s, p])
+    return no_gaps(S.union_by_name([c, s, p]), "nation")
 
 
 @check("fill_cast", """

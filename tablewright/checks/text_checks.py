@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.checks.registry import check, table
+from tablewright.checks.registry import check, no_gaps, table
 from tablewright.checks.render import cents
 from tablewright.functions import numbers as N, records as R, text as X
 from tablewright.operators import rename
@@ -80,10 +80,10 @@ def split_part(spark, sf_dir):
 
 @check("level_band", """
   SELECT p_partkey,
-    CASE WHEN p_partkey % 8 = 7 THEN NULL ELSE CAST(p_size AS BIGINT) END AS lo,
-    CASE p_partkey % 8 WHEN 0 THEN p_size + 9 WHEN 1 THEN p_size + 12 WHEN 2 THEN 300 WHEN 3 THEN 300 WHEN 4 THEN p_size
-      WHEN 5 THEN 300 WHEN 6 THEN 300 END AS hi_closed,
-    CASE p_partkey % 8 WHEN 0 THEN p_size + 9 WHEN 1 THEN p_size + 12 WHEN 7 THEN NULL ELSE 300 END AS hi_open FROM part""")
+    CASE WHEN p_partkey % 8 = 7 THEN -1 ELSE CAST(p_size AS BIGINT) END AS lo,
+    CAST(CASE p_partkey % 8 WHEN 0 THEN p_size + 9 WHEN 1 THEN p_size + 12 WHEN 2 THEN 300 WHEN 3 THEN 300 WHEN 4 THEN p_size
+      WHEN 5 THEN 300 WHEN 6 THEN 300 ELSE -1 END AS BIGINT) AS hi_closed,
+    CAST(CASE p_partkey % 8 WHEN 0 THEN p_size + 9 WHEN 1 THEN p_size + 12 WHEN 7 THEN -1 ELSE 300 END AS BIGINT) AS hi_open FROM part""")
 def level_band(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
     size, form = F.col("p_size").cast("string"), F.col("p_partkey") % 8
@@ -98,39 +98,41 @@ def level_band(spark, sf_dir):
         .otherwise("any")
     )
     closed, opened = N.level_band(shown), N.level_band(shown, lone="open")
-    return parts.select(
+    bands = parts.select(
         "p_partkey",
         closed["MinLvl"].cast("bigint").alias("lo"),
         closed["MaxLvl"].cast("bigint").alias("hi_closed"),
         opened["MaxLvl"].cast("bigint").alias("hi_open"),
     )
+    return no_gaps(bands, "lo", "hi_closed", "hi_open")
 
 
 @check("num_parse", """
   SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, CAST(o_custkey AS BIGINT) AS stars,
-         CASE WHEN o_orderstatus = 'F' THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS missing,
+         CASE WHEN o_orderstatus = 'F' THEN -1 ELSE CAST(o_custkey AS BIGINT) END AS missing,
          CASE WHEN o_orderstatus = 'F' THEN 0 ELSE CAST(o_custkey AS BIGINT) END AS zero FROM orders""")
 def num_parse(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     price = F.concat(F.lit(" +"), F.format_number("o_totalprice", 2), F.lit("%"))
     stars = F.concat(F.col("o_custkey").cast("string"), F.lit("★"))
     some = F.when(F.col("o_orderstatus") != "F", F.concat(F.col("o_custkey").cast("string"), F.lit("%")))
-    return orders.select(
+    numbers = orders.select(
         "o_orderkey",
         F.round(N.parse_number(price) * 100).cast("bigint").alias("cents"),
         N.parse_number(stars).cast("bigint").alias("stars"),
         N.parse_number(some).cast("bigint").alias("missing"),
         N.parse_number(some, absent=0).cast("bigint").alias("zero"),
     )
+    return no_gaps(numbers, "missing")
 
 
 @check("num_or_null", r"""
-  SELECT doc_id, w AS word, CASE WHEN regexp_full_match(w, '[0-9]+') THEN TRY_CAST(w AS BIGINT) END AS num, CAST(count(*) AS BIGINT) AS n
+  SELECT doc_id, w AS word, CASE WHEN regexp_full_match(w, '[0-9]+') THEN TRY_CAST(w AS BIGINT) ELSE -1 END AS num, CAST(count(*) AS BIGINT) AS n
   FROM (SELECT doc_id, unnest(string_split_regex(text, '\s+')) AS w FROM documents) WHERE regexp_matches(w, '[0-9]') GROUP BY ALL""")
 def num_or_null(spark, sf_dir):
     words = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", r"\s+")).alias("word"))
     some = words.where(F.col("word").rlike("[0-9]"))
-    return some.withColumn("num", N.number_or_null(F.col("word"))).groupBy("doc_id", "word", "num").agg(F.count("*").alias("n"))
+    return no_gaps(some.withColumn("num", N.number_or_null(F.col("word"))), "num").groupBy("doc_id", "word", "num").agg(F.count("*").alias("n"))
 
 
 @check("pair_max", """
@@ -146,8 +148,8 @@ def pair_max(spark, sf_dir):
 
 @check("effect_parse", """
   SELECT p_partkey,
-    CASE WHEN f IN (0, 1, 4) THEN s END AS chance, CASE WHEN f IN (2, 5) THEN s WHEN f = 4 THEN s + 1 END AS duration,
-    CASE WHEN f = 3 THEN s END AS tick, CASE WHEN f IN (0, 5, 6) THEN 'Perc' ELSE 'Flat' END AS kind
+    CASE WHEN f IN (0, 1, 4) THEN s ELSE -1 END AS chance, CASE WHEN f IN (2, 5) THEN s WHEN f = 4 THEN s + 1 ELSE -1 END AS duration,
+    CASE WHEN f = 3 THEN s ELSE -1 END AS tick, CASE WHEN f IN (0, 5, 6) THEN 'Perc' ELSE 'Flat' END AS kind
   FROM (SELECT p_partkey, p_partkey % 8 AS f, CAST(p_size AS BIGINT) AS s FROM part)""")
 def effect_parse(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
@@ -165,13 +167,14 @@ def effect_parse(spark, sf_dir):
     )
 
     facts = N.effect_facts(shown)
-    return parts.select(
+    found = parts.select(
         "p_partkey",
         facts["Chance"].cast("bigint").alias("chance"),
         facts["Duration"].cast("bigint").alias("duration"),
         facts["Tick"].cast("bigint").alias("tick"),
         facts["StatT"].alias("kind"),
     )
+    return no_gaps(found, "chance", "duration", "tick")
 
 
 @check("flat_perc", """
@@ -251,7 +254,7 @@ def field_names(spark, sf_dir):
 
 
 @check("field_procs", """
-  SELECT p_partkey, p_type AS "EquipSlot", p_name AS "EquipName", CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS BIGINT) WHEN p_partkey % 3 = 1 THEN 0 END AS "EquipLevel",
+  SELECT p_partkey, p_type AS "EquipSlot", p_name AS "EquipName", CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS BIGINT) WHEN p_partkey % 3 = 1 THEN 0 ELSE -1 END AS "EquipLevel",
          p_brand || ';x' AS "Category" FROM part""")
 def field_procs(spark, sf_dir):
     form = F.col("p_partkey") % 3
@@ -262,11 +265,11 @@ def field_procs(spark, sf_dir):
         F.when(form == 0, F.concat(F.lit("Level "), F.col("p_size").cast("string"))).when(form == 1, "None").otherwise("?").alias("EquipLevel"),
         F.concat("p_brand", F.lit(",x\n")).alias("Category"),
     )
-    return R.apply_processors(raw)
+    return no_gaps(R.apply_processors(raw), "EquipLevel")
 
 
 @check("inline_pct", """
-  SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS BIGINT) END AS pct FROM part""")
+  SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS BIGINT) ELSE -1 END AS pct FROM part""")
 def inline_pct(spark, sf_dir):
     n, form = F.col("p_size").cast("string"), F.col("p_partkey") % 3
     shown = (
@@ -274,7 +277,7 @@ def inline_pct(spark, sf_dir):
         .when(form == 1, F.concat(F.lit("Increase "), n, F.lit("%")))
         .otherwise(F.concat(F.lit("Gain "), n))
     )
-    return table(spark, sf_dir, "part").select("p_partkey", N.inline_percent(shown).cast("bigint").alias("pct"))
+    return no_gaps(table(spark, sf_dir, "part").select("p_partkey", N.inline_percent(shown).cast("bigint").alias("pct")), "pct")
 
 
 @check("heading_key", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN replace(p_name, ' ', '') ELSE p_type END AS key FROM part")

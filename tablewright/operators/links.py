@@ -6,8 +6,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.session import cut_lineage
+from tablewright.session import bucketed, cut_lineage
 
+# After so many rounds the pieces of a long search are written as one.
+_COMPACT_ROUNDS = 8
 ANCHOR = r"(?is)<a(\s[^>]*)>(.*?)</a>"
 OPENING = r"(?is)^<a(\s[^>]*)>"
 
@@ -191,27 +193,24 @@ def link_edges(pages: DataFrame, containing: str | None = None) -> DataFrame:
     ).distinct()
 
 
-def reach(seeds: DataFrame, edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def reach(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """Addresses reached from ``seeds(url)`` with the round each is first seen in.
 
     Same-kind expansion: each round follows the links of the addresses the last round added
-    and stops when a round adds none. Every round is written to shared storage, so a lost
-    executor costs the running round only. The join gives no pairs beyond the edges followed,
-    and a hot target is reduced on the map side before it is shuffled.
+    and the loop ends when a round adds none. The edges are shuffled once, into buckets by
+    source. Every round is written to shared storage, so a lost executor costs the running
+    round only; what the driver sees of a round is whether it is empty. The join follows each
+    edge once, and a hot target is reduced on the map side before it is shuffled.
     """
-    edges = cut_lineage(edges)
     newest = cut_lineage(seeds.select("url").distinct().withColumn("round", F.lit(0)))
     seen = newest
-    for step in range(1, max_rounds + 1):
-        reached = (
-            newest.join(edges, newest["url"] == edges["src"])
-            .select(F.col("dst").alias("url"))
-            .distinct()
-            .join(seen, "url", "left_anti")
-            .withColumn("round", F.lit(step))
-        )
-        newest = cut_lineage(reached)
-        if newest.isEmpty():
-            return seen
-        seen = seen.unionByName(newest)
-    raise RuntimeError(f"links still lead to new addresses after {max_rounds} rounds")
+    with bucketed(edges.select("src", "dst"), "src", "edges") as held:
+        step = 0
+        while not newest.isEmpty():
+            step += 1
+            reached = newest.join(held, newest["url"] == held["src"]).select(F.col("dst").alias("url")).distinct()
+            newest = cut_lineage(reached.join(seen, "url", "left_anti").withColumn("round", F.lit(step)))
+            seen = seen.unionByName(newest)
+            if step % _COMPACT_ROUNDS == 0:
+                seen = cut_lineage(seen)
+    return seen

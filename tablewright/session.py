@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,3 +74,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def bucketed(df: DataFrame, key: str, label: str) -> Iterator[DataFrame]:
+    """The rows as a bucketed table on shared storage, for joins on ``key`` in every round of a loop.
+
+    They are shuffled once, when written; joins on the key then read them where they are. The
+    table leaves the catalog at the end of the block, so results must not depend on it by then.
+    """
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tw_{label}_{uuid.uuid4().hex}"
+    df.repartition(count, key).write.bucketBy(count, key).sortBy(key).option("path", scratch(spark, label)).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -54,6 +54,24 @@ def test_reach_stops_on_a_cycle(spark):
     assert sorted(map(tuple, got.collect())) == [("a", 0), ("b", 1), ("c", 2), ("d", 3)]
 
 
+def test_reach_along_a_long_chain(spark):
+    edges = spark.range(20).select(F.col("id").cast("string").alias("src"), (F.col("id") + 1).cast("string").alias("dst"))
+    tables = len(spark.catalog.listTables())
+    got = L.reach(spark.createDataFrame([("0",)], "url string"), edges)
+    assert sorted((int(r.url), r.round) for r in got.collect()) == [(i, i) for i in range(21)]
+    assert len(spark.catalog.listTables()) == tables
+
+
+def test_followed_edges_are_not_shuffled_again(spark):
+    from tablewright.session import bucketed
+
+    edges = spark.range(100).select(F.col("id").cast("string").alias("src"), F.lit("x").alias("dst"))
+    with bucketed(edges, "src", "probe") as held:
+        joined = spark.range(9).select(F.col("id").cast("string").alias("url")).join(held.hint("merge"), F.col("url") == held["src"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and joined.count() == 9
+
+
 def test_frontier_of_one_hot_target(spark):
     pages = spark.range(300).select(
         F.col("id").alias("page_id"),
