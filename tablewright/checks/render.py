@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablewright.checks.registry import table
+from tablewright.sources.corpus import spread
 
 ROWS_PER_PAGE = 50
 
@@ -61,7 +62,7 @@ def part_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def single(rows: DataFrame, key: str, html: Column, folder: str = "item") -> DataFrame:
     """One page per row."""
-    return rows.select(
+    return spread(rows).select(
         F.col(key).cast("bigint").alias("page_id"),
         F.concat(F.lit(f"https://shop.example/{folder}/"), F.col(key).cast("string")).alias("url"),
         html.alias("html"),

@@ -112,6 +112,25 @@ def enclosing(blocks: Column, *carried: str) -> Column:
     return F.when(last["end_id"] >= F.col("node_id"), last)
 
 
+def outside_tables(nodes: DataFrame) -> DataFrame:
+    """Headings, notes and top-level tables: the few rows a walk over a page needs."""
+    return nodes.where(F.col("table_id").isNull())
+
+
+def block_rows(nodes: DataFrame, blocks: DataFrame, *carried: str) -> DataFrame:
+    """All rows of the tables in ``blocks``, with a struct ``block`` of the ``carried`` columns.
+
+    ``blocks`` are top-level table rows out of a walk. They are put next to the rows inside
+    them, and one window per table hands the struct on; rows of other tables are dropped.
+    """
+    columns = [c for c in nodes.columns if c != "text"]
+    marked = blocks.select(*columns, "text", F.struct("node_id", *carried).alias("block"))
+    others = nodes.where(F.col("top_id").isNotNull() & (F.col("node_id") != F.col("top_id"))).select(*columns, "text")
+    together = by_page(marked.unionByName(others, allowMissingColumns=True))
+    handed = F.max("block").over(Window.partitionBy("page_id", "top_id"))
+    return together.withColumn("block", handed).where(F.col("block").isNotNull())
+
+
 def heading_labels(nodes: DataFrame) -> DataFrame:
     """Adds ``label`` and ``headline`` to headings: id and text of their headline anchor.
 

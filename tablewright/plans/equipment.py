@@ -13,7 +13,7 @@ from tablewright.operators.links import resolve, slug_name
 from tablewright.operators.steps import run_steps
 from tablewright.rules import ACCESSORY_SLOTS, ARMOR_SLOTS, WEAPON_SETS, RulePack
 from tablewright.session import stage
-from tablewright.sources.markup import cells_of, nodes
+from tablewright.sources.markup import cells_of, nodes, stored_nodes
 
 # Classes of the tab boxes, and fields a record starts with.
 TABBER = "wds-tabber"
@@ -31,11 +31,11 @@ def list_rows(pages: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
 
     Tables inside the tab box are preferred; a page without a tab box gives its other tables.
     """
-    rows = Y.by_page(nodes(pages, ("div", "ul", "li", "table", "td", "th", "a", "img")))
+    read = stored_nodes(pages, ("div", "ul", "li", "table", "td", "th", "a"), "list-nodes")
+    rows = Y.by_page(Y.outside_tables(read))
     rows = rows.withColumn("tabbed", F.coalesce(Y.inside((F.col("tag") == "div") & Y.has_class(TABBER)), F.lit(False)))
     rows = rows.withColumn("titles", F.coalesce(Y.inside((F.col("tag") == "ul") & Y.has_class(TAB_TITLE)), F.lit(False)))
-    rows = stage(rows.drop("end_id", "parent_id", "pos"), "lists")
-    listed = (F.col("tag") == "table") & F.col("table_id").isNull() & Y.has_class("wikitable")
+    listed = (F.col("tag") == "table") & Y.has_class("wikitable")
     grids = Y.numbered(Y.fallback(rows.where(listed & F.col("tabbed")), rows.where(listed & ~F.col("tabbed"))))
     titles = Y.numbered(rows.where((F.col("tag") == "li") & F.col("titles"))).select("page_id", "pos", F.trim("text").alias("title"))
     untitled = grids.join(titles.select("page_id").distinct(), "page_id", "left_anti").select(
@@ -48,7 +48,7 @@ def list_rows(pages: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
     picture = Y.has_class("image") | F.coalesce(F.col("attrs")["href"], F.lit("")).contains("redlink")
     href = F.when((F.col("tag") == "a") & ~picture, F.col("attrs")["href"])
     per_row = (
-        rows.where((cell | (F.col("tag") == "a")) & (F.col("row_idx") > 0))
+        read.where((cell | (F.col("tag") == "a")) & (F.col("row_idx") > 0))
         .groupBy("page_id", "table_id", "row_idx")
         .agg(
             F.flatten(F.transform(F.sort_array(F.collect_list(F.when(cell, F.struct("col_idx", "lines")))), lambda c: c["lines"])).alias("raw"),

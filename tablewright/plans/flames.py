@@ -8,8 +8,7 @@ from tablewright.functions.numbers import OPEN_END, OPEN_START, first_number, le
 from tablewright.functions.records import stat_and_group
 from tablewright.operators import layout as Y
 from tablewright.operators.reshape import dedupe_ordered
-from tablewright.session import stage
-from tablewright.sources.markup import cells_of, nodes
+from tablewright.sources.markup import cells_of, stored_nodes
 
 # Section anchor, stats with tables per equipment type, and tier columns.
 ANCHOR = "Stats"
@@ -18,17 +17,16 @@ SPECIAL_STAT = "Special Bonus Stats"
 TIERS = [f"Tier {n}" for n in range(1, 8)]
 
 
-def _blocks(pages: DataFrame) -> DataFrame:
-    rows = Y.by_page(nodes(pages, ("h2", "h3", "h4", "span", "dl", "p", "table", "th", "td")))
-    named = Y.with_headings(Y.heading_labels(rows), ("h3", "h4", "dl", "p"), value="headline")
+def _blocks(rows: DataFrame) -> DataFrame:
+    named = Y.with_headings(Y.heading_labels(Y.by_page(Y.outside_tables(rows))), ("h3", "h4", "dl", "p"), value="headline")
     started = Y.seen_before((F.col("tag") == "h2") & (F.col("label") == ANCHOR))
     return named.withColumn("started", started)
 
 
 def flame_tables(pages: DataFrame) -> DataFrame:
-    rows = stage(_blocks(pages), "flames")
+    rows = stored_nodes(pages, ("h2", "h3", "h4", "span", "dl", "p", "table", "th", "td"), "flame-nodes")
     by_h3, by_h4 = stat_and_group(F.col("h3")), stat_and_group(F.col("h4"))
-    tables = rows.where((F.col("tag") == "table") & F.col("started") & F.col("h3").isNotNull()).select(
+    tables = _blocks(rows).where((F.col("tag") == "table") & F.col("started") & F.col("h3").isNotNull()).select(
         "page_id", "node_id", "dl", "p", by_h3.alias("top"), by_h4.alias("sub")
     )
     special = F.col("top")["Stat"] == SPECIAL_STAT
@@ -47,7 +45,7 @@ def flame_tables(pages: DataFrame) -> DataFrame:
         named, ["page_id", "Stat", "EquipGrp"], "node_id", F.col("EquipType") != "Normal", checked=["page_id", "TopStat", "TopGrp"]
     ).withColumnRenamed("node_id", "table_id")
 
-    cells = Y.with_header(cells_of(rows.where(F.col("tag").isin("td", "th"))))
+    cells = Y.with_header(Y.by_page(cells_of(rows)))
     cells = cells.withColumn("header", F.when(F.col("header").contains("level"), "level").otherwise(F.col("header")))
     wide = Y.record_columns(cells, {"level": "level", **{t: t for t in TIERS}})
     at_least = first_number(F.regexp_extract("p", r"at least level\s+(\d+)", 1))

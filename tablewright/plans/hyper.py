@@ -8,7 +8,7 @@ from tablewright.functions.numbers import parse_number
 from tablewright.functions.text import after_last, ascii_only, replace_each
 from tablewright.operators import layout as Y
 from tablewright.session import stage
-from tablewright.sources.markup import cells_of, nodes
+from tablewright.sources.markup import cells_of, stored_nodes
 
 # Section anchors and columns of the result tables.
 POINTS_ANCHOR = "Hyper_Stats_Points_Distribution"
@@ -25,26 +25,28 @@ def _numbers(df: DataFrame, whole: list[str], real: list[str] = []) -> DataFrame
 
 def hyper_tables(pages: DataFrame) -> dict[str, DataFrame]:
     heads = ("h1", "h2", "h3", "h4", "h5")
-    rows = Y.heading_labels(Y.by_page(nodes(pages, (*heads, "span", "div", "table", "th", "td"))))
-    rows = Y.with_headings(rows, ("h3",), value="headline")
+    read = stored_nodes(pages, (*heads, "span", "div", "table", "th", "td"), "hyper-nodes")
+    rows = Y.with_headings(Y.heading_labels(Y.by_page(Y.outside_tables(read))), ("h3",), value="headline")
     at = lambda anchor: F.col("tag").isin(*heads) & (F.col("label") == anchor)
     rows = rows.withColumns({"in_points": Y.seen_before(at(POINTS_ANCHOR)), "in_stats": Y.seen_before(at(STATS_ANCHOR))})
     first_div = (F.col("tag") == "div") & F.col("in_points")
     rows = rows.withColumn("div_no", Y.running_count(first_div)).withColumn(
         "points", Y.enclosing(first_div & (F.col("div_no") == 1))
     )
-    stat_table = (F.col("tag") == "table") & F.col("in_stats") & F.col("points").isNull()
-    rows = rows.withColumn("stat", Y.enclosing(stat_table, "h3"))
-    rows = stage(rows.where(F.col("points").isNotNull() | F.col("stat").isNotNull()), "hyper")
+    of_points = F.col("points").isNotNull()
+    blocks = rows.where((F.col("tag") == "table") & (of_points | F.col("in_stats"))).withColumn("of_points", of_points)
+    rows = stage(Y.block_rows(read, blocks, "of_points", "h3"), "hyper")
+    points_rows = rows.where(F.col("block")["of_points"])
+    stat_rows = rows.where(~F.col("block")["of_points"])
 
     canon = lambda df: df.withColumn("header", Y.canonical_header(F.col("header")))
-    points_cells = canon(Y.with_header(cells_of(rows.where(F.col("points").isNotNull()))))
+    points_cells = canon(Y.with_header(cells_of(points_rows)))
     points = Y.record_columns(points_cells, {c: c for c in POINTS_COLUMNS}).select(*POINTS_COLUMNS)
 
-    shown = replace_each(ascii_only(F.col("stat")["h3"]), ["%", "Weapon and Magic"])
+    shown = replace_each(ascii_only(F.col("block")["h3"]), ["%", "Weapon and Magic"])
     # A table without a heading before it lists costs.
-    name = F.when(F.col("stat")["h3"].isNotNull(), F.trim(replace_each(shown, ["Increase"])))
-    named = rows.where(F.col("stat").isNotNull()).withColumn("StatIncrease", name)
+    name = F.when(F.col("block")["h3"].isNotNull(), F.trim(replace_each(shown, ["Increase"])))
+    named = stat_rows.withColumn("StatIncrease", name)
     stat_cells = canon(Y.with_header(cells_of(named, keep=["StatIncrease"])))
     effects = Y.record_columns(stat_cells.where(F.col("StatIncrease").isNotNull()), {c: c for c in EFFECT_COLUMNS}, keep=["StatIncrease"])
     costs = Y.record_columns(stat_cells.where(F.col("StatIncrease").isNull()), {c: c for c in COST_COLUMNS})

@@ -10,7 +10,7 @@ from tablewright.functions.text import ascii_only, split_list, trim_set
 from tablewright.operators import layout as Y
 from tablewright.operators.reshape import dedupe_rows
 from tablewright.session import stage
-from tablewright.sources.markup import TEXT_TAGS, cells_of, nodes
+from tablewright.sources.markup import TEXT_TAGS, cells_of, stored_nodes
 
 # The class of the content boxes and the text that marks another region's rows.
 CONTENT_CLASS = "collapsible-content"
@@ -18,8 +18,8 @@ OTHER_REGION = ["GMS"]
 KEYS = ["Kind", "Slot", "Grade", "Prime", "DisplayStat"]
 
 
-def _walk(pages: DataFrame) -> DataFrame:
-    rows = Y.by_page(nodes(pages, (TEXT_TAGS - {"li", "ul", "script", "title"}) | {"div", "table"}))
+def _walk(rows: DataFrame) -> DataFrame:
+    rows = Y.by_page(Y.outside_tables(rows))
     rows = Y.with_headings(Y.heading_labels(rows), ("h2", "h3", "h4"), value="headline")
     graded = (F.col("tag") == "div") & F.col("h4").isNotNull()
     rows = rows.withColumn("graded", Y.enclosing(graded, "h2", "h3", "h4"))
@@ -35,7 +35,7 @@ def _walk(pages: DataFrame) -> DataFrame:
     low = F.lower("text")
     cubes = F.when(low.contains("cubes"), F.translate("text", ",", ";"))
     chance = F.when(~low.contains("cubes") & low.contains("chance"), trim_set(F.element_at(F.split(F.trim("text"), " "), -1), " +%\n"))
-    boxed = F.col("div").isNotNull() & ~F.col("child") & (F.col("tag") != "table") & F.col("table_id").isNull()
+    boxed = F.col("div").isNotNull() & ~F.col("child") & (F.col("tag") != "table")
     return rows.withColumns(
         {"CubeType": Y.last_so_far(F.when(boxed, cubes)), "BoxChance": Y.last_so_far(F.when(boxed, chance))}
     )
@@ -45,7 +45,7 @@ def _tables(rows: DataFrame) -> DataFrame:
     """One row per table: its block, kind and what the walk knows at that point."""
     boxed = F.col("div").isNotNull()
     pick = lambda c: F.when(boxed, F.col("div")[c]).otherwise(F.col(c))
-    tables = rows.where((F.col("tag") == "table") & F.col("table_id").isNull() & (boxed | F.col("child")))
+    tables = rows.where((F.col("tag") == "table") & (boxed | F.col("child")))
     return tables.select(
         "page_id",
         F.col("node_id").alias("table_id"),
@@ -85,7 +85,7 @@ def _field(h: Column) -> Column:
 
 def _table_fields(rows: DataFrame) -> DataFrame:
     """Cells zipped to headers: band and chance by name, the rest as a map of values in order."""
-    cells = Y.with_header(cells_of(rows.where(F.col("tag").isin("td", "th"))))
+    cells = Y.with_header(Y.by_page(cells_of(rows)))
     clean = Y.drop_noise_rows(cells, OTHER_REGION)
     low = F.lower("header")
     value = trim_set(F.split_part(F.replace("text", F.lit("seconds"), F.lit("")), F.lit("("), F.lit(1)), " +\n")
@@ -98,9 +98,9 @@ def _table_fields(rows: DataFrame) -> DataFrame:
 
 
 def potential_tables(pages: DataFrame) -> dict[str, DataFrame]:
-    rows = stage(_walk(pages), "potential")
+    rows = stored_nodes(pages, (TEXT_TAGS - {"li", "ul", "script", "title"}) | {"div", "table"}, "potential-nodes")
     fields = _table_fields(rows)
-    tables = _tables(rows)
+    tables = stage(_tables(_walk(rows)), "potential-tables")
     # What a block holds: its chance table releases the values found before it.
     block = ["page_id", "content_id", "block"]
     held = tables.groupBy(*block).agg(

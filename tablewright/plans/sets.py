@@ -11,7 +11,7 @@ from tablewright.functions.text import clean_lines
 from tablewright.operators import layout as Y, predicates as P, rename, reshape
 from tablewright.rules import IGNORED_SETS, TRACKED_SETS, RulePack
 from tablewright.session import stage
-from tablewright.sources.markup import cells_of, nodes
+from tablewright.sources.markup import cells_of, stored_nodes
 
 # Destination by header word, in test order.
 ROUTES = [("Set", "EquipSetEffectAt"), ("Cumulative", "EquipSetEffectCul")]
@@ -34,11 +34,10 @@ def set_effects(pages: DataFrame, known: Sequence[str], rules: RulePack = RulePa
     Each header is one destination. The threshold stands in the bold text of a row; the lines
     of the cell under a header are its effects. Rows without a threshold are skipped.
     """
-    rows = Y.by_page(nodes(pages, ("table", "th", "td", "b")))
-    grid = (F.col("tag") == "table") & Y.has_class("wikitable") & F.col("table_id").isNull()
-    rows = rows.withColumn("nth", Y.running_count(grid))
-    rows = rows.withColumn("grid", Y.enclosing(grid & (F.col("nth") == 1))).where(F.col("grid").isNotNull())
-    rows = stage(rows, "sets")
+    read = stored_nodes(pages, ("table", "th", "td", "b"), "set-nodes")
+    grid = (F.col("tag") == "table") & Y.has_class("wikitable")
+    grids = Y.by_page(Y.outside_tables(read)).withColumn("nth", Y.running_count(grid)).where(grid & (F.col("nth") == 1))
+    rows = stage(Y.block_rows(read, grids), "set-rows")
     marks = rows.groupBy("page_id", "table_id", "row_idx").agg(
         F.min_by(F.when(F.col("tag") == "b", F.col("text")), F.when(F.col("tag") == "b", F.col("node_id"))).alias("mark"),
         F.array_distinct(F.flatten(F.collect_list(F.when(F.col("tag") == "b", F.col("lines"))))).alias("bold"),

@@ -8,7 +8,7 @@ from tablewright.functions.numbers import OPEN_END, level_band, pair_maxima, par
 from tablewright.functions.records import section_key
 from tablewright.operators import layout as Y
 from tablewright.session import stage
-from tablewright.sources.markup import cells_of, nodes
+from tablewright.sources.markup import cells_of, stored_nodes
 
 # Section names, titles and columns of the result tables.
 FIRST_TITLE = "Normal_Equips"
@@ -25,14 +25,14 @@ SUPERIOR_COLUMNS = ["Visible DEF", "Visible Stats", "Visible ATT"]
 
 
 def _sectioned(pages: DataFrame) -> DataFrame:
-    rows = Y.by_page(nodes(pages, ("h3", "h4", "h5", "span", "table", "th", "td", "ul")))
+    read = stored_nodes(pages, ("h3", "h4", "h5", "span", "table", "th", "td", "ul"), "star-nodes")
     walked = Y.with_sections(
-        Y.heading_labels(rows), ignored=IGNORED_SECTIONS, stop_text="Total_Stats", stop_title=LAST_TITLE, drop=False
+        Y.heading_labels(Y.by_page(Y.outside_tables(read))), ignored=IGNORED_SECTIONS, stop_text="Total_Stats", stop_title=LAST_TITLE
     )
     title = F.when(F.col("title") == FIRST_ANCHOR, FIRST_TITLE).otherwise(F.col("title"))
     walked = walked.withColumns({"title": title, "section": section_key(F.col("section"))})
-    blocks = (F.col("tag") == "table") & F.col("title").isNotNull() & F.col("section").isNotNull() & ~F.col("skipped")
-    return walked.withColumn("block", Y.enclosing(blocks, "title", "section")).where(F.col("block").isNotNull())
+    blocks = walked.where((F.col("tag") == "table") & F.col("title").isNotNull() & F.col("section").isNotNull())
+    return Y.block_rows(read, blocks, "title", "section")
 
 
 def _section_cells(rows: DataFrame, section: str) -> DataFrame:

@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
+from tablewright.session import stage
+
 # The parse pass travels to the executors with its task: they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NODE_SCHEMA = (
     "page_id bigint, node_id int, end_id int, parent_id int, pos int, tag string, "
-    "attrs map<string,string>, lines array<string>, table_id int, row_idx int, col_idx int"
+    "attrs map<string,string>, lines array<string>, table_id int, row_idx int, col_idx int, top_id int"
 )
 _ARROW = pa.schema(
     [
@@ -36,6 +38,7 @@ _ARROW = pa.schema(
         ("table_id", pa.int32()),
         ("row_idx", pa.int32()),
         ("col_idx", pa.int32()),
+        ("top_id", pa.int32()),
     ]
 )
 _FLUSH_ROWS = 20_000
@@ -80,11 +83,11 @@ TEXT_TAGS = frozenset(
 class _Open:
     """One open element while a page is read."""
 
-    __slots__ = ("tag", "node_id", "at", "children", "sinks", "table", "tr", "td")
+    __slots__ = ("tag", "node_id", "at", "children", "sinks", "table", "tr", "td", "top")
 
-    def __init__(self, tag, node_id, at, sinks, table, tr, td):
+    def __init__(self, tag, node_id, at, sinks, table, tr, td, top):
         self.tag, self.node_id, self.at, self.sinks = tag, node_id, at, sinks
-        self.table, self.tr, self.td = table, tr, td
+        self.table, self.tr, self.td, self.top = table, tr, td, top
         self.children = 0
 
 
@@ -128,10 +131,11 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
     """Append the nodes of one page, those of the ``wanted`` tags only.
 
     ``node_id`` counts elements in document order and ``end_id`` is the id of the last element
-    inside, so "x is inside y" reads ``y.node_id < x.node_id <= y.end_id``.
+    inside, so "x is inside y" reads ``y.node_id < x.node_id <= y.end_id``. ``table_id`` is the
+    innermost table around a node and ``top_id`` the outermost, a table counting as its own.
     """
-    page_ids, node_ids, end_ids, parents, places, tags, attributes, texts, tables, table_rows, table_cols = out.values
-    root = _Open("#root", 0, -1, (), None, None, None)
+    page_ids, node_ids, end_ids, parents, places, tags, attributes, texts, tables, table_rows, table_cols, tops = out.values
+    root = _Open("#root", 0, -1, (), None, None, None, None)
     stack = [root]
     counter = 0
 
@@ -188,13 +192,15 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
         parent = stack[-1]
         parent.children += 1
         counter += 1
-        table, tr, td = parent.table, parent.tr, parent.td
+        table, tr, td, outermost = parent.table, parent.tr, parent.td, parent.top
         if tag == "tr" and table:
             table[1] += 1
             tr, td = [table[1], -1], None
         elif (tag == "td" or tag == "th") and tr:
             tr[1] += 1
             td = tr[1]
+        if outermost is None and tag == "table":
+            outermost = counter
         place, sinks = -1, parent.sinks
         if wanted is None or tag in wanted:
             place = len(node_ids)
@@ -210,6 +216,7 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
             tables.append(table[0] if table else None)
             table_rows.append(tr[0] if tr else None)
             table_cols.append(td)
+            tops.append(outermost)
             if lines is not None:
                 sinks = (*sinks, lines)
         if raw is not None:
@@ -219,9 +226,9 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
         if tag in _VOID:
             continue
         if tag == "table":  # text of an inner table stays out of the outer cell
-            stack.append(_Open(tag, counter, place, (), [counter, -1], None, None))
+            stack.append(_Open(tag, counter, place, (), [counter, -1], None, None, outermost))
         else:
-            stack.append(_Open(tag, counter, place, sinks, table, tr, td))
+            stack.append(_Open(tag, counter, place, sinks, table, tr, td, outermost))
     close_to(1)
 
 
@@ -241,9 +248,16 @@ def nodes(pages: DataFrame, tags: Iterable[str] | None = None) -> DataFrame:
         if len(pending):
             yield pending.batch()
 
-    return pages.select(F.col("page_id").cast("bigint"), "html").mapInArrow(parse, NODE_SCHEMA).withColumn(
-        "text", F.array_join("lines", "")
-    )
+    return _with_text(pages.select(F.col("page_id").cast("bigint"), "html").mapInArrow(parse, NODE_SCHEMA))
+
+
+def _with_text(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("text", F.array_join("lines", ""))
+
+
+def stored_nodes(pages: DataFrame, tags: Iterable[str], label: str) -> DataFrame:
+    """Node rows written to shared storage, for jobs that read them more than once."""
+    return _with_text(stage(nodes(pages, tags).drop("text"), label))
 
 
 def cells_of(node_rows: DataFrame, keep: Iterable[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from tablewright.sources.markup import Columns, read_page
 def rows(source, wanted=None):
     out = Columns()
     read_page(1, source, out, wanted)
-    names = ["page", "id", "end", "parent", "pos", "tag", "attrs", "lines", "table", "row", "col"]
+    names = ["page", "id", "end", "parent", "pos", "tag", "attrs", "lines", "table", "row", "col", "top"]
     return [dict(zip(names, r)) for r in out.rows()]
 
 
@@ -28,6 +28,7 @@ def test_inner_table_stays_out_of_the_outer_cell():
     outer, inner = of(found, "table")
     assert (inner["table"], inner["row"], inner["col"]) == (outer["id"], 0, 0)
     assert [c["table"] for c in cells] == [outer["id"], inner["id"], outer["id"]]
+    assert {r["top"] for r in found} == {outer["id"]}
 
 
 def test_paragraph_closes_over_open_bold():
