@@ -313,6 +313,39 @@ def equipment_counts(spark, sf_dir):
     return equipment.record_counts(equipment_corpus(spark, sf_dir)[0])
 
 
+@check("slot_index", """
+  SELECT CASE p_partkey % 3 WHEN 0 THEN 'Pocket' WHEN 1 THEN p_type ELSE 'Heart' END AS "EquipSlot", 'https://shop.example/wiki/' || p_partkey AS link
+  FROM part WHERE p_partkey % 5 <> 0""")
+def slot_index(spark, sf_dir):
+    title = F.when(key() % 5 == 0, "Totem").when(key() % 3 == 0, "Pocket Item").when(key() % 3 == 1, F.col("p_type")).otherwise("Android Heart")
+    html = F.concat(F.lit("<table><tr><td><a title='"), title, F.lit("' href='/wiki/"), n("p_partkey"), F.lit("'>x</a><a href='/no'>untitled</a></td></tr></table>"))
+    return equipment.slot_index(extract(single(table(spark, sf_dir, "part"), "p_partkey", html)))
+
+
+@check("type_index", """
+  SELECT CASE WHEN f = 0 THEN 'Gun' WHEN f = 1 THEN 'Whistle' ELSE p_name || p_partkey END AS "WeaponType", hand, CAST(count(*) AS BIGINT) AS n
+  FROM (SELECT *, p_partkey % 5 AS f, unnest(['first', 'second']) AS hand FROM part)
+  WHERE NOT (f = 0 AND hand = 'first') AND NOT (f = 1 AND hand = 'second') GROUP BY 1, 2""")
+def type_index(spark, sf_dir):
+    name = F.when(key() % 5 == 0, "Gun").when(key() % 5 == 1, "Whistle_(old)").otherwise(F.concat(F.translate("p_name", " ", "_"), n("p_partkey")))
+    html = F.concat(F.lit("<a href='/wiki/"), name, F.lit("'>x</a><a href='plain'>y</a>"))
+    found = extract(single(table(spark, sf_dir, "part"), "p_partkey", html))
+    first, second = equipment.type_index(found), equipment.type_index(found, second=True)
+    both = first.withColumn("hand", F.lit("first")).unionByName(second.withColumn("hand", F.lit("second")))
+    return both.groupBy("WeaponType", "hand").agg(F.count("*").alias("n"))
+
+
+@check("slot_corpus", """
+  SELECT 'https://shop.example/order/' || o_orderkey AS url, o_orderpriority AS slot FROM orders
+  UNION ALL SELECT 'https://shop.example/customer/' || c_custkey, min(o_orderpriority) FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""")
+def slot_corpus(spark, sf_dir):
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    linked = F.concat(F.lit("<a title='"), F.col("o_orderpriority"), F.lit("/more' href='/customer/"), n("o_custkey"), F.lit("#list'>x</a><a title='Other/x' href='/order/0'>y</a>"))
+    pages = single(orders, "o_orderkey", linked, "order").unionByName(single(customers, "c_custkey", F.lit("<p>end</p>"), "customer"))
+    index = orders.select(F.col("o_orderpriority").alias("EquipSlot"), F.concat(F.lit("https://shop.example/order/"), n("o_orderkey")).alias("link"))
+    return equipment.slot_corpus(index, pages).select("url", "slot")
+
+
 @check("weapon_links", """
   SELECT p_partkey AS page_id, CASE WHEN p_partkey % 3 = 0 THEN 'Fafnir ' || p_name ELSE 'Genesis ' || p_type END AS "EquipName",
          CASE WHEN p_partkey % 3 = 0 THEN 'Fafnir' ELSE 'Genesis' END AS "EquipSet" FROM part WHERE p_partkey % 3 < 2""")

@@ -34,8 +34,10 @@ def cents(c: str) -> Column:
 
 def chunked(rows: DataFrame, key: str, body: Column, before: str | Column, after: str | Column, size: int = ROWS_PER_PAGE) -> DataFrame:
     """Pages of at most ``size`` rows: a page is a range of a unique key, so no group grows."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pages = (
         rows.select(F.floor(F.col(key) / size).cast("bigint").alias("page_id"), F.col(key).alias("k"), body.alias("b"))
+        .repartition(tasks, "page_id")
         .groupBy("page_id")
         .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "b"))), lambda x: x["b"]), "").alias("body"))
     )

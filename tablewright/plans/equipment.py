@@ -9,18 +9,54 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewright.functions.records import level_text
 from tablewright.functions.text import clean_lines
 from tablewright.operators import details, layout as Y, predicates as P, rename, reshape
-from tablewright.operators.links import resolve, slug_name
+from tablewright.operators.links import canonical, extract, reach, resolve, slug, slug_name
 from tablewright.operators.steps import run_steps
 from tablewright.rules import ACCESSORY_SLOTS, ARMOR_SLOTS, WEAPON_SETS, RulePack
 from tablewright.session import stage
 from tablewright.sources.markup import cells_of, nodes, stored_nodes
 
-# Classes of the tab boxes, and fields a record starts with.
+# A slot that is not used, classes of the tab boxes, and fields a record starts with.
+UNUSED_SLOT = "Totem"
 TABBER = "wds-tabber"
 TAB_TITLE = "wds-tabs"
 LIST_FIELDS = ["EquipSlot", "EquipName", "EquipLevel", "Category", "Destination"]
 
 
+def slot_index(links: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
+    """Slots named by the links of an index page: ``(EquipSlot, link)``."""
+    named = links.where(F.col("title").isNotNull() & (F.col("title") != UNUSED_SLOT)).select(
+        F.col("title").alias("EquipSlot"), resolve(F.col("url"), F.col("href")).alias("link")
+    )
+    return rename.lookup_variant(named, "EquipSlot", rules.slot_names, normalise=True)
+
+
+def type_index(links: DataFrame, rules: RulePack = RulePack(), second: bool = False) -> DataFrame:
+    """Weapon types named by the links of an index page, without those of excluded classes."""
+    name = F.rtrim(F.split_part(F.regexp_replace(slug(F.col("href")), "_|-", " "), F.lit("("), F.lit(1)))
+    gone = [kinds[1 if second else 0] for kinds in rules.excluded_classes.values()]
+    found = links.where(F.col("href").contains("/")).select(name.alias("WeaponType"), resolve(F.col("url"), F.col("href")).alias("link"))
+    return P.exclude(found, F.lower("WeaponType"), gone)
+
+
+def slot_corpus(index: DataFrame, pages: DataFrame) -> DataFrame:
+    """Pages that list the equipment of the slots in ``index(EquipSlot, link)``, with ``slot``.
+
+    A list page may link to further pages of its slot, by titles that start with the slot and
+    a slash; these are followed until no new one turns up. A page that two slots reach goes
+    to the first by name.
+    """
+    at = lambda slot, url: F.concat(slot, F.lit("|"), canonical(url))
+    links = extract(pages).where(F.col("title").contains("/"))
+    slot = F.split_part("title", F.lit("/"), F.lit(1))
+    edges = links.select(at(slot, F.col("url")).alias("src"), at(slot, resolve(F.col("url"), F.col("href"))).alias("dst")).distinct()
+    reached = reach(index.select(at(F.col("EquipSlot"), F.col("link")).alias("url")), edges)
+    # Slots hold no bar; an address may.
+    owner = reached.select(
+        F.regexp_extract("url", r"^([^|]*)\|", 1).alias("slot"), F.regexp_extract("url", r"^[^|]*\|(.*)$", 1).alias("_at")
+    ).groupBy("_at").agg(F.min("slot").alias("slot"))
+    return pages.join(owner, canonical(F.col("url")) == owner["_at"]).drop("_at")
+
+
 def slot_pages(pages: DataFrame, slot: Column) -> DataFrame:
     """Pages that list the equipment of one slot; pages of no slot are never parsed."""
     return pages.withColumn("slot", slot).where(F.col("slot").isNotNull())
