@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +15,13 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even where that costs a further shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Parsing is CPU work: 64 MB of stored pages is well under a minute for one task.
+    "spark.sql.files.maxPartitionBytes": "64m",
+    # Addresses seen by a stream are kept outside the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # One page is one row and may be large: keep the batches handed to Python small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
@@ -36,6 +43,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tablewright-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
@@ -47,9 +59,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tablewright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir()
 
 
 def scratch(spark: SparkSession, label: str) -> str:
