@@ -10,8 +10,11 @@ from tablewright.session import bucketed, cut_lineage
 
 # After so many rounds the pieces of a long search are written as one.
 _COMPACT_ROUNDS = 8
-ANCHOR = r"(?is)<a(\s[^>]*)>(.*?)</a>"
-OPENING = r"(?is)^<a(\s[^>]*)>"
+# An anchor starts at ``<a`` and ends at ``</a``, at the next anchor, or, never closed, at the next tag.
+ANCHOR_START = r"(?i)<a(?=\s)"
+ANCHOR = r"(?is)^(.*?(?=</a)|[^>]*>[^<]*)"
+OPENING = r"(?s)^(\s[^>]*)>"
+BODY = r"(?s)^[^>]*>(.*)$"
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -30,15 +33,16 @@ def unescape(c: Column) -> Column:
 def extract(pages: DataFrame, region: str | None = None) -> DataFrame:
     """One row per anchor: ``page_id, url, pos, href, title, text, attrs, body``.
 
-    Stays in the JVM: one pattern finds the anchors, small patterns take them apart. ``region``
-    is a pattern whose first group is the part of the page to look at.
+    Stays in the JVM and reads each page once, closed anchors or not: the page is split where
+    anchors start, and small patterns take the pieces apart. ``region`` is a pattern whose first
+    group is the part of the page to look at.
     """
     area = F.col("html") if region is None else F.regexp_extract("html", region, 1)
-    found = pages.select(
-        "page_id", "url", F.posexplode(F.regexp_extract_all(area, F.lit(ANCHOR), F.lit(0))).alias("pos", "anchor")
-    )
+    pieces = F.split(area, ANCHOR_START)
+    anchors = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda p: F.regexp_extract(p, ANCHOR, 1))
+    found = pages.where(F.col("html").isNotNull()).select("page_id", "url", F.posexplode(anchors).alias("pos", "anchor"))
     attrs = F.regexp_extract("anchor", OPENING, 1)
-    body = F.regexp_extract("anchor", ANCHOR, 2)
+    body = F.regexp_extract("anchor", BODY, 1)
     return found.select(
         "page_id",
         "url",

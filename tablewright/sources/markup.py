@@ -42,13 +42,18 @@ _ARROW = pa.schema(
     ]
 )
 _FLUSH_ROWS = 20_000
+# Elements nested deeper are read as siblings, as browsers do; it bounds the work on unclosed tags.
+_MAX_DEPTH = 512
 
 # One token of markup. Script and style come with their whole text, as nothing in it is markup.
+# Quotes count after an equals sign only, so a stray one does not swallow the page; no part can
+# run past the next "<" outside quotes, so broken pages still take one pass.
+_ATTRIBUTES = r"((?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)"
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(script|style)\b((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>(.*?)(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][\w:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>",
+    r"|<[!?][^<>]*>"
+    r"|<(script|style)\b" + _ATTRIBUTES + r">(.*?)(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-z][\w:-]*)" + _ATTRIBUTES + r">",
     re.S | re.I,
 )
 _ATTR = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -189,6 +194,8 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
         elif tag in _HEADS and stack[-1].tag in _HEADS:
             close_to(len(stack) - 1)
 
+        if len(stack) > _MAX_DEPTH:
+            close_to(_MAX_DEPTH)
         parent = stack[-1]
         parent.children += 1
         counter += 1

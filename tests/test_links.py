@@ -48,6 +48,18 @@ def test_link_predicates(spark):
     assert [r.href for r in kept] == ["/wiki/A", "/wiki/G&H"]
 
 
+def test_unclosed_anchors(spark):
+    html = "<p><a href=/a>one<b>x</b> <A HREF='/b'>two</A> rest <a href=/c>three<p>more <a name=n>no</a> <abbr>z</abbr><a\nhref=\"/d\"><i>four</i></a><a href='/e"
+    pages = spark.createDataFrame([(1, "https://h.example/p", html), (2, "https://h.example/q", None), (3, "https://h.example/r", "")], "page_id long, url string, html string")
+    assert [(r.href, r.text) for r in L.extract(pages).orderBy("pos").collect()] == [("/a", "one"), ("/b", "two"), ("/c", "three"), ("/d", "four")]
+
+
+def test_many_unclosed_anchors_cost_one_pass(spark):
+    n = 20_000
+    pages = spark.createDataFrame([(1, "https://h.example/p", "<a href='/x'>" + "<a href='/y'>t" * n)], "page_id long, url string, html string")
+    assert L.extract(pages).count() == n + 1
+
+
 def test_reach_stops_on_a_cycle(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y")], "src string, dst string")
     got = L.reach(spark.createDataFrame([("a",)], "url string"), edges)

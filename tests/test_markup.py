@@ -1,5 +1,8 @@
 """The parse pass on nested, unclosed and odd markup."""
 
+import time
+
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from tablewright.sources.markup import Columns, read_page
@@ -48,6 +51,19 @@ def test_comment_doctype_and_quoted_brackets():
     assert [(r["tag"], r["attrs"]) for r in found] == [("a", [("href", "x>y"), ("title", "T"), ("class", "plain")])]
 
 
+def test_stray_quotes_and_unfinished_tags():
+    found = rows("<p class='it's'>a</p><td>b <c <i title=\"x>y\" alt=\"open>z</i><p>d")
+    assert [(r["tag"], r["lines"]) for r in found if r["tag"] == "p"] == [("p", ["a"]), ("p", ["d"])]
+    assert of(found, "i")[0]["attrs"][0] == ("title", "x>y")
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a b='", "<!", "<!-- ", "<script>", "<a \"", "<td>", "<p><b>", "</x>", "<a href=\"<", "&lt"])
+def test_broken_pages_take_one_pass(piece):
+    began = time.perf_counter()
+    rows(piece * 20_000)
+    assert time.perf_counter() - began < 8
+
+
 def test_lists_and_definition_lists():
     found = rows("<ul><li>a<li>b<ul><li>c</ul></ul><dl><dt>d<dd>e<dt>f</dl>")
     assert [r["parent"] for r in of(found, "li")] == [1, 1, of(found, "ul")[1]["id"]]
@@ -59,6 +75,13 @@ def test_wanted_tags_keep_their_ids():
     assert rows(source, frozenset(("td",))) == of(rows(source), "td")
 
 
+def test_deep_nesting_is_bounded():
+    began = time.perf_counter()
+    found = rows("<b>" * 20_000 + "x" + "</i>" * 20_000 + "<table><tr><td>y")
+    assert len(found) == 20_003 and time.perf_counter() - began < 8
+    assert rows("<div>" * 600 + "<p>x</p>")[-1]["lines"] == ["x"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/\"'= abtdrph1&;!-", max_size=60))
 def test_any_text_can_be_read(source):
