@@ -398,3 +398,20 @@ def tracked_sets(spark, sf_dir):
     pages = single(parts, "p_partkey", F.concat(F.lit("<table class='wikitable'><tr><td><a href='/wiki/"), F.regexp_replace(slug, "#", "~"), F.lit("'>x</a></td></tr></table>")))
     links = extract(pages).join(parts.select(F.col("p_partkey").alias("page_id"), F.translate("p_brand", "#", "~").alias("ClassType")), "page_id")
     return sets.tracked_sets(links).select("page_id", "EquipSet")
+
+
+@check("set_index", """
+  SELECT p_partkey AS page_id, unnest(['Any', p_type]) AS "ClassType", unnest(['Root Abyss', 'Eternal']) AS "EquipSet",
+         unnest(['https://shop.example/wiki/Root_Abyss_Set', 'https://shop.example/wiki/Eternal_Set_' || p_type || '_(x)']) AS link FROM part""")
+def set_index(spark, sf_dir):
+    grid = lambda *links: el("div", el("table", *[el("tr", el("td", x)) for x in links], attrs="class='wikitable'"), attrs="class='wds-tab__content'")
+    a = lambda href, inner="x": F.concat(F.lit("<a href='/wiki/"), href, F.lit(f"'>{inner}</a>"))
+    tabs = F.concat(F.lit("<ul><li class='wds-tabs__tab'>Common</li><li class='wds-tabs__tab'>"), F.col("p_type"), F.lit("</li></ul>"))
+    html = F.concat(
+        F.lit("<div><div class='tabber wds-tabber'><ul><li class='wds-tabs__tab'>Early</li></ul>"), grid(a(F.lit("Mystic_Set"))), F.lit("</div>"),
+        head("h2", "Equipment_Set"), F.lit("<div class='tabber wds-tabber'>"), tabs,
+        grid(a(F.lit("Root_Abyss_Set"), "<img src='i'>"), a(F.lit("Root_Abyss_Set")), a(F.lit("Plain_Set"))),
+        grid(a(F.concat(F.lit("Eternal_Set_"), F.col("p_type"), F.lit("_(x)"))), a(F.lit("Eternal_Hero_Set"))),
+        F.lit("</div><div class='tabber wds-tabber'>"), grid(a(F.lit("Mystic_Set"))), F.lit("</div></div>"),
+    )
+    return sets.set_index(single(table(spark, sf_dir, "part"), "p_partkey", html))

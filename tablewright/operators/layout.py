@@ -54,6 +54,13 @@ def after_colon(c: Column) -> Column:
     return F.split_part(c, F.lit(":"), F.lit(-1))
 
 
+def holds(mark: Column) -> Column:
+    """True for nodes with a marked node inside them: the nearest one ahead lies within."""
+    backwards = Window.partitionBy("page_id").orderBy(F.desc("node_id")).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.last(F.when(mark, F.col("node_id")), ignorenulls=True).over(backwards)
+    return F.coalesce(ahead <= F.col("end_id"), F.lit(False))
+
+
 def has_class(name: str) -> Column:
     return F.coalesce(F.col("attrs")["class"], F.lit("")).contains(name)
 

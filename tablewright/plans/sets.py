@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewright.functions.records import key_value
 from tablewright.functions.text import clean_lines
 from tablewright.operators import layout as Y, predicates as P, rename, reshape
+from tablewright.operators.links import resolve
 from tablewright.rules import IGNORED_SETS, TRACKED_SETS, RulePack
 from tablewright.session import stage
 from tablewright.sources.markup import cells_of, stored_nodes
 
-# Destination by header word, in test order.
+# Anchor of the set section, and destination by header word, in test order.
+SECTION = "Equipment_Set"
 ROUTES = [("Set", "EquipSetEffectAt"), ("Cumulative", "EquipSetEffectCul")]
 
 
@@ -21,6 +23,28 @@ def class_of_tab(title: Column) -> Column:
     return F.when(title == "Common", F.lit("Any")).otherwise(title)
 
 
+def set_index(pages: DataFrame) -> DataFrame:
+    """Tracked sets named by index pages: ``(page_id, ClassType, EquipSet, link)``.
+
+    The first tab box after the section heading has one tab per class; the i-th table belongs
+    to the i-th tab. Links that hold a picture are not names.
+    """
+    read = stored_nodes(pages, ("h2", "span", "div", "li", "table", "a", "img"), "set-lists")
+    rows = Y.heading_labels(Y.by_page(Y.outside_tables(read)))
+    rows = rows.withColumn("after", Y.seen_before((F.col("tag") == "h2") & (F.col("label") == SECTION)))
+    box = (F.col("tag") == "div") & Y.has_class("tabber") & F.col("after")
+    rows = rows.withColumn("nth", Y.running_count(box)).withColumn("box", Y.enclosing(box & (F.col("nth") == 1))).where(F.col("box").isNotNull())
+    titles = Y.numbered(rows.where((F.col("tag") == "li") & Y.has_class("wds-tabs__tab"))).select("page_id", "pos", F.trim("text").alias("title"))
+    grids = Y.numbered(rows.where((F.col("tag") == "table") & Y.has_class("wikitable"))).select("page_id", "pos", "top_id")
+    owned = titles.join(grids, ["page_id", "pos"]).select("page_id", "top_id", class_of_tab(F.col("title")).alias("ClassType"))
+    named = Y.by_page(read.where(F.col("top_id").isNotNull() & F.col("tag").isin("a", "img"))).withColumn("pictured", Y.holds(F.col("tag") == "img"))
+    links = named.where((F.col("tag") == "a") & ~F.col("pictured") & F.col("attrs")["href"].isNotNull()).select(
+        "page_id", "top_id", F.col("attrs")["href"].alias("href")
+    )
+    found = links.join(owned, ["page_id", "top_id"]).join(pages.select("page_id", "url"), "page_id")
+    return tracked_sets(found).select("page_id", "ClassType", "EquipSet", resolve(F.col("url"), F.col("href")).alias("link"))
+
+
 def tracked_sets(links: DataFrame, class_type: str = "ClassType") -> DataFrame:
     """Links of tracked sets with the set's name: separators, the word "Set" and the class removed."""
     plain = F.replace(F.regexp_replace(F.element_at(F.split("href", "/"), -1), r"%|_|-|#|27s", " "), F.lit("Set"), F.lit(""))
