@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,23 +41,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="tablewright-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where all tasks
-    run on this machine, may fall back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a folder beside the
+    session's own tables is used: Spark keeps those in storage that all executors share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir()
+    return named or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_shared")
 
 
 def scratch(spark: SparkSession, label: str) -> str:
