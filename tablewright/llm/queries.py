@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dedup_exact, mixing, sharding, topk
+from tablewright.llm import dedup_exact, mixing, quality, sharding, topk, toxicity
 from tablewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,13 @@ def exact(spark, sf_dir):
 )
 def search(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("op5_toxicity")
+def toxic(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_quality")
+def good(spark, sf_dir):
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
