@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dedup_exact, mixing, quality, sharding, topk, toxicity
+from tablewright.llm import dedup_exact, language, mixing, quality, sharding, topk, toxicity
 from tablewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,8 @@ def toxic(spark, sf_dir):
 @query("op10_quality")
 def good(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_language")
+def lang(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
