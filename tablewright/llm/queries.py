@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dedup_exact, language, mixing, quality, sharding, topk, toxicity
+from tablewright.llm import dedup_exact, language, mixing, quality, sentencepieces, sharding, topk, toxicity
 from tablewright.llm.common import table
 
+#: A public tokenizer's vocabulary; a parameter of the operator.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +96,8 @@ def good(spark, sf_dir):
 @query("op2_language")
 def lang(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op6_sentencepiece")
+def pieces(spark, sf_dir):
+    return sentencepieces.token_rows(table(spark, sf_dir, "documents"), PIECES)
