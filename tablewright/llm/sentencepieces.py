@@ -234,7 +234,7 @@ def encode_texts(docs: DataFrame, model_path: str, column: str = "text") -> Data
     key = hash((model_path, len(vocabulary.pieces)))
     docs = docs.drop("n_tokens", "ids", "round_trip")
     place = docs.columns.index(column)
-    more = T.StructType().add("n_tokens", "int").add("ids", "array<int>").add("round_trip", "boolean")
+    more = T.StructType().add("n_tokens", T.IntegerType()).add("ids", T.ArrayType(T.IntegerType())).add("round_trip", T.BooleanType())
     schema = T.StructType([*docs.schema.fields, *more.fields])
 
     def encoded(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
