@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dedup_exact, language, mixing, quality, sentencepieces, sharding, topk, toxicity
+from tablewright.llm import dedup_exact, language, minhash, mixing, quality, sentencepieces, sharding, topk, toxicity
 from tablewright.llm.common import table
 
 #: A public tokenizer's vocabulary; a parameter of the operator.
@@ -101,3 +101,8 @@ def lang(spark, sf_dir):
 @query("op6_sentencepiece")
 def pieces(spark, sf_dir):
     return sentencepieces.token_rows(table(spark, sf_dir, "documents"), PIECES)
+
+
+@query("op1_near_groups")
+def near(spark, sf_dir):
+    return minhash.near_groups(table(spark, sf_dir, "documents"), words=2, percent=80)
