@@ -13,6 +13,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.llm.common import held_out
 
@@ -164,17 +165,27 @@ class Logistic:
         return 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
 
 
-def scored(docs: DataFrame, score: Callable[[], Callable[[list[bytes]], np.ndarray]], threshold: float) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row. ``score()`` makes a scorer in the task."""
+def scored(docs: DataFrame, score: Callable[[], Callable[[list[bytes]], np.ndarray]], name: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the score of its text, which takes the place of a column of that name.
+
+    ``score()`` makes a scorer where the tasks run.
+    """
+    docs = docs.drop(name)
+    place = docs.columns.index("text")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = score()
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch.column(2).to_pylist()]
+            texts = [t.encode() if t else b"" for t in batch.column(place).to_pylist()]
             values = of(texts) if texts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(values, pa.float64()), pa.array((values >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, schema)
+
 
+def judged(docs: DataFrame, score: Callable[[], Callable[[list[bytes]], np.ndarray]], threshold: float) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row."""
     doc_id: Column = F.col("doc_id").cast("long")
-    return docs.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    found = scored(docs.select(doc_id.alias("doc_id"), "text"), score)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

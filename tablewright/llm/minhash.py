@@ -271,6 +271,12 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     )
 
 
+def without_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay of their group of near-duplicates, with all their columns."""
+    kept = near_groups(docs, words, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+
+
 def further_pairs(left: DataFrame, roots: DataFrame, tested: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The next pivots of buckets that hold several components: the rest of the buckets, and new pairs.
 

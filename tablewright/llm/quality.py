@@ -13,7 +13,7 @@ import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 
-from tablewright.llm.compression import Logistic, compressor, sample, scored, sizes, windows
+from tablewright.llm.compression import Logistic, compressor, judged, sample, sizes, windows
 
 WIDTH, DICTIONARY = 1000, 8192
 #: What is learned from: texts of each label, and characters of a text.
@@ -78,4 +78,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, pe
     columns are not read.
     """
     model = train(docs, labels, per_class)
-    return scored(docs, model.scorer, threshold)
+    return judged(docs, model.scorer, threshold)

@@ -14,8 +14,9 @@ from dataclasses import dataclass
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tablewright.llm.compression import Logistic, compressor, sample, scored, sizes, telling_segments, windows
+from tablewright.llm.compression import Logistic, compressor, judged, sample, scored, sizes, telling_segments, windows
 
 WIDTH, BODY = 48, 8192
 #: What is learned from: texts of each label, characters of a text, and bytes of a text for the dictionaries.
@@ -93,4 +94,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, p
     Empty tables give no rows; other columns are not read.
     """
     model = train(docs, labels, per_class)
-    return scored(docs, model.scorer, threshold)
+    return judged(docs, model.scorer, threshold)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class: int = PER_CLASS) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
+    model = train(docs, labels, per_class)
+    return scored(docs, model.scorer, "_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
