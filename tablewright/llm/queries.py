@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dedup_exact, language, minhash, mixing, quality, sentencepieces, sharding, topk, toxicity
+from tablewright.llm import dedup_exact, dedup_substrings, language, minhash, mixing, quality, sentencepieces, sharding, topk, toxicity
 from tablewright.llm.common import table
 
 #: A public tokenizer's vocabulary; a parameter of the operator.
@@ -106,3 +106,9 @@ def pieces(spark, sf_dir):
 @query("op1_near_groups")
 def near(spark, sf_dir):
     return minhash.near_groups(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query("op4_substring_dedup")
+def passages(spark, sf_dir):
+    found = dedup_substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
