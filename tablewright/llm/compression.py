@@ -142,11 +142,13 @@ def telling_segments(these: list[bytes], those: list[bytes], least: float = 30.0
 
 @dataclass(frozen=True)
 class Logistic:
-    """A logistic curve over standardised features."""
+    """A logistic curve over standardised features; beyond what it was fitted on a feature counts as its extreme."""
 
     middle: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
 
     @staticmethod
     def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> Logistic:
@@ -158,10 +160,10 @@ class Logistic:
             slope = z.T @ (p - y) + ridge * w
             curve = (z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w))
             w = w - np.linalg.solve(curve, slope)
-        return Logistic(middle, spread, w)
+        return Logistic(middle, spread, w, x.min(0), x.max(0))
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        z = np.c_[(x - self.middle) / self.spread, np.ones(len(x))]
+        z = np.c_[(np.clip(x, self.low, self.high) - self.middle) / self.spread, np.ones(len(x))]
         return 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
 
 

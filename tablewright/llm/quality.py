@@ -50,7 +50,7 @@ def dictionary(texts: list[bytes]) -> bytes:
     pieces = [w for t in texts for w in windows(t, WIDTH)]
     try:
         return zstandard.train_dictionary(DICTIONARY, pieces, level=3).as_bytes()
-    except zstandard.ZstdError:  # too little text to train on: the text itself
+    except (zstandard.ZstdError, ValueError):  # too little text to train on: the text itself
         return b"".join(pieces)[:DICTIONARY]
 
 

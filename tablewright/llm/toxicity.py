@@ -37,7 +37,13 @@ class Toxicity:
         if self.curve is None:
             return lambda texts: np.full(len(texts), self.constant)
         toxic, ordinary = compressor(self.toxic, fine=True), compressor(self.ordinary, fine=True)
-        return lambda texts: self.curve(np.array([distances(t, toxic, ordinary) for t in texts]))
+
+        def score(texts: list[bytes]) -> np.ndarray:
+            x = np.array([distances(t, toxic, ordinary) for t in texts])
+            # An empty text has no length to speak of: the usual one.
+            return self.curve(np.where(np.isnan(x), self.curve.middle, x))
+
+        return score
 
 
 def flat(text: bytes) -> bytes:
@@ -47,7 +53,10 @@ def flat(text: bytes) -> bytes:
 
 def distances(text: bytes, toxic: zstandard.ZstdCompressor, ordinary: zstandard.ZstdCompressor) -> list[float]:
     """How much shorter a text's windows are under the toxic dictionary."""
-    one, two, own = sizes(flat(text), WIDTH, toxic, ordinary)
+    text = flat(text)
+    if not text.strip():
+        return [0.0] * 6 + [np.nan]
+    one, two, own = sizes(text, WIDTH, toxic, ordinary)
     gain = two - one
     strong = np.maximum(gain - 2, 0)
     return [gain.sum() / own.sum(), gain.max(), np.sort(gain)[-3:].mean(), np.log1p(strong.sum()), strong.sum() / own.sum(), (gain > 2).mean(), np.log(len(gain))]
@@ -58,7 +67,7 @@ def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byte
     pieces = [w for t in ordinary for w in windows(t, WIDTH)]
     try:
         body = zstandard.train_dictionary(BODY, pieces, level=3).as_bytes()
-    except zstandard.ZstdError:  # too little text to train on: the text itself
+    except (zstandard.ZstdError, ValueError):  # too little text to train on: the text itself
         body = b"".join(pieces)[:BODY]
     # The surest marks come last, where matches are cheapest.
     marks = [b" ".join(reversed(telling_segments(a, b))) + b" " for a, b in ((toxic, ordinary), (ordinary, toxic))]
@@ -79,6 +88,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, chars:
     tune = [[t for i, t in enumerate(texts) if i % 4 == 0] for texts in kinds]
     toxic, ordinary = dictionaries(learn[1], learn[0])
     one, two = compressor(toxic, fine=True), compressor(ordinary, fine=True)
+    tune = [[t for t in texts if t.strip()] for texts in tune]
+    if not all(tune):
+        return Toxicity(b"", b"", None, float(len(kinds[1]) > len(kinds[0])))
     x = np.array([distances(t, one, two) for texts in tune for t in texts])
     y = np.repeat([0.0, 1.0], [len(t) for t in tune])
     return Toxicity(toxic, ordinary, Logistic.fit(x, y), 0.0)
