@@ -75,7 +75,8 @@ def last_entries(entries: Column) -> Column:
 
 
 def to_map(entries: Column) -> Column:
-    return F.map_from_entries(last_entries(entries))
+    kept = F.transform(last_entries(entries), lambda e: F.struct(e["key"], e["value"]))
+    return F.map_from_entries(kept)
 
 
 def overlay(base: Column, row: Column) -> Column:

@@ -237,10 +237,23 @@ def records(cells: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     return per_field.groupBy(*row).agg(F.map_from_entries(F.collect_list(F.struct("header", "text"))).alias("fields"))
 
 
-def record_columns(cells: DataFrame, wanted: dict[str, str], keep: Iterable[str] = ()) -> DataFrame:
-    """Known headers as columns: ``wanted`` maps header text to column name. One aggregation."""
-    return cells.where(F.col("header").isin(*wanted)).groupBy("page_id", "table_id", "row_idx", *keep).agg(
-        *[F.max(F.when(F.col("header") == h, F.col("text"))).alias(c) for h, c in wanted.items()]
+def record_columns(cells: DataFrame, wanted: dict[str, str], keep: Iterable[str] = (), other: str | None = None) -> DataFrame:
+    """Known headers as columns: ``wanted`` maps header text to column name. One aggregation.
+
+    Of equal headers the last wins. With ``other`` no field is lost: the headers that are not
+    known go to a map column of that name.
+    """
+    known = F.col("header").isin(*wanted)
+    others = []
+    if other is None:
+        cells = cells.where(known)
+    else:
+        cells = cells.where(F.col("header").isNotNull())
+        rest = F.sort_array(F.collect_list(F.when(~known & (F.col("header") != ""), F.struct("col_idx", F.col("header").alias("key"), F.col("text").alias("value")))))
+        others = [to_map(rest).alias(other)]
+    return cells.groupBy("page_id", "table_id", "row_idx", *keep).agg(
+        *[F.max_by(F.when(F.col("header") == h, F.col("text")), F.when(F.col("header") == h, F.col("col_idx"))).alias(c) for h, c in wanted.items()],
+        *others,
     )
 
 
@@ -307,7 +320,7 @@ def infobox(nodes: DataFrame, skip_rows: int = 2, stop_word: str = "recipe", ski
             "page_id",
             F.trim(F.replace("key", F.lit("\n"), F.lit(""))).alias("key"),
             F.array_join(F.flatten(F.transform("tds", lambda c: c["lines"])), " ").alias("value"),
-            (F.col("table_id").cast("bigint") * 1_000_000 + F.col("row_idx")).alias("seq"),
+            (F.shiftleft(F.col("table_id").cast("bigint"), 32) + F.col("row_idx")).alias("seq"),
         )
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablewright.functions.numbers import OPEN_END, effect_facts, first_number, inline_percent, level_band
 from tablewright.functions.records import grade_parts
@@ -90,9 +90,10 @@ def _table_fields(rows: DataFrame) -> DataFrame:
     low = F.lower("header")
     value = trim_set(F.split_part(F.replace("text", F.lit("seconds"), F.lit("")), F.lit("("), F.lit(1)), " +\n")
     other = ~low.contains("level") & ~low.contains("chance")
+    last = lambda named, text: F.max_by(F.when(named, text), F.when(named, F.col("col_idx")))
     return clean.groupBy("page_id", "table_id", "row_idx").agg(
-        F.max(F.when(low.contains("level"), F.col("text"))).alias("Level"),
-        F.max(F.when(low.contains("chance"), trim_set(F.col("text"), " +%\n"))).alias("RowChance"),
+        last(low.contains("level"), F.col("text")).alias("Level"),
+        last(low.contains("chance"), trim_set(F.col("text"), " +%\n")).alias("RowChance"),
         F.sort_array(F.collect_list(F.when(other & (value != ""), F.struct("col_idx", _field(F.col("header")).alias("key"), value.alias("value"))))).alias("values"),
     )
 
@@ -101,21 +102,29 @@ def potential_tables(pages: DataFrame) -> dict[str, DataFrame]:
     rows = stored_nodes(pages, (TEXT_TAGS - {"li", "ul", "script", "title"}) | {"div", "table"}, "potential-nodes")
     fields = _table_fields(rows)
     tables = stage(_tables(_walk(rows)), "potential-tables")
-    # What a block holds: its chance table releases the values found before it.
+    # Each chance table of a block releases the last value table before it, so several pairs may share a heading.
     block = ["page_id", "content_id", "block"]
-    held = tables.groupBy(*block).agg(
-        F.some(F.col("table_kind") == "chance").alias("has_chance"),
-        F.some(F.col("table_kind") == "boxed").alias("has_boxes"),
-        F.max(F.when(F.col("table_kind") == "value", F.col("table_id"))).alias("last_value"),
+    is_chance = F.col("table_kind") == "chance"
+    value_table = F.when(F.col("table_kind") == "value", F.col("table_id"))
+    before = Window.partitionBy(*block).orderBy("table_id").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = tables.withColumn("pair", F.coalesce(F.count_if(is_chance).over(before), F.lit(0)))
+    within, pair = Window.partitionBy(*block), Window.partitionBy(*block, "pair")
+    facts = numbered.withColumns(
+        {
+            "chances": F.count_if(is_chance).over(within),
+            "has_boxes": F.some(F.col("table_kind") == "boxed").over(within),
+            "any_value": F.max(value_table).over(within),
+            "pair_value": F.max(value_table).over(pair),
+        }
     )
-    facts = tables.join(held, block)
-    used = facts.where((F.col("table_kind") == "boxed") | ((F.col("table_kind") == "value") & F.col("has_chance") & ~F.col("has_boxes") & (F.col("table_id") == F.col("last_value"))))
-    bare = facts.where((F.col("table_kind") == "chance") & F.col("last_value").isNull() & ~F.col("has_boxes"))
+    released = (F.col("pair") < F.col("chances")) & ~F.col("has_boxes") & (F.col("table_id") == F.col("pair_value"))
+    used = facts.where((F.col("table_kind") == "boxed") | released)
+    bare = facts.where(is_chance & F.col("any_value").isNull() & ~F.col("has_boxes"))
     valued = _with_facts(used).join(fields, ["page_id", "table_id"])
     alone = _with_facts(bare)
     values = dedupe_rows(_value_rows(valued).unionByName(_value_rows(alone, bare=True)))
 
-    chances = _with_facts(facts.where(F.col("table_kind") == "chance")).join(fields, ["page_id", "table_id"])
+    chances = _with_facts(facts.where(is_chance)).join(fields, ["page_id", "table_id"])
     rates = dedupe_rows(
         chances.select(
             *KEYS,

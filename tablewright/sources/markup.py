@@ -41,9 +41,8 @@ _ARROW = pa.schema(
         ("top_id", pa.int32()),
     ]
 )
-_FLUSH_ROWS = 20_000
-# Elements nested deeper are read as siblings, as browsers do; it bounds the work on unclosed tags.
-_MAX_DEPTH = 512
+# What waits before it is handed on: rows, and characters of their texts.
+_FLUSH_ROWS, _FLUSH_CHARS = 20_000, 16 << 20
 
 # One token of markup. Script and style come with their whole text, as nothing in it is markup.
 # Quotes count after an equals sign only, so a stray one does not swallow the page; no part can
@@ -85,13 +84,24 @@ TEXT_TAGS = frozenset(
 )
 
 
+class _Text:
+    """Pieces of text in document order, of the page or of one table, and how many open elements want them."""
+
+    __slots__ = ("pieces", "readers")
+
+    def __init__(self):
+        self.pieces: list[str] = []
+        self.readers = 0
+
+
 class _Open:
-    """One open element while a page is read."""
+    """One open element while a page is read; its text begins at piece ``first`` of ``around``."""
 
-    __slots__ = ("tag", "node_id", "at", "children", "sinks", "table", "tr", "td", "top")
+    __slots__ = ("tag", "node_id", "at", "children", "inside", "around", "first", "table", "tr", "td", "top")
 
-    def __init__(self, tag, node_id, at, sinks, table, tr, td, top):
-        self.tag, self.node_id, self.at, self.sinks = tag, node_id, at, sinks
+    def __init__(self, tag, node_id, at, inside, around, first, table, tr, td, top):
+        self.tag, self.node_id, self.at = tag, node_id, at
+        self.inside, self.around, self.first = inside, around, first
         self.table, self.tr, self.td, self.top = table, tr, td, top
         self.children = 0
 
@@ -101,6 +111,7 @@ class Columns:
 
     def __init__(self) -> None:
         self.values: list[list] = [[] for _ in _ARROW]
+        self.chars = 0
 
     def __len__(self) -> int:
         return len(self.values[0])
@@ -121,15 +132,10 @@ def _attributes(text: str) -> list[tuple[str, str]]:
     return list(found.items())
 
 
-def _nearest(stack: list[_Open], tags, stop) -> int:
+def _nearest(depths: dict[str, list[int]], tags, stop) -> int:
     """Depth of the innermost open element of ``tags`` above the nearest of ``stop``, or 0."""
-    for depth in range(len(stack) - 1, 0, -1):
-        tag = stack[depth].tag
-        if tag in tags:
-            return depth
-        if tag in stop:
-            return 0
-    return 0
+    found = max((depths[t][-1] for t in tags if depths.get(t)), default=0)
+    return found if found > max((depths[t][-1] for t in stop if depths.get(t)), default=0) else 0
 
 
 def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] | None = None) -> None:
@@ -140,15 +146,22 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
     innermost table around a node and ``top_id`` the outermost, a table counting as its own.
     """
     page_ids, node_ids, end_ids, parents, places, tags, attributes, texts, tables, table_rows, table_cols, tops = out.values
-    root = _Open("#root", 0, -1, (), None, None, None, None)
-    stack = [root]
+    whole = _Text()
+    stack = [_Open("#root", 0, -1, whole, whole, -1, None, None, None, None)]
+    # Depths at which each tag is open, so that the nearest is one look-up however deep a page nests.
+    depths: dict[str, list[int]] = {}
     counter = 0
 
     def close_to(depth: int) -> None:
         while len(stack) > depth:
-            at = stack.pop().at
-            if at >= 0:
-                end_ids[at] = counter
+            gone = stack.pop()
+            depths[gone.tag].pop()
+            if gone.at >= 0:
+                end_ids[gone.at] = counter
+                if gone.first >= 0:
+                    lines = texts[gone.at] = gone.around.pieces[gone.first :]
+                    gone.around.readers -= 1
+                    out.chars += sum(map(len, lines))
 
     # Pieces come as text, then the groups of the token that follows it.
     pieces = _MARKUP.split(source)
@@ -156,12 +169,9 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
     for at in range(0, last + 1, 7):
         text = pieces[at]
         if text:
-            sinks = stack[-1].sinks
-            if sinks:
-                if "&" in text:
-                    text = entities.unescape(text)
-                for sink in sinks:
-                    sink.append(text)
+            inside = stack[-1].inside
+            if inside.readers:
+                inside.pieces.append(entities.unescape(text) if "&" in text else text)
         if at == last:
             break
         raw, raw_attrs, raw_text, closing, tag, attrs = pieces[at + 1 : at + 7]
@@ -172,30 +182,23 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
         tag = tag.lower()
         top = stack[-1]
         if closing:
-            if top.tag == tag:
-                stack.pop()
-                if top.at >= 0:
-                    end_ids[top.at] = counter
-            else:
-                depth = _nearest(stack, (tag,), () if tag == "table" else ("table",))
-                if depth:
-                    close_to(depth)
+            depth = len(stack) - 1 if top.tag == tag else _nearest(depths, (tag,), () if tag == "table" else ("table",))
+            if depth:
+                close_to(depth)
             continue
         if top.tag not in _P_SCOPE and tag in _CLOSES_P:
-            depth = _nearest(stack, ("p",), _P_SCOPE)
+            depth = _nearest(depths, ("p",), _P_SCOPE)
             if depth:
                 close_to(depth)
         rule = _IMPLIED.get(tag)
         if rule is not None:
             if top.tag not in rule[1]:
-                depth = _nearest(stack, *rule)
+                depth = _nearest(depths, *rule)
                 if depth:
                     close_to(depth)
         elif tag in _HEADS and stack[-1].tag in _HEADS:
             close_to(len(stack) - 1)
 
-        if len(stack) > _MAX_DEPTH:
-            close_to(_MAX_DEPTH)
         parent = stack[-1]
         parent.children += 1
         counter += 1
@@ -208,10 +211,10 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
             td = tr[1]
         if outermost is None and tag == "table":
             outermost = counter
-        place, sinks = -1, parent.sinks
+        place, first, around = -1, -1, parent.inside
         if wanted is None or tag in wanted:
             place = len(node_ids)
-            lines = [] if tag in TEXT_TAGS else None
+            read = tag in TEXT_TAGS
             page_ids.append(page_id)
             node_ids.append(counter)
             end_ids.append(counter)
@@ -219,23 +222,26 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
             places.append(parent.children)
             tags.append(tag)
             attributes.append(_attributes(attrs) if "=" in attrs else ())
-            texts.append(lines)
+            texts.append([] if read else None)
             tables.append(table[0] if table else None)
             table_rows.append(tr[0] if tr else None)
             table_cols.append(td)
             tops.append(outermost)
-            if lines is not None:
-                sinks = (*sinks, lines)
-        if raw is not None:
-            for sink in sinks:
-                sink.append(raw_text)
-            continue
+            if read and tag not in _VOID:
+                first = len(around.pieces)
+                around.readers += 1
         if tag in _VOID:
             continue
-        if tag == "table":  # text of an inner table stays out of the outer cell
-            stack.append(_Open(tag, counter, place, (), [counter, -1], None, None, outermost))
-        else:
-            stack.append(_Open(tag, counter, place, sinks, table, tr, td, outermost))
+        if raw is not None and around.readers:
+            around.pieces.append(raw_text)
+        # Text of an inner table stays out of the outer cell.
+        inside = _Text() if tag == "table" else around
+        depths.setdefault(tag, []).append(len(stack))
+        if tag == "table":
+            table, tr, td = [counter, -1], None, None
+        stack.append(_Open(tag, counter, place, inside, around, first, table, tr, td, outermost))
+        if raw is not None:
+            close_to(len(stack) - 1)
     close_to(1)
 
 
@@ -249,7 +255,7 @@ def nodes(pages: DataFrame, tags: Iterable[str] | None = None) -> DataFrame:
             for page_id, source in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if source.is_valid:
                     read_page(page_id, source.as_py(), pending, wanted)
-                if len(pending) >= _FLUSH_ROWS:
+                if len(pending) >= _FLUSH_ROWS or pending.chars >= _FLUSH_CHARS:
                     yield pending.batch()
                     pending = Columns()
         if len(pending):
