@@ -4,7 +4,7 @@ import importlib
 
 from tablewright.checks.registry import CHECKS
 
-MODULES = ("link_checks", "text_checks", "table_checks", "rule_checks", "reshape_checks", "sink_checks", "job_checks")
+MODULES = ("link_checks", "text_checks", "table_checks", "rule_checks", "reshape_checks", "sink_checks", "job_checks", "lookup_checks")
 
 
 def load() -> dict:

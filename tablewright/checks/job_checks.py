@@ -6,8 +6,13 @@ from pyspark.sql import functions as F
 
 from tablewright.checks.registry import check, no_gaps, table
 from tablewright.checks.render import chunked, el, heads, row_html, single
+from tablewright.operators import rename, reshape
 from tablewright.operators.links import extract
 from tablewright.plans import classes, equipment, flames, hyper, potential, sets, stars
+from tablewright.rules import RulePack
+from tablewright.session import scratch, stage
+from tablewright.specs import EQUIP, WEAPON
+from tablewright.streaming import pages as stream
 
 def key():
     return F.col("p_partkey")
@@ -415,3 +420,114 @@ def set_index(spark, sf_dir):
         F.lit("</div><div class='tabber wds-tabber'>"), grid(a(F.lit("Mystic_Set"))), F.lit("</div></div>"),
     )
     return sets.set_index(single(table(spark, sf_dir, "part"), "p_partkey", html))
+
+
+@check("potential_pairs", """
+  SELECT p_partkey AS slot, 'value' AS kind, CAST(unnest([p_size, p_size + 10]) AS BIGINT) AS lo, CAST(unnest([p_size + 1, p_size + 2]) AS VARCHAR) AS value FROM part
+  UNION ALL SELECT p_partkey, 'chance', CAST(unnest([p_size, p_size + 1]) AS BIGINT), unnest([p_name, p_type]) FROM part""")
+def potential_pairs(spark, sf_dir):
+    """A heading with value, chance, value, chance: either value table counts."""
+    values = lambda low, plus: F.concat(F.lit("<table>"), heads("Level", "Value"), row_html(F.concat(n("p_size", low), F.lit("-"), n("p_size", low + 9)), F.concat(F.lit("+"), n("p_size", plus))), F.lit("</table>"))
+    chances = lambda name, plus: F.concat(F.lit("<dl><dt>Chance</dt></dl><table>"), heads("Cube", "Chance"), row_html(name, F.concat(n("p_size", plus), F.lit("%"))), F.lit("</table>"))
+    html = F.concat(
+        head("h2", "Potential", "Main"), head("h3", "s", n("p_partkey")), head("h4", "g", "Rare"), F.lit("<div class='collapsible-content'>"),
+        head("h5", "x", "Max HP"), values(0, 1), chances(F.col("p_name"), 0), values(10, 2), chances(F.col("p_type"), 1), F.lit("</div>"),
+    )
+    found = potential.potential_tables(single(table(spark, sf_dir, "part"), "p_partkey", html))
+    slot = F.col("Slot").cast("bigint").alias("slot")
+    got = found["PotentialData"].select(slot, F.lit("value").alias("kind"), F.col("MinLvl").cast("bigint").alias("lo"), F.col("Stat value").alias("value"))
+    return got.unionByName(found["PotentialCubeRatesData"].select(slot, F.lit("chance").alias("kind"), F.col("Chance").cast("bigint").alias("lo"), F.col("Value").alias("value")))
+
+
+def weapon_corpus(spark, sf_dir):
+    """One index page per part that links to the detail page of its weapon."""
+    parts = table(spark, sf_dir, "part")
+    fact = lambda name, *value: el("tr", el("th", name), el("td", *value))
+    index = single(parts, "p_partkey", F.concat(F.lit("<a href='/weapon/"), n("p_partkey"), F.lit("/Fafnir_"), n("p_partkey"), F.lit("'>x</a><a href='/weapon/Plain_x'>y</a>")), "index")
+    detail = F.concat(
+        F.lit("<div class='mw-parser-output'><table><tr><th>"), F.col("p_name"), F.lit("</th></tr><tr><td>picture</td></tr>"),
+        fact("Weapon Attack", "+", n("p_size", 2)), fact("Attack Speed", "Fast (", n("p_size"), ")"), fact("Odd ", F.col("p_size").cast("string")), F.lit("</table></div>"),
+    )
+    details = parts.select(
+        (key() + 1_000_000_000).alias("page_id"), F.concat(F.lit("https://shop.example/weapon/"), n("p_partkey"), F.lit("/Fafnir_"), n("p_partkey")).alias("url"), detail.alias("html")
+    )
+    return index, details
+
+
+@check("weapon_records", """
+  SELECT 'Weapon' AS "EquipSlot", 'Fafnir ' || p_partkey AS "EquipName", 'Fafnir' AS "EquipSet", 'Sword' AS "WeaponType", 'EquipWeapon' AS "Destination",
+         CAST(p_size + 2 AS VARCHAR) AS "WATK", 'Odd' AS other_key, CAST(p_size AS VARCHAR) AS other_value FROM part""")
+def weapon_records(spark, sf_dir):
+    index, details = weapon_corpus(spark, sf_dir)
+    found = equipment.weapon_records(extract(index).withColumn("WeaponType", F.lit("Sword")), details, ["WATK", "AttackSpeed", "ATKSpeed"], other="more")
+    pairs = found.select("EquipSlot", "EquipName", "EquipSet", "WeaponType", "Destination", "WATK", F.explode("more").alias("other_key", "other_value"))
+    return pairs.where("other_key = 'Odd'")
+
+
+def secondary_pages(spark, sf_dir):
+    grid = lambda name, *rows: F.concat(F.lit("<table class='wikitable'>"), heads("Picture", "Requirements", "Effects", "Note"), el("tr", *[el("td", x) for x in (name, *rows)]),
+                                        F.lit("<tr><td>Other equipment</td><td>-</td><td>STR: +99</td><td>-</td></tr><tr><td>After</td><td>-</td><td>STR: +98</td><td>-</td></tr></table>"))
+    html = F.concat(
+        F.lit("<div class='mw-parser-output'><p>An orb is exclusive to <a href='/a'>"), F.col("p_type"), F.lit("</a>.</p>"),
+        grid(F.concat("p_name", F.lit(",")), F.concat(F.lit("Level: "), n("p_size")), F.concat(F.lit("STR: +"), n("p_size", 1), F.lit("<br>Max HP: +"), n("p_size", 2), F.lit("%")), F.col("p_brand")), F.lit("</div>"),
+    )
+    return single(table(spark, sf_dir, "part"), "p_partkey", html)
+
+
+@check("secondary_records", """
+  SELECT 'Secondary' AS "EquipSlot", p_type AS "ClassName", p_name AS "EquipName", 'Orb' AS "WeaponType", 'EquipSecondary' AS "Destination",
+         CAST(p_size + 1 AS VARCHAR) AS "STR", CAST(p_size + 2 AS VARCHAR) AS "PercMaxHP", p_brand AS note FROM part""")
+def secondary_records(spark, sf_dir):
+    found = equipment.secondary_records(secondary_pages(spark, sf_dir), F.lit("Orb"), ["STR", "PercMaxHP", "Note"])
+    return found.select("EquipSlot", "ClassName", "EquipName", "WeaponType", "Destination", "STR", "PercMaxHP", F.col("Note").alias("note"))
+
+
+STORE_SQL = """
+  SELECT 'EquipAccessory' AS place, p_name || ' ' || p_partkey AS name, CASE WHEN p_partkey % 4 = 0 THEN CAST(p_size + 1 AS BIGINT) ELSE -1 END AS str,
+         CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size + 2 AS BIGINT) ELSE -1 END AS watk FROM part WHERE p_size >= 30
+  UNION ALL SELECT 'EquipWeapon', 'Fafnir ' || p_partkey, -1, CAST(p_size + 2 AS BIGINT) FROM part"""
+
+
+@check("equipment_store", STORE_SQL)
+def equipment_store(spark, sf_dir):
+    """List and weapon records, typed and upserted into the table of their destination; a second run changes nothing."""
+    lists, pages = equipment_corpus(spark, sf_dir)
+    index, details = weapon_corpus(spark, sf_dir)
+    stats = ["STR", "PercMaxHP", "WATK"]
+    records = reshape.union_by_name([
+        equipment.equipment_records(lists, pages, stats, order="at").withColumn("at", F.to_json("at")),
+        equipment.weapon_records(extract(index).withColumn("WeaponType", F.lit("Sword")), details, stats, order="at").withColumn("at", F.to_json("at")),
+    ])
+    root, tables = scratch(spark, "store"), {"EquipAccessory": EQUIP, "EquipWeapon": WEAPON}
+    records = stage(records, "found")
+    equipment.store_records(records, root, tables, "at", stats)
+    held = equipment.store_records(records, root, tables, "at", stats)
+    shown = [df.select(F.lit(name).alias("place"), F.col("EquipName").alias("name"), F.col("STR").cast("bigint").alias("str"), F.col("WATK").alias("watk")) for name, df in held.items()]
+    return no_gaps(reshape.union_by_name(shown), "str", "watk")
+
+
+@check("stream_equipment", """
+  SELECT p_name || ' ' || p_partkey AS name, CAST(p_size AS BIGINT) AS level, CASE WHEN p_partkey % 4 = 0 THEN CAST(p_size + 1 AS VARCHAR) ELSE '' END AS str FROM part WHERE p_size >= 30""")
+def stream_equipment(spark, sf_dir):
+    """List pages as they arrive, each batch through the same job as in batch, newest record per key."""
+    lists, pages = equipment_corpus(spark, sf_dir)
+    folder = scratch(spark, "list-pages")
+    lists.select("page_id", "url", "html").repartition(2, "page_id").write.parquet(folder)
+    details = stage(pages, "detail-pages")
+    keys = ["EquipSlot", "EquipName", "EquipSet", "ClassType"]
+    step = lambda df: equipment.equipment_records(equipment.slot_pages(df, F.lit("Ring")), details, ["EquipSet", "ClassType", "STR", "WATK"], order="at")
+    found = stream.stream_records(stream.read_pages(spark, folder, glob="*.parquet", files_per_batch=1), step, keys, scratch(spark, "stream-equipment"), "at")
+    return found.select(F.col("EquipName").alias("name"), F.col("EquipLevel").alias("level"), F.coalesce("STR", F.lit("")).alias("str"))
+
+
+@check("rule_pack", """
+  SELECT 'Round ' || p_brand AS slot, CASE WHEN p_partkey % 2 = 0 THEN 'My Set' ELSE p_name END AS name, CASE WHEN p_partkey % 2 = 0 THEN 'EquipArmor' ELSE 'EquipRound ' || p_brand END AS place FROM part""")
+def rule_pack(spark, sf_dir):
+    """Another pack of rules: its names, sets and slots count, not those that come with the library."""
+    rules = RulePack(set_names={"My Set": ["@mine"]}, slot_names={}, armor_slots=["Even"], accessory_slots=[], class_types={}, category_names={})
+    slot = F.concat(F.lit("Round "), "p_brand")
+    rows = table(spark, sf_dir, "part").select(
+        slot.alias("slot"), F.when(key() % 2 == 0, "@mine").otherwise(F.col("p_name")).alias("EquipName"),
+        rename.slot_category(F.when(key() % 2 == 0, "Even").otherwise(slot), rules.armor_slots, rules.accessory_slots).alias("Destination"),
+    )
+    return rename.rename_record(rows, rules).select("slot", F.col("EquipName").alias("name"), F.col("Destination").alias("place"))

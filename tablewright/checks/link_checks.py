@@ -188,3 +188,28 @@ def link_graph(spark, sf_dir):
 def reach_rounds(spark, sf_dir):
     seeds, pages = link_graph(spark, sf_dir)
     return L.reach(seeds.select("url"), L.link_edges(pages)).select("url", F.col("round").cast("bigint").alias("round"))
+
+
+@check("links_markup", """
+  SELECT c_custkey AS page_id, '/c/' || c_custkey || '?a=1&b=2' AS href, c_name || ' > ' || c_mktsegment AS title, 'HP ' || c_name || ' é – ' || chr(39) || 'x' || chr(39) AS text FROM customer""")
+def links_markup(spark, sf_dir):
+    """Nested words that begin like the end of a link, links that are none, quoted brackets, entities."""
+    name = F.col("c_name")
+    html = F.concat(
+        F.lit("<p><!-- <a href='/no'>gone</a> --><script>var a = \"<a href='/no'>gone</a>\";</script><style>a:after { content: '<a href=/no>' }</style>"),
+        F.lit("<a class='x' title=\""), name, F.lit(" > "), F.col("c_mktsegment"), F.lit("\" href='/c/"), F.col("c_custkey").cast("string"), F.lit("?a=1&amp;b=2'><abbr>HP</abbr> "),
+        name, F.lit(" &eacute; &#8211; &#x27;x&#x27;</a ><article>after</article><!-- never closed <a href='/no'>gone</a>"),
+    )
+    return L.extract(single(table(spark, sf_dir, "customer"), "c_custkey", html)).select("page_id", "href", "title", "text")
+
+
+@check("class_links", """
+  SELECT c_custkey AS page_id, '/wiki/Class-' || c_custkey AS href FROM customer WHERE c_custkey % 3 <> 0""")
+def class_links(spark, sf_dir):
+    from tablewright.plans.classes import class_links as kept
+    from tablewright.rules import EXCLUDED_CLASS_PHRASES
+
+    word = EXCLUDED_CLASS_PHRASES[0].split(" ")[0]
+    slug = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(word + "-"), F.col("c_custkey").cast("string"))).otherwise(F.concat(F.lit("Class-"), F.col("c_custkey").cast("string")))
+    html = F.concat(F.lit("<a href='/wiki/"), slug, F.lit("'>x</a>"))
+    return kept(L.extract(single(table(spark, sf_dir, "customer"), "c_custkey", html))).select("page_id", "href")

@@ -168,3 +168,32 @@ def unpivot_route(spark, sf_dir):
     )
     effects = ["Set Effect", "Cumulative Effect", "Cumulative Set Effect", "Notes"]
     return S.unpivot_routes(raw, ["p_partkey"], effects, [("Set", "EquipSetEffectAt"), ("Cumulative", "EquipSetEffectCul")])
+
+
+@check("pivot_open", """
+  WITH l AS (SELECT user_id, event_type AS key, arg_max(props, event_id) AS value FROM events GROUP BY 1, 2)
+  SELECT u.user_id, k.value AS click, o.key AS other_key, o.value AS other_value
+  FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN l k ON k.user_id = u.user_id AND k.key = 'click'
+  LEFT JOIN l o ON o.user_id = u.user_id AND o.key <> 'click'""")
+def pivot_open(spark, sf_dir):
+    """One known field; the others of a record, whatever they are, stay with it."""
+    long = table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("key"), F.col("props").alias("value"), F.col("event_id").alias("seq"))
+    wide = S.pivot_wide(long, ["user_id"], ["click"], other="other")
+    return wide.select("user_id", "click", F.explode_outer("other").alias("other_key", "other_value"))
+
+
+@check("fill_cast_large", """
+  SELECT o_orderkey, 9007199254740993 + o_orderkey AS large, CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS BIGINT) WHEN o_orderkey % 3 = 1 THEN -1 ELSE o_custkey END AS num,
+         CASE WHEN o_orderkey % 3 = 1 THEN 'num is no bigint' ELSE 'kept' END AS reason FROM orders""")
+def fill_cast_large(spark, sf_dir):
+    """Numbers beyond what a double holds keep their digits; a text is rejected, not read as 0."""
+    from tablewright.operators.sinks import split_rejects
+
+    raw = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        (F.col("o_orderkey") + 9007199254740993).cast("string").alias("large"),
+        F.when(F.col("o_orderkey") % 3 == 1, "abc").when(F.col("o_orderkey") % 3 == 2, F.col("o_custkey").cast("string")).alias("num"),
+    )
+    good, bad = split_rejects(raw, S.castable(raw, ["large", "num"], "bigint"))
+    both = S.union_by_name([good, bad])
+    return S.fill_and_cast(both, ["large", "num"], "bigint").select("o_orderkey", "large", F.coalesce("num", F.lit(-1)).alias("num"), F.coalesce("reason", F.lit("kept")).alias("reason"))

@@ -9,7 +9,7 @@ from tablewright.checks.registry import check, table
 from tablewright.operators import links as L, sinks as K
 from tablewright.operators.reshape import union_by_name
 from tablewright.session import scratch
-from tablewright.sources.corpus import read_csv, table_shape
+from tablewright.sources.corpus import read_csv, read_snapshot, table_shape
 from tablewright.specs import TableSpec
 from tablewright.streaming import pages as stream
 
@@ -130,3 +130,26 @@ def stream_upsert(spark, sf_dir):
     """Pages as they arrive, the newest page per host kept."""
     step = lambda df: df.select(L.host(F.col("url")).alias("host"), "page_id", "url")
     return stream.stream_records(stream.read_pages(spark, sf_dir), step, ["host"], scratch(spark, "stream-rows"), "page_id")
+
+
+@check("upsert_repeats", """
+  SELECT o_custkey, max(o_orderkey) AS o_orderkey, 'table' AS place FROM orders WHERE o_custkey % 7 <> 0 GROUP BY 1
+  UNION ALL SELECT -1, o_orderkey, 'rejects' FROM orders WHERE o_custkey % 7 = 0""")
+def upsert_repeats(spark, sf_dir):
+    """Keys that come in many times, the later row smaller in all but its order; rows without a key."""
+    rows = table(spark, sf_dir, "orders").select(F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("o_custkey"), (-F.col("o_orderkey")).alias("less"), "o_orderkey")
+    root, spec = scratch(spark, "repeats"), TableSpec("orders", ("o_custkey",))
+    K.save(rows.where("o_orderkey % 2 = 0"), spec, root, "write", seq="o_orderkey")
+    held = K.save(rows, spec, root, "write", seq="o_orderkey", keep=1)
+    rejects = spark.read.parquet(f"{root}/orders_rejects").where("v = 2")
+    return held.select("o_custkey", "o_orderkey", F.lit("table").alias("place")).unionByName(rejects.select(F.lit(-1).cast("bigint").alias("o_custkey"), "o_orderkey", F.lit("rejects").alias("place")))
+
+
+@check("csv_snapshot_order", """SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size, 'none' AS absent FROM part""")
+def csv_snapshot_order(spark, sf_dir):
+    """A snapshot with a row number, its columns in another order, one too many and one missing."""
+    path = scratch(spark, "snapshot")
+    rows = table(spark, sf_dir, "part").select(F.monotonically_increasing_id().alias(" "), "p_size", "p_brand", "p_partkey", "p_name")
+    K.write_csv(rows, path)
+    found = read_snapshot(spark, path, spark.createDataFrame([], "p_partkey bigint, p_name string, p_size bigint, absent string").schema)
+    return found.fillna("none", subset=["absent"])

@@ -242,3 +242,26 @@ def header_group(spark, sf_dir):
     wide = Y.record_columns(grouped, {c: c for c in ("Level", "Points Awarded", "Total")})
     number = lambda c: F.replace(F.col(c), F.lit(","), F.lit("")).try_cast("bigint").alias(c)
     return wide.select(number("Level"), number("Points Awarded"), number("Total"))
+
+
+@check("deep_tables", """
+  SELECT p_partkey AS page_id, CAST(0 AS BIGINT) AS row_idx, CAST(unnest([0, 1]) AS BIGINT) AS col_idx, unnest([p_name || p_type, p_brand]) AS text FROM part""")
+def deep_tables(spark, sf_dir):
+    """Cells inside many open elements; how many grows with the part's size, up to some thousand."""
+    depth = F.col("p_size") * 60
+    html = F.concat(
+        F.repeat(F.lit("<div>"), depth), F.lit("<table><tr><td>"), F.col("p_name"), F.repeat(F.lit("<i>"), depth), F.lit("<b>"), F.col("p_type"), F.lit("</b>"),
+        F.repeat(F.lit("</i>"), depth), F.lit("</td><td>"), F.col("p_brand"), F.lit("</table>"),
+    )
+    found = cells(single(table(spark, sf_dir, "part"), "p_partkey", html))
+    return found.select("page_id", F.col("row_idx").cast("bigint").alias("row_idx"), F.col("col_idx").cast("bigint").alias("col_idx"), "text")
+
+
+@check("record_repeat_headers", """
+  SELECT p_partkey AS page_id, CAST(p_size + 1 AS VARCHAR) AS size, p_brand AS more_key, p_type AS more_value FROM part""")
+def record_repeat_headers(spark, sf_dir):
+    """Of two columns of one name the last counts, as a number or not; a column nobody asked for is kept aside."""
+    html = F.concat(F.lit("<table>"), el("tr", el("th", "Size"), el("th", "Size"), el("th", F.col("p_brand"))), row_html(F.lit("99"), F.col("p_size") + 1, "p_type"), F.lit("</table>"))
+    found = Y.with_header(Y.by_page(cells(single(table(spark, sf_dir, "part"), "p_partkey", html))))
+    wide = Y.record_columns(found, {"Size": "size"}, other="more")
+    return wide.select("page_id", "size", F.explode("more").alias("more_key", "more_value"))

@@ -128,11 +128,10 @@ def num_parse(spark, sf_dir):
 
 @check("num_or_null", r"""
   SELECT doc_id, w AS word, CASE WHEN regexp_full_match(w, '[0-9]+') THEN TRY_CAST(w AS BIGINT) ELSE -1 END AS num, CAST(count(*) AS BIGINT) AS n
-  FROM (SELECT doc_id, unnest(string_split_regex(text, '\s+')) AS w FROM documents) WHERE regexp_matches(w, '[0-9]') GROUP BY ALL""")
+  FROM (SELECT doc_id, unnest(string_split_regex(text, '\s+')) AS w FROM documents) GROUP BY ALL""")
 def num_or_null(spark, sf_dir):
     words = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", r"\s+")).alias("word"))
-    some = words.where(F.col("word").rlike("[0-9]"))
-    return no_gaps(some.withColumn("num", N.number_or_null(F.col("word"))), "num").groupBy("doc_id", "word", "num").agg(F.count("*").alias("n"))
+    return no_gaps(words.withColumn("num", N.number_or_null(F.col("word"))), "num").groupBy("doc_id", "word", "num").agg(F.count("*").alias("n"))
 
 
 @check("pair_max", """

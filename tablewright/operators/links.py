@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
+from html import entities
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,11 +12,14 @@ from tablewright.session import bucketed, cut_lineage
 
 # After so many rounds the pieces of a long search are written as one.
 _COMPACT_ROUNDS = 8
-# An anchor starts at ``<a`` and ends at ``</a``, at the next anchor, or, never closed, at the next tag.
+# What holds no markup: comments, scripts and styles, also those that are never closed.
+NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<script\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</script\s*>|\z)|<style\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</style\s*>|\z)"
+# An anchor starts at ``<a`` and ends at ``</a>``, at the next anchor, or, never closed, at the next tag.
+# Its tag ends at the first bracket outside quoted values.
 ANCHOR_START = r"(?i)<a(?=\s)"
-ANCHOR = r"(?is)^(.*?(?=</a)|[^>]*>[^<]*)"
-OPENING = r"(?s)^(\s[^>]*)>"
-BODY = r"(?s)^[^>]*>(.*)$"
+TAG = r"(?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+"
+OPENING = rf"(?s)^(\s{TAG})>"
+BODY = rf"(?is)^\s{TAG}>(.*?(?=</a\s*>)|[^<]*)"
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -23,11 +28,48 @@ def attribute(attrs: Column, name: str) -> Column:
     return F.when(given != "", F.when(given.rlike("^[\"']"), F.substring(given, 2, F.length(given) - 2)).otherwise(given))
 
 
+# The names of entities are those the parse pass knows; old ones need no semicolon.
+_OLD_NAMES = sorted((n for n in entities.html5 if not n.endswith(";")), key=len, reverse=True)
+_ENTITY = r"^(#[xX][0-9a-fA-F]+;?|#[0-9]+;?|[A-Za-z][A-Za-z0-9]*;|(?:" + "|".join(_OLD_NAMES) + "))"
+
+
+def _named(names: Iterable[str]) -> Column:
+    return F.from_json(F.lit(json.dumps({n: entities.html5[n] for n in names})), "map<string,string>")
+
+
+def _character(code: Column) -> Column:
+    """The character of a number, read as browsers do: Windows letters, and none for control codes."""
+    windows = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    control = code.between(1, 8) | code.between(14, 31) | (code == 11) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (
+        F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF) | code.isNull(), F.lit("\ufffd"))
+        .when(code.between(0x80, 0x9F), F.try_element_at(F.from_json(F.lit(json.dumps(windows)), "map<string,string>"), code.cast("string")))
+        .when(code == 13, F.lit("\r"))
+        .when(control, F.lit(""))
+        .otherwise(plain)
+    )
+
+
 def unescape(c: Column) -> Column:
-    """The entities that occur in attributes and short texts; ``&amp;`` last."""
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """All entities, named and numeric, as the parse pass reads them; texts without any are passed by."""
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, _ENTITY, 1)
+        # An exact name, or the longest old name that the text begins with.
+        whole = F.try_element_at(_named(entities.html5), name)
+        old = F.regexp_extract(part, "^(?:" + "|".join(_OLD_NAMES) + ")", 0)
+        taken = F.when(name.startswith("#") | whole.isNotNull(), name).otherwise(old)
+        hexadecimal = name.rlike("^#[xX]")
+        digits = F.regexp_replace(F.when(hexadecimal, F.substr(name, F.lit(3))).otherwise(F.substr(name, F.lit(2))), "^0+(?=.)|;$", "")
+        value = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
+        number = F.when(F.length(digits) > 9, F.lit(0)).otherwise(value.try_cast("bigint"))
+        char = F.when(name.startswith("#"), _character(number)).otherwise(F.coalesce(whole, F.try_element_at(_named(_OLD_NAMES), old)))
+        return F.when(taken == "", F.concat(F.lit("&"), part)).otherwise(F.concat(char, F.substr(part, F.length(taken) + 1)))
+
+    parts = F.split(c, "&")
+    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
+    return F.when(c.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
 
 
 def extract(pages: DataFrame, region: str | None = None) -> DataFrame:
@@ -38,8 +80,10 @@ def extract(pages: DataFrame, region: str | None = None) -> DataFrame:
     group is the part of the page to look at.
     """
     area = F.col("html") if region is None else F.regexp_extract("html", region, 1)
+    # Pages without any are not copied.
+    area = F.when(area.rlike(r"(?i)<!--|<script|<style"), F.regexp_replace(area, NOT_MARKUP, "")).otherwise(area)
     pieces = F.split(area, ANCHOR_START)
-    anchors = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda p: F.regexp_extract(p, ANCHOR, 1))
+    anchors = F.slice(pieces, 2, F.size(pieces))
     found = pages.where(F.col("html").isNotNull()).select("page_id", "url", F.posexplode(anchors).alias("pos", "anchor"))
     attrs = F.regexp_extract("anchor", OPENING, 1)
     body = F.regexp_extract("anchor", BODY, 1)

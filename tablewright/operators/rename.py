@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewright.functions.text import capwords, contains_any, replace_each
 from tablewright.rules import RulePack, Variants, lookup, variants
 
-# Up to this many variants a dictionary is compiled into the expression; beyond, it is joined.
-INLINE_VARIANTS = 200
-
 
 def rename_exact(df: DataFrame, column: str, mapping: Mapping[str, str]) -> DataFrame:
     names = lookup(df.sparkSession, mapping, "_old", "_new")
@@ -46,15 +43,8 @@ def rename_substring(value: Column, dictionary: Variants) -> Column:
     return renamed
 
 
-def rename_substring_df(df: DataFrame, column: str, dictionary: Variants) -> DataFrame:
-    """``rename_substring`` for a dictionary of any size: compiled while small, joined beyond."""
-    if sum(len(v) for v in dictionary.values()) <= INLINE_VARIANTS:
-        return df.withColumn(column, rename_substring(F.col(column), dictionary))
-    return rename_by_substrings(df, column, dictionary)
-
-
 def rename_by_substrings(df: DataFrame, column: str, dictionary: Variants) -> DataFrame:
-    """Substring renames by equality.
+    """``rename_substring`` by equality, for dictionaries of names that are too many to be written as an expression.
 
     Each distinct value yields its substrings of the lengths that variants have, these are
     joined to the variants, and the best entry per value is joined back. The matching runs on

@@ -62,11 +62,22 @@ def take_first(df: DataFrame, record: Sequence[str], value: str = "value", seq:
     return usable.groupBy(*record).agg(F.min_by(value, seq).alias(value))
 
 
-def pivot_wide(df: DataFrame, record: Sequence[str], known: Sequence[str], key: str = "key", value: str = "value", seq: str = "seq") -> DataFrame:
-    """Long records to columns, for the known keys; the last value of a key wins. One aggregation."""
-    return df.groupBy(*record).agg(
-        *[F.max_by(F.when(F.col(key) == k, F.col(value)), F.when(F.col(key) == k, F.col(seq))).alias(k) for k in known]
-    )
+def pivot_wide(
+    df: DataFrame, record: Sequence[str], known: Sequence[str], key: str = "key", value: str = "value", seq: str = "seq", other: str | None = None
+) -> DataFrame:
+    """Long records to columns, for the known keys; the last value of a key wins. One aggregation.
+
+    With ``other`` a record is open: fields that are not known go to a map column of that name, so
+    none is lost and the columns do not depend on the data.
+    """
+    last = F.max_by(value, seq).alias(value)
+    if other is None:
+        picked = [F.max_by(F.when(F.col(key) == k, F.col(value)), F.when(F.col(key) == k, F.col(seq))).alias(k) for k in known]
+        return df.groupBy(*record).agg(*picked)
+    # The last value of each key first: what is collected for a record is then one entry a key.
+    fields = df.groupBy(*record, key).agg(last)
+    rest = F.collect_list(F.when(~F.coalesce(F.col(key).isin(*known), F.lit(True)), F.struct(F.col(key).alias("key"), F.col(value).alias("value"))))
+    return fields.groupBy(*record).agg(*[F.max(F.when(F.col(key) == k, F.col(value))).alias(k) for k in known], F.map_from_entries(rest).alias(other))
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
@@ -74,9 +85,19 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def fill_and_cast(df: DataFrame, columns: Iterable[str], to: str = "int") -> DataFrame:
-    """Missing becomes 0, then the columns are cast."""
+    """Missing becomes 0, then the columns are cast, straight to their type: no digit is lost on the way.
+
+    A text that is no such number becomes missing; ``castable`` gives the rules that send such rows
+    to the rejects first.
+    """
+    present = [c for c in columns if c in df.columns]
+    return df.withColumns({c: F.when(F.col(f"`{c}`").isNull(), F.lit(0).cast(to)).otherwise(F.col(f"`{c}`").try_cast(to)) for c in present})
+
+
+def castable(df: DataFrame, columns: Iterable[str], to: str = "int") -> dict[str, Column]:
+    """Rules for ``split_rejects``: every value of the columns is missing or such a number."""
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)).cast(to) for c in present})
+    return {f"{c} is no {to}": F.col(f"`{c}`").isNull() | F.col(f"`{c}`").try_cast(to).isNotNull() for c in present}
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, str]) -> DataFrame:

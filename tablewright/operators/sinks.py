@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -32,12 +33,21 @@ def destination(df: DataFrame, name: str, by: str = "Destination") -> DataFrame:
     return df.where(F.col(by) == name).drop(by)
 
 
+def keyed(df: DataFrame, keys: Sequence[str]) -> Column:
+    """True for rows that have every key: the others cannot be told apart and are rejects."""
+    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
     """Keyed replace: the newest row of each key, over both sides, with a widened schema.
 
     ``max_by`` combines on the map side, so a key with a third of all versions reaches its
-    reducer as one row per task. ``seq`` orders rows within a side.
+    reducer as one row per task. ``seq`` orders rows within a side; without it a key may come in
+    once only, as nothing else says which row is later. Rows without a key are not taken in.
     """
+    incoming = incoming.where(keyed(incoming, keys))
+    if seq is None and not incoming.groupBy(*[F.col(f"`{k}`") for k in keys]).count().where("count > 1").isEmpty():
+        raise ValueError("incoming rows repeat a key: name the column that orders them as seq")
     order = F.col(seq) if seq else F.lit(0)
     both = existing.withColumn("_batch", F.lit(0)).unionByName(incoming.withColumn("_batch", F.lit(1)), allowMissingColumns=True)
     return newest(both, keys, F.struct("_batch", order.alias("_seq")), drop=("_batch",))
@@ -59,17 +69,37 @@ def newest(rows: DataFrame, keys: Sequence[str], order: Column, drop: Sequence[s
     return found.select(*[F.col(f"`{k}`") for k in keys], *[F.col("_row").getField(c).alias(c) for c in rest])
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a table folder, oldest first (listing only, no data)."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's view of a folder: file system and path."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def _versions(spark: SparkSession, path: str, complete: bool = True) -> list[int]:
+    """Versions of a table folder, oldest first (listing only, no data); those begun, too, if not ``complete``."""
+    fs, folder = _folder(spark, path)
     if not fs.exists(folder):
         return []
-    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-    return sorted(
-        int(n[2:]) for n in names if n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
-    )
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    if not complete:
+        return sorted({int(n.split("=")[1]) for n in names if n.startswith(("v=", "_begun="))})
+    done = lambda n: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
+    return sorted(int(n[2:]) for n in names if n.startswith("v=") and done(n))
+
+
+def _claim(spark: SparkSession, path: str, number: int) -> None:
+    """Begin a version. Making its mark is atomic: of two writers that want a number one fails."""
+    fs, mark = _folder(spark, f"{path}/_begun={number}")
+    if not fs.createNewFile(mark):
+        raise RuntimeError(f"another writer has begun version {number} of {path}")
+
+
+def _retire(spark: SparkSession, path: str, keep: int) -> None:
+    """Drop complete versions but the newest ``keep``."""
+    for number in _versions(spark, path)[:-keep]:
+        for name in (f"v={number}", f"_begun={number}"):
+            fs, old = _folder(spark, f"{path}/{name}")
+            fs.delete(old, True)
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
@@ -77,12 +107,23 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/v={held[-1]}") if held else None
 
 
-def save(df: DataFrame, spec: TableSpec, root: str, mode: str = "write", seq: str | None = None, defaults: Mapping[str, str] | None = None, columns: Sequence[str] = ()) -> DataFrame | None:
+def save(
+    df: DataFrame,
+    spec: TableSpec,
+    root: str,
+    mode: str = "write",
+    seq: str | None = None,
+    defaults: Mapping[str, str] | None = None,
+    columns: Sequence[str] = (),
+    keep: int | None = None,
+) -> DataFrame | None:
     """Write a table in one of three modes and return what it then holds.
 
     ``remake`` keeps the new rows only, ``write`` merges them into the held ones (columns that
-    are new to the table widen it), ``read`` writes nothing. A version is a folder of its own
-    and counts once its job has committed, so readers of the old one are not disturbed.
+    are new to the table widen it, unless the table is closed), ``read`` writes nothing. A version
+    is a folder of its own and counts once its job has committed, so readers of the old one are not
+    disturbed; a writer that meets another one fails and may try again. ``keep`` drops versions
+    older than so many. Rows without a key go to ``<name>_rejects``.
     """
     spark = df.sparkSession
     path = f"{root}/{spec.name}"
@@ -92,10 +133,17 @@ def save(df: DataFrame, spec: TableSpec, root: str, mode: str = "write", seq: st
         return current
     if mode not in ("write", "remake"):
         raise ValueError(f"unknown mode: {mode}")
-    rows = fill_defaults(df, defaults or {})
+    rows = fill_defaults(spec.shaped(df), defaults or {})
+    number = max([0, *_versions(spark, path, complete=False)]) + 1
+    _claim(spark, path, number)
+    keyless = rows.where(~keyed(rows, spec.keys))
+    if not keyless.isEmpty():
+        keyless.write.parquet(f"{root}/{spec.name}_rejects/v={number}")
     base = current if current is not None and mode == "write" else rows.limit(0)
     merged = order_columns(upsert(base, rows, spec.keys, seq), columns)
-    merged.write.mode("overwrite").parquet(f"{path}/v={(held[-1] if held else 0) + 1}")
+    merged.write.parquet(f"{path}/v={number}")
+    if keep:
+        _retire(spark, path, keep)
     return read_current(spark, path)
 
 

@@ -9,7 +9,7 @@ from tablewright.functions.text import before, bucket_special, capitalize, repla
 from tablewright.operators.links import overlaps, slug_tokens
 from tablewright.operators.rename import rename_exact
 from tablewright.operators.reshape import dedupe_rows
-from tablewright.rules import EXCLUDED_CLASS_PHRASES, MAIN_WEAPON_NAMES, SECOND_WEAPON_NAMES
+from tablewright.rules import RulePack
 from tablewright.sources.corpus import json_fields
 
 # Fixed value: shape of a class document.
@@ -20,12 +20,12 @@ CLASS_DOCUMENT = (
 )
 
 
-def class_links(links: DataFrame, column: str = "href") -> DataFrame:
+def class_links(links: DataFrame, column: str = "href", rules: RulePack = RulePack()) -> DataFrame:
     """Links to class pages, without those of excluded classes."""
-    return links.where(~overlaps(slug_tokens(F.col(column)), EXCLUDED_CLASS_PHRASES))
+    return links.where(~overlaps(slug_tokens(F.col(column)), rules.excluded_class_phrases))
 
 
-def class_tables(documents: DataFrame, text: str = "text") -> dict[str, DataFrame]:
+def class_tables(documents: DataFrame, text: str = "text", rules: RulePack = RulePack()) -> dict[str, DataFrame]:
     post = json_fields(documents, text, CLASS_DOCUMENT, []).select("doc.pageProps.post.*")
     read = post.where(F.col("class").isNotNull()).select(F.trim(replace_each(F.col("class"), [","])).alias("ClassName"), "content.*")
     effect = before(replace_each(F.col("legion"), ["%", ","]), "(")
@@ -49,6 +49,6 @@ def class_tables(documents: DataFrame, text: str = "text") -> dict[str, DataFram
     return {
         "CharacterData": character,
         "UnionEffect": dedupe_rows(union),
-        "ClassMainWeapon": rename_exact(listed(0, "weapon", "Weapon"), "Weapon", MAIN_WEAPON_NAMES),
-        "ClassSecWeapon": rename_exact(listed(1, "secondary", "Secondary"), "Secondary", SECOND_WEAPON_NAMES),
+        "ClassMainWeapon": rename_exact(listed(0, "weapon", "Weapon"), "Weapon", rules.main_weapon_names),
+        "ClassSecWeapon": rename_exact(listed(1, "secondary", "Secondary"), "Secondary", rules.second_weapon_names),
     }

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tablewright.functions.records import level_text
+from tablewright.functions.records import key_value, level_text
 from tablewright.functions.text import clean_lines
 from tablewright.operators import details, layout as Y, predicates as P, rename, reshape
 from tablewright.operators.links import canonical, extract, reach, resolve, slug, slug_name
+from tablewright.operators.sinks import cast_inferred, destination, save
 from tablewright.operators.steps import run_steps
-from tablewright.rules import ACCESSORY_SLOTS, ARMOR_SLOTS, WEAPON_SETS, RulePack
+from tablewright.rules import RulePack
 from tablewright.session import stage
 from tablewright.sources.markup import cells_of, nodes, stored_nodes
+from tablewright.specs import TableSpec
 
 # A slot that is not used, classes of the tab boxes, and fields a record starts with.
 UNUSED_SLOT = "Totem"
@@ -45,15 +47,14 @@ def slot_corpus(index: DataFrame, pages: DataFrame) -> DataFrame:
     a slash; these are followed until no new one turns up. A page that two slots reach goes
     to the first by name.
     """
-    at = lambda slot, url: F.concat(slot, F.lit("|"), canonical(url))
+    # The search follows pairs of slot and address, each written as one JSON text.
+    at = lambda slot, url: F.to_json(F.struct(slot.alias("slot"), canonical(url).alias("at")))
     links = extract(pages).where(F.col("title").contains("/"))
     slot = F.split_part("title", F.lit("/"), F.lit(1))
     edges = links.select(at(slot, F.col("url")).alias("src"), at(slot, resolve(F.col("url"), F.col("href"))).alias("dst")).distinct()
     reached = reach(index.select(at(F.col("EquipSlot"), F.col("link")).alias("url")), edges)
-    # Slots hold no bar; an address may.
-    owner = reached.select(
-        F.regexp_extract("url", r"^([^|]*)\|", 1).alias("slot"), F.regexp_extract("url", r"^[^|]*\|(.*)$", 1).alias("_at")
-    ).groupBy("_at").agg(F.min("slot").alias("slot"))
+    pair = F.from_json("url", "slot string, at string")
+    owner = reached.select(pair["slot"].alias("slot"), pair["at"].alias("_at")).groupBy("_at").agg(F.min("slot").alias("slot"))
     return pages.join(owner, canonical(F.col("url")) == owner["_at"]).drop("_at")
 
 
@@ -102,7 +103,7 @@ def list_rows(pages: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
         F.translate(F.get("texts", F.lit(0)), ",<>", "").alias("EquipName"),
         level.alias("EquipLevel"),
         F.replace("title", F.lit(","), F.lit(";")).alias("Category"),
-        rename.slot_category(F.col("slot"), ARMOR_SLOTS, ACCESSORY_SLOTS).alias("Destination"),
+        rename.slot_category(F.col("slot"), rules.armor_slots, rules.accessory_slots).alias("Destination"),
         F.when(F.col("href").isNotNull(), resolve(F.col("url"), F.col("href"))).alias("link"),
         "texts",
     )
@@ -125,8 +126,12 @@ def _facts(pages: DataFrame, rows: DataFrame, rules: RulePack) -> DataFrame:
     return wanted.select("page_id", "url").join(per_page, "page_id", "left").select("url", "facts")
 
 
-def equipment_records(lists: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack()) -> DataFrame:
-    """Records of all slots with the ``known`` stat fields, renamed and with defaults filled."""
+def equipment_records(lists: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = None, order: str | None = None) -> DataFrame:
+    """Records of all slots with the ``known`` stat fields, renamed and with defaults filled.
+
+    Further fields go to the map ``other``, if one is named; ``order`` names a column that says
+    where in the lists a record stands.
+    """
     rows = stage(list_rows(lists, rules).where("kept").drop("kept"), "rows")
     android = F.col("EquipSlot") == "Android"
     joined = details.join_details(rows, _facts(pages, rows.where(~android), rules), list_only=android)
@@ -134,16 +139,26 @@ def equipment_records(lists: DataFrame, pages: DataFrame, known: Sequence[str],
         F.filter("texts", lambda t: t.contains(":")),
         lambda t, i: F.struct(F.split_part(t, F.lit(":"), F.lit(1)).alias("key"), F.split_part(t, F.lit(":"), F.lit(-1)).alias("value"), i.cast("bigint").alias("seq")),
     )
-    none = F.array().cast("array<struct<key:string,value:string,seq:bigint>>")
     list_only = F.col("link").isNull() | android
-    facts = F.when(list_only, own).otherwise(F.coalesce("facts", none))
-    base = ["page_id", "table_id", "row_idx"]
-    long = joined.select(*base, F.explode(facts).alias("f")).select(*base, "f.key", "f.value", "f.seq")
+    facts = F.when(list_only, own).otherwise(F.coalesce("facts", _no_facts()))
+    return _assembled(joined.withColumn("facts", facts), ["page_id", "table_id", "row_idx"], LIST_FIELDS, known, rules, other, order)
+
+
+def _no_facts() -> Column:
+    return F.array().cast("array<struct<key:string,value:string,seq:bigint>>")
+
+
+def _assembled(rows: DataFrame, base: list[str], fields: list[str], known: Sequence[str], rules: RulePack, other: str | None, order: str | None) -> DataFrame:
+    """Rows with (key, value, seq) ``facts`` as records: fields named and pivoted, defaults, renames, column order."""
+    long = rows.select(*base, F.explode("facts").alias("f")).select(*base, "f.key", "f.value", "f.seq")
     named = rename.name_fields(long, rules.field_names)
-    wide = reshape.pivot_wide(named, base, [k for k in known if k not in LIST_FIELDS])
-    whole = joined.select(*base, *LIST_FIELDS).join(wide, base, "left").drop(*base)
+    named = named.where(~F.col("key").isin(*fields)) if other else named
+    wide = reshape.pivot_wide(named, base, [k for k in known if k not in fields], other=other)
+    whole = rows.select(*base, *fields).join(wide, base, "left")
+    if order:
+        whole = whole.withColumn(order, F.struct(*base))
     return run_steps(
-        whole,
+        whole.drop(*base),
         {
             700: lambda df: reshape.fill_defaults(df, rules.defaults),
             800: lambda df: rename.rename_record(df, rules),
@@ -156,10 +171,10 @@ def record_counts(lists: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
     return reshape.route_counts(list_rows(lists, rules), F.col("kept"))
 
 
-def weapon_links(links: DataFrame, sets: Sequence[str] = tuple(WEAPON_SETS)) -> DataFrame:
+def weapon_links(links: DataFrame, sets: Sequence[str] | None = None, rules: RulePack = RulePack()) -> DataFrame:
     """Links to the weapons of the tracked sets, with name and set; sealed forms are left out."""
     name = slug_name(F.col("href"))
-    tracked = F.array_intersect(F.split("EquipName", " "), F.array(*[F.lit(s) for s in sets]))
+    tracked = F.array_intersect(F.split("EquipName", " "), F.array(*[F.lit(s) for s in (rules.weapon_sets if sets is None else sets)]))
     return (
         links.withColumn("EquipName", name)
         .where(~F.col("EquipName").contains("Sealed"))
@@ -169,11 +184,28 @@ def weapon_links(links: DataFrame, sets: Sequence[str] = tuple(WEAPON_SETS)) ->
     )
 
 
-def secondary_rows(pages: DataFrame, weapon_type: Column, sets: Sequence[str] = tuple(WEAPON_SETS)) -> DataFrame:
+def weapon_records(links: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = None, order: str | None = None) -> DataFrame:
+    """Records of the weapons that ``links(…, pos, WeaponType)`` name, with the facts of their detail pages."""
+    rows = weapon_links(links, rules=rules).select(
+        "page_id", "pos", F.lit("Weapon").alias("EquipSlot"), "EquipName", "EquipSet", "WeaponType", F.lit("EquipWeapon").alias("Destination"), "link"
+    )
+    rows = stage(rows, "weapons")
+    joined = details.join_details(rows, _facts(pages, rows, rules))
+    fields = ["EquipSlot", "EquipName", "EquipSet", "WeaponType", "Destination"]
+    return _assembled(joined.withColumn("facts", F.coalesce("facts", _no_facts())), ["page_id", "pos"], fields, known, rules, other, order)
+
+
+def secondary_rows(pages: DataFrame, weapon_type: Column, sets: Sequence[str] | None = None, rules: RulePack = RulePack()) -> DataFrame:
     """Second-weapon pages: the i-th class named in the prose owns the i-th table of the page.
 
+    A table ends at a row whose first text speaks of equipment: what follows is not of the class.
     Returns ``(page_id, WeaponType, ClassName, EquipName, header, lines)`` in long form.
     """
+    return _secondary_cells(pages, weapon_type, sets, rules).select("page_id", "WeaponType", "ClassName", "EquipName", "header", "lines")
+
+
+def _secondary_cells(pages: DataFrame, weapon_type: Column, sets: Sequence[str] | None, rules: RulePack) -> DataFrame:
+    sets = rules.weapon_sets if sets is None else sets
     rows = stage(Y.by_page(nodes(pages, ("p", "a", "table", "td", "th"))), "secondary")
     names = Y.prose_names(rows, skip=["Shade"]).select("page_id", F.col("idx").alias("pos"), F.translate("name", ",", "").alias("ClassName"))
     typed = pages.select("page_id", weapon_type.alias("WeaponType"))
@@ -184,8 +216,40 @@ def secondary_rows(pages: DataFrame, weapon_type: Column, sets: Sequence[str] =
     grids = Y.numbered(rows.where((F.col("tag") == "table") & Y.has_class("wikitable"))).select("page_id", "pos", F.col("node_id").alias("table_id"))
     owned = names.withColumn("pos", F.col("pos").cast("int")).unionByName(extra).join(grids, ["page_id", "pos"]).join(typed, "page_id")
     cells = Y.with_header(cells_of(rows))
-    first = cells.where(F.col("col_idx") == 0).select("page_id", "table_id", "row_idx", F.trim(F.translate("text", ",<>", "")).alias("EquipName"))
-    values = cells.where((F.col("col_idx") > 0) & F.col("header").isNotNull()).select("page_id", "table_id", "row_idx", "header", "lines")
+    is_first = F.col("col_idx") == 0
+    ends = F.min(F.when(is_first & F.lower("text").contains("equipment"), F.col("row_idx"))).over(Window.partitionBy("page_id", "table_id"))
+    cells = cells.withColumn("ends", ends).where(F.col("ends").isNull() | (F.col("row_idx") < F.col("ends"))).drop("ends")
+    first = cells.where(is_first).select("page_id", "table_id", "row_idx", F.trim(F.translate("text", ",<>", "")).alias("EquipName"))
+    values = cells.where((F.col("col_idx") > 0) & F.col("header").isNotNull()).select("page_id", "table_id", "row_idx", "col_idx", "header", "lines")
     found = values.join(first, ["page_id", "table_id", "row_idx"]).join(owned.drop("pos"), ["page_id", "table_id"])
     in_set = F.arrays_overlap(F.split("EquipName", " "), F.array(*[F.lit(s) for s in sets]))
-    return found.where((F.col("WeaponType") != "Katara") | in_set).select("page_id", "WeaponType", "ClassName", "EquipName", "header", "lines")
+    return found.where((F.col("WeaponType") != "Katara") | in_set)
+
+
+def secondary_records(pages: DataFrame, weapon_type: Column, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = None, order: str | None = None) -> DataFrame:
+    """Records of second weapons: lines of requirement and effect columns are fields, other columns one field each."""
+    cells = _secondary_cells(pages, weapon_type, None, rules)
+    base = ["page_id", "table_id", "row_idx"]
+    lines = F.filter(clean_lines("lines"), lambda t: F.trim(t) != "")
+    many = F.lower("header").rlike("requirements|effects")
+    entry = lambda key, value, seq: F.struct(key.alias("key"), value.alias("value"), seq.cast("bigint").alias("seq"))
+    place = lambda i: F.col("col_idx").cast("bigint") * F.lit(1 << 20) + i
+    parsed = F.transform(lines, lambda t, i: entry(key_value(t)["key"], key_value(t)["value"], place(i)))
+    whole = F.array(entry(F.col("header"), F.array_join(lines, " "), place(F.lit(0))))
+    per_cell = cells.withColumn("facts", F.when(many, parsed).otherwise(whole))
+    # A row has as many facts as its cells have lines.
+    rows = per_cell.groupBy(*base).agg(
+        *[F.first(c).alias(c) for c in ("ClassName", "EquipName", "WeaponType")], F.flatten(F.collect_list("facts")).alias("facts")
+    )
+    rows = rows.withColumns({"EquipSlot": F.lit("Secondary"), "Destination": F.lit("EquipSecondary")})
+    return _assembled(rows, base, ["EquipSlot", "ClassName", "EquipName", "WeaponType", "Destination"], known, rules, other, order)
+
+
+def store_records(records: DataFrame, root: str, specs: Mapping[str, TableSpec], seq: str, stats: Sequence[str], rules: RulePack = RulePack()) -> dict[str, DataFrame]:
+    """Upsert records into the table of their destination and return what the tables then hold.
+
+    Stat fields get the type that all their values have. Records are written once for all tables.
+    """
+    held = stage(records, "records")
+    typed = cast_inferred(held, [c for c in stats if c in held.columns])
+    return {name: save(destination(typed, name), spec.named(name), root, seq=seq, defaults=rules.defaults, columns=rules.column_order) for name, spec in specs.items()}

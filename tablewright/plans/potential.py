@@ -152,7 +152,7 @@ def _value_rows(df: DataFrame, bare: bool = False) -> DataFrame:
         *KEYS,
         F.coalesce(band["MinLvl"], "MinLvl", F.lit(0)).cast("int").alias("MinLvl"),
         F.coalesce(band["MaxLvl"], F.when(F.col("MinLvl").isNotNull(), F.lit(OPEN_END)), F.lit(0)).cast("int").alias("MaxLvl"),
-        F.coalesce(own_chance.try_cast("double"), F.col("BoxChance").try_cast("double"), F.col("FactChance").cast("double"), F.lit(0.0)).cast("int").alias("Chance"),
+        F.coalesce(own_chance.try_cast("double"), F.col("BoxChance").try_cast("double"), F.col("FactChance").cast("double"), F.lit(0.0)).alias("Chance"),
         F.coalesce("Tick", F.lit(0)).cast("int").alias("Tick"),
         F.when(percent, "Perc").otherwise(F.col("FactStatT")).alias("StatT"),
         F.coalesce(F.trim(F.replace(text, F.lit("%"), F.lit(""))), F.lit("0")).alias("Stat value"),

@@ -10,7 +10,7 @@ from tablewright.functions.records import key_value
 from tablewright.functions.text import clean_lines
 from tablewright.operators import layout as Y, predicates as P, rename, reshape
 from tablewright.operators.links import resolve
-from tablewright.rules import IGNORED_SETS, TRACKED_SETS, RulePack
+from tablewright.rules import RulePack
 from tablewright.session import stage
 from tablewright.sources.markup import cells_of, stored_nodes
 
@@ -23,7 +23,7 @@ def class_of_tab(title: Column) -> Column:
     return F.when(title == "Common", F.lit("Any")).otherwise(title)
 
 
-def set_index(pages: DataFrame) -> DataFrame:
+def set_index(pages: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
     """Tracked sets named by index pages: ``(page_id, ClassType, EquipSet, link)``.
 
     The first tab box after the section heading has one tab per class; the i-th table belongs
@@ -42,21 +42,22 @@ def set_index(pages: DataFrame) -> DataFrame:
         "page_id", "top_id", F.col("attrs")["href"].alias("href")
     )
     found = links.join(owned, ["page_id", "top_id"]).join(pages.select("page_id", "url"), "page_id")
-    return tracked_sets(found).select("page_id", "ClassType", "EquipSet", resolve(F.col("url"), F.col("href")).alias("link"))
+    return tracked_sets(found, rules=rules).select("page_id", "ClassType", "EquipSet", resolve(F.col("url"), F.col("href")).alias("link"))
 
 
-def tracked_sets(links: DataFrame, class_type: str = "ClassType") -> DataFrame:
+def tracked_sets(links: DataFrame, class_type: str = "ClassType", rules: RulePack = RulePack()) -> DataFrame:
     """Links of tracked sets with the set's name: separators, the word "Set" and the class removed."""
     plain = F.replace(F.regexp_replace(F.element_at(F.split("href", "/"), -1), r"%|_|-|#|27s", " "), F.lit("Set"), F.lit(""))
     name = F.rtrim(F.split_part(F.rtrim(F.replace(plain, F.col(class_type), F.lit(""))), F.lit("("), F.lit(1)))
-    return links.withColumn("EquipSet", name).where(P.name_allowed(F.col("EquipSet"), TRACKED_SETS, IGNORED_SETS))
+    return links.withColumn("EquipSet", name).where(P.name_allowed(F.col("EquipSet"), rules.tracked_sets, rules.ignored_sets))
 
 
-def set_effects(pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack()) -> DataFrame:
+def set_effects(pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = None) -> DataFrame:
     """Effect records of set pages: ``pages(page_id, html, EquipSet, ClassType)``.
 
     Each header is one destination. The threshold stands in the bold text of a row; the lines
-    of the cell under a header are its effects. Rows without a threshold are skipped.
+    of the cell under a header are its effects. Rows without a threshold are skipped. Effects that
+    are not ``known`` go to the map ``other``, if one is named.
     """
     read = stored_nodes(pages, ("table", "th", "td", "b"), "set-nodes")
     grid = (F.col("tag") == "table") & Y.has_class("wikitable")
@@ -87,5 +88,5 @@ def set_effects(pages: DataFrame, known: Sequence[str], rules: RulePack = RulePa
         F.struct("row_idx", "pos").alias("seq"),
     )
     named = rename.name_fields(kv, rules.field_names)
-    wide = reshape.pivot_wide(named, keys, list(known))
+    wide = reshape.pivot_wide(named, keys, list(known), other=other)
     return reshape.order_columns(wide, rules.column_order)

@@ -55,7 +55,7 @@ def success_rates(rows: DataFrame) -> DataFrame:
     # A cell that is absent, or present and empty, is a rate of 0.
     rate = lambda c: parse_number(Y.cell_values(F.col(c)), absent=0).alias(c)
     whole = lambda c: parse_number(Y.cell_values(F.col(c)), absent=0).cast("int").alias(c)
-    return wide.select("Title", whole("Attempt"), whole("Success"), *[rate(c) for c in RATE_COLUMNS[2:]])
+    return wide.select("Title", whole("Attempt"), *[rate(c) for c in RATE_COLUMNS[1:]])
 
 
 def stat_boosts(rows: DataFrame) -> DataFrame:

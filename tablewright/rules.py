@@ -193,6 +193,14 @@ class RulePack:
     slot_min_level: Mapping[str, int] = field(default_factory=lambda: SLOT_MIN_LEVEL)
     ignored_words: list[str] = field(default_factory=lambda: IGNORED_SET_WORDS)
     skipped_keys: list[str] = field(default_factory=lambda: SKIPPED_KEYS)
+    armor_slots: list[str] = field(default_factory=lambda: ARMOR_SLOTS)
+    accessory_slots: list[str] = field(default_factory=lambda: ACCESSORY_SLOTS)
+    weapon_sets: list[str] = field(default_factory=lambda: WEAPON_SETS)
+    tracked_sets: list[str] = field(default_factory=lambda: TRACKED_SETS)
+    ignored_sets: list[str] = field(default_factory=lambda: IGNORED_SETS)
+    main_weapon_names: Mapping[str, str] = field(default_factory=lambda: MAIN_WEAPON_NAMES)
+    second_weapon_names: Mapping[str, str] = field(default_factory=lambda: SECOND_WEAPON_NAMES)
+    excluded_class_phrases: list[str] = field(default_factory=lambda: EXCLUDED_CLASS_PHRASES)
 
     @staticmethod
     def from_json(spark: SparkSession, path: str) -> "RulePack":

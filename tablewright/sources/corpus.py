@@ -41,9 +41,16 @@ def script_json(html: Column, script_id: str, path: str) -> Column:
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV whose first, unnamed column is a row number: the number is read and dropped."""
-    indexed = T.StructType([T.StructField("_c0", T.LongType())] + schema.fields)
-    return spark.read.schema(indexed).option("header", True).option("enforceSchema", True).csv(path).drop("_c0")
+    """CSV whose first, unnamed column is a row number: the number is read and dropped.
+
+    Columns are bound by the names in the header, whatever their order; a column that the file
+    lacks is missing, one that the schema lacks is left out. Files of one folder share a header.
+    """
+    # Only the header is read here; what the files hold is read as text and cast by name.
+    header = spark.read.option("header", True).csv(path)
+    raw = spark.read.schema(header.schema).option("header", True).option("enforceSchema", False).csv(path)
+    column = lambda f: F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns[1:] else F.lit(None).cast(f.dataType)
+    return raw.select(*[column(f).alias(f.name) for f in schema.fields])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

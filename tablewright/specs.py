@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 @dataclass(frozen=True)
@@ -17,6 +17,19 @@ class TableSpec:
     def with_keys(self, *extra: str) -> "TableSpec":
         return TableSpec(self.name, self.keys + extra, self.declared, self.open)
 
+    def named(self, name: str) -> "TableSpec":
+        return TableSpec(name, self.keys, self.declared, self.open)
+
+    def shaped(self, df: DataFrame) -> DataFrame:
+        """Rows as the table takes them: declared columns in their types, present or missing.
+
+        An open table takes further columns as they come; a closed one leaves them out.
+        """
+        typed = {f.name: (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)) for f in self.declared}
+        wide = df.withColumns(typed) if typed else df
+        names = {*self.keys, *self.declared.fieldNames()}
+        return wide if self.open else wide.select(*[c for c in wide.columns if c in names])
+
 
 def _text(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])

@@ -32,12 +32,18 @@ def run_to_end(stream: DataFrame, each: Callable[[DataFrame, int], None], checkp
     query.awaitTermination()
 
 
+def _none_of(stream: DataFrame) -> DataFrame:
+    """An empty batch: its result stands first, so that a stream without any batch has one, too."""
+    return stream.sparkSession.createDataFrame([], stream.schema)
+
+
 def stream_frontier(pages: DataFrame, out: str) -> DataFrame:
     """Frontier of a page stream; facts are combined per batch before they are written."""
     def each(batch: DataFrame, number: int) -> None:
         facts = frontier_facts(batch).groupBy("url").agg(F.max("held").alias("held"))
         facts.write.mode("overwrite").parquet(f"{out}/facts/batch={number}")
 
+    each(_none_of(pages), -1)
     run_to_end(pages, each, f"{out}/checkpoint")
     return settle(pages.sparkSession.read.parquet(f"{out}/facts"))
 
@@ -49,6 +55,7 @@ def stream_records(
     def each(batch: DataFrame, number: int) -> None:
         newest(step(batch), keys, F.col(seq)).write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
 
+    each(_none_of(stream), -1)
     run_to_end(stream, each, f"{out}/checkpoint")
     held = stream.sparkSession.read.parquet(f"{out}/rows")
     return newest(held, keys, F.struct(F.col("batch"), F.col(seq)), drop=("batch",))
