@@ -161,8 +161,12 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, chars: int = CHARS, error:
     text in five calibrates. Without any there is no model.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= per_lang)
+    # Of a large language only about twice as many as are wanted are ranked, those with small hashes.
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    near = known.select("doc_id", "lang").join(sizes, "lang").where(place * F.col("size") <= F.lit((1 << 30) * (2.0 * per_lang + 100)))
+    by_hash = Window.partitionBy("lang").orderBy(place, "doc_id")
+    ids = near.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= per_lang)
     texts = known.select("doc_id", "lang", F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text"))
     # per_lang texts of each language: a fixed number for a set of languages.
     rows = texts.join(F.broadcast(ids.drop("n")), ["doc_id", "lang"]).orderBy("lang", F.xxhash64("doc_id"), "text").collect()
