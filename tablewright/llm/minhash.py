@@ -4,11 +4,14 @@ Each document becomes the set of its distinct word shingles. Its signature keeps
 of 128 hash functions over the set, of which the low four bits are packed; runs of whole minima
 are hashed to band keys. Documents with equal sets are one class from the start.
 
-Classes that share a band key are candidates. Of a bucket only pairs with a pivot are made, never
-all pairs. The packed bits of a pair give its similarity, corrected for minima that agree by
-chance; pairs far below the threshold go, all others are confirmed on the sets themselves. Links
-join classes into components; buckets that still hold several components get further pivots, of
-the rarest components first, until every pair of a bucket is either in one component or tested.
+Classes that share a band key are candidates. Of a bucket every class is first paired with its
+smallest one only. The packed bits of a pair give its similarity, corrected for minima that agree
+by chance; pairs far below the threshold go, all others are confirmed on the sets themselves, and
+links join classes into components. Where a bucket still holds several components, the signatures
+of its members are compared in blocks, the members of its largest component only with those of
+others: pairs that look like links come out first, and after those are settled the pairs between
+components that might still be links. So every pair of a bucket is in one component, or ruled out
+by its signatures, or confirmed or refuted on its sets, and never are all pairs of a bucket made.
 """
 
 from __future__ import annotations
@@ -25,10 +28,10 @@ from tablewright.llm.common import written
 
 #: Hash functions, minima in a band, low bits kept of a minimum.
 HASHES, ROWS, BITS = 128, 4, 4
-#: Pairs whose estimate is this far below the threshold are not confirmed: six standard deviations.
-MARGIN = 0.22
-#: Further pivots a bucket gets in one round.
-PIVOTS = 4
+#: Pairs whose estimate is this far below the threshold are not confirmed: five standard deviations.
+MARGIN = 0.185
+#: Members of a bucket that are held at a time, and that meet them at a time.
+BLOCK, TILE = 2048, 1024
 #: Bytes of text hashed at a time.
 PIECE = 1 << 20
 
@@ -245,15 +248,13 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     shared = members.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
     members = written(members.join(shared, "band").select("band", "id", "pivot"), "buckets")
 
-    # First round: the smallest class of each bucket is its pivot.
+    # First the smallest class of each bucket with all others; then what is left between components.
     tested = written(members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    links = confirmed(tested, classes, docs, words, percent)
-    roots = components(links)
-    left = members.where("id <> pivot").select("band", "id")
-    while True:
-        left, pairs = further_pairs(left, roots, tested)
+    roots = components(confirmed(tested, classes, docs, words, percent))
+    for least in (percent / 100, percent / 100 - MARGIN):
+        pairs = written(pairs_between(members, roots, classes, least).join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
-            break
+            continue
         more = confirmed(pairs, classes, docs, words, percent)
         tested = tested.unionByName(pairs)
         joined = components(relabelled(relabelled(more, "a", roots), "b", roots))
@@ -277,20 +278,52 @@ def without_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
 
 
-def further_pairs(left: DataFrame, roots: DataFrame, tested: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The next pivots of buckets that hold several components: the rest of the buckets, and new pairs.
+def pairs_between(members: DataFrame, roots: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of one bucket, in different components, whose estimate is at least ``least``.
 
-    Pivots are a few members of the rarest components; each is paired with the members of other
-    components. A pivot is then done with: all its pairs are tested or within a component.
+    All members of a bucket but those of its largest component are dealt into blocks; every block
+    meets the whole bucket, which streams by in tiles.
     """
-    named = relabelled(left.withColumn("root", F.col("id")), "root", roots)
+    named = relabelled(members.select("band", "id").withColumn("root", F.col("id")), "root", roots)
     sizes = named.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    several = sizes.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("band")
-    alive = written(named.join(sizes, ["band", "root"]).join(several, "band", "left_semi"), "alive")
-    rarest = Window.partitionBy("band").orderBy("n", "root", "id")
-    pivots = alive.withColumn("nth", F.row_number().over(rarest)).where(F.col("nth") <= PIVOTS)
-    pivots = written(pivots.select("band", F.col("id").alias("pivot"), F.col("root").alias("pivot_root")), "pivots")
-    met = alive.join(pivots, "band").where("root <> pivot_root")
-    pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    rest = alive.select("band", "id").join(pivots.select("band", F.col("pivot").alias("id")), ["band", "id"], "left_anti")
-    return written(rest, "rest"), written(pairs, "pairs")
+    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).where(F.col("all") > F.col("top.n"))
+    blocks = largest.select("band", F.col("top.root").alias("main"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("blocks"))
+    alive = named.join(blocks, "band").join(classes.select("id", "packed"), "id")
+    asking = alive.where("root <> main").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("side", F.lit(0))
+    asked = alive.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(1))
+    columns = ["band", "block", "side", "id", "root", "packed"]
+    chance = 2.0**-BITS
+    enough = int(np.ceil(HASHES * (max(least, 0) * (1 - chance) + chance) - 1e-9))
+    ones = np.uint64(int("1" * (64 // BITS), 16))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by bucket and block, those that ask first."""
+        cell, ids, owners, bits = None, [], [], []
+        for batch in batches:
+            band, block, side, who, root = (batch.column(i).to_numpy() for i in range(5))
+            packs = batch.column(5).flatten().to_numpy().view(np.uint64).reshape(len(who), -1)
+            cut = np.r_[True, (band[1:] != band[:-1]) | (block[1:] != block[:-1]) | (side[1:] != side[:-1]), True]
+            cuts = np.nonzero(cut)[0]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if cell != (band[lo], block[lo]):
+                    cell, ids, owners, bits = (band[lo], block[lo]), [], [], []
+                if side[lo] == 0:
+                    ids.append(who[lo:hi])
+                    owners.append(root[lo:hi])
+                    bits.append(packs[lo:hi])
+                    continue
+                mine, own, held = np.concatenate(ids), np.concatenate(owners), np.concatenate(bits)
+                for at in range(lo, hi, TILE):
+                    to = min(at + TILE, hi)
+                    differ = np.zeros((len(mine), to - at), np.uint16)
+                    for word in range(held.shape[1]):
+                        x = held[:, word, None] ^ packs[None, at:to, word]
+                        for by in (1, 2):
+                            x |= x >> np.uint64(by)
+                        differ += np.bitwise_count(x & ones)
+                    q, t = np.nonzero((HASHES - differ >= enough) & (own[:, None] != root[None, at:to]))
+                    a, b = mine[q], who[at:to][t]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    met = asking.select(columns).unionByName(asked.select(columns)).repartition("band", "block").sortWithinPartitions("band", "block", "side")
+    return met.mapInArrow(meet, "a long, b long").distinct()

@@ -81,19 +81,27 @@ def test_near_needs_chains_and_rounds(spark):
     assert got == brute.near_groups(rows, 2)
 
 
-def test_further_pairs_reach_every_pair(spark):
-    """Without links, a bucket's pairs are all made in the end, each once, a few pivots at a time."""
-    left = spark.createDataFrame([(1, i) for i in range(12)] + [(2, 3), (2, 4)], "band long, id long")
-    roots = spark.createDataFrame([(i, 0) for i in range(1, 5)], "id long, root long")
-    tested, rounds = spark.createDataFrame([(0, 11)], "a long, b long"), 0
-    while True:
-        left, pairs = minhash.further_pairs(left, roots, tested)
-        if pairs.isEmpty():
-            break
-        tested, rounds = tested.unionByName(pairs), rounds + 1
-    got = sorted((r.a, r.b) for r in tested.collect())
-    assert got == sorted((a, b) for a in range(12) for b in range(a + 1, 12) if not b <= 4)
-    assert rounds == 2
+def test_pairs_between_components(spark, monkeypatch):
+    """All pairs of a bucket that look alike and lie in different components, whatever the blocks."""
+    import numpy as np
+
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "TILE", 2)
+    rng = np.random.default_rng(5)
+    base, classes = rng.integers(0, 2**63, 400, np.uint64), []
+    for i in range(20):
+        own = np.r_[base[:340], rng.integers(0, 2**63, 60, np.uint64)] if i % 4 else rng.integers(0, 2**63, 400, np.uint64)
+        classes.append((i, minhash.packed(minhash.minima(own)).view(np.int64).tolist()))
+    members = [(1, i) for i in range(14)] + [(2, i) for i in range(10, 20)]
+    root = {i: 0 if i < 6 else 12 if i in (12, 13) else i for i in range(20)}
+    tables = (spark.createDataFrame(members, "band long, id long"), spark.createDataFrame([x for x in root.items() if x[0] != x[1]], "id long, root long"))
+    signatures = spark.createDataFrame(classes, "id long, packed array<long>")
+    both = signatures.selectExpr("id AS a", "packed AS x").crossJoin(signatures.selectExpr("id AS b", "packed AS y")).where("a < b")
+    alike = {(r.a, r.b): r.e for r in both.select("a", "b", minhash.estimate("x", "y").alias("e")).collect()}
+    for least in (0.0, 0.6, 0.8):
+        got = sorted((r.a, r.b) for r in minhash.pairs_between(*tables, signatures, least).collect())
+        want = {(a, b) for k, a in members for m, b in members if k == m and a < b and root[a] != root[b] and alike[a, b] >= least}
+        assert got == sorted(want)
 
 
 def test_components(spark):
