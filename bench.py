@@ -16,7 +16,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tablewright.checks import CHECKS, load  # noqa: E402
 from tablewright.session import build_session  # noqa: E402
 
-HEADLINE = ["frontier", "links_extract", "table_records", "rename_substring", "list_detail_join", "dedupe_ordered", "last_wins", "upsert_keyed", "stream_pages"]
+HEADLINE = [
+    "frontier", "links_extract", "table_records", "rename_substring", "list_detail_join", "dedupe_ordered", "last_wins", "upsert_keyed", "stream_pages",
+    "potential_values", "equipment_records", "star_limits", "set_effects", "slot_corpus",
+]
 
 
 def main() -> None:
