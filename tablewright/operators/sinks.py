@@ -75,6 +75,11 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
+
+
 def _versions(spark: SparkSession, path: str, complete: bool = True) -> list[int]:
     """Versions of a table folder, oldest first (listing only, no data); those begun, too, if not ``complete``."""
     fs, folder = _folder(spark, path)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.operators.links import canonical, frontier_facts, settle
-from tablewright.operators.sinks import newest
+from tablewright.operators.sinks import exists, newest
 
 PAGES = "page_id bigint, url string, html string"
 
@@ -33,7 +33,7 @@ def run_to_end(stream: DataFrame, each: Callable[[DataFrame, int], None], checkp
 
 
 def _none_of(stream: DataFrame) -> DataFrame:
-    """An empty batch: its result stands first, so that a stream without any batch has one, too."""
+    """An empty batch, for a stream that had none: its result has no rows, but a schema."""
     return stream.sparkSession.createDataFrame([], stream.schema)
 
 
@@ -43,8 +43,9 @@ def stream_frontier(pages: DataFrame, out: str) -> DataFrame:
         facts = frontier_facts(batch).groupBy("url").agg(F.max("held").alias("held"))
         facts.write.mode("overwrite").parquet(f"{out}/facts/batch={number}")
 
-    each(_none_of(pages), -1)
     run_to_end(pages, each, f"{out}/checkpoint")
+    if not exists(pages.sparkSession, f"{out}/facts"):
+        each(_none_of(pages), 0)
     return settle(pages.sparkSession.read.parquet(f"{out}/facts"))
 
 
@@ -55,8 +56,9 @@ def stream_records(
     def each(batch: DataFrame, number: int) -> None:
         newest(step(batch), keys, F.col(seq)).write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
 
-    each(_none_of(stream), -1)
     run_to_end(stream, each, f"{out}/checkpoint")
+    if not exists(stream.sparkSession, f"{out}/rows"):
+        each(_none_of(stream), 0)
     held = stream.sparkSession.read.parquet(f"{out}/rows")
     return newest(held, keys, F.struct(F.col("batch"), F.col(seq)), drop=("batch",))
 

@@ -91,3 +91,20 @@ def test_frontier_of_one_hot_target(spark):
         F.concat(F.lit("<a href='/hot'>h</a><a href='/p"), ((F.col("id") + 1) % 400).cast("string"), F.lit("'>n</a>")).alias("html"),
     )
     assert sorted(r.url for r in L.frontier(pages).collect()) == ["https://h.example/hot", "https://h.example/p300"]
+
+
+def test_entities_as_the_parse_pass_reads_them(spark):
+    import html
+    import random
+
+    rng = random.Random(1)
+    parts = ["&", "amp", "lt;", "#", "x", "1", "28", ";", "eacute", "not", "in", " ", "quot;", "#xD800;", "#0;", "#x80;", "#8211;"]
+    texts = ["".join(rng.choice(parts) for _ in range(6)) for _ in range(1500)] + ["&notit;", "&#99999999999;", "&copy2", "plain", ""]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", L.unescape(F.col("t")).alias("u")).collect()
+    assert [(r.t, r.u) for r in got] == [(t, html.unescape(t)) for t in texts]
+
+
+def test_links_end_where_they_end(spark):
+    page = '<a href="/x"><abbr>HP</abbr> ring</a><!-- <a href="/no">c</a> --><a title="a > b" href=/q>t</a  >u<a href="/open">abc <b>d</b><a href="/never">tail<p>x'
+    found = L.extract(spark.createDataFrame([(1, "https://h/x", page)], "page_id int, url string, html string")).orderBy("pos").collect()
+    assert [(r.href, r.title, r.text) for r in found] == [("/x", None, "HP ring"), ("/q", "a > b", "t"), ("/open", None, "abc"), ("/never", None, "tail")]

@@ -100,3 +100,14 @@ def test_nested_tables_are_numbered(source):
         own = [c for c in of(found, "td") if c["table"] == table["id"]]
         assert [c["col"] for c in own] == list(range(len(own)))
         assert all(table["id"] < c["id"] <= table["end"] for c in own)
+
+
+@pytest.mark.parametrize("depth", [600, 5000])
+def test_deep_cells_are_whole(depth):
+    found = rows("<div>" * depth + "<table><tr><td>v<b>w</b></td><td>" + "<i>" * depth + "x" + "</i>" * depth + "y</td></tr></table>", frozenset(("td", "b")))
+    assert [(r["tag"], r["row"], r["col"], r["lines"]) for r in found] == [("td", 0, 0, ["v", "w"]), ("b", 0, 0, ["w"]), ("td", 0, 1, ["x", "y"])]
+
+
+def test_text_goes_to_every_open_element_once():
+    found = rows("<li>a<p>b<span>c</span>d</p>e<table><tr><td>f</td></tr></table>g</li>h", frozenset(("li", "p", "span", "td")))
+    assert [(r["tag"], r["lines"]) for r in found] == [("li", ["a", "b", "c", "d", "e", "g"]), ("p", ["b", "c", "d"]), ("span", ["c"]), ("td", ["f"])]

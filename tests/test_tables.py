@@ -212,3 +212,41 @@ def test_stream_upsert_later_batch_wins(spark):
     source = stream.read_pages(spark, folder, glob="*.parquet", files_per_batch=1)
     got = stream.stream_records(source, lambda df: df, ["url"], scratch(spark, "rows"), "page_id")
     assert sorted((r.url, r.html) for r in got.collect()) == [("a", "new"), ("b", "kept")]
+
+
+def test_repeated_keys_need_an_order(spark):
+    held = spark.createDataFrame([("k", "a", 0)], "k string, v string, n int")
+    new = spark.createDataFrame([("k", "z", 1), ("k", "a", 2), (None, "x", 3)], "k string, v string, n int")
+    with pytest.raises(ValueError, match="seq"):
+        K.upsert(held, new, ["k"])
+    assert [tuple(r) for r in K.upsert(held, new, ["k"], seq="n").collect()] == [("k", "a", 2)]
+    assert K.upsert(held, new.where("n <> 1"), ["k"]).count() == 1
+
+
+def test_two_writers_cannot_take_one_version(spark, tmp_path, monkeypatch):
+    spec = TableSpec("t", ("k",))
+    rows = spark.createDataFrame([("a", 1)], "k string, n int")
+    K.save(rows, spec, str(tmp_path))
+    # The other writer has listed the versions, but has not begun its own.
+    monkeypatch.setattr(K, "_versions", lambda spark, path, complete=True: [])
+    with pytest.raises(RuntimeError, match="another writer"):
+        K.save(rows, spec, str(tmp_path))
+    monkeypatch.undo()
+    for n in range(3):
+        held = K.save(rows.withColumn("n", F.lit(n)), spec, str(tmp_path), keep=2)
+    assert held.first().n == 2 and len(list(tmp_path.glob("t/v=*"))) == 2
+
+
+def test_closed_tables_take_declared_columns(spark):
+    rows = spark.createDataFrame([("a", "7", "x")], "k string, n string, more string")
+    declared = spark.createDataFrame([], "n bigint, absent string").schema
+    closed = TableSpec("t", ("k",), declared, open=False).shaped(rows)
+    assert closed.dtypes == [("k", "string"), ("n", "bigint"), ("absent", "string")] and closed.first().n == 7
+    assert "more" in TableSpec("t", ("k",), declared).shaped(rows).columns
+
+
+def test_streams_without_any_batch(spark, tmp_path):
+    (tmp_path / "pages").mkdir()
+    read = lambda: stream.read_pages(spark, str(tmp_path / "pages"), glob="*.parquet")
+    assert stream.stream_frontier(read(), str(tmp_path / "a")).count() == 0
+    assert stream.stream_records(read(), lambda df: df.select("url", "page_id"), ["url"], str(tmp_path / "b"), "page_id").count() == 0
