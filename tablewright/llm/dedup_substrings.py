@@ -6,8 +6,9 @@ gram, and together they span a region of text. Only regions whose gram occurs ag
 anything; of equal regions the first stands for all, in every batch before the shuffle and then
 among all batches, and the others are repeats as they are.
 
-The regions that are left are dealt by their gram, so equal strings meet in one shard. A shard's
-regions, in the order of their documents, are one text whose suffixes are put in order by
+The regions that are left are cut once more by grams of 64 bytes, chosen in the same way, and dealt
+by those, so equal strings meet in one shard: what many texts share but for its surroundings has one
+short gram, but as many long ones as surroundings. A shard's regions, in the order of their documents, are one text whose suffixes are put in order by
 ``induced.py``. Strings that share 100 bytes lie side by side there; all but the first are repeats.
 """
 
@@ -24,15 +25,15 @@ from pyspark.sql import functions as F
 from tablewright.llm import induced
 from tablewright.llm.common import written
 
-LENGTH, GRAM = induced.DEPTH, 32
-#: Grams in a string, and bytes of text looked at at a time.
-CHOICES, PIECE = LENGTH - GRAM + 1, 1 << 20
+LENGTH, GRAM, LONG_GRAM = induced.DEPTH, 32, 64
+#: Bytes of text, and regions, looked at at a time.
+PIECE, CUT = 1 << 20, 4096
 #: Stands for a missing doc_id: it comes after all others.
 NO_ID = 2**63 - 1
 
 _random = np.random.default_rng(4)
 _BYTE = _random.integers(0, 2**64, 256, np.uint64)
-_DOUBLE = _random.integers(0, 2**63, 5, np.uint64) * np.uint64(2) + np.uint64(1)
+_DOUBLE = _random.integers(0, 2**63, 6, np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: kind 0: a region that stands for its equals; 1: repeated strings; 2: a region to be compared.
 #: ``place`` packs where a region starts, how far in its gram is and how many strings it has.
@@ -55,37 +56,37 @@ def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place >> 14, place & 127
 
 
-def regions(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+def regions(data: np.ndarray, bounds: np.ndarray, length: int = GRAM) -> tuple[np.ndarray, ...]:
     """Of texts that lie one after the other: text, start, gram's place inside, strings, gram, content."""
-    n = len(data)
+    n, choices = len(data), LENGTH - length + 1
     if n < LENGTH:
         return tuple(np.zeros(0, np.int64) for _ in range(4)) + tuple(np.zeros(0, np.uint64) for _ in range(2))
     gram, size = _BYTE[data], 1
-    for factor in _DOUBLE:
+    for factor in _DOUBLE[: length.bit_length() - 1]:
         gram = gram[:-size] * factor + gram[size:]
         size *= 2
     gram = scrambled(gram)
     # Hash above, place below: the smallest is the leftmost of the smallest hashes.
     least = (gram >> np.uint64(24) << np.uint64(24)) | np.arange(len(gram), dtype=np.uint64)
     width = 1
-    while 2 * width <= CHOICES:
+    while 2 * width <= choices:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
-    rest = CHOICES - width
+    rest = choices - width
     chosen = (np.minimum(least[:-rest], least[rest:]) & np.uint64(0xFFFFFF)).astype(np.int64)
     # Strings that lie within one text.
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     inside = np.nonzero(text[: len(chosen)] == text[LENGTH - 1 : LENGTH - 1 + len(chosen)])[0]
     if not len(inside):
-        return regions(data[:0], bounds[:1])
+        return regions(data[:0], bounds[:1], length)
     chosen, owner = chosen[inside], text[inside]
     cut = np.r_[True, (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])]
     first = np.nonzero(cut)[0]
     strings = np.diff(np.r_[first, len(inside)])
     start, anchor = inside[first], chosen[first]
     content = scrambled((anchor - start).astype(np.uint64) * np.uint64(128) + strings.astype(np.uint64))
-    last = start + strings - 1 + LENGTH - GRAM
-    for step in range(0, LENGTH + CHOICES - GRAM, GRAM):
+    last = start + strings - 1 + LENGTH - length
+    for step in range(0, LENGTH + choices - length, length):
         content = scrambled(content + gram[np.minimum(start + step, last)])
     content = scrambled(content + gram[last])
     return owner[first], start - bounds[owner[first]], anchor - start, strings, gram[anchor], content
@@ -178,20 +179,33 @@ def merge_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def cut_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of regions: columns doc, twin, grams, places, text."""
+    """Regions of documents (doc, twin, places, text), cut by long grams, with their bytes."""
+
+    def made(held: list[tuple]) -> pa.RecordBatch:
+        *longs, parts = zip(*held, strict=True)
+        arrays = [pa.array(np.concatenate(x), pa.int64()) for x in longs]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array([d for p in parts for d in p], pa.binary())], ["gram", "doc", "twin", "place", "data"])
+
+    held: list[tuple] = []
+    waiting = 0
     for batch in batches:
-        docs, twins, grams, places, texts = batch.columns
-        out: list[list] = [[], [], [], [], []]
-        for doc, twin, gram, place, text in zip(docs.to_pylist(), twins.to_pylist(), grams.to_pylist(), places.to_pylist(), texts.to_pylist(), strict=True):
-            data = text.encode()
-            start, strings = unpack(np.array(place, np.int64))
-            out[0] += gram
-            out[1] += [doc] * len(gram)
-            out[2] += [twin] * len(gram)
-            out[3] += place
-            out[4] += [data[a : a + n + LENGTH - 1] for a, n in zip(start.tolist(), strings.tolist(), strict=True)]
-        longs = [pa.array(x, pa.int64()) for x in out[:4]]
-        yield pa.RecordBatch.from_arrays([*longs, pa.array(out[4], pa.binary())], ["gram", "doc", "twin", "place", "data"])
+        for doc, twin, place, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            whole = text.encode()
+            starts, counts = unpack(np.array(place, np.int64))
+            for lo in range(0, len(starts), CUT):
+                start, strings = starts[lo : lo + CUT], counts[lo : lo + CUT]
+                data = b"".join(whole[a : a + n + LENGTH - 1] for a, n in zip(start.tolist(), strings.tolist(), strict=True))
+                bounds = np.r_[0, np.cumsum(strings + LENGTH - 1)]
+                owner, at, inside, some, gram, _ = regions(np.frombuffer(data, np.uint8), bounds, LONG_GRAM)
+                first = bounds[owner] + at
+                parts = [data[a:b] for a, b in zip(first.tolist(), (first + some + LENGTH - 1).tolist(), strict=True)]
+                held.append((gram.view(np.int64), np.full(len(gram), doc), np.full(len(gram), twin), pack(start[owner] + at, inside, some), parts))
+                waiting += len(parts)
+                if waiting >= CUT:
+                    yield made(held)
+                    held, waiting = [], 0
+    if held:
+        yield made(held)
 
 
 def compare_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,9 +303,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     merged = written(merged.drop("content"), "regions")
 
     # A document has as many regions as its length allows.
-    per_doc = merged.where("kind = 2").groupBy("doc", "twin").agg(F.collect_list("gram").alias("grams"), F.collect_list("place").alias("places"))
+    per_doc = merged.where("kind = 2").groupBy("doc", "twin").agg(F.collect_list("place").alias("places"))
     shards = (
-        per_doc.join(texts, ["doc", "twin"]).select("doc", "twin", "grams", "places", "text")
+        per_doc.join(texts, ["doc", "twin"]).select("doc", "twin", "places", "text")
         .mapInArrow(cut_regions, "gram long, doc long, twin long, place long, data binary")
         .repartition("gram")
         .sortWithinPartitions("doc", "twin", "place")
