@@ -277,9 +277,9 @@ def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def named(docs: DataFrame) -> DataFrame:
     """doc, twin and text: what orders a document. ``twin`` tells texts of one doc_id apart, if there are any."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    shared = docs.groupBy(doc.alias("doc")).count().where("count > 1").isEmpty()
+    alone = docs.groupBy(doc.alias("doc")).count().where("count > 1").isEmpty()
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(doc.alias("doc"), (F.lit(0).cast("long") if shared else F.xxhash64(text)).alias("twin"), text.alias("text"))
+    return docs.select(doc.alias("doc"), (F.lit(0).cast("long") if alone else F.xxhash64(text)).alias("twin"), text.alias("text"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
