@@ -6,12 +6,15 @@ are hashed to band keys. Documents with equal sets are one class from the start.
 
 Classes that share a band key are candidates. Of a bucket every class is first paired with its
 smallest one only. The packed bits of a pair give its similarity, corrected for minima that agree
-by chance; pairs far below the threshold go, all others are confirmed on the sets themselves, and
-links join classes into components. Where a bucket still holds several components, the signatures
-of its members are compared in blocks, the members of its largest component only with those of
-others: pairs that look like links come out first, and after those are settled the pairs between
-components that might still be links. So every pair of a bucket is in one component, or ruled out
-by its signatures, or confirmed or refuted on its sets, and never are all pairs of a bucket made.
+by chance; pairs far below the threshold or of too different sizes go, all others are confirmed on
+the sets themselves, and links join classes into components.
+
+Where a bucket still holds several components, the signatures of its members are compared in
+blocks, the members of its largest component only with those of others. A member first asks for
+the one class of another component that it resembles most, then for a few, at last for all that
+may still be links. In a group of copies nearly all meet in one component in the first of these
+rounds, so few pairs are left; still every pair of a bucket ends in one component, or ruled out by
+its signatures, or confirmed or refuted on its sets.
 """
 
 from __future__ import annotations
@@ -25,11 +28,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import written
+from tablewright.session import bucketed
 
 #: Hash functions, minima in a band, low bits kept of a minimum.
 HASHES, ROWS, BITS = 128, 4, 4
-#: Pairs whose estimate is this far below the threshold are not confirmed: five standard deviations.
-MARGIN = 0.185
+#: Pairs whose estimate is this far below the threshold are not confirmed: four standard deviations.
+MARGIN = 0.15
+#: How many classes a member of a bucket asks for, round by round; at last all.
+ASKED = (1, 4, 16, None)
 #: Members of a bucket that are held at a time, and that meet them at a time.
 BLOCK, TILE = 2048, 1024
 #: Bytes of text hashed at a time.
@@ -179,18 +185,12 @@ def estimate(left: str, right: str) -> Column:
     return (agreeing(left, right) / HASHES - chance) / (1 - chance)
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are links: first by their packed bits, then by their full sets."""
-    bits = classes.select("id", "packed")
-    near = (
-        pairs.join(bits.select(F.col("id").alias("a"), F.col("packed").alias("bits_a")), "a")
-        .join(bits.select(F.col("id").alias("b"), F.col("packed").alias("bits_b")), "b")
-        .where(estimate("bits_a", "bits_b") >= percent / 100 - MARGIN)
-        .select("a", "b")
-    )
-    near = written(near, "near")
-    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = written(full_sets(docs, ids, words), "sets")
+def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are links: first by sizes and packed bits, then by their full sets."""
+    left, right = (classes.select(F.col("id").alias(x), F.col("packed").alias(f"bits_{x}"), F.col("n_shingles").alias(f"n_{x}")) for x in "ab")
+    alike = (estimate("bits_a", "bits_b") >= percent / 100 - MARGIN) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    near = written(pairs.join(left, "a").join(right, "b").where(alike).select("a", "b"), "near")
+    # The sets lie in buckets by id: only the pairs move to them.
     met = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
     both = met.select("a", "b", (F.size("set_a") + F.size("set_b")).alias("n"), F.size(F.array_intersect("set_a", "set_b")).alias("same"))
     return written(both.where(F.col("same") * 100 >= (F.col("n") - F.col("same")) * percent).select("a", "b"), "links")
@@ -248,17 +248,20 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     shared = members.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
     members = written(members.join(shared, "band").select("band", "id", "pivot"), "buckets")
 
-    # First the smallest class of each bucket with all others; then what is left between components.
-    tested = written(members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    roots = components(confirmed(tested, classes, docs, words, percent))
-    for least in (percent / 100, percent / 100 - MARGIN):
-        pairs = written(pairs_between(members, roots, classes, least).join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        more = confirmed(pairs, classes, docs, words, percent)
-        tested = tested.unionByName(pairs)
-        joined = components(relabelled(relabelled(more, "a", roots), "b", roots))
-        roots = written(relabelled(roots, "root", joined).unionByName(joined.join(roots, "id", "left_anti")), "roots")
+    # The sets of all classes that share a bucket, computed once for every round.
+    shared_ids = written(members.select("id").distinct(), "ids")
+    with bucketed(full_sets(docs, shared_ids, words), "id", "sets") as sets:
+        # First the smallest class of each bucket with all others; then what is left between components.
+        tested = written(members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+        roots = components(confirmed(tested, classes, sets, percent))
+        for asked in ASKED:
+            pairs = written(pairs_between(members, roots, classes, percent, asked).join(tested, ["a", "b"], "left_anti"), "pairs")
+            if pairs.isEmpty():
+                continue
+            more = confirmed(pairs, classes, sets, percent)
+            tested = tested.unionByName(pairs)
+            joined = components(relabelled(relabelled(more, "a", roots), "b", roots))
+            roots = written(relabelled(roots, "root", joined).unionByName(joined.join(roots, "id", "left_anti")), "roots")
 
     # Classes of one doc_id with different texts share their name, and so their component.
     named = usable.join(names.withColumnRenamed("id", "class"), ["key_a", "key_b", "n_shingles"]).select("doc_id", "class").distinct()
@@ -278,52 +281,79 @@ def without_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
 
 
-def pairs_between(members: DataFrame, roots: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of one bucket, in different components, whose estimate is at least ``least``.
+def pairs_between(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, asked: int | None) -> DataFrame:
+    """Pairs (a, b) of one bucket, in different components, that may be links by size and estimate.
 
-    All members of a bucket but those of its largest component are dealt into blocks; every block
-    meets the whole bucket, which streams by in tiles.
+    All members of a bucket but those of its largest component ask. They are dealt into blocks;
+    every block meets the whole bucket, which streams by in tiles. Each gets the ``asked`` classes
+    it resembles most, smaller ids first, or all.
     """
     named = relabelled(members.select("band", "id").withColumn("root", F.col("id")), "root", roots)
     sizes = named.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).where(F.col("all") > F.col("top.n"))
     blocks = largest.select("band", F.col("top.root").alias("main"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("blocks"))
-    alive = named.join(blocks, "band").join(classes.select("id", "packed"), "id")
+    alive = named.join(blocks, "band").join(classes.select("id", "n_shingles", "packed"), "id")
     asking = alive.where("root <> main").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("side", F.lit(0))
-    asked = alive.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(1))
-    columns = ["band", "block", "side", "id", "root", "packed"]
+    there = alive.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(1))
+    columns = ["band", "block", "side", "id", "root", "n_shingles", "packed"]
     chance = 2.0**-BITS
-    enough = int(np.ceil(HASHES * (max(least, 0) * (1 - chance) + chance) - 1e-9))
-    ones = np.uint64(int("1" * (64 // BITS), 16))
+    enough = int(np.ceil(HASHES * (max(percent / 100 - MARGIN, 0) * (1 - chance) + chance) - 1e-9))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by bucket and block, those that ask first."""
-        cell, ids, owners, bits = None, [], [], []
+        """Rows come sorted by bucket and block, those that ask first, then by id."""
+        cell, held, best = None, [], None
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if best is not None:
+                q, t = np.nonzero(best[0] >= enough)
+                yield pair_batch(held[0][0][q], best[1][q, t])
+
         for batch in batches:
-            band, block, side, who, root = (batch.column(i).to_numpy() for i in range(5))
-            packs = batch.column(5).flatten().to_numpy().view(np.uint64).reshape(len(who), -1)
-            cut = np.r_[True, (band[1:] != band[:-1]) | (block[1:] != block[:-1]) | (side[1:] != side[:-1]), True]
-            cuts = np.nonzero(cut)[0]
+            band, block, side, who, root, size = (batch.column(i).to_numpy() for i in range(6))
+            packs = batch.column(6).flatten().to_numpy().view(np.uint64).reshape(len(who), -1)
+            rows = (who, root, size, packs)
+            cuts = np.nonzero(np.r_[True, (band[1:] != band[:-1]) | (block[1:] != block[:-1]) | (side[1:] != side[:-1]), True])[0]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 if cell != (band[lo], block[lo]):
-                    cell, ids, owners, bits = (band[lo], block[lo]), [], [], []
+                    yield from found()
+                    cell, held, best = (band[lo], block[lo]), [], None
                 if side[lo] == 0:
-                    ids.append(who[lo:hi])
-                    owners.append(root[lo:hi])
-                    bits.append(packs[lo:hi])
+                    held.append(tuple(x[lo:hi].copy() for x in rows))
                     continue
-                mine, own, held = np.concatenate(ids), np.concatenate(owners), np.concatenate(bits)
+                if len(held) > 1:
+                    held = [tuple(np.concatenate(x) for x in zip(*held, strict=True))]
+                mine = held[0]
                 for at in range(lo, hi, TILE):
-                    to = min(at + TILE, hi)
-                    differ = np.zeros((len(mine), to - at), np.uint16)
-                    for word in range(held.shape[1]):
-                        x = held[:, word, None] ^ packs[None, at:to, word]
-                        for by in (1, 2):
-                            x |= x >> np.uint64(by)
-                        differ += np.bitwise_count(x & ones)
-                    q, t = np.nonzero((HASHES - differ >= enough) & (own[:, None] != root[None, at:to]))
-                    a, b = mine[q], who[at:to][t]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    met = asking.select(columns).unionByName(asked.select(columns)).repartition("band", "block").sortWithinPartitions("band", "block", "side")
+                    tile = tuple(x[at : min(at + TILE, hi)] for x in rows)
+                    score = resembling(mine, tile, percent)
+                    if asked is None:
+                        q, t = np.nonzero(score >= enough)
+                        yield pair_batch(mine[0][q], tile[0][t])
+                        continue
+                    ids = np.broadcast_to(tile[0], score.shape)
+                    if best is not None:
+                        score, ids = np.concatenate([best[0], score], axis=1), np.concatenate([best[1], ids], axis=1)
+                    # Highest first; among equals the earlier, which is the smaller id.
+                    order = np.argsort(-score, axis=1, kind="stable")[:, :asked]
+                    best = np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1)
+        yield from found()
+
+    met = asking.select(columns).unionByName(there.select(columns)).repartition("band", "block").sortWithinPartitions("band", "block", "side", "id")
     return met.mapInArrow(meet, "a long, b long").distinct()
+
+
+def pair_batch(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())], ["a", "b"])
+
+
+def resembling(mine: tuple, tile: tuple, percent: int) -> np.ndarray:
+    """Agreeing minima of (id, root, size, bits) rows; -1 within a component and for sizes too different."""
+    ones = np.uint64(int("1" * (64 // BITS), 16))
+    score = np.full((len(mine[0]), len(tile[0])), HASHES, np.int16)
+    for word in range(mine[3].shape[1]):
+        x = mine[3][:, word, None] ^ tile[3][None, :, word]
+        for by in (1, 2):
+            x |= x >> np.uint64(by)
+        score -= np.bitwise_count(x & ones)
+    n, m = mine[2][:, None], tile[2][None, :]
+    return np.where((mine[1][:, None] != tile[1][None, :]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent), score, -1)

@@ -91,16 +91,22 @@ def test_pairs_between_components(spark, monkeypatch):
     base, classes = rng.integers(0, 2**63, 400, np.uint64), []
     for i in range(20):
         own = np.r_[base[:340], rng.integers(0, 2**63, 60, np.uint64)] if i % 4 else rng.integers(0, 2**63, 400, np.uint64)
-        classes.append((i, minhash.packed(minhash.minima(own)).view(np.int64).tolist()))
+        classes.append((i, 400 if i != 7 else 100, minhash.packed(minhash.minima(own)).view(np.int64).tolist()))
     members = [(1, i) for i in range(14)] + [(2, i) for i in range(10, 20)]
     root = {i: 0 if i < 6 else 12 if i in (12, 13) else i for i in range(20)}
     tables = (spark.createDataFrame(members, "band long, id long"), spark.createDataFrame([x for x in root.items() if x[0] != x[1]], "id long, root long"))
-    signatures = spark.createDataFrame(classes, "id long, packed array<long>")
+    signatures = spark.createDataFrame(classes, "id long, n_shingles long, packed array<long>")
     both = signatures.selectExpr("id AS a", "packed AS x").crossJoin(signatures.selectExpr("id AS b", "packed AS y")).where("a < b")
     alike = {(r.a, r.b): r.e for r in both.select("a", "b", minhash.estimate("x", "y").alias("e")).collect()}
-    for least in (0.0, 0.6, 0.8):
-        got = sorted((r.a, r.b) for r in minhash.pairs_between(*tables, signatures, least).collect())
-        want = {(a, b) for k, a in members for m, b in members if k == m and a < b and root[a] != root[b] and alike[a, b] >= least}
+    asks = {1: [i for i in range(14) if root[i] != 0], 2: [i for i in range(10, 20) if root[i] != 12]}
+    for percent, asked in ((80, None), (60, None), (80, 1), (80, 3)):
+        want = set()
+        for band, own in asks.items():
+            for a in own:
+                there = [b for k, b in members if k == band and root[a] != root[b] and 7 not in (a, b) and alike[min(a, b), max(a, b)] >= percent / 100 - minhash.MARGIN]
+                there.sort(key=lambda b: (-alike[min(a, b), max(a, b)], b))
+                want |= {(min(a, b), max(a, b)) for b in there[:asked]}
+        got = sorted((r.a, r.b) for r in minhash.pairs_between(*tables, signatures, percent, asked).collect())
         assert got == sorted(want)
 
 
