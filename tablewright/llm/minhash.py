@@ -235,8 +235,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     document's own included; ``kept`` marks that document. A text with fewer words is one shingle;
     a missing, empty or blank text has none and is linked with nothing. Rows that share a doc_id
     count as linked. A row without doc_id takes no part: it has no component and is kept. Empty
-    tables give no rows; other columns are not read. Candidates are missed by chance: a pair just
-    at 80 hundredths with a probability below 1e-7.
+    tables give no rows; other columns are not read. Links are missed by chance only: one of a pair
+    just at 80 hundredths with a probability below 1e-4, at 85 hundredths below 1e-7.
     """
     docs = docs.select("doc_id", "text")
     table = written(features(docs, words), "minhash")
