@@ -11,10 +11,11 @@ the sets themselves, and links join classes into components.
 
 Where a bucket still holds several components, the signatures of its members are compared in
 blocks, the members of its largest component only with those of others. A member first asks for
-the one class of another component that it resembles most, then for a few, at last for all that
-may still be links. In a group of copies nearly all meet in one component in the first of these
-rounds, so few pairs are left; still every pair of a bucket ends in one component, or ruled out by
-its signatures, or confirmed or refuted on its sets.
+the one class of another component that it resembles most, then for a few; in a group of copies
+nearly all meet in one component by that. What is left of crowds, members that still resemble more
+classes than they may ask for, is compared set by set where their sets meet, and only links come
+out. So every pair of a bucket ends in one component, or ruled out by its signatures, or confirmed
+or refuted on its sets, and pairs that are no links are never made in numbers.
 """
 
 from __future__ import annotations
@@ -34,10 +35,12 @@ from tablewright.session import bucketed
 HASHES, ROWS, BITS = 128, 4, 4
 #: Pairs whose estimate is this far below the threshold are not confirmed: four standard deviations.
 MARGIN = 0.15
-#: How many classes a member of a bucket asks for, round by round; at last all.
-ASKED = (1, 4, 16, None)
+#: How many classes a member of a bucket asks for, round by round.
+ASKED = (1, 4, 16)
 #: Members of a bucket that are held at a time, and that meet them at a time.
 BLOCK, TILE = 2048, 1024
+#: Members of a crowd whose sets are held at a time.
+HELD = 256
 #: Bytes of text hashed at a time.
 PIECE = 1 << 20
 
@@ -254,11 +257,15 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
         # First the smallest class of each bucket with all others; then what is left between components.
         tested = written(members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
         roots = components(confirmed(tested, classes, sets, percent))
-        for asked in ASKED:
-            pairs = written(pairs_between(members, roots, classes, percent, asked).join(tested, ["a", "b"], "left_anti"), "pairs")
-            if pairs.isEmpty():
-                continue
+        for asked, last in [*((n, False) for n in ASKED), (ASKED[-1], True)]:
+            found = written(pairs_between(members, roots, classes, percent, asked, last), "asked")
+            pairs = written(found.where("NOT crowd").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+            if found.isEmpty():
+                break
             more = confirmed(pairs, classes, sets, percent)
+            if last:
+                crowd = found.where("crowd").select(F.col("a").alias("band"), F.col("b").alias("id"))
+                more = written(more.unionByName(crowd_links(crowd, members, roots, sets, percent)), "links")
             tested = tested.unionByName(pairs)
             joined = components(relabelled(relabelled(more, "a", roots), "b", roots))
             roots = written(relabelled(roots, "root", joined).unionByName(joined.join(roots, "id", "left_anti")), "roots")
@@ -281,16 +288,22 @@ def without_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
 
 
-def pairs_between(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, asked: int | None) -> DataFrame:
+def in_components(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their roots, and the largest component (``top``) of buckets that hold several."""
+    named = relabelled(members.select("band", "id").withColumn("root", F.col("id")), "root", roots)
+    sizes = named.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    return named, sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).where(F.col("all") > F.col("top.n"))
+
+
+def pairs_between(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int, asked: int, last: bool = False) -> DataFrame:
     """Pairs (a, b) of one bucket, in different components, that may be links by size and estimate.
 
     All members of a bucket but those of its largest component ask. They are dealt into blocks;
     every block meets the whole bucket, which streams by in tiles. Each gets the ``asked`` classes
-    it resembles most, smaller ids first, or all.
+    it resembles most, smaller ids first. In the ``last`` round a member that resembles more than
+    that gets none, but a row with ``crowd``: its bucket and itself.
     """
-    named = relabelled(members.select("band", "id").withColumn("root", F.col("id")), "root", roots)
-    sizes = named.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).where(F.col("all") > F.col("top.n"))
+    named, largest = in_components(members, roots)
     blocks = largest.select("band", F.col("top.root").alias("main"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("blocks"))
     alive = named.join(blocks, "band").join(classes.select("id", "n_shingles", "packed"), "id")
     asking = alive.where("root <> main").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("side", F.lit(0))
@@ -305,8 +318,12 @@ def pairs_between(members: DataFrame, roots: DataFrame, classes: DataFrame, perc
 
         def found() -> Iterator[pa.RecordBatch]:
             if best is not None:
-                q, t = np.nonzero(best[0] >= enough)
+                alike = best[0] >= enough
+                crowd = alike.all(1) & (alike.shape[1] > asked) if last else np.zeros(len(alike), bool)
+                q, t = np.nonzero(alike & ~crowd[:, None])
                 yield pair_batch(held[0][0][q], best[1][q, t])
+                who = held[0][0][crowd]
+                yield pair_batch(np.full(len(who), cell[0]), who, crowd=True)
 
         for batch in batches:
             band, block, side, who, root, size = (batch.column(i).to_numpy() for i in range(6))
@@ -326,24 +343,72 @@ def pairs_between(members: DataFrame, roots: DataFrame, classes: DataFrame, perc
                 for at in range(lo, hi, TILE):
                     tile = tuple(x[at : min(at + TILE, hi)] for x in rows)
                     score = resembling(mine, tile, percent)
-                    if asked is None:
-                        q, t = np.nonzero(score >= enough)
-                        yield pair_batch(mine[0][q], tile[0][t])
-                        continue
                     ids = np.broadcast_to(tile[0], score.shape)
                     if best is not None:
                         score, ids = np.concatenate([best[0], score], axis=1), np.concatenate([best[1], ids], axis=1)
                     # Highest first; among equals the earlier, which is the smaller id.
-                    order = np.argsort(-score, axis=1, kind="stable")[:, :asked]
+                    order = np.argsort(-score, axis=1, kind="stable")[:, : asked + last]
                     best = np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1)
         yield from found()
 
     met = asking.select(columns).unionByName(there.select(columns)).repartition("band", "block").sortWithinPartitions("band", "block", "side", "id")
-    return met.mapInArrow(meet, "a long, b long").distinct()
+    return met.mapInArrow(meet, "crowd boolean, a long, b long")
 
 
-def pair_batch(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())], ["a", "b"])
+def pair_batch(x: np.ndarray, y: np.ndarray, crowd: bool = False) -> pa.RecordBatch:
+    a, b = (x, y) if crowd else (np.minimum(x, y), np.maximum(x, y))
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), crowd)), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["crowd", "a", "b"])
+
+
+def crowd_links(crowd: DataFrame, members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of crowded members (band, id) to the other members of their buckets.
+
+    Buckets with one largest component are taken together, as mostly the same members share them.
+    Some of the crowd hold their sets in a task; the sets of all others stream by and are counted
+    against them element by element. Only what is a link leaves the task.
+    """
+    named, largest = in_components(members, roots)
+    mains = written(crowd.select("band").distinct().join(largest.select("band", F.col("top.root").alias("main")), "band"), "mains")
+    asking = crowd.join(mains, "band").select("main", "id").distinct().join(named.select("id", "root").distinct(), "id")
+    asking = written(asking, "crowd")
+    blocks = asking.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / HELD).cast("int").alias("blocks"))
+    there = named.join(mains, "band").select("main", "id", "root").distinct().join(blocks, "main")
+    asks = asking.join(blocks, "main").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("side", F.lit(0))
+    meets = there.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(1))
+    columns = ["main", "block", "side", "id", "root"]
+    rows = asks.select(columns).unionByName(meets.select(columns)).join(sets, "id").select(*columns, "shingles")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by main component and block, the crowd first."""
+        cell, held, index = None, [], None
+        for batch in batches:
+            main, block, side, who, root = (batch.column(i).to_numpy() for i in range(5))
+            x, y = [], []
+            for i in range(len(who)):
+                if cell != (main[i], block[i]):
+                    cell, held, index = (main[i], block[i]), [], None
+                elements = batch.column(5)[i].values.to_numpy()
+                if side[i] == 0:
+                    held.append((who[i], root[i], elements))
+                    continue
+                if index is None:
+                    ids, owners = (np.array([h[k] for h in held]) for k in (0, 1))
+                    sizes = np.array([len(h[2]) for h in held])
+                    every = np.concatenate([h[2] for h in held])
+                    order = np.argsort(every, kind="stable")
+                    index = every[order], np.repeat(np.arange(len(held)), sizes)[order]
+                # Where each element of this set lies among those that are held.
+                lo, hi = (np.searchsorted(index[0], elements, side=s) for s in ("left", "right"))
+                count = hi - lo
+                at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                same = np.bincount(index[1][at], minlength=len(ids))
+                linked = (owners != root[i]) & (same * 100 >= (sizes + len(elements) - same) * percent)
+                x += ids[linked].tolist()
+                y += [who[i]] * int(linked.sum())
+            yield pair_batch(np.array(x, np.int64), np.array(y, np.int64))
+
+    met = rows.repartition("main", "block").sortWithinPartitions("main", "block", "side", "id").mapInArrow(compare, "crowd boolean, a long, b long")
+    return met.select("a", "b").distinct()
 
 
 def resembling(mine: tuple, tile: tuple, percent: int) -> np.ndarray:

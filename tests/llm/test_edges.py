@@ -99,15 +99,43 @@ def test_pairs_between_components(spark, monkeypatch):
     both = signatures.selectExpr("id AS a", "packed AS x").crossJoin(signatures.selectExpr("id AS b", "packed AS y")).where("a < b")
     alike = {(r.a, r.b): r.e for r in both.select("a", "b", minhash.estimate("x", "y").alias("e")).collect()}
     asks = {1: [i for i in range(14) if root[i] != 0], 2: [i for i in range(10, 20) if root[i] != 12]}
-    for percent, asked in ((80, None), (60, None), (80, 1), (80, 3)):
-        want = set()
+    for percent, asked, last in ((80, 99, False), (60, 99, True), (80, 1, False), (80, 3, False), (80, 3, True)):
+        want, crowds = set(), set()
         for band, own in asks.items():
             for a in own:
                 there = [b for k, b in members if k == band and root[a] != root[b] and 7 not in (a, b) and alike[min(a, b), max(a, b)] >= percent / 100 - minhash.MARGIN]
                 there.sort(key=lambda b: (-alike[min(a, b), max(a, b)], b))
-                want |= {(min(a, b), max(a, b)) for b in there[:asked]}
-        got = sorted((r.a, r.b) for r in minhash.pairs_between(*tables, signatures, percent, asked).collect())
-        assert got == sorted(want)
+                if last and len(there) > asked:
+                    crowds.add((band, a))
+                else:
+                    want |= {(min(a, b), max(a, b)) for b in there[:asked]}
+        rows = minhash.pairs_between(*tables, signatures, percent, asked, last).collect()
+        assert {(r.a, r.b) for r in rows if not r.crowd} == want
+        assert {(r.a, r.b) for r in rows if r.crowd} == crowds and bool(crowds) == (last and asked == 3)
+
+
+def test_crowd_links(spark, monkeypatch):
+    """Only links between components come out of a crowd, whatever the blocks."""
+    import random
+
+    monkeypatch.setattr(minhash, "HELD", 2)
+    rng = random.Random(3)
+    sets = {i: sorted(rng.sample(range(40), rng.randint(28, 36))) for i in range(16)}
+    members = [(1, i) for i in range(10)] + [(2, i) for i in range(6, 16)] + [(3, i) for i in range(4)]
+    root = {i: 0 if i < 4 else i for i in range(16)}
+    crowd = [(1, i) for i in range(4, 10)] + [(2, i) for i in range(7, 16)]
+    links = minhash.crowd_links(
+        spark.createDataFrame(crowd, "band long, id long"), spark.createDataFrame(members, "band long, id long"), spark.createDataFrame([(i, 0) for i in range(1, 4)], "id long, root long"),
+        spark.createDataFrame(list(sets.items()), "id long, shingles array<long>"), 70,
+    )
+    got = {(r.a, r.b) for r in links.collect()}
+
+    def linked(a, b):
+        same = len(set(sets[a]) & set(sets[b]))
+        return root[a] != root[b] and 100 * same >= 70 * (len(sets[a]) + len(sets[b]) - same)
+
+    asked = {(min(a, b), max(a, b)) for band, a in crowd for k, b in members if k == band and a != b}
+    assert {p for p in asked if linked(*p)} <= got and all(linked(*p) for p in got) and got
 
 
 def test_components(spark):
