@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Bytes of text encoded at a time, and words whose pieces a worker remembers.
-CHUNK, REMEMBERED = 8 << 20, 200_000
+#: Bytes of text encoded at a time; words and pairs of pieces that a worker remembers, some 100 MB.
+CHUNK, REMEMBERED, PAIRS = 4 << 20, 100_000, 250_000
 
 
 @dataclass(frozen=True)
@@ -99,7 +99,7 @@ class Encoder:
         """Whether merging would leave the cut between these two pieces."""
         found = self.fitting.get((left, right))
         if found is None:
-            if len(self.fitting) > 10 * REMEMBERED:
+            if len(self.fitting) > PAIRS:
                 self.fitting.clear()
             found = self.fitting[left, right] = self.merged([*left, *right]) == [left, right]
         return found
