@@ -274,12 +274,16 @@ def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
 
-def named(docs: DataFrame) -> DataFrame:
-    """doc, twin and text: what orders a document. ``twin`` tells texts of one doc_id apart, if there are any."""
+def named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc, twin and text: what orders a document, of every row and of every document once.
+
+    ``twin`` tells texts of one doc_id apart, if there are any.
+    """
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     alone = docs.groupBy(doc.alias("doc")).count().where("count > 1").isEmpty()
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(doc.alias("doc"), (F.lit(0).cast("long") if alone else F.xxhash64(text)).alias("twin"), text.alias("text"))
+    rows = docs.select(doc.alias("doc"), (F.lit(0).cast("long") if alone else F.xxhash64(text)).alias("twin"), text.alias("text"))
+    return rows, rows if alone else rows.dropDuplicates(["doc", "twin"])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -295,7 +299,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     with one result each. Texts shorter than 100 bytes stay whole. Empty tables give no rows; other
     columns are not read.
     """
-    texts = named(docs)
+    texts, once = named(docs)
     found = texts.mapInArrow(find_regions, FOUND)
     # Regions meet by gram; repeats that are known already only pass by.
     dealt = found.withColumn("deal", F.when(F.col("kind") == 0, F.col("gram")).otherwise(F.xxhash64("doc", "place")))
@@ -305,7 +309,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     # A document has as many regions as its length allows.
     per_doc = merged.where("kind = 2").groupBy("doc", "twin").agg(F.collect_list("place").alias("places"))
     shards = (
-        per_doc.join(texts, ["doc", "twin"]).select("doc", "twin", "places", "text")
+        per_doc.join(once, ["doc", "twin"]).select("doc", "twin", "places", "text")
         .mapInArrow(cut_regions, "gram long, doc long, twin long, place long, data binary")
         .repartition("gram")
         .sortWithinPartitions("doc", "twin", "place")

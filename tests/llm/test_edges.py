@@ -1,6 +1,7 @@
 """Missing values, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -225,6 +226,20 @@ def test_passages_texts_of_one_id(spark):
     assert sum(r.n_bytes - r.n_removed >= len(b) for r in rows) == 1
 
 
+def test_passages_whole_rows_that_repeat(spark):
+    made = random.Random(3)
+    letters = lambda n: "".join(made.choices("abcdefghij", k=n))
+    phrase = letters(80)
+    rows = [(d, letters(300) + phrase + letters(300)) for d in (1, 2, 3, None)]
+    docs = spark.createDataFrame(rows + rows[2:], "doc_id long, text string").repartition(3)
+    got = dedup_substrings.without_repeats(docs).collect()
+    assert [(r.doc_id, r.n_removed) for r in sorted(got, key=lambda r: str(r.doc_id))] == [(d, 0) for d in (1, 2, 3, 3, None, None)]
+    # What an earlier document holds still goes, from each of them.
+    docs = docs.union(spark.createDataFrame([(0, rows[2][1][:200])], docs.schema))
+    got = dedup_substrings.without_repeats(docs).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got if r.n_removed) == [(3, 200), (3, 200)]
+
+
 def test_language(spark, docs, empty):
     rows = language.identify(docs).collect()
     assert len(rows) == len(TEXTS) + 1
