@@ -112,7 +112,8 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     sizes = both.groupBy("digest", "keep").agg(F.sum("rows").alias("group_size"))
     top = top.join(sizes, ["digest", "keep"])
     upper = top.unionByName(followed(2, top))
-    every = upper.unionByName(followed(1, upper))
+    # Rows that share a doc_id and a text can be in several batches; what they stand for is the same.
+    every = upper.unionByName(followed(1, upper.dropDuplicates(["digest", "row"])))
 
     def named(row: str) -> Column:
         return F.when(F.col(row) != NO_ID, F.col(row))

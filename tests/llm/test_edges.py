@@ -188,6 +188,18 @@ def test_exact_hot_text(spark):
     assert {r.level for r in dedup_exact.exact_notes(table, salts=4).collect()} == {0, 1, 2, 3}
 
 
+def test_exact_shared_ids_in_many_batches(spark):
+    rows = [(d, "one text") for d in (5, None, 7)] * 8 + [(None, None), (None, "")] * 6 + [(5, "another")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "place int, doc_id long, text string")
+    # Every batch holds some of each several times.
+    docs = docs.repartitionByRange(4, "place").select("doc_id", "text")
+    got = [(r.doc_id, r.keep_id, r.group_size, r.kept) for r in dedup_exact.exact_groups(docs).collect()]
+    want = [(5, 5, 24, True), (None, None, 12, True), (5, 5, 1, True)]
+    want += [(5, 5, 24, False)] * 7 + [(7, 5, 24, False)] * 8 + [(None, 5, 24, False)] * 8 + [(None, None, 12, False)] * 11
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert dedup_exact.deduplicated(docs).count() == 3
+
+
 def test_passages(spark, docs, empty):
     rows = dedup_substrings.without_repeats(docs).collect()
     assert len(rows) == len(TEXTS) + 1
