@@ -308,7 +308,7 @@ KNOWN = ["EquipSet", "ClassType", "STR", "MaxHP", "PercMaxHP", "WATK"]
   FROM part WHERE p_size >= 30""")
 def equipment_records(spark, sf_dir):
     lists, pages = equipment_corpus(spark, sf_dir)
-    return equipment.equipment_records(lists, pages, KNOWN)
+    return equipment.equipment_records(lists, pages, KNOWN).drop("Other")
 
 
 @check("equipment_counts", """
@@ -391,7 +391,7 @@ def set_effects(spark, sf_dir):
     pages = single(parts, "p_partkey", html).join(
         parts.select(F.col("p_partkey").alias("page_id"), F.concat("p_name", F.col("p_partkey").cast("string")).alias("EquipSet"), F.col("p_type").alias("ClassType")), "page_id"
     )
-    return sets.set_effects(pages, ["STR", "PercMaxHP", "WATK"])
+    return sets.set_effects(pages, ["STR", "PercMaxHP", "WATK"]).drop("Other")
 
 
 @check("tracked_sets", """

@@ -257,6 +257,15 @@ def record_columns(cells: DataFrame, wanted: dict[str, str], keep: Iterable[str]
     )
 
 
+def further_fields(cells: DataFrame, table: str, wanted: dict[str, str], keep: Iterable[str] = ()) -> DataFrame:
+    """Rows of a table with fixed columns that have further fields: ``(Table, *keep, Of, Other)``.
+
+    ``Of`` is the text of the first column wanted, which names the row; ``Other`` maps header to text.
+    """
+    rows = record_columns(cells, wanted, keep, other="Other").where(F.size("Other") > 0)
+    return rows.select(F.lit(table).alias("Table"), *keep, F.col(f"`{next(iter(wanted.values()))}`").alias("Of"), "Other")
+
+
 def canonical_header(h: Column) -> Column:
     """Header text to field name.
 

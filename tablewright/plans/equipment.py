@@ -126,11 +126,11 @@ def _facts(pages: DataFrame, rows: DataFrame, rules: RulePack) -> DataFrame:
     return wanted.select("page_id", "url").join(per_page, "page_id", "left").select("url", "facts")
 
 
-def equipment_records(lists: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = None, order: str | None = None) -> DataFrame:
+def equipment_records(lists: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = "Other", order: str | None = None) -> DataFrame:
     """Records of all slots with the ``known`` stat fields, renamed and with defaults filled.
 
-    Further fields go to the map ``other``, if one is named; ``order`` names a column that says
-    where in the lists a record stands.
+    Further fields go to the map ``other`` and are left out only if that is None; ``order`` names a
+    column that says where in the lists a record stands.
     """
     rows = stage(list_rows(lists, rules).where("kept").drop("kept"), "rows")
     android = F.col("EquipSlot") == "Android"
@@ -184,7 +184,7 @@ def weapon_links(links: DataFrame, sets: Sequence[str] | None = None, rules: Rul
     )
 
 
-def weapon_records(links: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = None, order: str | None = None) -> DataFrame:
+def weapon_records(links: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = "Other", order: str | None = None) -> DataFrame:
     """Records of the weapons that ``links(…, pos, WeaponType)`` name, with the facts of their detail pages."""
     rows = weapon_links(links, rules=rules).select(
         "page_id", "pos", F.lit("Weapon").alias("EquipSlot"), "EquipName", "EquipSet", "WeaponType", F.lit("EquipWeapon").alias("Destination"), "link"
@@ -226,7 +226,7 @@ def _secondary_cells(pages: DataFrame, weapon_type: Column, sets: Sequence[str]
     return found.where((F.col("WeaponType") != "Katara") | in_set)
 
 
-def secondary_records(pages: DataFrame, weapon_type: Column, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = None, order: str | None = None) -> DataFrame:
+def secondary_records(pages: DataFrame, weapon_type: Column, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = "Other", order: str | None = None) -> DataFrame:
     """Records of second weapons: lines of requirement and effect columns are fields, other columns one field each."""
     cells = _secondary_cells(pages, weapon_type, None, rules)
     base = ["page_id", "table_id", "row_idx"]

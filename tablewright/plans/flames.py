@@ -24,6 +24,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 
 def flame_tables(pages: DataFrame) -> DataFrame:
+    """Tiers by level band; columns that are not among the known ones go to the map ``Other``, as text."""
     rows = stored_nodes(pages, ("h2", "h3", "h4", "span", "dl", "p", "table", "th", "td"), "flame-nodes")
     by_h3, by_h4 = stat_and_group(F.col("h3")), stat_and_group(F.col("h4"))
     tables = _blocks(rows).where((F.col("tag") == "table") & F.col("started") & F.col("h3").isNotNull()).select(
@@ -47,7 +48,7 @@ def flame_tables(pages: DataFrame) -> DataFrame:
 
     cells = Y.with_header(Y.by_page(cells_of(rows)))
     cells = cells.withColumn("header", F.when(F.col("header").contains("level"), "level").otherwise(F.col("header")))
-    wide = Y.record_columns(cells, {"level": "level", **{t: t for t in TIERS}})
+    wide = Y.record_columns(cells, {"level": "level", **{t: t for t in TIERS}}, other="Other")
     at_least = first_number(F.regexp_extract("p", r"at least level\s+(\d+)", 1))
     start = F.when(F.col("p").contains("Not affected") & ~F.col("p").contains("at least"), F.lit(OPEN_START)).otherwise(at_least)
     band = level_band(F.col("level"))
@@ -60,4 +61,5 @@ def flame_tables(pages: DataFrame) -> DataFrame:
         F.when(listed, band["MinLvl"]).otherwise(start).alias("MinLvl"),
         F.when(listed, band["MaxLvl"]).otherwise(F.lit(OPEN_END)).alias("MaxLvl"),
         *[parse_number(F.col(t)).alias(t) for t in TIERS],
+        "Other",
     )

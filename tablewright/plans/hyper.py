@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablewright.functions.numbers import parse_number
 from tablewright.functions.text import after_last, ascii_only, replace_each
-from tablewright.operators import layout as Y
+from tablewright.operators import layout as Y, reshape
 from tablewright.session import stage
 from tablewright.sources.markup import cells_of, stored_nodes
 
@@ -41,17 +41,26 @@ def hyper_tables(pages: DataFrame) -> dict[str, DataFrame]:
 
     canon = lambda df: df.withColumn("header", Y.canonical_header(F.col("header")))
     points_cells = canon(Y.with_header(cells_of(points_rows)))
-    points = Y.record_columns(points_cells, {c: c for c in POINTS_COLUMNS}).select(*POINTS_COLUMNS)
+    by_name = lambda columns: {c: c for c in columns}
+    points = Y.record_columns(points_cells, by_name(POINTS_COLUMNS)).select(*POINTS_COLUMNS)
 
     shown = replace_each(ascii_only(F.col("block")["h3"]), ["%", "Weapon and Magic"])
     # A table without a heading before it lists costs.
     name = F.when(F.col("block")["h3"].isNotNull(), F.trim(replace_each(shown, ["Increase"])))
     named = stat_rows.withColumn("StatIncrease", name)
     stat_cells = canon(Y.with_header(cells_of(named, keep=["StatIncrease"])))
-    effects = Y.record_columns(stat_cells.where(F.col("StatIncrease").isNotNull()), {c: c for c in EFFECT_COLUMNS}, keep=["StatIncrease"])
-    costs = Y.record_columns(stat_cells.where(F.col("StatIncrease").isNull()), {c: c for c in COST_COLUMNS})
+    effect_cells, cost_cells = (stat_cells.where(p) for p in (F.col("StatIncrease").isNotNull(), F.col("StatIncrease").isNull()))
+    effects = Y.record_columns(effect_cells, by_name(EFFECT_COLUMNS), keep=["StatIncrease"])
+    costs = Y.record_columns(cost_cells, by_name(COST_COLUMNS))
+    # What the tables hold beyond their columns, by table, stat and first column.
+    further = reshape.union_by_name([
+        Y.further_fields(points_cells, "HyperStatDistribution", by_name(POINTS_COLUMNS)).withColumn("StatIncrease", F.lit(None).cast("string")),
+        Y.further_fields(effect_cells, "HyperStat", by_name(EFFECT_COLUMNS), keep=["StatIncrease"]),
+        Y.further_fields(cost_cells, "HyperStatCost", by_name(COST_COLUMNS), keep=["StatIncrease"]),
+    ])
     return {
         "HyperStatDistribution": _numbers(points, POINTS_COLUMNS),
         "HyperStat": _numbers(effects.select("StatIncrease", *EFFECT_COLUMNS), EFFECT_COLUMNS[:1], EFFECT_COLUMNS[1:]),
         "HyperStatCost": _numbers(costs.select(*COST_COLUMNS), COST_COLUMNS),
+        "HyperStatOther": further,
     }

@@ -52,12 +52,12 @@ def tracked_sets(links: DataFrame, class_type: str = "ClassType", rules: RulePac
     return links.withColumn("EquipSet", name).where(P.name_allowed(F.col("EquipSet"), rules.tracked_sets, rules.ignored_sets))
 
 
-def set_effects(pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = None) -> DataFrame:
+def set_effects(pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = "Other") -> DataFrame:
     """Effect records of set pages: ``pages(page_id, html, EquipSet, ClassType)``.
 
     Each header is one destination. The threshold stands in the bold text of a row; the lines
     of the cell under a header are its effects. Rows without a threshold are skipped. Effects that
-    are not ``known`` go to the map ``other``, if one is named.
+    are not ``known`` go to the map ``other`` and are left out only if that is None.
     """
     read = stored_nodes(pages, ("table", "th", "td", "b"), "set-nodes")
     grid = (F.col("tag") == "table") & Y.has_class("wikitable")
@@ -89,4 +89,7 @@ def set_effects(pages: DataFrame, known: Sequence[str], rules: RulePack = RulePa
     )
     named = rename.name_fields(kv, rules.field_names)
     wide = reshape.pivot_wide(named, keys, list(known), other=other)
+    if other:
+        # A threshold without effects has one field, without name and value.
+        wide = wide.withColumn(other, F.map_filter(other, lambda k, v: (k != "") | (v != "")))
     return reshape.order_columns(wide, rules.column_order)

@@ -15,6 +15,7 @@ FIRST_TITLE = "Normal_Equips"
 FIRST_ANCHOR = "Normal_Equip"
 LAST_TITLE = "Superior_Items"
 IGNORED_SECTIONS = ["Total_Stats", "Meso_Cost"]
+LIMIT_COLUMNS = ["Level", "Max Stars"]
 RATE_COLUMNS = ["Attempt", "Success", "Maintain", "Decrease", "Destroy"]
 NORMAL_COLUMNS = [
     "Job Stat", "Non-Weapon Visible DEF", "Overall Visible DEF", "Category A Max HP", "Weapon Max MP",
@@ -40,9 +41,16 @@ def _section_cells(rows: DataFrame, section: str) -> DataFrame:
     return Y.with_header(cells_of(inside, keep=["Title"]))
 
 
+def _limit_cells(rows: DataFrame) -> DataFrame:
+    return _section_cells(rows, "StarLimit").withColumn("header", F.when(F.col("header").contains("Level"), "Level").otherwise(F.col("header")))
+
+
+def _rate_cells(rows: DataFrame) -> DataFrame:
+    return _section_cells(rows, "SuccessRates").withColumn("header", Y.canonical_header(F.col("header")))
+
+
 def star_limits(rows: DataFrame) -> DataFrame:
-    found = _section_cells(rows, "StarLimit").withColumn("header", F.when(F.col("header").contains("Level"), "Level").otherwise(F.col("header")))
-    wide = Y.record_columns(found, {"Level": "Level", "Max Stars": "Max Stars"}, keep=["Title"])
+    wide = Y.record_columns(_limit_cells(rows), {c: c for c in LIMIT_COLUMNS}, keep=["Title"])
     band = level_band(F.col("Level"))
     return wide.select(
         "Title", band["MinLvl"].alias("MinLvl"), band["MaxLvl"].alias("MaxLvl"), parse_number(F.col("Max Stars")).cast("int").alias("Max Stars")
@@ -50,8 +58,7 @@ def star_limits(rows: DataFrame) -> DataFrame:
 
 
 def success_rates(rows: DataFrame) -> DataFrame:
-    found = _section_cells(rows, "SuccessRates").withColumn("header", Y.canonical_header(F.col("header")))
-    wide = Y.record_columns(found, {c: c for c in RATE_COLUMNS}, keep=["Title"])
+    wide = Y.record_columns(_rate_cells(rows), {c: c for c in RATE_COLUMNS}, keep=["Title"])
     # A cell that is absent, or present and empty, is a rate of 0.
     rate = lambda c: parse_number(Y.cell_values(F.col(c)), absent=0).alias(c)
     whole = lambda c: parse_number(Y.cell_values(F.col(c)), absent=0).cast("int").alias(c)
@@ -82,8 +89,16 @@ def stat_boosts(rows: DataFrame) -> DataFrame:
 
 
 def _boost_table(boosts: DataFrame, title: str, columns: list[str]) -> DataFrame:
+    """Known stats as columns, the others in the map ``Other``."""
     values = [F.coalesce(F.col("fields")[c], F.lit(0)).cast("int").alias(c) for c in columns]
-    return boosts.where(F.col("Title") == title).select("SFID", "MinLvl", "MaxLvl", *values)
+    other = F.map_filter("fields", lambda stat, _: ~stat.isin(*columns)).alias("Other")
+    return boosts.where(F.col("Title") == title).select("SFID", "MinLvl", "MaxLvl", *values, other)
+
+
+def further_fields(rows: DataFrame) -> DataFrame:
+    """What limits and rates hold beyond their columns: ``(Table, Title, Of, Other)``."""
+    limits = Y.further_fields(_limit_cells(rows), "StarLimit", {c: c for c in LIMIT_COLUMNS}, keep=["Title"])
+    return limits.unionByName(Y.further_fields(_rate_cells(rows), "SFSuccessRates", {c: c for c in RATE_COLUMNS}, keep=["Title"]))
 
 
 def star_tables(pages: DataFrame) -> dict[str, DataFrame]:
@@ -94,4 +109,5 @@ def star_tables(pages: DataFrame) -> dict[str, DataFrame]:
         "SFSuccessRates": success_rates(rows),
         "NormalEquipSF": _boost_table(boosts, FIRST_TITLE, NORMAL_COLUMNS),
         "SuperiorItemsSF": _boost_table(boosts, LAST_TITLE, SUPERIOR_COLUMNS),
+        "StarOther": further_fields(rows),
     }
