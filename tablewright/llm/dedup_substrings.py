@@ -15,6 +15,7 @@ short gram, but as many long ones as surroundings. A shard's regions, in the ord
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import IO
 
 import numpy as np
 import pyarrow as pa
@@ -208,36 +209,45 @@ def cut_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made(held)
 
 
+def written_to(file: IO[bytes], kind: type) -> np.ndarray:
+    """What a file holds, in memory or beyond a limit in the file."""
+    file.flush()
+    size = file.tell()
+    file.seek(0)
+    return np.memmap(file, kind, "r") if size > induced.MEMORY else np.frombuffer(file.read(), kind)
+
+
 def compare_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's regions (doc, twin, place, data), in document order: its repeated strings as runs.
 
-    The shard's text goes to an unnamed file of this task as it arrives; with it only numbers of
-    the regions are held. The file is gone when the task ends, however it ends.
+    The shard's text and the numbers of its regions go to unnamed files of this task as they
+    arrive. The files are gone when the task ends, however it ends.
     """
     import tempfile
 
-    with tempfile.TemporaryFile() as file:
-        size, held = 0, []
+    with tempfile.TemporaryFile() as file, tempfile.TemporaryFile() as numbers:
+        count = 0
         for batch in batches:
             doc, twin, place = (batch.column(i).to_numpy() for i in range(3))
             for data in batch.column(3).to_pylist():
                 # Bytes plus one, as zero ends a region; UTF-8 has no byte of 255.
                 file.write((np.frombuffer(data, np.uint8) + np.uint8(1)).tobytes() + b"\0")
-            held.append((doc.copy(), twin.copy(), place.copy()))
-        if not held:
+            numbers.write(np.stack([doc, twin, place], axis=1).astype(np.int64).tobytes())
+            count += batch.num_rows
+        if not count:
             return
-        doc, twin, place = (np.concatenate(x) for x in zip(*held, strict=True))
-        start, strings = unpack(place)
+        of_regions = written_to(numbers, np.int64).reshape(count, 3)
         size = file.tell()
         file.write(bytes(LENGTH + induced.WORD))
-        file.flush()
-        file.seek(0)
-        whole = np.memmap(file, np.uint8, "r") if size > induced.MEMORY else np.frombuffer(file.read(), np.uint8)
-        at = np.cumsum(strings + LENGTH) - (strings + LENGTH)
+        whole = written_to(file, np.uint8)
+        at, ends = induced.room(count, np.int64), 0
         owned = induced.room(size, bool)
-        for lo in range(0, len(at), 1 << 16):
-            first, count = at[lo : lo + (1 << 16)], strings[lo : lo + (1 << 16)]
-            owned[np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())] = True
+        for lo in range(0, count, 1 << 16):
+            strings = unpack(of_regions[lo : lo + (1 << 16), 2])[1]
+            first = ends + np.cumsum(strings + LENGTH) - (strings + LENGTH)
+            at[lo : lo + (1 << 16)] = first
+            ends = int(first[-1] + strings[-1] + LENGTH)
+            owned[np.repeat(first - (np.cumsum(strings) - strings), strings) + np.arange(strings.sum())] = True
         again = induced.repeats(whole, size, owned)
         # Runs of neighbouring repeated strings; a region's last place is never one.
         for lo in range(0, size, induced.MEMORY):
@@ -245,7 +255,8 @@ def compare_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             step = np.diff(np.r_[0, flags.astype(np.int8), 0])
             opens, closes = np.nonzero(step == 1)[0] + lo, np.nonzero(step == -1)[0] + lo
             of = np.searchsorted(at, opens, side="right") - 1
-            columns = (doc[of], twin[of], start[of] + opens - at[of], closes - opens)
+            doc, twin, place = of_regions[of].T
+            columns = (doc, twin, unpack(place)[0] + opens - at[of], closes - opens)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "twin", "start", "strings"])
 
 

@@ -23,6 +23,8 @@ import numpy as np
 DEPTH, WORD = 100, 8
 #: Entries in a block, and bytes of a text or a queue that stay in memory.
 BLOCK, MEMORY = 1 << 18, 64 << 20
+#: Bytes that ordering a seed in memory takes, and seeds that splitters are drawn from.
+SEED_BYTES, SAMPLE = 128, 8192
 ENTRY = np.dtype([("at", np.int64), ("common", np.uint8)])
 SYMBOLS = 257
 
@@ -60,6 +62,24 @@ class Queue:
         self.file.seek(piece[0])
         return np.frombuffer(self.file.read(piece[1] * ENTRY.itemsize), ENTRY)
 
+    def count(self, symbol: int) -> int:
+        return sum(len(p) if isinstance(p, np.ndarray) else p[1] for p in self.parts[symbol])
+
+    def sample(self, symbol: int, wanted: int) -> np.ndarray:
+        """About so many of a character's entries, from all over them; they stay."""
+        step = max(1, self.count(symbol) // wanted)
+        found = np.concatenate([self._piece(p)[::step] for p in self.parts[symbol]])
+        return found[:: max(1, len(found) // wanted)]
+
+    def deal(self, symbols: np.ndarray, entries: np.ndarray) -> None:
+        """Push entries of several characters."""
+        order = np.argsort(symbols, kind="stable")
+        symbols, entries = symbols[order], entries[order]
+        cuts = np.nonzero(np.r_[True, symbols[1:] != symbols[:-1]])[0]
+        for lo, hi in zip(cuts, np.r_[cuts[1:], len(entries)], strict=True):
+            # A copy, so that what is spilled does not stay as part of the whole.
+            self.push(int(symbols[lo]), entries[lo:hi].copy())
+
     def take(self, symbol: int) -> Iterator[np.ndarray]:
         """Blocks of a character's entries in order, also of those that arrive meanwhile; they leave the queue."""
         while self.parts[symbol]:
@@ -159,6 +179,47 @@ def words(padded: np.ndarray) -> np.ndarray:
     return np.ndarray(len(padded) - WORD + 1, ">u8", padded, strides=(1,))
 
 
+def ordered_seeds(padded: np.ndarray, queue: Queue, symbol: int, last: int, memory: int) -> Iterator[np.ndarray]:
+    """A character's seeds in order, in blocks, with common prefixes; ``last`` is the suffix before them or -1."""
+    for part in seed_parts(padded, queue, symbol, memory):
+        part["common"][0] = shared_prefix(padded, last, int(part["at"][0])) if last >= 0 else 0
+        last = int(part["at"][-1])
+        yield from blocks(part)
+
+
+def seed_parts(padded: np.ndarray, queue: Queue, symbol: int, memory: int) -> Iterator[np.ndarray]:
+    """Seeds in order, in parts that are ordered in bounded memory; the first of a part has no common prefix yet.
+
+    What does not fit is split by some of its own strings, in a queue that spills: seeds between two
+    of these are a part, split again if need be, and seeds equal to one need no order.
+    """
+    count = queue.count(symbol)
+    if count <= max(memory // SEED_BYTES, 2):
+        if count:
+            yield sorted_seeds(padded, np.concatenate(list(queue.take(symbol)))["at"])
+        return
+    windows = np.lib.stride_tricks.sliding_window_view(padded, DEPTH)
+    strings = lambda entries: windows[entries["at"]].view(f"S{DEPTH}")[:, 0]
+    some = np.sort(strings(queue.sample(symbol, SAMPLE)))
+    splitters = np.unique(some[np.linspace(0, len(some) - 1, SYMBOLS // 2).astype(np.int64)])
+    split = Queue(memory // 2)
+    try:
+        for part in queue.take(symbol):
+            found = strings(part)
+            # Even between splitters, odd at one.
+            split.deal(np.searchsorted(splitters, found, "left") + np.searchsorted(splitters, found, "right"), part)
+        for place in range(2 * len(splitters) + 1):
+            if place % 2 == 0:
+                yield from seed_parts(padded, split, place, memory // 2)
+                continue
+            for part in split.take(place):
+                equal = part.copy()
+                equal["common"] = DEPTH
+                yield equal
+    finally:
+        split.close()
+
+
 def sorted_seeds(padded: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """Seeds of one first character in order, with common prefixes; ties are looked at word by word."""
     at = seeds.astype(np.int64)
@@ -200,12 +261,12 @@ def shared_prefix(padded: np.ndarray, a: int, b: int) -> int:
     return int(unequal[0]) if len(unequal) else DEPTH
 
 
-def suffix_order(padded: np.ndarray, size: int, seeds_of: Callable[[int], np.ndarray], memory: int = MEMORY) -> Iterator[np.ndarray]:
+def suffix_order(padded: np.ndarray, size: int, seeds_of: Callable[[int], tuple[Queue, int]], memory: int = MEMORY) -> Iterator[np.ndarray]:
     """All suffixes of ``padded[:size]``, largest first, in blocks of entries.
 
     An entry's common prefix is that with the entry before it, whatever block that was in. The text
     must end with a zero and be followed by at least DEPTH + WORD more. ``seeds_of(c)`` gives the
-    places of the seeds that begin with c.
+    queue of the seeds that begin with c, and where in it they are.
     """
     text = padded[:size]
     smaller, larger, kept = Queue(memory), Queue(memory), Queue(memory)
@@ -218,11 +279,8 @@ def suffix_order(padded: np.ndarray, size: int, seeds_of: Callable[[int], np.nda
             kept.push(c, part)
             last = int(part["at"][-1])
             up.scan(part, lambda s, c=c: s >= c)
-        seeds = sorted_seeds(padded, seeds_of(c))
-        if len(seeds):
-            seeds["common"][0] = shared_prefix(padded, last, int(seeds["at"][0])) if last >= 0 else 0
-            for part in blocks(seeds):
-                up.scan(part, lambda s, c=c: s > c)
+        for part in ordered_seeds(padded, *seeds_of(c), last, memory):
+            up.scan(part, lambda s, c=c: s > c)
     down = Inducer(text, larger)
     for c in range(SYMBOLS - 2, -1, -1):
         last = -1
@@ -247,7 +305,7 @@ def suffix_order(padded: np.ndarray, size: int, seeds_of: Callable[[int], np.nda
         queue.close()
 
 
-def seed_places(text: np.ndarray, memory: int = MEMORY) -> tuple[Callable[[int], np.ndarray], Queue]:
+def seed_places(text: np.ndarray, memory: int = MEMORY) -> tuple[Callable[[int], tuple[Queue, int]], Queue]:
     """A look-up of seeds by first character; they wait in a queue of their own.
 
     The text is read in pieces from its end, beyond which lies a character smaller than all.
@@ -263,19 +321,10 @@ def seed_places(text: np.ndarray, memory: int = MEMORY) -> tuple[Callable[[int],
         places = np.nonzero(kind & (before > text[lo:hi]))[0] + lo
         if not len(places):
             continue
-        symbols = text[places]
-        order = np.argsort(symbols, kind="stable")
-        cuts = np.nonzero(np.r_[True, symbols[order][1:] != symbols[order][:-1]])[0]
-        for a, b in zip(cuts, np.r_[cuts[1:], len(places)], strict=True):
-            made = np.empty(b - a, ENTRY)
-            made["at"], made["common"] = places[order[a:b]], 0
-            queue.push(int(symbols[order[a]]), made)
-
-    def of(c: int) -> np.ndarray:
-        parts = list(queue.take(c))
-        return np.concatenate(parts)["at"] if parts else np.zeros(0, np.int64)
-
-    return of, queue
+        made = np.empty(len(places), ENTRY)
+        made["at"], made["common"] = places, 0
+        queue.deal(text[places], made)
+    return lambda c: (queue, c), queue
 
 
 def room(size: int, kind: type, memory: int = MEMORY) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Suffix order by induction against sorting, with small blocks and queues that spill."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -56,3 +57,22 @@ def test_order_and_prefixes(monkeypatch, seed):
     assert heads == sorted(heads, reverse=True)
     for a, b, common in zip(heads, heads[1:], found["common"][1:].tolist(), strict=False):
         assert common == next((k for k in range(40) if a[k] != b[k]), 40)
+
+
+@pytest.mark.parametrize("words", [[b"ab", b"cd", b"ef", b"gh"], [b"one and the same line, far over sixty-four bytes long, in a third of all texts"]])
+def test_seeds_of_one_character_are_ordered_in_bounded_memory(monkeypatch, words):
+    monkeypatch.setattr(induced, "BLOCK", 1 << 12)
+    rng, memory = random.Random(6), 1 << 20
+    text = b" ".join(rng.choice(words) if rng.random() < 0.5 else bytes(rng.choices(b"mnopqr", k=2)) for _ in range(200_000))[: 600_000]
+    padded, size, _ = shard([text])
+    seeds, waiting = induced.seed_places(padded[:size], memory)
+    found, filled = np.empty(size, np.int64), 0
+    tracemalloc.start()
+    for part in induced.suffix_order(padded, size, seeds, memory):
+        found[filled : filled + len(part)] = part["at"]
+        filled += len(part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    heads = [bytes(padded[i : i + induced.DEPTH]) for i in found]
+    assert sorted(found.tolist()) == list(range(size)) and heads == sorted(heads, reverse=True)
+    assert peak < 8 * memory
