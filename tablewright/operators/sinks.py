@@ -152,6 +152,14 @@ def save(
     return read_current(spark, path)
 
 
+def save_rejects(df: DataFrame, path: str) -> None:
+    """Rows that no table takes, if there are any, as a version of their own."""
+    if not df.isEmpty():
+        number = max([0, *_versions(df.sparkSession, path, complete=False)]) + 1
+        _claim(df.sparkSession, path, number)
+        df.write.parquet(f"{path}/v={number}")
+
+
 def inferred_types(kv: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
     """Type of each key over *all* its values: whole numbers, numbers, else text."""
     given = kv.where(F.col(value).isNotNull())

@@ -10,7 +10,7 @@ from tablewright.functions.records import key_value, level_text
 from tablewright.functions.text import clean_lines
 from tablewright.operators import details, layout as Y, predicates as P, rename, reshape
 from tablewright.operators.links import canonical, extract, reach, resolve, slug, slug_name
-from tablewright.operators.sinks import cast_inferred, destination, save
+from tablewright.operators.sinks import cast_inferred, destination, save, save_rejects
 from tablewright.operators.steps import run_steps
 from tablewright.rules import RulePack
 from tablewright.session import stage
@@ -249,7 +249,9 @@ def store_records(records: DataFrame, root: str, specs: Mapping[str, TableSpec],
     """Upsert records into the table of their destination and return what the tables then hold.
 
     Stat fields get the type that all their values have. Records are written once for all tables.
+    Those without a destination, or with one that ``specs`` do not name, go to ``Destination_rejects``.
     """
     held = stage(records, "records")
     typed = cast_inferred(held, [c for c in stats if c in held.columns])
+    save_rejects(typed.where(~F.coalesce(F.col("Destination").isin(*specs), F.lit(False))), f"{root}/Destination_rejects")
     return {name: save(destination(typed, name), spec.named(name), root, seq=seq, defaults=rules.defaults, columns=rules.column_order) for name, spec in specs.items()}

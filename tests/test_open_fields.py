@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from test_plans import page
 from tablewright.checks.job_checks import equipment_corpus
-from tablewright.operators.sinks import destination
+from tablewright.operators.sinks import destination, read_current
 from tablewright.plans import equipment, flames, hyper, sets, stars
 from tablewright.session import scratch
 from tablewright.specs import EQUIP
@@ -65,3 +65,13 @@ def test_equipment_and_store(spark):
         rows = df.collect()
         assert rows and all("PercMaxHP" in r.Other and "STR" not in r.Other for r in rows)
         assert any("WATK" in r.Other for r in rows)
+
+
+def test_store_rejects_unlisted_destinations(spark):
+    rows = [("Ring", f"r{i}", "None", "Any", place, str(i), i) for i, place in enumerate(["EquipAccessory", "EquipPet", None, "EquipPet"])]
+    records = spark.createDataFrame(rows, "EquipSlot string, EquipName string, EquipSet string, ClassType string, Destination string, STR string, at int")
+    root = scratch(spark, "unlisted")
+    held = equipment.store_records(records, root, {"EquipAccessory": EQUIP}, "at", ["STR"])
+    assert [r.EquipName for r in held["EquipAccessory"].collect()] == ["r0"]
+    gone = read_current(spark, f"{root}/Destination_rejects").collect()
+    assert sorted((r.EquipName, r.Destination or "") for r in gone) == [("r1", "EquipPet"), ("r2", ""), ("r3", "EquipPet")]
