@@ -270,9 +270,15 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
             joined = components(relabelled(relabelled(more, "a", roots), "b", roots))
             roots = written(relabelled(roots, "root", joined).unionByName(joined.join(roots, "id", "left_anti")), "roots")
 
-    # Classes of one doc_id with different texts share their name, and so their component.
+    # Classes that a doc_id with different texts belongs to are linked by it.
     named = usable.join(names.withColumnRenamed("id", "class"), ["key_a", "key_b", "n_shingles"]).select("doc_id", "class").distinct()
-    own = named.groupBy("doc_id").agg(F.min("class").alias("class"))
+    own = written(named.groupBy("doc_id").agg(F.min("class").alias("class"), F.max("class").alias("last")), "owners")
+    several = own.where("class < last").select("doc_id", F.col("class").alias("a"))
+    if not several.isEmpty():
+        links = named.withColumnRenamed("class", "b").join(several, "doc_id").where("a <> b").select("a", "b").distinct()
+        joined = components(relabelled(relabelled(links, "a", roots), "b", roots))
+        roots = written(relabelled(roots, "root", joined).unionByName(joined.join(roots, "id", "left_anti")), "roots")
+    own = own.drop("last")
     rooted = relabelled(own, "class", roots).withColumnRenamed("class", "component")
     return table.select("doc_id", "n_shingles").join(rooted, "doc_id", "left").select(
         "doc_id",

@@ -66,6 +66,13 @@ def test_near(docs, empty):
     assert sorted((r.doc_id or 0) for r in left.collect()) == sorted({0} | {v[1] for v in want.values()})
 
 
+def test_near_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    rows = [(2, a), (7, a), (7, b), (9, b), (9, c), (11, c + " more"), (12, "alone"), (7, None)]
+    got = minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(2, 2, True), (7, 2, False), (9, 2, False), (11, 2, False), (12, 12, True)}
+
+
 def test_near_needs_chains_and_rounds(spark):
     """A large group of copies of one text, each with its own changes, and chains whose ends are far apart."""
     base = [f"w{i}" for i in range(60)]
