@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import dedup_exact, dedup_substrings, language, minhash, mixing, quality, sentencepieces, sharding, topk, toxicity
+from tablewright.llm import dedup_exact, dedup_substrings, language, lexical, minhash, mixing, outliers, quality, sentencepieces, sharding, topk, toxicity, whitening
 from tablewright.llm.common import table
 
 #: A public tokenizer's vocabulary; a parameter of the operator.
@@ -112,3 +112,32 @@ def near(spark, sf_dir):
 def passages(spark, sf_dir):
     found = dedup_substrings.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_quality_rules", outliers.oracle_sql())
+def rules(spark, sf_dir):
+    return outliers.quality_rules(table(spark, sf_dir, "documents"))
+
+
+TERMS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op12_ranked_search",
+    f"""WITH d AS MATERIALIZED (SELECT doc_id, {TERMS_SQL} AS ts FROM documents),
+    c AS (SELECT count(*) AS docs, CAST(sum(len(ts)) AS BIGINT) AS terms FROM d WHERE len(ts) > 0),
+    q AS (SELECT DISTINCT item_id, unnest({TERMS_SQL}) AS term FROM benchmark),
+    f AS MATERIALIZED (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM f GROUP BY term), c),
+    s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+      FROM f JOIN q USING (term) JOIN w USING (term), c GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 10""",
+)
+def ranked(spark, sf_dir):
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_whitening")
+def white(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

@@ -1,6 +1,7 @@
 """Plain versions of the corpus operators, one row at a time, to hold results against."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -80,3 +81,38 @@ def dealt(homes, room):
             carried += left
         lap += 1
     return out
+
+
+def counts(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {j for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for j in range(i, i + 8)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(SMALL))
+
+
+def ranked(docs, items, k=10):
+    """(item_id, rank, doc_id, score) by scoring every document for every item."""
+    held = [(d, Counter(terms(t))) for d, t in docs]
+    held = [(d, c, sum(c.values())) for d, c in held if c]
+    n, total = len(held), sum(size for _, _, size in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    wanted = defaultdict(set)
+    for item, text in items:
+        wanted[item] |= set(terms(text))
+    out = []
+    for item, own in wanted.items():
+        found = []
+        for d, c, size in held:
+            m = 10 + (90 * size * n) // total
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m)) for t in own if t in c)
+            if score > 0:
+                found.append((-score, d is None, d or 0))
+        out += [(item, i + 1, None if missing else d, -s) for i, (s, missing, d) in enumerate(sorted(found)[:k])]
+    return out
