@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +28,32 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``, such that its worker, which waits for later tasks, keeps no memory it does not need."""
+
+    def leaving(batches: Batches) -> Batches:
+        # The system's allocator can give back what the pooling one would keep.
+        pa.set_memory_pool(pa.system_memory_pool())
+        yield from run(batches)
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return leaving
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, or with further underscores, so that no column of the frames has it."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows, written once to the shared folder and read back.
 

@@ -13,13 +13,14 @@ text. Notes are followed back stage by stage, so no join meets all copies of a t
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import BLANKS, written
+from tablewright.llm.common import BLANKS, lean, written
 
 SALTS = 64
 #: Stands for a missing doc_id: it comes after all others.
@@ -121,11 +122,53 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     return every.select(named("row").alias("doc_id"), named("keep").alias("keep_id"), "group_size", F.col("stands").alias("kept"), F.col("digest").alias("text_sha256"))
 
 
+def standing(within: bool) -> Merge:
+    """Rows of which none with the same text came before: in their batch, or, sorted by digest and salt, at all.
+
+    Batches hold ``doc`` (the whole row), row, tie, digest, salt. Texts are compared where digests agree.
+    """
+
+    def text(batch: pa.RecordBatch, i: int) -> str:
+        found = batch.column(0).field("text")[i].as_py()
+        return re.sub(BLANKS, " ", found or "")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, firsts = None, {}
+        for batch in batches:
+            rows, ties, digests, salts = (batch.column(i).to_pylist() for i in range(1, 5))
+            order = sorted(range(len(rows)), key=lambda i: (rows[i], ties[i])) if within else range(len(rows))
+            stays = [True] * len(rows)
+            if within:
+                firsts = {}
+            for i in order:
+                if not within and group != (digests[i], salts[i]):
+                    group, firsts = (digests[i], salts[i]), {}
+                # Holds one row, unless different texts share a SHA-256.
+                before = firsts.setdefault(digests[i], [])
+                stays[i] = not before or all(text(*b) != text(batch, i) for b in before)
+                if stays[i]:
+                    # A row of its own: a whole batch is not held for it.
+                    before.append((batch.slice(i, 1).take(pa.array([0])), 0))
+            yield batch.filter(pa.array(stays, pa.bool_()))
+
+    return keep
+
+
 def deduplicated(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_groups(docs, salts).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"))
-    rows = docs.withColumn("_digest", F.sha2(normalised(F.col("text")), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
-    # Whole rows that repeat share doc_id and digest: the first of them stays.
-    again = Window.partitionBy("doc_id", "_digest").orderBy(F.lit(1))
-    return rows.join(kept, same, "left_semi").withColumn("_again", F.row_number().over(again)).where("_again = 1").drop("_digest", "_again")
+    """The rows of ``docs`` that stay, with all their columns: of equal texts the smallest doc_id.
+
+    Whole rows go through the three stages, so texts are shuffled twice and never joined. Of rows that
+    share a doc_id and a text, the one whose JSON has the smallest hash stays, however rows are dealt;
+    a missing doc_id comes after all others. Missing and empty texts are one text. Texts are compared
+    whole; an empty table stays empty; columns of any name are carried along.
+    """
+    row = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole.alias("doc"), row.alias("row"), F.md5(F.to_json(whole).cast("binary")).alias("tie"), F.sha2(normalised(F.col("text")), 256).alias("digest"), F.lit(0).cast("long").alias("salt"))
+    # Missing doc_ids come last even where a doc_id has the largest number.
+    rows = rows.withColumn("tie", F.concat(F.when(F.col("doc.doc_id").isNull(), "1").otherwise("0"), F.col("tie")))
+    found = rows.mapInArrow(lean(standing(within=True)), rows.schema)
+    for salt in (F.pmod(F.xxhash64("row", "tie"), F.lit(salts)), F.lit(0).cast("long")):
+        salted = found.withColumn("salt", salt)
+        found = salted.repartition("digest", "salt").sortWithinPartitions("digest", "salt", "row", "tie").mapInArrow(lean(standing(within=False)), rows.schema)
+    return found.select("doc.*")

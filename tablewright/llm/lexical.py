@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import written
+from tablewright.llm.common import lean, written
 
 #: Items, and distinct terms of items, that one pass over the documents serves.
 ITEMS, TERMS = 1024, 32768
@@ -60,7 +60,7 @@ def item_terms(items: DataFrame) -> DataFrame:
                 terms += found
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(terms, pa.binary()).cast(pa.string())], ["item_id", "term"])
 
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(run, "item_id long, term string")
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(lean(run), "item_id long, term string")
     return rows.distinct().groupBy("item_id").agg(F.sort_array(F.collect_list("term")).alias("terms"))
 
 
@@ -97,7 +97,7 @@ def postings(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), *lists], ["doc_id", "n_terms", "terms", "counts"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_terms long, terms array<int>, counts array<long>")
+    return rows.mapInArrow(lean(run), "doc_id long, n_terms long, terms array<int>, counts array<long>")
 
 
 class Block:
@@ -257,7 +257,7 @@ def rank_block(docs: DataFrame, items: list[tuple[int | None, list[str]]], k: in
             scores, missing, ids = best.rows
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), i, np.int32)), pa.array(ids, mask=missing), pa.array(scores)], ["item", "doc_id", "score"])
 
-    met = rows.where("n_terms > 0").mapInArrow(search, "item int, doc_id long, score long")
+    met = rows.where("n_terms > 0").mapInArrow(lean(search), "item int, doc_id long, score long")
     order = (F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     salted = met.withColumn("salt", F.spark_partition_id() % SALTS)
     some = Window.partitionBy("item", "salt").orderBy(*order)

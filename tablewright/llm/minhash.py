@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import written
+from tablewright.llm.common import lean, unused, written
 from tablewright.session import bucketed
 
 #: Hash functions, minima in a band, low bits kept of a minimum.
@@ -38,7 +38,7 @@ MARGIN = 0.15
 #: How many classes a member of a bucket asks for, round by round.
 ASKED = (1, 4, 16)
 #: Members of a bucket that are held at a time, and that meet them at a time.
-BLOCK, TILE = 2048, 1024
+BLOCK, TILE = 2048, 256
 #: Members of a crowd whose sets are held at a time.
 HELD = 256
 #: Bytes of text hashed at a time.
@@ -154,7 +154,7 @@ def features(docs: DataFrame, words: int) -> DataFrame:
             longs = [pa.array(x, pa.int64()) for x in (count, key_a, key_b)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *longs, *lists], ["doc_id", "n_shingles", "key_a", "key_b", "packed", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, FEATURES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), FEATURES)
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -166,7 +166,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return wanted.mapInArrow(run, "id long, shingles array<long>")
+    return wanted.mapInArrow(lean(run), "id long, shingles array<long>")
 
 
 def agreeing(left: str, right: str) -> Column:
@@ -289,9 +289,14 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
 
 def without_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay of their group of near-duplicates, with all their columns."""
-    kept = near_groups(docs, words, percent).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The rows of ``docs`` that stay of their group of near-duplicates, with all their columns.
+
+    Rows of the doc_id that stays stay together. Missing, empty and blank texts and rows without
+    doc_id have no near-duplicates and stay; texts are compared whole; an empty table stays empty.
+    """
+    name = unused("_kept_id", docs)
+    kept = near_groups(docs, words, percent).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
 
 
 def in_components(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -358,7 +363,7 @@ def pairs_between(members: DataFrame, roots: DataFrame, classes: DataFrame, perc
         yield from found()
 
     met = asking.select(columns).unionByName(there.select(columns)).repartition("band", "block").sortWithinPartitions("band", "block", "side", "id")
-    return met.mapInArrow(meet, "crowd boolean, a long, b long")
+    return met.mapInArrow(lean(meet), "crowd boolean, a long, b long")
 
 
 def pair_batch(x: np.ndarray, y: np.ndarray, crowd: bool = False) -> pa.RecordBatch:
@@ -413,7 +418,7 @@ def crowd_links(crowd: DataFrame, members: DataFrame, roots: DataFrame, sets: Da
                 y += [who[i]] * int(linked.sum())
             yield pair_batch(np.array(x, np.int64), np.array(y, np.int64))
 
-    met = rows.repartition("main", "block").sortWithinPartitions("main", "block", "side", "id").mapInArrow(compare, "crowd boolean, a long, b long")
+    met = rows.repartition("main", "block").sortWithinPartitions("main", "block", "side", "id").mapInArrow(lean(compare), "crowd boolean, a long, b long")
     return met.select("a", "b").distinct()
 
 

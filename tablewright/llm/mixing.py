@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import written
+from tablewright.llm.common import unused, written
 
 
 def hashed(*parts: Column | str) -> Column:
@@ -58,17 +58,19 @@ def mix_sources(docs: DataFrame, targets: dict[str, float] | None = None, power:
     partitions. A document of a source that is to be seen less than once is often left out, one
     that is to be seen more often comes several times. Documents with the same doc_id and source
     share their count; a missing doc_id counts as an empty one. Texts may be missing, empty or
-    long: whole rows are dealt. Columns of these three names in the input are replaced.
+    long: whole rows are dealt. Columns of these three names in the input are replaced; an empty
+    table stays empty.
     """
     docs = docs.drop("n_copies", "copy", "shuffle_key")
     # Written, so that Spark knows the size of this table before it plans the join.
     table = written(distribution(rates(docs, targets, power, epochs)), "poisson")
-    table = table.select(F.col("source").alias("mix_source"), F.col("cumulative").alias("mix_cumulative"))
+    named, steps = unused("mix_source", docs), unused("mix_cumulative", docs)
+    table = table.select(F.col("source").alias(named), F.col("cumulative").alias(steps))
     chance = hashed(seed, "count", F.col("doc_id")) / F.lit(float(2**60))
     counted = (
-        docs.join(table, F.col("source").eqNullSafe(F.col("mix_source")))
-        .withColumn("n_copies", F.size(F.filter("mix_cumulative", lambda c: c <= chance)).cast("long"))
-        .drop("mix_source", "mix_cumulative")
+        docs.join(table, F.col("source").eqNullSafe(F.col(named)))
+        .withColumn("n_copies", F.size(F.filter(steps, lambda c: c <= chance)).cast("long"))
+        .drop(named, steps)
     )
     copies = counted.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
     keyed = copies.withColumn("shuffle_key", hashed(seed, "order", F.col("doc_id"), F.col("copy")))

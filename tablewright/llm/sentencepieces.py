@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.llm.common import lean
+
 MARK = "▁"
 #: Bytes of text encoded at a time; words and pairs of pieces that a worker remembers, some 100 MB.
 CHUNK, REMEMBERED, PAIRS = 4 << 20, 100_000, 250_000
@@ -257,11 +259,15 @@ def encode_texts(docs: DataFrame, model_path: str, column: str = "text") -> Data
         if waiting:
             yield from encoded(pa.Table.from_batches(waiting).combine_chunks().to_batches())
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def decode_ids(encoded: DataFrame, model_path: str, column: str = "ids") -> DataFrame:
-    """``encoded`` with the text of its ids as ``text``; missing ids give a missing text."""
+    """``encoded`` with the text of its ids as ``text``.
+
+    Missing ids give a missing text, no ids an empty one; repeated rows get equal texts, an empty
+    table stays empty. An input column ``text`` is replaced.
+    """
     shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(model_path))
     key = hash((model_path, len(shared.value.pieces)))
     encoded = encoded.drop("text")
@@ -273,7 +279,7 @@ def decode_ids(encoded: DataFrame, model_path: str, column: str = "ids") -> Data
             texts = [None if ids is None else encoder.decode(ids) for ids in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())]))
+    return encoded.mapInArrow(lean(run), T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())]))
 
 
 def token_rows(docs: DataFrame, model_path: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import written
+from tablewright.llm.common import lean, written
 
 #: Components returned.
 COMPONENTS = 32
@@ -76,7 +76,7 @@ def exact_sums(rows: DataFrame, centre: list[int], products: bool) -> list[list[
             lists = pa.ListArray.from_arrays(pa.array(np.arange(size + 1) * found.shape[1], pa.int32()), pa.array(found.ravel()))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(size, place, np.int32)), pa.array(np.arange(size, dtype=np.int32)), lists], ["place", "i", "sums"])
 
-    met = rows.select("x").mapInArrow(run, "place int, i int, sums array<long>")
+    met = rows.select("x").mapInArrow(lean(run), "place int, i int, sums array<long>")
     cells = met.select("place", "i", F.posexplode("sums").alias("j", "s")).groupBy("place", "i", "j").agg(F.sum(F.col("s").cast("decimal(38,0)")).alias("s"))
     out = [[0] * len(centre) for _ in range(1 + len(centre) * products)]
     # As many numbers as a covariance has, however many rows there are.
@@ -202,7 +202,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = 64, sh
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * len(known), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), deviation, lists], ["vec_id", "deviation", "whitened"])
 
-    found = written(rows.select("vec_id", "x").mapInArrow(run, "vec_id long, deviation long, whitened array<double>"), "whitened")
+    found = written(rows.select("vec_id", "x").mapInArrow(lean(run), "vec_id long, deviation long, whitened array<double>"), "whitened")
     error = identity_error(found, int(known.sum()), n)
     pick = [F.element_at(F.array(*[F.lit(e).cast("double") for e in explained]), F.col("component")).alias("explained")]
     long = found.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")).withColumn("component", F.col("place") + 1)
@@ -222,7 +222,7 @@ def identity_error(found: DataFrame, known: int, n: int) -> float | None:
         i, j = np.indices(sums.shape)
         yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(sums.ravel())], ["i", "j", "s"])
 
-    met = found.select("whitened").mapInArrow(run, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    met = found.select("whitened").mapInArrow(lean(run), "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
     sums = np.zeros((known + 1, known))
     for cell in met.toLocalIterator():
         sums[cell.i, cell.j] = cell.s
