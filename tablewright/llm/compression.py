@@ -15,18 +15,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.llm.common import held_out
+from tablewright.llm.common import held_out, lean
 
 #: For small windows: a match needs four bytes and the parse is the same for every dictionary, so
 #: two sizes of one window differ only by what their dictionaries hold.
 FINE = {"window_log": 17, "chain_log": 14, "hash_log": 14, "search_log": 6, "min_match": 4, "target_length": 32, "strategy": zstandard.STRATEGY_LAZY2}
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, chars: int) -> list[tuple[str, int]]:
+def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[str, int]]:
     """A bounded sample of labelled texts to learn from: up to ``per_class`` of each label.
 
-    Taken in the order of a hash of the doc_id, from documents that are not held out. At most
-    ``chars`` characters of a text are learned from. A document labelled both ways is left out.
+    Taken in the order of a hash of the doc_id, from documents that are not held out. Texts are
+    taken whole; only their number is bounded. A document labelled both ways is left out.
     """
     clear = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -35,7 +35,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, chars
     drawn = [clear.where(F.col("low") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     # At most twice per_class ids.
     ids = F.broadcast(drawn[0].unionByName(drawn[1]).select("doc_id", F.col("low").cast("int").alias("label")))
-    texts = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text")).join(ids, "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id")
     rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * per_class).collect()
     return [(r.text, r.label) for r in rows]
 
@@ -51,6 +51,11 @@ def windows(text: bytes, width: int) -> list[bytes]:
     return out
 
 
+def evenly(pieces: list[bytes], size: int) -> bytes:
+    """About ``size`` bytes of all pieces, taken at even steps."""
+    return b"".join(pieces[:: max(1, -(-sum(map(len, pieces)) // size))])
+
+
 def compressor(dictionary: bytes, fine: bool = False) -> zstandard.ZstdCompressor:
     """For windows, without what a frame says besides.
 
@@ -183,7 +188,7 @@ def scored(docs: DataFrame, score: Callable[[], Callable[[list[bytes]], np.ndarr
             values = of(texts) if texts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def judged(docs: DataFrame, score: Callable[[], Callable[[list[bytes]], np.ndarray]], threshold: float) -> DataFrame:

@@ -20,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import held_out
+from tablewright.llm.common import held_out, lean
 
 #: Rows of the table, length of an embedding, lengths of subwords in bytes.
 ROWS, WIDTH, LENGTHS = 1 << 16, 16, (2, 3, 4)
-#: What is learned from: texts of each language, characters of a text, bytes of a piece.
-PER_LANG, CHARS, PIECE = 400, 4000, 240
+#: What is learned from: whole texts, so many of each language, and bytes of a piece.
+PER_LANG, PIECE = 400, 240
+#: Weights stay within this, also where equal pieces are labelled in several ways.
+MOST = 8.0
 #: Bytes hashed at a time when texts are scored.
 BLOCK = 1 << 20
 UNKNOWN = "und"
@@ -132,12 +134,12 @@ def fit(pieces: list[bytes], y: np.ndarray, classes: int, epochs: int = 4, batch
             slope[np.arange(len(chosen)), y[chosen]] -= 1
             step = rate * (1 - steps / total)
             back = (slope @ layer.T).astype(np.float32) / sizes[:, None]
-            layer -= step * (mean.T @ slope).astype(np.float32) / len(chosen)
+            layer = np.clip(layer - step * (mean.T @ slope).astype(np.float32) / len(chosen), -MOST, MOST)
             # Each subword of a text gets that text's slope; repeated rows add up.
             rows, at = np.unique(ids, return_inverse=True)
             change = np.zeros((len(rows), WIDTH), np.float32)
             np.add.at(change, at, np.repeat(back, sizes, axis=0))
-            table[rows] -= step * 20 * change
+            table[rows] = np.clip(table[rows] - step * 20 * change, -MOST, MOST)
             steps += 1
     return table @ layer
 
@@ -154,31 +156,44 @@ def calibrate(totals: np.ndarray, y: np.ndarray, error: float) -> tuple[float, f
     return temperature, float(p.max(1)[order][fine[-1]]) if len(fine) else 1.0
 
 
-def train(docs: DataFrame, per_lang: int = PER_LANG, chars: int = CHARS, error: float = 0.01) -> Model | None:
-    """Learn from a bounded sample: up to ``per_lang`` texts a language, ``chars`` characters of each.
+def train(docs: DataFrame, per_lang: int = PER_LANG, error: float = 0.01) -> Model | None:
+    """Learn from a bounded sample: up to ``per_lang`` whole texts a language.
 
     Only documents that are not held out and have a language and a letter are learned from. One
-    text in five calibrates. Without any there is no model.
+    text in five of a language calibrates. Without any there is no model.
     """
+    return learned(sample(docs, per_lang), error)
+
+
+def sample(docs: DataFrame, per_lang: int) -> list[tuple[str, bytes]]:
+    """Up to ``per_lang`` texts of each language, the first by a hash of the doc_id: language and text."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     # Of a large language only about twice as many as are wanted are ranked, those with small hashes.
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    near = known.select("doc_id", "lang").join(sizes, "lang").where(place * F.col("size") <= F.lit((1 << 30) * (2.0 * per_lang + 100)))
+    # One row for each language; the model has a table for each.
+    near = known.select("doc_id", "lang").join(F.broadcast(sizes), "lang").where(place * F.col("size") <= F.lit((1 << 30) * (2.0 * per_lang + 100)))
     by_hash = Window.partitionBy("lang").orderBy(place, "doc_id")
     ids = near.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= per_lang)
-    texts = known.select("doc_id", "lang", F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text"))
+    texts = known.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
     # per_lang texts of each language: a fixed number for a set of languages.
     rows = texts.join(F.broadcast(ids.drop("n")), ["doc_id", "lang"]).orderBy("lang", F.xxhash64("doc_id"), "text").collect()
-    rows = [(r.lang, r.text.encode()) for r in rows if has_letter(r.text)]
+    return [(r.lang, r.text.encode()) for r in rows if has_letter(r.text)]
+
+
+def learned(rows: list[tuple[str, bytes]], error: float) -> Model | None:
+    """A model of texts that come language by language."""
     languages = sorted({lang for lang, _ in rows})
     if not languages:
         return None
     place = {lang: i for i, lang in enumerate(languages)}
-    learn = [(place[lang], t[at : at + PIECE]) for i, (lang, t) in enumerate(rows) if i % 5 for at in range(0, len(t), PIECE) if at == 0 or len(t) - at > PIECE // 2]
-    tune = [(place[lang], t) for i, (lang, t) in enumerate(rows) if i % 5 == 0]
-    if not learn:
-        learn = tune
+    first = {lang: i for i, (lang, _) in reversed(list(enumerate(rows)))}
+    # Of each language one in five, never its first.
+    kept = [(i - first[lang]) % 5 == 4 for i, (lang, _) in enumerate(rows)]
+    learn = [(place[lang], t[at : at + PIECE]) for (lang, t), k in zip(rows, kept, strict=True) if not k for at in range(0, len(t), PIECE) if at == 0 or len(t) - at > PIECE // 2]
+    # A piece without letters tells nothing.
+    learn = [(y, piece) for y, piece in learn if (SMALL[np.frombuffer(piece, np.uint8)] != 32).any()] or learn
+    tune = [(place[lang], t) for (lang, t), k in zip(rows, kept, strict=True) if k or not any(kept)]
     scores = fit([t for _, t in learn], np.array([y for y, _ in learn]), len(languages)).astype(np.float32)
     draft = Model(languages, scores, 1.0, 0.0)
     temperature, least = calibrate(draft.totals([t for _, t in tune]), np.array([y for y, _ in tune]), error)
@@ -220,4 +235,4 @@ def identify(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
 
     doc_id = F.col("doc_id").cast("long")
     out = "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
-    return docs.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "text").mapInArrow(run, out)
+    return docs.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "text").mapInArrow(lean(run), out)

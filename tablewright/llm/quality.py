@@ -13,11 +13,11 @@ import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
 
-from tablewright.llm.compression import Logistic, compressor, judged, sample, sizes, windows
+from tablewright.llm.compression import Logistic, compressor, evenly, judged, sample, sizes, windows
 
 WIDTH, DICTIONARY = 1000, 8192
-#: What is learned from: texts of each label, and characters of a text.
-PER_CLASS, CHARS = 2000, 20000
+#: What is learned from: whole texts, so many of each label.
+PER_CLASS = 2000
 
 
 @dataclass(frozen=True)
@@ -51,12 +51,12 @@ def dictionary(texts: list[bytes]) -> bytes:
     try:
         return zstandard.train_dictionary(DICTIONARY, pieces, level=3).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too little text to train on: the text itself
-        return b"".join(pieces)[:DICTIONARY]
+        return evenly(pieces, DICTIONARY)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, chars: int = CHARS) -> Quality:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Quality:
     """Learn from a bounded sample of the labelled documents that are not held out."""
-    rows = sample(docs, labels, "quality", per_class, chars)
+    rows = sample(docs, labels, "quality", per_class)
     kinds = [[t.encode() for t, y in rows if y == k] for k in (0, 1)]
     if min(map(len, kinds)) < 3:
         return Quality(b"", b"", None, float(len(kinds[1]) >= len(kinds[0])))

@@ -16,11 +16,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.compression import Logistic, compressor, judged, sample, scored, sizes, telling_segments, windows
+from tablewright.llm.common import unused
+from tablewright.llm.compression import Logistic, compressor, evenly, judged, sample, scored, sizes, telling_segments, windows
 
 WIDTH, BODY = 48, 8192
-#: What is learned from: texts of each label, characters of a text, and bytes of a text for the dictionaries.
-PER_CLASS, CHARS, HEAD = 900, 100_000, 4000
+#: What is learned from: whole texts, so many of each label.
+PER_CLASS = 900
 
 
 @dataclass(frozen=True)
@@ -68,23 +69,23 @@ def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byte
     try:
         body = zstandard.train_dictionary(BODY, pieces, level=3).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too little text to train on: the text itself
-        body = b"".join(pieces)[:BODY]
+        body = evenly(pieces, BODY)
     # The surest marks come last, where matches are cheapest.
     marks = [b" ".join(reversed(telling_segments(a, b))) + b" " for a, b in ((toxic, ordinary), (ordinary, toxic))]
     room = max(map(len, marks))
     return body + marks[0].rjust(room, b"\0"), body + marks[1].rjust(room, b"\0")
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, chars: int = CHARS) -> Toxicity:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Toxicity:
     """Learn from a bounded sample of the labelled documents that are not held out.
 
     Dictionaries come from three quarters of it, the curve from texts they have not seen.
     """
-    rows = sample(docs, labels, "toxic", per_class, chars)
+    rows = sample(docs, labels, "toxic", per_class)
     kinds = [[t.encode() for t, y in rows if y == k] for k in (0, 1)]
     if min(map(len, kinds)) < 3:
         return Toxicity(b"", b"", None, float(len(kinds[1]) > len(kinds[0])))
-    learn = [[t[:HEAD] for i, t in enumerate(texts) if i % 4] for texts in kinds]
+    learn = [[t for i, t in enumerate(texts) if i % 4] for texts in kinds]
     tune = [[t for i, t in enumerate(texts) if i % 4 == 0] for texts in kinds]
     toxic, ordinary = dictionaries(learn[1], learn[0])
     one, two = compressor(toxic, fine=True), compressor(ordinary, fine=True)
@@ -110,6 +111,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, p
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class: int = PER_CLASS) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
+    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns.
+
+    Rows are judged one by one as in ``score_toxicity``: missing and empty texts score as texts without
+    marks, repeated rows and rows without doc_id stay or go alike, an empty table stays empty.
+    """
     model = train(docs, labels, per_class)
-    return scored(docs, model.scorer, "_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
+    name = unused("_toxicity", docs)
+    return scored(docs, model.scorer, name).where(F.col(name) < threshold).drop(name)
