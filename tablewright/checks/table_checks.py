@@ -257,6 +257,26 @@ def deep_tables(spark, sf_dir):
     return found.select("page_id", F.col("row_idx").cast("bigint").alias("row_idx"), F.col("col_idx").cast("bigint").alias("col_idx"), "text")
 
 
+@check("span_tables", """
+  WITH s AS (SELECT p_partkey AS k, p_brand AS brand, p_size % 5 AS further FROM part WHERE p_partkey % 5 = 0)
+  SELECT p_partkey, CASE WHEN p_partkey % 5 <= s.further THEN s.brand ELSE p_brand END AS brand, p_name AS name, p_type AS type,
+         CASE WHEN p_size % 3 = 0 THEN p_type ELSE CAST(p_size AS VARCHAR) END AS size
+  FROM part JOIN s ON s.k = p_partkey - p_partkey % 5""")
+def span_tables(spark, sf_dir):
+    """Cells over rows, as many as a part's size says, cells over columns, two header rows, spans beyond any table."""
+    parts, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    firsts = parts.where(k % 5 == 0).select(k.alias("first"), (F.col("p_size") % 5).alias("further"))
+    rows = parts.join(firsts, k - k % 5 == F.col("first"))
+    over = F.when((k % 50 == 45) & (F.col("further") == 4), F.lit("99999999999")).otherwise((F.col("further") + 1).cast("string"))
+    brand = F.when(k % 5 == 0, F.concat(F.lit("<td rowspan="), over, F.lit(">"), "p_brand", F.lit("</td>"))).when(k % 5 <= F.col("further"), "").otherwise(el("td", F.col("p_brand")))
+    wide = F.concat(F.lit("<td ColSpan='"), F.when(F.col("p_size") % 9 == 0, "99999999999").otherwise("2"), F.lit("'>"), "p_type", F.lit("</td>"))
+    facts = F.when(F.col("p_size") % 3 == 0, wide).otherwise(F.concat(el("td", F.col("p_type")), el("td", txt("p_size"))))
+    head = "<table><thead><tr><th rowspan=2>Key</th><th rowspan=0>Brand</th><th colspan=3>Facts</th></tr>"
+    pages = chunked(rows, "p_partkey", el("tr", el("td", txt("p_partkey")), brand, el("td", F.col("p_name")), facts), F.concat(F.lit(head), heads("Name", "Type", "Size"), F.lit("</thead>")), "</table>")
+    wide = Y.record_columns(Y.with_header(Y.by_page(cells(pages))), {"Key": "p_partkey", "Brand": "brand", "Name": "name", "Type": "type", "Size": "size"})
+    return wide.select(F.col("p_partkey").try_cast("bigint").alias("p_partkey"), "brand", "name", "type", "size")
+
+
 @check("record_repeat_headers", """
   SELECT p_partkey AS page_id, CAST(p_size + 1 AS VARCHAR) AS size, p_brand AS more_key, p_type AS more_value FROM part""")
 def record_repeat_headers(spark, sf_dir):

@@ -47,6 +47,17 @@ def parse_number(c: Column, absent: float | None = None) -> Column:
     return F.when(c.isNull(), F.lit(float(absent))).otherwise(number)
 
 
+def whole_number(c: Column) -> Column:
+    """A number without a fraction that fits an integer, else null: nothing is cut and nothing overflows."""
+    return F.when(c == F.floor(c), c.try_cast("int"))
+
+
+def misread(read: dict[str, tuple[Column, Column]]) -> Column:
+    """Entries (Field, Value) of the texts that hold something and gave no number: name -> (text, number)."""
+    found = [F.struct(F.lit(name).alias("Field"), text.alias("Value"), (number.isNull() & (F.trim(text) != "")).alias("wrong")) for name, (text, number) in read.items()]
+    return F.transform(F.filter(F.array(*found), lambda e: e["wrong"]), lambda e: F.struct(e["Field"], e["Value"]))
+
+
 def number_or_null(c: Column) -> Column:
     """A text made of digits only becomes a number; anything else is null."""
     return F.when(c.rlike(r"^\d+$"), to_long(c))

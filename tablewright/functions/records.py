@@ -69,9 +69,12 @@ def key_value(line: Column) -> Column:
 
 
 def last_entries(entries: Column) -> Column:
-    """Keep the last entry of each key, so that ``map_from_entries`` never meets a repeat."""
-    later = lambda e, i: F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))), lambda x: x["key"] == e["key"])
-    return F.filter(entries, lambda e, i: ~later(e, i))
+    """The last entry of each key, by key, so that ``map_from_entries`` never meets a repeat. Entries without a key go."""
+    keyed = F.filter(entries, lambda e: e["key"].isNotNull())
+    placed = F.sort_array(F.transform(keyed, lambda e, i: F.struct(e["key"].alias("key"), i.alias("place"), e["value"].alias("value"))))
+    # Sorted once, as an element of its own: the next entry of the same key is the next element.
+    last = lambda found: F.filter(found, lambda e, i: ~F.coalesce(F.get(found, i + 1)["key"] == e["key"], F.lit(False)))
+    return F.get(F.transform(F.array(placed), last), F.lit(0))
 
 
 def to_map(entries: Column) -> Column:

@@ -198,7 +198,9 @@ def with_header(cells: DataFrame) -> DataFrame:
     """Attach the column's header text to each data cell and drop header rows.
 
     The header is the first row of a table that is all header cells; later rows that repeat
-    it are dropped with it. One window over the cells of a page, no join.
+    it are dropped with it. Where a header cell spans columns and further header rows follow at
+    once, each column is named by the first of them that names it alone. Windows over the cells
+    of a page, no join.
     """
     table = Window.partitionBy("page_id", "table_id")
     row = Window.partitionBy("page_id", "table_id", "row_idx")
@@ -207,7 +209,12 @@ def with_header(cells: DataFrame) -> DataFrame:
     first_head = F.min(F.when(F.col("head_row"), F.col("row_idx"))).over(table)
     flagged = flagged.withColumn("head_at", first_head)
     header = F.max(F.when(F.col("row_idx") == F.col("head_at"), F.col("text"))).over(column)
-    return flagged.withColumn("header", header).where(~F.col("head_row")).drop("head_row", "head_at")
+    if "col_span" in cells.columns:
+        flagged = flagged.withColumn("head_end", F.min(F.when(~F.col("head_row") & (F.col("row_idx") > F.col("head_at")), F.col("row_idx"))).over(table))
+        leading = F.col("head_row") & (F.col("head_end").isNull() | (F.col("row_idx") < F.col("head_end")))
+        alone = F.min(F.when(leading & (F.col("col_span") == 1), F.struct("row_idx", "text"))).over(column)
+        header = F.coalesce(alone["text"], header)
+    return flagged.withColumn("header", header).where(~F.col("head_row")).drop("head_row", "head_at", "head_end")
 
 
 def drop_noise_rows(cells: DataFrame, markers: Iterable[str] = ()) -> DataFrame:

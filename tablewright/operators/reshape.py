@@ -68,14 +68,14 @@ def pivot_wide(
     """Long records to columns, for the known keys; the last value of a key wins. One aggregation.
 
     With ``other`` a record is open: fields that are not known go to a map column of that name, so
-    none is lost and the columns do not depend on the data.
+    none is lost and the columns do not depend on the data. A field without a name goes there as "".
     """
     last = F.max_by(value, seq).alias(value)
     if other is None:
         picked = [F.max_by(F.when(F.col(key) == k, F.col(value)), F.when(F.col(key) == k, F.col(seq))).alias(k) for k in known]
         return df.groupBy(*record).agg(*picked)
     # The last value of each key first: what is collected for a record is then one entry a key.
-    fields = df.groupBy(*record, key).agg(last)
+    fields = df.withColumn(key, F.coalesce(key, F.lit(""))).groupBy(*record, key).agg(last)
     rest = F.collect_list(F.when(~F.coalesce(F.col(key).isin(*known), F.lit(True)), F.struct(F.col(key).alias("key"), F.col(value).alias("value"))))
     return fields.groupBy(*record).agg(*[F.max(F.when(F.col(key) == k, F.col(value))).alias(k) for k in known], F.map_from_entries(rest).alias(other))
 

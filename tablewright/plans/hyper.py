@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.functions.numbers import parse_number
+from tablewright.functions.numbers import misread, parse_number, whole_number
 from tablewright.functions.text import after_last, ascii_only, replace_each
 from tablewright.operators import layout as Y, reshape
 from tablewright.session import stage
@@ -18,9 +18,16 @@ EFFECT_COLUMNS = ["Hyper Stat Level", "Overall Effect", "Effect Increase from pr
 COST_COLUMNS = ["Hyper Stat Next Level", "Level up Cost", "Total Cost"]
 
 
-def _numbers(df: DataFrame, whole: list[str], real: list[str] = []) -> DataFrame:
+def _read(whole: list[str], real: list[str] = []) -> dict[str, Column]:
     value = lambda c: parse_number(F.when(F.col(c).contains("+"), after_last(F.col(c), "+")).otherwise(F.col(c)))
-    return df.withColumns({**{c: value(c).cast("int") for c in whole}, **{c: value(c) for c in real}})
+    return {**{c: whole_number(value(c)) for c in whole}, **{c: value(c) for c in real}}
+
+
+def _rejects(df: DataFrame, table: str, read: dict[str, Column]) -> DataFrame:
+    """Cells that hold something that is no number of their column's kind: ``(Table, StatIncrease, Of, Field, Value)``."""
+    stat = F.col("StatIncrease") if "StatIncrease" in df.columns else F.lit(None).cast("string")
+    entries = F.explode(misread({c: (F.col(c), number) for c, number in read.items()})).alias("e")
+    return df.select(F.lit(table).alias("Table"), stat.alias("StatIncrease"), F.col(next(iter(read))).alias("Of"), entries).select("Table", "StatIncrease", "Of", "e.*")
 
 
 def hyper_tables(pages: DataFrame) -> dict[str, DataFrame]:
@@ -58,9 +65,13 @@ def hyper_tables(pages: DataFrame) -> dict[str, DataFrame]:
         Y.further_fields(effect_cells, "HyperStat", by_name(EFFECT_COLUMNS), keep=["StatIncrease"]),
         Y.further_fields(cost_cells, "HyperStatCost", by_name(COST_COLUMNS), keep=["StatIncrease"]),
     ])
+    of_points, of_effects, of_costs = _read(POINTS_COLUMNS), _read(EFFECT_COLUMNS[:1], EFFECT_COLUMNS[1:]), _read(COST_COLUMNS)
     return {
-        "HyperStatDistribution": _numbers(points, POINTS_COLUMNS),
-        "HyperStat": _numbers(effects.select("StatIncrease", *EFFECT_COLUMNS), EFFECT_COLUMNS[:1], EFFECT_COLUMNS[1:]),
-        "HyperStatCost": _numbers(costs.select(*COST_COLUMNS), COST_COLUMNS),
+        "HyperStatDistribution": points.withColumns(of_points),
+        "HyperStat": effects.select("StatIncrease", *EFFECT_COLUMNS).withColumns(of_effects),
+        "HyperStatCost": costs.select(*COST_COLUMNS).withColumns(of_costs),
         "HyperStatOther": further,
+        "HyperStatRejects": reshape.union_by_name([
+            _rejects(points, "HyperStatDistribution", of_points), _rejects(effects, "HyperStat", of_effects), _rejects(costs, "HyperStatCost", of_costs),
+        ]),
     }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.functions.numbers import OPEN_END, level_band, pair_maxima, parse_number
+from tablewright.functions.numbers import OPEN_END, level_band, misread, pair_maxima, parse_number, whole_number
 from tablewright.functions.records import section_key
 from tablewright.operators import layout as Y
 from tablewright.session import stage
@@ -49,20 +49,36 @@ def _rate_cells(rows: DataFrame) -> DataFrame:
     return _section_cells(rows, "SuccessRates").withColumn("header", Y.canonical_header(F.col("header")))
 
 
+def _max_stars() -> Column:
+    return whole_number(parse_number(F.col("Max Stars")))
+
+
+def _rates() -> dict[str, Column]:
+    """A cell that is absent, or present and empty, is a rate of 0."""
+    number = lambda c: parse_number(Y.cell_values(F.col(c)), absent=0)
+    return {c: whole_number(number(c)) if c == "Attempt" else number(c) for c in RATE_COLUMNS}
+
+
 def star_limits(rows: DataFrame) -> DataFrame:
     wide = Y.record_columns(_limit_cells(rows), {c: c for c in LIMIT_COLUMNS}, keep=["Title"])
     band = level_band(F.col("Level"))
-    return wide.select(
-        "Title", band["MinLvl"].alias("MinLvl"), band["MaxLvl"].alias("MaxLvl"), parse_number(F.col("Max Stars")).cast("int").alias("Max Stars")
-    )
+    return wide.select("Title", band["MinLvl"].alias("MinLvl"), band["MaxLvl"].alias("MaxLvl"), _max_stars().alias("Max Stars"))
 
 
 def success_rates(rows: DataFrame) -> DataFrame:
     wide = Y.record_columns(_rate_cells(rows), {c: c for c in RATE_COLUMNS}, keep=["Title"])
-    # A cell that is absent, or present and empty, is a rate of 0.
-    rate = lambda c: parse_number(Y.cell_values(F.col(c)), absent=0).alias(c)
-    whole = lambda c: parse_number(Y.cell_values(F.col(c)), absent=0).cast("int").alias(c)
-    return wide.select("Title", whole("Attempt"), *[rate(c) for c in RATE_COLUMNS[1:]])
+    return wide.select("Title", *[number.alias(c) for c, number in _rates().items()])
+
+
+def rejects(rows: DataFrame) -> DataFrame:
+    """Cells of limits and rates that hold something that is no number of their column's kind: ``(Table, Title, Of, Field, Value)``."""
+    def wrong(cells: DataFrame, table: str, columns: list[str], read: dict[str, Column]) -> DataFrame:
+        wide = Y.record_columns(cells, {c: c for c in columns}, keep=["Title"])
+        entries = F.explode(misread({c: (F.col(c), number) for c, number in read.items()})).alias("e")
+        return wide.select(F.lit(table).alias("Table"), "Title", F.col(columns[0]).alias("Of"), entries).select("Table", "Title", "Of", "e.*")
+
+    limits = wrong(_limit_cells(rows), "StarLimit", LIMIT_COLUMNS, {"Max Stars": _max_stars()})
+    return limits.unionByName(wrong(_rate_cells(rows), "SFSuccessRates", RATE_COLUMNS, _rates()))
 
 
 def stat_boosts(rows: DataFrame) -> DataFrame:
@@ -110,4 +126,5 @@ def star_tables(pages: DataFrame) -> dict[str, DataFrame]:
         "NormalEquipSF": _boost_table(boosts, FIRST_TITLE, NORMAL_COLUMNS),
         "SuperiorItemsSF": _boost_table(boosts, LAST_TITLE, SUPERIOR_COLUMNS),
         "StarOther": further_fields(rows),
+        "StarRejects": rejects(rows),
     }

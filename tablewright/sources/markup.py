@@ -23,7 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NODE_SCHEMA = (
     "page_id bigint, node_id int, end_id int, parent_id int, pos int, tag string, "
-    "attrs map<string,string>, lines array<string>, table_id int, row_idx int, col_idx int, top_id int"
+    "attrs map<string,string>, lines array<string>, table_id int, row_idx int, col_idx int, top_id int, row_span int, col_span int"
 )
 _ARROW = pa.schema(
     [
@@ -39,6 +39,8 @@ _ARROW = pa.schema(
         ("row_idx", pa.int32()),
         ("col_idx", pa.int32()),
         ("top_id", pa.int32()),
+        ("row_span", pa.int32()),
+        ("col_span", pa.int32()),
     ]
 )
 # What waits before it is handed on: rows, and characters of their texts.
@@ -57,6 +59,10 @@ _MARKUP = re.compile(
 )
 _ATTR = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
+# The largest spans of a cell that HTML knows.
+_MOST_ROWS, _MOST_COLUMNS = 65534, 1000
+_SPAN = re.compile(r"\s*\+?0*(\d{1,9})")
+
 # HTML element kinds that decide how tags nest.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _CLOSES_P = frozenset(
@@ -106,6 +112,74 @@ class _Open:
         self.children = 0
 
 
+class _Grid:
+    """The rows of one table as they come, and which of their columns are taken by cells from above.
+
+    Taken columns are kept as ranges with the last row they reach, so a span costs the same
+    whatever it claims. Rows of a group (``tbody`` and the like) end all spans of the group.
+    """
+
+    __slots__ = ("node_id", "row", "group", "col", "at", "held", "fresh", "expires", "tall", "wide", "width")
+
+    def __init__(self, node_id: int):
+        self.node_id, self.row, self.group = node_id, -1, None
+        self.col = self.at = self.width = 0
+        self.held: list[tuple[int, int, int]] = []
+        self.fresh: list[tuple[int, int, int]] = []
+        self.expires = -1
+        # Cells that span rows of this group, and those that span columns: place among the nodes, row or column.
+        self.tall: list[tuple[int, int]] = []
+        self.wide: list[tuple[int, int]] = []
+
+    def open_row(self, group: int, row_spans: list) -> None:
+        if group != self.group:
+            self.close_group(row_spans)
+            self.group = group
+        self.row += 1
+        self.col = self.at = 0
+        if self.fresh or (self.held and self.expires < self.row):
+            merged: list[tuple[int, int, int]] = []
+            for first, end, last in sorted([h for h in self.held if h[2] >= self.row] + [h for h in self.fresh if h[2] >= self.row]):
+                if merged and merged[-1][1] == first and merged[-1][2] == last:
+                    first = merged.pop()[0]
+                merged.append((first, end, last))
+            self.held, self.fresh = merged, []
+            self.expires = min((h[2] for h in merged), default=-1)
+
+    def place(self, rows: int, columns: int) -> tuple[int, int]:
+        """Column of the next cell of the row, and how many it takes: up to those taken from above."""
+        held = self.held
+        while self.at < len(held) and held[self.at][0] <= self.col:
+            self.col = max(self.col, held[self.at][1])
+            self.at += 1
+        col = self.col
+        if self.at < len(held):
+            columns = min(columns, held[self.at][0] - col)
+        self.col += columns
+        self.width = max(self.width, col + 1)
+        if rows > 1:
+            self.fresh.append((col, col + columns, self.row + rows - 1))
+        return col, columns
+
+    def close_group(self, row_spans: list) -> None:
+        """Spans end at the last row of their group."""
+        for place, row in self.tall:
+            row_spans[place] = min(row_spans[place], self.row - row + 1)
+        self.tall, self.held, self.fresh, self.expires = [], [], [], -1
+
+    def close(self, row_spans: list, col_spans: list) -> None:
+        """Spans end at the last column in which a cell of the table begins."""
+        self.close_group(row_spans)
+        for place, col in self.wide:
+            col_spans[place] = max(1, min(col_spans[place], self.width - col))
+        self.wide = []
+
+
+def _span(text: str | None, most: int, zero: int) -> int:
+    found = _SPAN.match(text or "")
+    return min(int(found[1]) or zero, most) if found else 1
+
+
 class Columns:
     """Node columns of any number of pages, in the order of the schema."""
 
@@ -144,8 +218,10 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
     ``node_id`` counts elements in document order and ``end_id`` is the id of the last element
     inside, so "x is inside y" reads ``y.node_id < x.node_id <= y.end_id``. ``table_id`` is the
     innermost table around a node and ``top_id`` the outermost, a table counting as its own.
+    ``col_idx`` is the column of the grid that a cell begins in, past those that cells from above
+    take; ``row_span`` and ``col_span`` tell how far it reaches, within its table.
     """
-    page_ids, node_ids, end_ids, parents, places, tags, attributes, texts, tables, table_rows, table_cols, tops = out.values
+    page_ids, node_ids, end_ids, parents, places, tags, attributes, texts, tables, table_rows, table_cols, tops, row_spans, col_spans = out.values
     whole = _Text()
     stack = [_Open("#root", 0, -1, whole, whole, -1, None, None, None, None)]
     # Depths at which each tag is open, so that the nearest is one look-up however deep a page nests.
@@ -156,6 +232,8 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
         while len(stack) > depth:
             gone = stack.pop()
             depths[gone.tag].pop()
+            if gone.tag == "table":
+                gone.table.close(row_spans, col_spans)
             if gone.at >= 0:
                 end_ids[gone.at] = counter
                 if gone.first >= 0:
@@ -203,12 +281,16 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
         parent.children += 1
         counter += 1
         table, tr, td, outermost = parent.table, parent.tr, parent.td, parent.top
+        rows_over = columns_over = None
         if tag == "tr" and table:
-            table[1] += 1
-            tr, td = [table[1], -1], None
-        elif (tag == "td" or tag == "th") and tr:
-            tr[1] += 1
-            td = tr[1]
+            table.open_row(parent.node_id, row_spans)
+            tr, td = table.row, None
+        elif (tag == "td" or tag == "th") and tr is not None:
+            rows_over = columns_over = 1
+            if "span" in attrs.lower():
+                spans = dict(_attributes(attrs))
+                rows_over, columns_over = _span(spans.get("rowspan"), _MOST_ROWS, _MOST_ROWS), _span(spans.get("colspan"), _MOST_COLUMNS, 1)
+            td, columns_over = table.place(rows_over, columns_over)
         if outermost is None and tag == "table":
             outermost = counter
         place, first, around = -1, -1, parent.inside
@@ -223,10 +305,16 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
             tags.append(tag)
             attributes.append(_attributes(attrs) if "=" in attrs else ())
             texts.append([] if read else None)
-            tables.append(table[0] if table else None)
-            table_rows.append(tr[0] if tr else None)
+            tables.append(table.node_id if table else None)
+            table_rows.append(tr)
             table_cols.append(td)
             tops.append(outermost)
+            row_spans.append(rows_over)
+            col_spans.append(columns_over)
+            if rows_over is not None and rows_over > 1:
+                table.tall.append((place, tr))
+            if columns_over is not None and columns_over > 1:
+                table.wide.append((place, td))
             if read and tag not in _VOID:
                 first = len(around.pieces)
                 around.readers += 1
@@ -238,7 +326,7 @@ def read_page(page_id: int, source: str, out: Columns, wanted: frozenset[str] |
         inside = _Text() if tag == "table" else around
         depths.setdefault(tag, []).append(len(stack))
         if tag == "table":
-            table, tr, td = [counter, -1], None, None
+            table, tr, td = _Grid(counter), None, None
         stack.append(_Open(tag, counter, place, inside, around, first, table, tr, td, outermost))
         if raw is not None:
             close_to(len(stack) - 1)
@@ -274,8 +362,12 @@ def stored_nodes(pages: DataFrame, tags: Iterable[str], label: str) -> DataFrame
 
 
 def cells_of(node_rows: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
-    """Cells of all tables among node rows, in long form; rows count from 0 within their table."""
-    return node_rows.where(F.col("tag").isin("td", "th") & F.col("table_id").isNotNull()).select(
+    """Cells of all tables among node rows, in long form; rows count from 0 within their table.
+
+    A cell that spans rows or columns is in each of them, ``col_span`` being its own width. Spans
+    reach no further than their table, so there are as many rows here as the table has places.
+    """
+    found = node_rows.where(F.col("tag").isin("td", "th") & F.col("table_id").isNotNull()).select(
         "page_id",
         "table_id",
         "row_idx",
@@ -283,8 +375,13 @@ def cells_of(node_rows: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
         (F.col("tag") == "th").alias("is_header"),
         F.regexp_replace("text", r"^\s+|\s+$", "").alias("text"),
         "lines",
+        "row_span",
+        "col_span",
         *keep,
     )
+    over = lambda span: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(span), F.lit(1)) - 1))
+    rows = found.withColumn("_down", over("row_span")).withColumn("row_idx", F.col("row_idx") + F.col("_down")).drop("_down", "row_span")
+    return rows.withColumn("_right", over("col_span")).withColumn("col_idx", F.col("col_idx") + F.col("_right")).drop("_right")
 
 
 def cells(pages: DataFrame) -> DataFrame:

@@ -111,3 +111,82 @@ def test_deep_cells_are_whole(depth):
 def test_text_goes_to_every_open_element_once():
     found = rows("<li>a<p>b<span>c</span>d</p>e<table><tr><td>f</td></tr></table>g</li>h", frozenset(("li", "p", "span", "td")))
     assert [(r["tag"], r["lines"]) for r in found] == [("li", ["a", "b", "c", "d", "e", "g"]), ("p", ["b", "c", "d"]), ("span", ["c"]), ("td", ["f"])]
+
+
+def grid_of(source):
+    """Text by row and column, every span filled in."""
+    found = {}
+    for r in rows_with_spans(source):
+        for i in range(r["row"], r["row"] + r["rows"]):
+            for j in range(r["col"], r["col"] + r["cols"]):
+                found[i, j] = "".join(r["lines"])
+    return found
+
+
+def rows_with_spans(source):
+    out = Columns()
+    read_page(1, source, out, frozenset(("td", "th")))
+    names = ["page", "id", "end", "parent", "pos", "tag", "attrs", "lines", "table", "row", "col", "top", "rows", "cols"]
+    return [dict(zip(names, r)) for r in out.rows()]
+
+
+def test_spanned_cells_take_their_columns():
+    found = grid_of("<table><tr><th>Name<th>STR<th>DEX<tr><td rowspan=2>hat<td>1<td>2<tr><td>3<td>4</table>")
+    assert found[2, 0] == "hat" and (found[2, 1], found[2, 2]) == ("3", "4")
+    both = grid_of("<table><tr><td rowspan=2 colspan=2>a</td><td>b</td></tr><tr><td>c</td></tr><tr><td>d</td><td>e</td><td>f</td></tr></table>")
+    assert [both[i, j] for i in range(3) for j in range(3)] == ["a", "a", "b", "a", "a", "c", "d", "e", "f"]
+
+
+@pytest.mark.parametrize("span", ["0", "7", "65534", "99999999999999999999999"])
+def test_absurd_spans_end_with_their_table(span):
+    source = f"<table><tr><td rowspan={span} colspan={span}>a</td></tr><tr><td>b</td><td>c</td></tr><tr><td>d</td></tr></table><table><tr><td>e</td></tr></table>"
+    cells = rows_with_spans(source)
+    assert sum(c["rows"] * c["cols"] for c in cells) <= 3 * 1002 + 1
+    assert cells[0]["rows"] == 3 and cells[-1]["col"] == 0 and cells[-1]["lines"] == ["e"]
+
+
+def test_spans_end_with_their_rows_group():
+    found = grid_of("<table><thead><tr><th rowspan=9>h</th></tr></thead><tbody><tr><td>a</td></tr></tbody><tbody><tr><td rowspan=3>b</td><td>c</td></tr></tbody><tr><td>d</td></tr></table>")
+    assert found == {(0, 0): "h", (1, 0): "a", (2, 0): "b", (2, 1): "c", (3, 0): "d"}
+
+
+def test_inner_tables_have_their_own_columns():
+    found = rows_with_spans("<table><tr><td rowspan=2>a<table><tr><td rowspan=5>x</td><td>y</td></tr></table></td><td>b</td></tr><tr><td>c</td></tr></table>")
+    assert [("".join(r["lines"]), r["row"], r["col"], r["rows"]) for r in found] == [("a", 0, 0, 2), ("x", 0, 0, 1), ("y", 0, 1, 1), ("b", 0, 1, 1), ("c", 1, 1, 1)]
+
+
+def plain_grid(shape):
+    """Rows of (row span, column span) as HTML places them: a cell takes the next free column and stops before a taken one."""
+    taken, out = {}, []
+    for i, row in enumerate(shape):
+        j = 0
+        for n, (down, right) in enumerate(row):
+            while (i, j) in taken:
+                j += 1
+            wide = 1
+            while wide < right and (i, j + wide) not in taken:
+                wide += 1
+            out.append((i, n, j))
+            for x in range(i, min(i + down, len(shape))):
+                for y in range(j, j + wide):
+                    taken[x, y] = True
+            j += wide
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(1, 4), st.integers(1, 4)), max_size=4), min_size=1, max_size=6))
+def test_columns_of_any_spans(shape):
+    source = "<table>" + "".join("<tr>" + "".join(f"<td rowspan={d} colspan={r}>{n}</td>" for n, (d, r) in enumerate(row)) + "</tr>" for row in shape) + "</table>"
+    cells = rows_with_spans(source)
+    assert [(c["row"], int(c["lines"][0]), c["col"]) for c in cells] == plain_grid(shape)
+    last, width = len(shape) - 1, max((c["col"] for c in cells), default=0)
+    assert all(c["row"] + c["rows"] - 1 <= last and (c["cols"] == 1 or c["col"] + c["cols"] - 1 <= width) for c in cells)
+    places = [(i, j) for c in cells for i in range(c["row"], c["row"] + c["rows"]) for j in range(c["col"], c["col"] + c["cols"])]
+    assert len(places) == len(set(places))
+
+
+def test_many_spans_cost_one_pass():
+    began = time.perf_counter()
+    rows_with_spans("<table>" + "<tr>" + "<td rowspan=60000>x" * 3000 + "<tr><td>y" * 3000 + "</table>")
+    assert time.perf_counter() - began < 8
