@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tablewright.checks.registry import check, table
 from tablewright.checks.render import single
 from tablewright.operators import links as L
-from tablewright.sources.corpus import json_fields, json_path, scan_pages, script_json, spread
+from tablewright.operators.details import linked_pages
+from tablewright.sources.corpus import json_fields, json_path, json_values, scan_pages, script_json, spread
+from tablewright.sources.page_store import write_store
 
 FIND = r"""
   SELECT page_id, url, html, regexp_extract_all(html, '(?is)<a(\s[^>]*)>(.*?)</a>') AS l FROM pages"""
@@ -190,6 +192,48 @@ def reach_rounds(spark, sf_dir):
     return L.reach(seeds.select("url"), L.link_edges(pages)).select("url", F.col("round").cast("bigint").alias("round"))
 
 
+@check("links_base", """
+  SELECT c_custkey AS page_id, CASE c_custkey % 4 WHEN 0 THEN 'http://c.example/e/' || c_custkey || '/f' WHEN 1 THEN 'https://shop.example/k/f' WHEN 2 THEN 'https://shop.example/deep/f'
+    ELSE 'https://shop.example/c/f' END AS target FROM customer""")
+def links_base(spark, sf_dir):
+    """Links are relative to a page's base element, and blanks around an address do not count."""
+    form, key = F.col("c_custkey") % 4, F.col("c_custkey").cast("string")
+    base = (
+        F.when(form == 0, F.concat(F.lit("<base href='http://c.example/e/"), key, F.lit("/'>")))
+        .when(form == 1, "<BASE target=x HREF=\" /k/x \"><base href='/never/'>").when(form == 2, "<base href='../deep/'>").otherwise("<!-- <base href='/gone/'> --><base target='y'>")
+    )
+    html = F.concat(F.lit("<html><head>"), base, F.lit("</head><a title='' href=' \n\tf\n '>x</a></html>"))
+    found = L.extract(single(table(spark, sf_dir, "customer"), "c_custkey", html, folder="c"))
+    return found.select("page_id", L.resolve(F.col("base"), F.col("href")).alias("target"))
+
+
+@check("page_store", """
+  SELECT p_partkey AS page_id, 'https://shop.example/item/' || p_partkey AS url, p_name || p_type AS html FROM part WHERE p_partkey % 7 = 0""")
+def page_store(spark, sf_dir):
+    """Pages held by address; those that some order links to, many times over, are found where they lie."""
+    pages = single(table(spark, sf_dir, "part"), "p_partkey", F.concat("p_name", "p_type"))
+    again = pages.withColumns({"page_id": F.col("page_id") + 1_000_000, "url": F.concat("url", F.lit("#again"))})
+    store = write_store(pages.unionByName(again), L.canonical(F.col("url")))
+    rows = table(spark, sf_dir, "lineitem").where("l_partkey % 7 = 0").select("l_partkey").unionByName(table(spark, sf_dir, "part").where("p_partkey % 7 = 0").select(F.col("p_partkey").alias("l_partkey")))
+    links = rows.select(F.concat(F.lit("https://shop.example/item/"), F.col("l_partkey").cast("string"), F.lit("#x")).alias("link"))
+    return linked_pages(store, links)
+
+
+@check("json_open", """
+  WITH e AS (SELECT event_id, event_type AS t, CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events)
+  SELECT event_id, unnest(['$.id', '$.p.k', '$.tags[0]', '$.tags[1]', '$.tags[2]', '$.tags[3].deep[0]']) AS path,
+         unnest([CAST(event_id AS VARCHAR), k, t, k, NULL, 'true']) AS value, CAST(unnest([0, 1, 2, 3, 4, 5]) AS BIGINT) AS seq FROM e""")
+def json_open(spark, sf_dir):
+    """Texts of no declared shape, with objects and lists in one another, as one row per value."""
+    k = F.regexp_extract("props", r"(\d+)", 1)
+    text = F.concat(
+        F.lit('{"tags": ["'), "event_type", F.lit('", '), k, F.lit(', null, {"deep": [true]}], "id": '), F.col("event_id").cast("string"), F.lit(', "p": '), "props", F.lit(', "none": {}, "empty": []}')
+    )
+    events = table(spark, sf_dir, "events").select("event_id", text.alias("doc"))
+    broken = events.limit(3).withColumn("doc", F.lit('{"id": '))
+    return json_values(events.unionByName(broken), "doc", ["event_id"])
+
+
 @check("links_markup", """
   SELECT c_custkey AS page_id, '/c/' || c_custkey || '?a=1&b=2' AS href, c_name || ' > ' || c_mktsegment AS title, 'HP ' || c_name || ' é – ' || chr(39) || 'x' || chr(39) AS text FROM customer""")
 def links_markup(spark, sf_dir):

@@ -121,6 +121,20 @@ def rename_substring_joined(spark, sf_dir):
     return rename.rename_by_substrings(parts, "name", PART_WORDS)
 
 
+LONG_WORDS = {"Insult": ["worthless", "pathetic"], "Secret": ["token", "key ="], "Common": ["thble", "quele", "keit"], "Never": ["\u0000"]}
+
+
+@check("rename_long_texts", """
+  WITH t AS (SELECT doc_id, lower(text) AS l, text FROM documents)
+  SELECT doc_id, md5(CASE WHEN contains(l, 'worthless') OR contains(l, 'pathetic') THEN replace(replace(l, 'worthless', 'Insult'), 'pathetic', 'Insult')
+    WHEN contains(l, 'token') OR contains(l, 'key =') THEN replace(replace(l, 'token', 'Secret'), 'key =', 'Secret')
+    WHEN contains(l, 'thble') OR contains(l, 'quele') OR contains(l, 'keit') THEN replace(replace(replace(l, 'thble', 'Common'), 'quele', 'Common'), 'keit', 'Common') ELSE text END) AS digest FROM t""")
+def rename_long_texts(spark, sf_dir):
+    """Whole documents as values: each distinct one is read once, whatever the dictionary holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rename.rename_by_substrings(docs, "text", LONG_WORDS).select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 @check("rename_record", """
   SELECT p_partkey,
     CASE p_partkey % 3 WHEN 0 THEN 'Arcaneshade ' || n WHEN 1 THEN n ELSE 'Black ' || n END AS "EquipSet",

@@ -44,6 +44,34 @@ def routed_write(spark, sf_dir):
 ORDERS = TableSpec("orders", ("o_custkey", "o_orderstatus"))
 
 
+@check("store_widens_types", """
+  WITH a AS (SELECT o_orderkey AS k, CAST(o_custkey AS VARCHAR) AS whole, CAST(o_custkey AS DOUBLE) AS part FROM orders WHERE o_orderkey % 2 = 0),
+  b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS whole, o_custkey + 0.5 AS part FROM orders WHERE o_orderkey % 2 = 1)
+  SELECT k, whole, part, CASE WHEN k % 2 = 1 THEN CAST(k AS VARCHAR) ELSE '9007199254740993' END AS large FROM (SELECT * FROM a UNION ALL SELECT * FROM b)""")
+def store_widens_types(spark, sf_dir):
+    """A later batch brings text into a whole-number column, fractions into another, and fractions where numbers are too large for them."""
+    orders = table(spark, sf_dir, "orders")
+    root, spec = scratch(spark, "widens"), TableSpec("orders", ("k",))
+    cust = F.col("o_custkey")
+    first = orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), cust.alias("whole"), cust.alias("part"), F.lit(2**53 + 1).alias("large"))
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise(cust.cast("string"))
+    second = orders.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("k"), text.alias("whole"), (cust + F.lit(0.5)).alias("part"), F.col("o_orderkey").cast("double").alias("large"))
+    K.save(first, spec, root)
+    held = K.save(second, spec, root)
+    return held.select("k", "whole", "part", "large")
+
+
+@check("upsert_touched", """
+  SELECT o_orderkey, CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'changed' ELSE o_orderpriority END AS priority FROM orders""")
+def upsert_touched(spark, sf_dir):
+    """One row of a stored table changes: the other buckets stay in the version they were written in."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("priority"))
+    root, spec = scratch(spark, "touched"), TableSpec("orders", ("o_orderkey",))
+    K.save(rows, spec, root)
+    last = rows.agg(F.max("o_orderkey").alias("o_orderkey")).withColumn("priority", F.lit("changed"))
+    return K.save(last, spec, root)
+
+
 def halves(spark, sf_dir):
     """Orders split into held and incoming rows; each half has several rows of a key."""
     rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderkey", "o_orderpriority")

@@ -277,6 +277,19 @@ def span_tables(spark, sf_dir):
     return wide.select(F.col("p_partkey").try_cast("bigint").alias("p_partkey"), "brand", "name", "type", "size")
 
 
+@check("nested_depth", """
+  SELECT p_partkey AS page_id, 'L' || i AS label, i AS a, CASE WHEN i >= 3 THEN i - i % 3 END AS b
+  FROM (SELECT p_partkey, unnest(range(1, p_size % 11 + 2)) AS i FROM part)""")
+def nested_depth(spark, sf_dir):
+    """Tables in one another, as deep as a part's size says: a row has the fields of all rows around it, its own first."""
+    level = lambda acc, i: F.concat(
+        F.lit("<table><tr><td>L"), i.cast("string"), F.lit("</td><td>A +"), i.cast("string"), F.lit("<br>B"), (i % 3).cast("string"), F.lit(" +"), i.cast("string"), acc, F.lit("</td></tr></table>")
+    )
+    html = F.aggregate(F.sequence(F.col("p_size") % 11 + 1, F.lit(1)), F.lit(""), level)
+    found = Y.inherit_fields(Y.nested_rows(Y.by_page(nodes(single(table(spark, sf_dir, "part"), "p_partkey", html), ("table", "td")))))
+    return found.select("page_id", "label", F.col("fields")["A"].cast("bigint").alias("a"), F.col("fields")["B0"].cast("bigint").alias("b"))
+
+
 @check("record_repeat_headers", """
   SELECT p_partkey AS page_id, CAST(p_size + 1 AS VARCHAR) AS size, p_brand AS more_key, p_type AS more_value FROM part""")
 def record_repeat_headers(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.operators.links import canonical
+from tablewright.sources.page_store import is_store, stored_pages
 
 
 def join_details(rows: DataFrame, details: DataFrame, link: str = "link", list_only: Column | None = None) -> DataFrame:
@@ -24,8 +25,14 @@ def join_details(rows: DataFrame, details: DataFrame, link: str = "link", list_o
 
 
 def linked_pages(pages: DataFrame, rows: DataFrame, link: str = "link") -> DataFrame:
-    """Only the pages some row links to, one per address, so that no other page is parsed."""
+    """Only the pages some row links to, one per address, so that no other page is parsed.
+
+    ``pages`` may be a page store (``sources.page_store``): its pages lie by address, so only the
+    addresses move, and slices without a wanted one are not read.
+    """
     wanted = rows.where(F.col(link).isNotNull()).select(canonical(F.col(link)).alias("url")).distinct()
+    if is_store(pages):
+        return stored_pages(pages, wanted)
     at = pages.withColumn("url", canonical(F.col("url")))
     once = at.groupBy("url").agg(F.min("page_id").alias("page_id")).join(wanted, "url", "left_semi")
     return at.drop("url").join(once, "page_id").select("page_id", "url", "html")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tablewright.functions.numbers import plus_entries
 from tablewright.functions.records import overlay, to_map
 from tablewright.functions.text import contains_any
+from tablewright.session import stage
 
 HEADS = ("h1", "h2", "h3", "h4", "h5")
 
@@ -383,6 +384,44 @@ def nested_stats(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return outer, inner
 
 
+def nested_rows(nodes: DataFrame) -> DataFrame:
+    """Rows of all tables with their ``key +value`` lines, and the row each table lies in.
+
+    ``(page_id, table_id, row_idx, label, fields, outer_table, outer_row)``; the last two are missing
+    for tables that lie in no other. Expects table, td and th nodes.
+    """
+    per_row = (
+        nodes.withColumn("held", enclosing_row()).where(F.col("tag") == "td").groupBy("page_id", "table_id", "row_idx", "held")
+        .agg(
+            F.max(F.when(F.col("col_idx") == 0, F.get("lines", F.lit(0)))).alias("label"),
+            F.max(F.when(F.col("col_idx") == 1, F.col("lines"))).alias("stat_lines"),
+        )
+    )
+    fields = to_map(plus_entries(F.coalesce("stat_lines", F.array().cast("array<string>"))))
+    return per_row.select("page_id", "table_id", "row_idx", "label", fields.alias("fields"), F.col("held.table_id").alias("outer_table"), F.col("held.row_idx").alias("outer_row"))
+
+
+def inherit_fields(rows: DataFrame) -> DataFrame:
+    """``nested_rows`` with the fields of all rows around each row; of equal ones the innermost counts.
+
+    Pointer jumping: in a round a row takes over what its outer row has gathered, and that row's own
+    outer row as its next. Rounds are as many as the logarithm of the depth; each is written, as the
+    next reads it twice. A row has one outer row, so rows never multiply.
+    """
+    found = stage(rows, "nested")
+    while not found.where(F.col("outer_table").isNotNull()).isEmpty():
+        above = found.select(
+            "page_id", F.col("table_id").alias("outer_table"), F.col("row_idx").alias("outer_row"),
+            F.col("fields").alias("common"), F.col("outer_table").alias("next_table"), F.col("outer_row").alias("next_row"),
+        )
+        joined = found.join(above, ["page_id", "outer_table", "outer_row"], "left")
+        fields = F.when(F.col("common").isNull(), F.col("fields")).otherwise(overlay(F.col("common"), F.col("fields")))
+        found = stage(
+            joined.select("page_id", "table_id", "row_idx", "label", fields.alias("fields"), F.col("next_table").alias("outer_table"), F.col("next_row").alias("outer_row")), "nested"
+        )
+    return found.drop("outer_table", "outer_row")
+
+
 def block_title(rows: DataFrame) -> DataFrame:
     """Title of each labelled block table: ``(page_id, outer_table, Title)``."""
     is_block = (F.col("tag") == "table") & (F.col("node_id") == F.col("block")["node_id"])

@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 from html import entities
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.session import bucketed, cut_lineage
+from tablewright.session import Buckets
 
 # After so many rounds the pieces of a long search are written as one.
 _COMPACT_ROUNDS = 8
+# Inside of a tag: it ends at the first bracket outside quoted values. Repeated possessively, so that the
+# matcher runs over it in a loop: a repeated choice would take a step of its stack for each character.
+TAG = r"(?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+"
 # What holds no markup: comments, scripts and styles, also those that are never closed.
-NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<script\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</script\s*>|\z)|<style\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</style\s*>|\z)"
+NOT_MARKUP = rf"(?is)<!--.*?(?:-->|\z)|<script\b{TAG}>.*?(?:</script\s*>|\z)|<style\b{TAG}>.*?(?:</style\s*>|\z)"
 # An anchor starts at ``<a`` and ends at ``</a>``, at the next anchor, or, never closed, at the next tag.
-# Its tag ends at the first bracket outside quoted values.
 ANCHOR_START = r"(?i)<a(?=\s)"
-TAG = r"(?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+"
+BASE = rf"(?is)<base(\s{TAG})>"
 OPENING = rf"(?s)^(\s{TAG})>"
 BODY = rf"(?is)^\s{TAG}>(.*?(?=</a\s*>)|[^<]*)"
 
@@ -72,30 +75,59 @@ def unescape(c: Column) -> Column:
     return F.when(c.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
 
 
+def _markup(html: Column) -> Column:
+    """A page without comments, scripts and styles; pages without any are not copied."""
+    return F.when(html.rlike(r"(?i)<!--|<script|<style"), F.regexp_replace(html, NOT_MARKUP, "")).otherwise(html)
+
+
+def address(href: Column) -> Column:
+    """An address as browsers read it: blanks around it and line ends within it do not count."""
+    return F.translate(F.btrim(href, F.lit(" \t\n\r\f")), "\t\n\r", "")
+
+
+def base_named(html: Column) -> Column:
+    """The address in the first base element of a page that has any, as it is written, else null."""
+    named = attribute(F.regexp_extract(_markup(html), BASE, 1), "href")
+    return F.when(html.rlike(r"(?i)<base\s"), address(F.replace(named, F.lit("&amp;"), F.lit("&"))))
+
+
+def with_base(df: DataFrame, named: str = "_base") -> DataFrame:
+    """``df`` with ``base``, what the links of a page are relative to: its ``url``, unless its base element names another.
+
+    ``named`` is the column that holds ``base_named`` of the page, and goes: a column of its own, as resolving reads it many times.
+    """
+    base = F.when(F.col(named).isNull(), F.col("url")).otherwise(resolve(F.col("url"), F.col(named)))
+    return df.withColumn("base", base).drop(named)
+
+
 def extract(pages: DataFrame, region: str | None = None) -> DataFrame:
-    """One row per anchor: ``page_id, url, pos, href, title, text, attrs, body``.
+    """One row per anchor: ``page_id, url, base, pos, href, title, text, attrs, body``.
 
     Stays in the JVM and reads each page once, closed anchors or not: the page is split where
     anchors start, and small patterns take the pieces apart. ``region`` is a pattern whose first
-    group is the part of the page to look at.
+    group is the part of the page to look at. Addresses are relative to ``base``.
     """
-    area = F.col("html") if region is None else F.regexp_extract("html", region, 1)
-    # Pages without any are not copied.
-    area = F.when(area.rlike(r"(?i)<!--|<script|<style"), F.regexp_replace(area, NOT_MARKUP, "")).otherwise(area)
+    area = _markup(F.col("html") if region is None else F.regexp_extract("html", region, 1))
     pieces = F.split(area, ANCHOR_START)
     anchors = F.slice(pieces, 2, F.size(pieces))
-    found = pages.where(F.col("html").isNotNull()).select("page_id", "url", F.posexplode(anchors).alias("pos", "anchor"))
+    named = base_named(F.col("html")).alias("_base")
+    found = with_base(pages.where(F.col("html").isNotNull()).select("page_id", "url", named, F.posexplode(anchors).alias("pos", "anchor")))
     attrs = F.regexp_extract("anchor", OPENING, 1)
     body = F.regexp_extract("anchor", BODY, 1)
-    return found.select(
+    taken = found.select("page_id", "url", "base", "pos", attrs.alias("attrs"), body.alias("body"))
+    texts = F.array(attribute(F.col("attrs"), "href"), attribute(F.col("attrs"), "title"), F.trim(F.regexp_replace("body", r"<[^>]*>", "")))
+    # Decoded as elements of one list: the rules for entities are many, and planned once so.
+    read = taken.withColumn("_read", F.transform(texts, unescape))
+    return read.select(
         "page_id",
         "url",
+        "base",
         "pos",
-        unescape(attribute(attrs, "href")).alias("href"),
-        unescape(attribute(attrs, "title")).alias("title"),
-        unescape(F.trim(F.regexp_replace(body, r"<[^>]*>", ""))).alias("text"),
-        attrs.alias("attrs"),
-        body.alias("body"),
+        address(F.col("_read")[0]).alias("href"),
+        F.col("_read")[1].alias("title"),
+        F.col("_read")[2].alias("text"),
+        "attrs",
+        "body",
     ).where(F.col("href").isNotNull())
 
 
@@ -208,7 +240,7 @@ def distinct_urls(links: DataFrame, column: str = "target", keep_repeats: Column
 
 def frontier_facts(pages: DataFrame) -> DataFrame:
     """Rows ``(url, held)``: every page held and every address it links to, from one scan."""
-    links = extract(pages).select(canonical(resolve(F.col("url"), F.col("href"))).alias("url"), F.lit(0).alias("held"))
+    links = extract(pages).select(canonical(resolve(F.col("base"), F.col("href"))).alias("url"), F.lit(0).alias("held"))
     held = pages.select(canonical(F.col("url")).alias("url"), F.lit(1).alias("held"))
     return links.unionByName(held)
 
@@ -237,7 +269,7 @@ def link_edges(pages: DataFrame, containing: str | None = None) -> DataFrame:
     if containing:
         links = links.where(F.col("href").contains(containing))
     return links.select(
-        canonical(F.col("url")).alias("src"), canonical(resolve(F.col("url"), F.col("href"))).alias("dst")
+        canonical(F.col("url")).alias("src"), canonical(resolve(F.col("base"), F.col("href"))).alias("dst")
     ).distinct()
 
 
@@ -246,19 +278,29 @@ def reach(seeds: DataFrame, edges: DataFrame) -> DataFrame:
 
     Same-kind expansion: each round follows the links of the addresses the last round added
     and the loop ends when a round adds none. The edges are shuffled once, into buckets by
-    source. Every round is written to shared storage, so a lost executor costs the running
-    round only; what the driver sees of a round is whether it is empty. The join follows each
-    edge once, and a hot target is reduced on the map side before it is shuffled.
+    source, and every round is written in the same buckets by address: a round follows the links
+    of the last one where they lie, and is held against all rounds before it where these lie. What
+    is shuffled in a round is the addresses it reaches, each once per task at most. Rounds are on
+    shared storage, so a lost executor costs the running one only; what the driver sees of a round
+    is whether it is empty.
     """
-    newest = cut_lineage(seeds.select("url").distinct().withColumn("round", F.lit(0)))
-    seen = newest
-    with bucketed(edges.select("src", "dst"), "src", "edges") as held:
-        step = 0
+    with Buckets(seeds.sparkSession, "reach") as buckets:
+        held = buckets.write(edges.select("src", "dst"), "src")
+        rounds = [buckets.write(seeds.select("url").distinct().withColumn("round", F.lit(0)), "url")]
+        newest, step = rounds[0], 0
         while not newest.isEmpty():
             step += 1
-            reached = newest.join(held, newest["url"] == held["src"]).select(F.col("dst").alias("url")).distinct()
-            newest = cut_lineage(reached.join(seen, "url", "left_anti").withColumn("round", F.lit(step)))
-            seen = seen.unionByName(newest)
-            if step % _COMPACT_ROUNDS == 0:
-                seen = cut_lineage(seen)
-    return seen
+            found = follow(newest, held, rounds).withColumn("round", F.lit(step))
+            newest = buckets.write(found, "url", dealt=True)
+            rounds.append(newest)
+            if len(rounds) > _COMPACT_ROUNDS:
+                rounds = [buckets.write(reduce(lambda a, b: a.unionByName(b), rounds), "url")]
+        return reduce(lambda a, b: a.unionByName(b), [buckets.files(r) for r in rounds])
+
+
+def follow(newest: DataFrame, edges: DataFrame, rounds: Sequence[DataFrame]) -> DataFrame:
+    """Addresses one link away from ``newest`` that no round holds."""
+    found = newest.select("url").join(edges, F.col("url") == F.col("src")).select(F.col("dst").alias("url")).distinct()
+    for before in rounds:
+        found = found.join(before.select("url"), "url", "left_anti")
+    return found

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions.text import capwords, contains_any, replace_each
@@ -44,21 +45,43 @@ def rename_substring(value: Column, dictionary: Variants) -> Column:
 
 
 def rename_by_substrings(df: DataFrame, column: str, dictionary: Variants) -> DataFrame:
-    """``rename_substring`` by equality, for dictionaries of names that are too many to be written as an expression.
+    """``rename_substring`` for dictionaries of names that are too many to be written as an expression.
 
-    Each distinct value yields its substrings of the lengths that variants have, these are
-    joined to the variants, and the best entry per value is joined back. The matching runs on
-    distinct values only, so a hot value is matched once.
+    Each distinct value is read once by an automaton of all variants, whatever their number, so a hot
+    value is matched once and only values that hold a variant have a row beyond that. An entry's
+    variants are joined to these and replaced. The automaton is as large as the dictionary.
     """
-    rules = variants(df.sparkSession, dictionary)
-    lengths = sorted({len(v) for names in dictionary.values() for v in names})
+    spark = df.sparkSession
+    rules = variants(spark, dictionary)
+    ranks: dict[str, int] = {}
+    for row in rules.select("variant", "rank").toLocalIterator():
+        ranks[row.variant] = min(row["rank"], ranks.get(row.variant, row["rank"]))
+    shared = spark.sparkContext.broadcast(ranks)
     values = df.select(F.col(column).alias("_value")).where(F.col(column).isNotNull()).distinct()
-    low = F.lower("_value")
-    starts = lambda n: F.when(F.length(low) >= n, F.sequence(F.lit(1), F.length(low) - n + 1)).otherwise(F.array().cast("array<int>"))
-    cut = lambda n: F.transform(starts(n), lambda i: F.substr(low, i, F.lit(n)))
-    grams = F.flatten(F.array(*[cut(n) for n in lengths]))
-    hits = values.select("_value", F.explode(F.array_distinct(grams)).alias("variant")).join(rules.select("variant", "rank"), "variant")
-    best = hits.groupBy("_value").agg(F.min("rank").alias("rank"))
+
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for variant, rank in shared.value.items():
+            if variant:
+                automaton.add_word(variant, rank)
+        everywhere = shared.value.get("")
+        if len(automaton):
+            automaton.make_automaton()
+        for batch in batches:
+            found, best = [], []
+            for value, low in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hits = (rank for _, rank in automaton.iter(low)) if len(automaton) else iter(())
+                rank = min(hits, default=everywhere)
+                if rank is not None and everywhere is not None:
+                    rank = min(rank, everywhere)
+                if rank is not None:
+                    found.append(value)
+                    best.append(rank)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(best, pa.int32())], ["_value", "rank"])
+
+    best = values.select("_value", F.lower("_value").alias("low")).mapInArrow(matched, "_value string, rank int")
     entries = rules.groupBy("rank").agg(
         F.first("canonical").alias("canonical"), F.sort_array(F.collect_list(F.struct("step", "variant"))).alias("names")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tablewright.functions.records import key_value, level_text
 from tablewright.functions.text import clean_lines
 from tablewright.operators import details, layout as Y, predicates as P, rename, reshape
-from tablewright.operators.links import canonical, extract, reach, resolve, slug, slug_name
+from tablewright.operators.links import address, base_named, canonical, extract, reach, resolve, slug, slug_name, with_base
 from tablewright.operators.sinks import cast_inferred, destination, save, save_rejects
 from tablewright.operators.steps import run_steps
 from tablewright.rules import RulePack
@@ -27,7 +27,7 @@ LIST_FIELDS = ["EquipSlot", "EquipName", "EquipLevel", "Category", "Destination"
 def slot_index(links: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
     """Slots named by the links of an index page: ``(EquipSlot, link)``."""
     named = links.where(F.col("title").isNotNull() & (F.col("title") != UNUSED_SLOT)).select(
-        F.col("title").alias("EquipSlot"), resolve(F.col("url"), F.col("href")).alias("link")
+        F.col("title").alias("EquipSlot"), resolve(F.col("base"), F.col("href")).alias("link")
     )
     return rename.lookup_variant(named, "EquipSlot", rules.slot_names, normalise=True)
 
@@ -36,7 +36,7 @@ def type_index(links: DataFrame, rules: RulePack = RulePack(), second: bool = Fa
     """Weapon types named by the links of an index page, without those of excluded classes."""
     name = F.rtrim(F.split_part(F.regexp_replace(slug(F.col("href")), "_|-", " "), F.lit("("), F.lit(1)))
     gone = [kinds[1 if second else 0] for kinds in rules.excluded_classes.values()]
-    found = links.where(F.col("href").contains("/")).select(name.alias("WeaponType"), resolve(F.col("url"), F.col("href")).alias("link"))
+    found = links.where(F.col("href").contains("/")).select(name.alias("WeaponType"), resolve(F.col("base"), F.col("href")).alias("link"))
     return P.exclude(found, F.lower("WeaponType"), gone)
 
 
@@ -51,7 +51,7 @@ def slot_corpus(index: DataFrame, pages: DataFrame) -> DataFrame:
     at = lambda slot, url: F.to_json(F.struct(slot.alias("slot"), canonical(url).alias("at")))
     links = extract(pages).where(F.col("title").contains("/"))
     slot = F.split_part("title", F.lit("/"), F.lit(1))
-    edges = links.select(at(slot, F.col("url")).alias("src"), at(slot, resolve(F.col("url"), F.col("href"))).alias("dst")).distinct()
+    edges = links.select(at(slot, F.col("url")).alias("src"), at(slot, resolve(F.col("base"), F.col("href"))).alias("dst")).distinct()
     reached = reach(index.select(at(F.col("EquipSlot"), F.col("link")).alias("url")), edges)
     pair = F.from_json("url", "slot string, at string")
     owner = reached.select(pair["slot"].alias("slot"), pair["at"].alias("_at")).groupBy("_at").agg(F.min("slot").alias("slot"))
@@ -93,7 +93,7 @@ def list_rows(pages: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
         )
         .withColumn("texts", F.filter(clean_lines("raw"), lambda t: F.trim(t) != ""))
     )
-    located = per_row.join(tabs, ["page_id", "table_id"]).join(pages.select("page_id", "url", "slot"), "page_id")
+    located = per_row.join(tabs, ["page_id", "table_id"]).join(with_base(pages.select("page_id", "url", "slot", base_named(F.col("html")).alias("_base"))).drop("url"), "page_id")
     level = F.get(F.filter(F.transform("texts", level_of), lambda v: v.isNotNull()), F.lit(0))
     named = located.select(
         "page_id",
@@ -104,7 +104,7 @@ def list_rows(pages: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
         level.alias("EquipLevel"),
         F.replace("title", F.lit(","), F.lit(";")).alias("Category"),
         rename.slot_category(F.col("slot"), rules.armor_slots, rules.accessory_slots).alias("Destination"),
-        F.when(F.col("href").isNotNull(), resolve(F.col("url"), F.col("href"))).alias("link"),
+        F.when(F.col("href").isNotNull(), resolve(F.col("base"), address(F.col("href")))).alias("link"),
         "texts",
     )
     with_min = P.with_minimum(named, "EquipSlot", rules.slot_min_level)
@@ -132,7 +132,21 @@ def equipment_records(lists: DataFrame, pages: DataFrame, known: Sequence[str],
     Further fields go to the map ``other`` and are left out only if that is None; ``order`` names a
     column that says where in the lists a record stands.
     """
-    rows = stage(list_rows(lists, rules).where("kept").drop("kept"), "rows")
+    return records_of(stage(list_rows(lists, rules), "rows"), pages, known, rules, other, order)
+
+
+def records_and_counts(lists: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack = RulePack(), other: str | None = "Other", order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records as ``equipment_records`` gives them, and per destination how many list rows were seen, skipped and recorded.
+
+    The list pages are parsed once: both come from the rows that the parse has written.
+    """
+    rows = stage(list_rows(lists, rules), "rows")
+    return records_of(rows, pages, known, rules, other, order), reshape.route_counts(rows, F.col("kept"))
+
+
+def records_of(rows: DataFrame, pages: DataFrame, known: Sequence[str], rules: RulePack, other: str | None, order: str | None) -> DataFrame:
+    """``equipment_records`` from the written rows of the list tables."""
+    rows = rows.where("kept").drop("kept")
     android = F.col("EquipSlot") == "Android"
     joined = details.join_details(rows, _facts(pages, rows.where(~android), rules), list_only=android)
     own = F.transform(
@@ -149,10 +163,12 @@ def _no_facts() -> Column:
 
 
 def _assembled(rows: DataFrame, base: list[str], fields: list[str], known: Sequence[str], rules: RulePack, other: str | None, order: str | None) -> DataFrame:
-    """Rows with (key, value, seq) ``facts`` as records: fields named and pivoted, defaults, renames, column order."""
+    """Rows with (key, value, seq) ``facts`` as records: fields named and pivoted, defaults, renames, column order.
+
+    A fact named like one of the ``fields`` that a record starts with is a further field: both are kept.
+    """
     long = rows.select(*base, F.explode("facts").alias("f")).select(*base, "f.key", "f.value", "f.seq")
     named = rename.name_fields(long, rules.field_names)
-    named = named.where(~F.col("key").isin(*fields)) if other else named
     wide = reshape.pivot_wide(named, base, [k for k in known if k not in fields], other=other)
     whole = rows.select(*base, *fields).join(wide, base, "left")
     if order:
@@ -180,7 +196,7 @@ def weapon_links(links: DataFrame, sets: Sequence[str] | None = None, rules: Rul
         .where(~F.col("EquipName").contains("Sealed"))
         .withColumn("EquipSet", F.get(tracked, F.lit(0)))
         .where(F.col("EquipSet").isNotNull())
-        .withColumn("link", resolve(F.col("url"), F.col("href")))
+        .withColumn("link", resolve(F.col("base"), F.col("href")))
     )
 
 
@@ -245,13 +261,16 @@ def secondary_records(pages: DataFrame, weapon_type: Column, known: Sequence[str
     return _assembled(rows, base, ["EquipSlot", "ClassName", "EquipName", "WeaponType", "Destination"], known, rules, other, order)
 
 
-def store_records(records: DataFrame, root: str, specs: Mapping[str, TableSpec], seq: str, stats: Sequence[str], rules: RulePack = RulePack()) -> dict[str, DataFrame]:
+def store_records(
+    records: DataFrame, root: str, specs: Mapping[str, TableSpec], seq: str, stats: Sequence[str], rules: RulePack = RulePack(), batch: tuple[str, int] | None = None
+) -> dict[str, DataFrame]:
     """Upsert records into the table of their destination and return what the tables then hold.
 
     Stat fields get the type that all their values have. Records are written once for all tables.
     Those without a destination, or with one that ``specs`` do not name, go to ``Destination_rejects``.
+    ``batch`` is committed with each table, so a repeated batch of a stream changes nothing.
     """
     held = stage(records, "records")
     typed = cast_inferred(held, [c for c in stats if c in held.columns])
     save_rejects(typed.where(~F.coalesce(F.col("Destination").isin(*specs), F.lit(False))), f"{root}/Destination_rejects")
-    return {name: save(destination(typed, name), spec.named(name), root, seq=seq, defaults=rules.defaults, columns=rules.column_order) for name, spec in specs.items()}
+    return {name: save(destination(typed, name), spec.named(name), root, seq=seq, defaults=rules.defaults, columns=rules.column_order, batch=batch) for name, spec in specs.items()}

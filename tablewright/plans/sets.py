@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewright.functions.records import key_value
 from tablewright.functions.text import clean_lines
 from tablewright.operators import layout as Y, predicates as P, rename, reshape
-from tablewright.operators.links import resolve
+from tablewright.operators.links import address, base_named, resolve, with_base
 from tablewright.rules import RulePack
 from tablewright.session import stage
 from tablewright.sources.markup import cells_of, stored_nodes
@@ -41,8 +41,8 @@ def set_index(pages: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
     links = named.where((F.col("tag") == "a") & ~F.col("pictured") & F.col("attrs")["href"].isNotNull()).select(
         "page_id", "top_id", F.col("attrs")["href"].alias("href")
     )
-    found = links.join(owned, ["page_id", "top_id"]).join(pages.select("page_id", "url"), "page_id")
-    return tracked_sets(found, rules=rules).select("page_id", "ClassType", "EquipSet", resolve(F.col("url"), F.col("href")).alias("link"))
+    found = links.join(owned, ["page_id", "top_id"]).join(with_base(pages.select("page_id", "url", base_named(F.col("html")).alias("_base"))).drop("url"), "page_id")
+    return tracked_sets(found, rules=rules).select("page_id", "ClassType", "EquipSet", resolve(F.col("base"), address(F.col("href"))).alias("link"))
 
 
 def tracked_sets(links: DataFrame, class_type: str = "ClassType", rules: RulePack = RulePack()) -> DataFrame:

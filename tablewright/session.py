@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -75,6 +76,40 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Buckets:
+    """Tables dealt into the same buckets on shared storage, so that joins on their keys find them where they are.
+
+    A table is shuffled once, when it is written, or not at all where its rows already lie by the
+    key. Tables leave the catalog at the end of the block; ``files`` reads one without it.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label = spark, label
+        self.count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.paths: dict[str, tuple[str, StructType]] = {}
+
+    def __enter__(self) -> Buckets:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for name in self.paths:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def write(self, df: DataFrame, key: str, dealt: bool = False) -> DataFrame:
+        """The rows as a table in buckets by ``key``. ``dealt``: they come out of a shuffle by it, which is taken as it is."""
+        name, path = f"tw_{self.label}_{uuid.uuid4().hex}", scratch(self.spark, self.label)
+        rows = df if dealt else df.repartition(self.count, key)
+        rows.write.bucketBy(self.count, key).sortBy(key).option("path", path).saveAsTable(name)
+        self.paths[name] = (path, df.schema)
+        table = self.spark.table(name)
+        table._bucket_name = name
+        return table
+
+    def files(self, table: DataFrame) -> DataFrame:
+        path, schema = self.paths[table._bucket_name]
+        return self.spark.read.schema(schema).parquet(path)
+
+
 @contextmanager
 def bucketed(df: DataFrame, key: str, label: str) -> Iterator[DataFrame]:
     """The rows as a bucketed table on shared storage, for joins on ``key`` in every round of a loop.

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+from tablewright.session import stage
 
 PAGE_COLUMNS = ("page_id", "url", "html")
 
@@ -32,6 +36,33 @@ def json_path(text: Column, path: str, as_type: str = "string") -> Column:
     return F.try_variant_get(F.try_parse_json(text), path, as_type)
 
 
+def json_values(documents: DataFrame, text: str, record: list[str]) -> DataFrame:
+    """Every value of JSON texts of any shape, in long form: ``(*record, path, value, seq)``.
+
+    ``path`` names the value, as in ``$.a[0].b``, ``value`` is its text (missing for null) and ``seq``
+    counts the values of a text in the order of its keys. Texts are taken apart level by level, with as many rounds as the
+    deepest has levels; an unreadable or missing text, an empty object and an empty list have no values.
+    """
+    spark = documents.sparkSession
+    kind = F.schema_of_variant("v")
+    container = F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
+    level = documents.select(F.struct(*record).alias("record"), F.lit("$").alias("path"), F.array().cast("array<bigint>").alias("place"), F.try_parse_json(F.col(text)).alias("v")).where("v IS NOT NULL")
+    leaves = []
+    while True:
+        level = stage(level.withColumn("inner", container).withColumn("v", F.to_json("v")), "json")
+        leaves.append(level.where("NOT inner").select("record", "path", "place", F.col("v").alias("json")))
+        inner = level.where("inner").withColumn("v", F.parse_json("v"))
+        if inner.isEmpty():
+            break
+        found = inner.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select(F.col("pos"), F.col("key"), F.col("value")))
+        step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), F.col("key")))
+        level = found.select("record", F.concat("path", step).alias("path"), F.concat("place", F.array(F.col("pos").cast("bigint"))).alias("place"), F.col("value").alias("v"))
+    every = reduce(lambda a, b: a.unionByName(b), leaves)
+    order = Window.partitionBy("record").orderBy("place")
+    shown = F.try_variant_get(F.parse_json("json"), "$", "string")
+    return every.select("record.*", "path", shown.alias("value"), (F.row_number().over(order) - 1).cast("bigint").alias("seq"))
+
+
 def script_json(html: Column, script_id: str, path: str) -> Column:
     """One key of the JSON document inside the script element with the given id."""
     body = F.regexp_extract(

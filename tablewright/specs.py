@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 @dataclass(frozen=True)
@@ -13,12 +13,22 @@ class TableSpec:
     keys: tuple[str, ...]
     declared: T.StructType = field(default_factory=T.StructType)
     open: bool = True
+    #: Parts a stored table is rewritten in, fixed when it is first written: about its bytes over 1 GB.
+    buckets: int = 16
 
     def with_keys(self, *extra: str) -> "TableSpec":
-        return TableSpec(self.name, self.keys + extra, self.declared, self.open)
+        return replace(self, keys=self.keys + extra)
 
     def named(self, name: str) -> "TableSpec":
-        return TableSpec(name, self.keys, self.declared, self.open)
+        return replace(self, name=name)
+
+    def misfit(self, df: DataFrame) -> Column:
+        """The first declared column whose value is not of its type, as ``<name> is no <type>``, or null."""
+        wrong = [
+            F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}"))
+            for f in self.declared if f.name in df.columns
+        ]
+        return F.coalesce(*wrong, F.lit(None).cast("string"))
 
     def shaped(self, df: DataFrame) -> DataFrame:
         """Rows as the table takes them: declared columns in their types, present or missing.

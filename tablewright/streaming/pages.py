@@ -63,6 +63,15 @@ def stream_records(
     return newest(held, keys, F.struct(F.col("batch"), F.col(seq)), drop=("batch",))
 
 
+def stream_store(stream: DataFrame, store: Callable[[DataFrame, tuple[str, int]], None], out: str, name: str = "pages") -> None:
+    """Hand each batch of a stream to ``store(rows, batch)``, which commits the batch with the rows (see ``save``).
+
+    A batch that is run again, after a lost driver or executor, finds itself in the tables it had
+    reached and writes the others; so each table takes a batch once.
+    """
+    run_to_end(stream, lambda rows, number: store(rows, (name, number)), f"{out}/checkpoint")
+
+
 def stream_urls(pages: DataFrame, out: str) -> DataFrame:
     """Each address once over the whole stream; seen addresses are kept as stream state."""
     query = (

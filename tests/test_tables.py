@@ -250,3 +250,148 @@ def test_streams_without_any_batch(spark, tmp_path):
     read = lambda: stream.read_pages(spark, str(tmp_path / "pages"), glob="*.parquet")
     assert stream.stream_frontier(read(), str(tmp_path / "a")).count() == 0
     assert stream.stream_records(read(), lambda df: df.select("url", "page_id"), ["url"], str(tmp_path / "b"), "page_id").count() == 0
+
+
+def buckets_of(root, name="t"):
+    return {(p.split("/")[-2], p.split("/")[-1]) for p in glob.glob(f"{root}/{name}/v=*/_bucket=*")}
+
+
+def test_a_write_rewrites_the_buckets_of_its_keys(spark, tmp_path):
+    root, spec = str(tmp_path), TableSpec("t", ("k",), buckets=8)
+    K.save(spark.range(400).select(F.col("id").alias("k"), F.lit("old").alias("v")), spec, root)
+    assert len(buckets_of(root)) == 8
+    held = K.save(spark.createDataFrame([(7, "new"), (1000, "more")], "k long, v string"), spec, root)
+    second = {b for v, b in buckets_of(root) if v == "v=2"}
+    assert 1 <= len(second) <= 2 and len(buckets_of(root)) == 8 + len(second)
+    assert held.count() == 401 and {r.k: r.v for r in held.where("v <> 'old'").collect()} == {7: "new", 1000: "more"}
+    # Retiring leaves what the newest version still holds, and nothing else.
+    K.save(spark.createDataFrame([(7, "newer")], "k long, v string"), spec, root, keep=1)
+    assert len(buckets_of(root)) == 8 and K._versions(spark, f"{root}/t") == [3]
+    assert K.read_current(spark, f"{root}/t").where("k = 7").first().v == "newer"
+    compacted = K.compact(spark, spec, root)
+    assert {v for v, _ in buckets_of(root)} == {"v=4"} and len(list(tmp_path.glob("t/v=*"))) == 1 and compacted.count() == 401
+    assert K.save(spark.range(3).select(F.col("id").alias("k")), spec, root, "remake").count() == 3
+
+
+def test_types_meet_over_versions(spark, tmp_path):
+    root, spec = str(tmp_path), TableSpec("t", ("k",), buckets=4)
+    K.save(spark.createDataFrame([(i, i, i, 1.5, i) for i in range(20)], "k int, a int, b long, c double, d long"), spec, root)
+    K.save(spark.createDataFrame([(3, "x", 2.5, 2, 2**40)], "k int, a string, b double, c int, d long"), spec, root)
+    K.save(spark.createDataFrame([(4, "7", "y", [1, 2], None)], "k int, a string, b string, c array<int>, d double"), spec, root)
+    held = K.read_current(spark, f"{root}/t")
+    assert dict(held.dtypes) == {"k": "bigint", "a": "string", "b": "string", "c": "string", "d": "double"} or dict(held.dtypes) == {"k": "int", "a": "string", "b": "string", "c": "string", "d": "double"}
+    rows = {r.k: tuple(r)[1:] for r in held.collect()}
+    assert rows[3] == ("x", "2.5", "2", float(2**40)) and rows[4] == ("7", "y", "[1,2]", None) and rows[19] == ("19", "19", "1.5", 19.0) and len(rows) == 20
+
+
+def test_a_key_may_widen(spark, tmp_path):
+    root, spec = str(tmp_path), TableSpec("t", ("k",), buckets=4)
+    K.save(spark.createDataFrame([(i, "old") for i in range(10)], "k int, v string"), spec, root)
+    held = K.save(spark.createDataFrame([("3", "new"), ("x", "new")], "k string, v string"), spec, root)
+    assert {r.k: r.v for r in held.collect()} == {**{str(i): "old" for i in range(10)}, "3": "new", "x": "new"}
+    again = K.save(spark.createDataFrame([(5, "last")], "k int, v string"), spec, root)
+    assert again.count() == 11 and again.where("k = '5'").first().v == "last"
+
+
+@pytest.mark.parametrize("a, b, exact, want", [
+    ("int", "int", True, "int"), ("int", "bigint", True, "bigint"), ("bigint", "double", True, "double"), ("bigint", "double", False, "string"),
+    ("double", "string", True, "string"), ("void", "int", True, "int"), ("int", "void", True, "int"), ("boolean", "int", True, "string"), ("date", "timestamp", True, "string"),
+])
+def test_least_types(a, b, exact, want):
+    kind = T._parse_datatype_string
+    one, two = (T.NullType() if x == "void" else T.StructType.fromDDL(f"x {x}")["x"].dataType for x in (a, b))
+    assert K.joined_type(one, two, exact).simpleString() == want
+
+
+def test_values_of_another_type_than_declared_are_set_aside(spark, tmp_path):
+    spec = TableSpec("t", ("k",), spark.createDataFrame([], "k string, n bigint").schema)
+    held = K.save(spark.createDataFrame([("a", "5", "x"), ("b", "many", "y"), ("c", None, "z")], "k string, n string, w string"), spec, str(tmp_path))
+    assert sorted((r.k, r.n) for r in held.collect()) == [("a", 5), ("c", None)]
+    assert [(r.k, r.n, r.w, r.reason) for r in spark.read.parquet(str(tmp_path / "t_misfits")).collect()] == [("b", "many", "y", "n is no bigint")]
+
+
+def test_a_batch_counts_once(spark, tmp_path):
+    root, spec = str(tmp_path), TableSpec("t", ("k",), buckets=2)
+    rows = lambda v: spark.createDataFrame([("a", v)], "k string, v int")
+    K.save(rows(1), spec, root, batch=("s", 0))
+    K.save(rows(2), spec, root, batch=("s", 1))
+    assert K.save(rows(9), spec, root, batch=("s", 0)).first().v == 2
+    K.save(rows(3), spec, root, batch=("other", 0))
+    K.compact(spark, spec, root)
+    assert K.save(rows(9), spec, root, batch=("s", 1)).first().v == 3 and K.save(rows(4), spec, root, batch=("s", 2)).first().v == 4
+
+
+def test_stream_into_a_store_with_replay(spark, tmp_path):
+    folder, root, spec = str(tmp_path / "in"), str(tmp_path / "root"), TableSpec("t", ("url",), buckets=2)
+    for rows in ([(1, "a", "old"), (2, "b", "kept")], [(1, "a", "new")]):
+        spark.createDataFrame(rows, stream.PAGES).coalesce(1).write.mode("append").parquet(folder)
+    seen = []
+
+    def store(rows, batch):
+        seen.append(batch)
+        K.save(rows, spec, root, seq="page_id", batch=batch)
+        if len(seen) == 2:
+            raise RuntimeError("lost after the commit")
+
+    read = lambda: stream.read_pages(spark, folder, glob="*.parquet", files_per_batch=1)
+    with pytest.raises(Exception, match="lost after the commit"):
+        stream.stream_store(read(), store, str(tmp_path / "out"))
+    stream.stream_store(read(), store, str(tmp_path / "out"))
+    assert seen == [("pages", 0), ("pages", 1), ("pages", 1)] and len(K._versions(spark, f"{root}/t")) == 2
+    assert sorted((r.url, r.html) for r in K.read_current(spark, f"{root}/t").collect()) == [("a", "new"), ("b", "kept")]
+
+
+def test_bands_of_any_width(spark):
+    from tablewright.plans.lookups import bins, rules_at
+
+    rng = random.Random(4)
+    spans = [(rng.randint(-40, 40), rng.randint(-40, 40)) for _ in range(60)] + [(0, 2_000_000_000), (-(2**40), 2**50), (5, 5), (None, 3), (7, None), (None, None)]
+    bands = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(spans)], "band int, MinLvl long, MaxLvl long")
+    levels = [*range(-45, 46), 1_999_999_999, 2_000_000_001, 2**50, -(2**40) - 1, None]
+    got = sorted((r.level, r.band) for r in rules_at(spark.createDataFrame([(x,) for x in levels], "level long"), bands).collect())
+    assert got == sorted((x, i) for x in levels if x is not None for i, (a, b) in enumerate(spans) if (a is None or a <= x) and (b is None or x <= b))
+    cut = bands.where("MinLvl <= MaxLvl").select("MinLvl", "MaxLvl", bins(F.col("MinLvl"), F.col("MaxLvl")).alias("b")).collect()
+    for r in cut:
+        held = sorted((x["place"] << x["size"], (x["place"] + 1) << x["size"]) for x in r.b)
+        assert held[0][0] == r.MinLvl and held[-1][1] == r.MaxLvl + 1 and all(a[1] == b[0] for a, b in zip(held, held[1:])) and len(held) <= 124
+
+
+def test_numbers_that_do_not_fit_are_set_aside(spark):
+    from test_open_fields import grid, head
+    from test_plans import page
+    from tablewright.plans import hyper, stars
+
+    html = "<div>" + head("h3", "Normal_Equip") + head("h4", "Star_Limit") + grid(["Level", "Max Stars"], ["0~94", "99,999,999,999"], ["95~107", "7.5"], ["108~117", "9"], ["118~119", ""]) + "</div>"
+    found = stars.star_tables(page(spark, html))
+    assert [(r.MinLvl, r["Max Stars"]) for r in found["StarLimit"].orderBy("MinLvl").collect()] == [(0, None), (95, None), (108, 9), (118, None)]
+    assert sorted((r.Table, r.Of, r.Field, r.Value) for r in found["StarRejects"].collect()) == [("StarLimit", "0~94", "Max Stars", "99,999,999,999"), ("StarLimit", "95~107", "Max Stars", "7.5")]
+    html = "<div>" + head("h2", "Hyper_Stats") + grid(["Hyper Stat Next Level", "Level up Cost"], [1, "1.5"], [2, "99,999,999,999"], [3, 4]) + "</div>"
+    found = hyper.hyper_tables(page(spark, html))
+    assert [r["Level up Cost"] for r in found["HyperStatCost"].orderBy("Hyper Stat Next Level").collect()] == [None, None, 4]
+    assert sorted((r.Of, r.Field, r.Value) for r in found["HyperStatRejects"].collect()) == [("1", "Level up Cost", "1.5"), ("2", "Level up Cost", "99,999,999,999")]
+
+
+def test_facts_without_a_name_are_kept(spark):
+    rows = spark.createDataFrame([("r", "A", "1", 1), ("r", None, "lost?", 2), ("r", "Z", "9", 3)], "record string, key string, value string, seq int")
+    assert [(r.A, r.Other) for r in S.pivot_wide(rows, ["record"], ["A"], other="Other").collect()] == [("1", {"": "lost?", "Z": "9"})]
+
+
+def test_large_rows_become_maps_in_one_pass(spark):
+    import time
+
+    from tablewright.functions.records import to_map
+
+    began = time.perf_counter()
+    entries = F.transform(F.sequence(F.lit(0), F.lit(200_000)), lambda i: F.struct((i % 150_000).cast("string").alias("key"), i.alias("value")))
+    found = spark.range(1).select(to_map(entries).alias("m")).select(F.size("m").alias("n"), F.col("m")["7"].alias("v")).first()
+    assert (found.n, found.v) == (150_000, 150_007) and time.perf_counter() - began < 20
+
+
+def test_json_values_of_odd_texts(spark):
+    from tablewright.sources.corpus import json_values
+
+    texts = ["5", '"x"', "null", "[]", "{}", "[[1,[2]],{\"b\":{},\"a\":[{\"c\":1.5}]}]", "oops", None]
+    got = json_values(spark.createDataFrame(list(enumerate(texts)), "i int, t string"), "t", ["i"]).collect()
+    assert sorted((r.i, r.seq, r.path, r.value) for r in got) == [
+        (0, 0, "$", "5"), (1, 0, "$", "x"), (2, 0, "$", None), (5, 0, "$[0][0]", "1"), (5, 1, "$[0][1][0]", "2"), (5, 2, "$[1].a[0].c", "1.5"),
+    ]
