@@ -459,7 +459,8 @@ def weapon_corpus(spark, sf_dir):
 
 @check("weapon_records", """
   SELECT 'Weapon' AS "EquipSlot", 'Fafnir ' || p_partkey AS "EquipName", 'Fafnir' AS "EquipSet", 'Sword' AS "WeaponType", 'EquipWeapon' AS "Destination",
-         CAST(p_size + 2 AS VARCHAR) AS "WATK", unnest(['Odd', 'EquipSet']) AS other_key, unnest([CAST(p_size AS VARCHAR), 'Root ' || p_brand]) AS other_value FROM part""")
+         CAST(p_size + 2 AS VARCHAR) AS "WATK", unnest(['Odd', 'EquipSet', 'AtkSpd']) AS other_key,
+         unnest([CAST(p_size AS VARCHAR), 'Root ' || p_brand, 'Fast (' || p_size || ')']) AS other_value FROM part""")
 def weapon_records(spark, sf_dir):
     index, details = weapon_corpus(spark, sf_dir)
     found = equipment.weapon_records(extract(index).withColumn("WeaponType", F.lit("Sword")), details, ["WATK", "AttackSpeed", "ATKSpeed"], other="more")
