@@ -108,8 +108,17 @@ def _claim(spark: SparkSession, path: str, number: int) -> None:
         raise RuntimeError(f"another writer has begun version {number} of {path}")
 
 
-def _commit(spark: SparkSession, path: str, number: int, manifest: dict) -> None:
-    """Make a version count: its manifest appears at once, under its name."""
+def _newest(spark: SparkSession, path: str) -> int | None:
+    return max(_versions(spark, path), default=None)
+
+
+def _commit(spark: SparkSession, path: str, number: int, manifest: dict, base: int | None) -> None:
+    """Make a version count: its manifest appears at once, under its name.
+
+    Fails where another writer has made one count since ``base`` was read, as its rows are not in this one.
+    """
+    if _newest(spark, path) != base:
+        raise RuntimeError(f"another writer has changed {path} since version {base} was read")
     fs, draft = _folder(spark, f"{path}/v={number}/{_MANIFEST}.draft")
     out = fs.create(draft, True)
     out.write(bytearray(json.dumps(manifest).encode()))
@@ -254,14 +263,15 @@ def save(
     over the versions it gets the least that all have (see ``joined_type``), and no write fails on it.
 
     A version counts once its manifest is there, so readers of the old one are not disturbed; a
-    writer that meets another one fails and may try again. ``keep`` drops versions older than so
+    writer that meets another one, or finds that one has committed in between, fails and may try again. ``keep`` drops versions older than so
     many. ``batch``, a stream's name and the number of its batch, is committed with the version: a
     batch that the table has already is not written again. Rows without a key go to
     ``<name>_rejects``, rows with a value that is not of its declared type to ``<name>_misfits``.
     """
     spark = df.sparkSession
     path = f"{root}/{spec.name}"
-    manifest = read_manifest(spark, path)
+    base_version = _newest(spark, path)
+    manifest = None if base_version is None else read_manifest(spark, path, base_version)
     if mode == "read":
         return None if manifest is None else _read(spark, path, manifest)
     if mode not in ("write", "remake"):
@@ -302,7 +312,7 @@ def save(
     schemas = {**(old["schemas"] if old else {}), str(number): merged.schema.jsonValue()}
     _commit(spark, path, number, {
         "buckets": buckets, "held": where, "schema": shape.jsonValue(), "schemas": {str(v): schemas[str(v)] for v in {*where.values(), number}}, "batches": batches,
-    })
+    }, base_version)
     if keep:
         _retire(spark, path, keep)
     return read_current(spark, path)
@@ -318,15 +328,16 @@ def _written(spark: SparkSession, path: str, number: int) -> list[int]:
 def compact(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame | None:
     """Write all buckets of a table into one version and drop the others; rows, types and batches stay."""
     path = f"{root}/{spec.name}"
-    manifest = read_manifest(spark, path)
-    if manifest is None:
+    base = _newest(spark, path)
+    if base is None:
         return None
+    manifest = read_manifest(spark, path, base)
     rows = _read(spark, path, manifest)
     number = max([0, *_versions(spark, path, complete=False)]) + 1
     _claim(spark, path, number)
     _write_buckets(rows.withColumn("_bucket", _bucket(spec.keys, manifest["buckets"])), path, number)
     held = {str(b): number for b in _written(spark, path, number)}
-    _commit(spark, path, number, {**manifest, "held": held, "schemas": {str(number): manifest["schema"]}})
+    _commit(spark, path, number, {**manifest, "held": held, "schemas": {str(number): manifest["schema"]}}, base)
     _retire(spark, path, 1)
     return read_current(spark, path)
 
@@ -338,7 +349,7 @@ def save_rejects(df: DataFrame, path: str) -> None:
         number = max([0, *_versions(spark, path, complete=False)]) + 1
         _claim(spark, path, number)
         df.write.parquet(f"{path}/v={number}")
-        _commit(spark, path, number, {"buckets": 0, "held": {"": number}, "schema": df.schema.jsonValue(), "schemas": {str(number): df.schema.jsonValue()}, "batches": {}})
+        _commit(spark, path, number, {"buckets": 0, "held": {"": number}, "schema": df.schema.jsonValue(), "schemas": {str(number): df.schema.jsonValue()}, "batches": {}}, _newest(spark, path))
 
 
 def inferred_types(kv: DataFrame, key: str = "key", value: str = "value") -> DataFrame:

@@ -237,6 +237,28 @@ def test_two_writers_cannot_take_one_version(spark, tmp_path, monkeypatch):
     assert held.first().n == 2 and len(list(tmp_path.glob("t/v=*"))) == 2
 
 
+@pytest.mark.parametrize("late", ["save", "compact"])
+def test_a_version_made_in_between_is_not_lost(spark, tmp_path, monkeypatch, late):
+    root, spec = str(tmp_path), TableSpec("t", ("k",), buckets=2)
+    rows = lambda k: spark.createDataFrame([(k, 1)], "k string, n int")
+    K.save(rows("a"), spec, root)
+    write = K._write_buckets
+
+    def interrupted(df, path, number):
+        # Another writer begins and ends while this one, which has read the first version, still writes.
+        monkeypatch.setattr(K, "_write_buckets", write)
+        K.save(rows("b"), spec, root)
+        write(df, path, number)
+
+    monkeypatch.setattr(K, "_write_buckets", interrupted)
+    with pytest.raises(RuntimeError, match="another writer"):
+        K.save(rows("c"), spec, root) if late == "save" else K.compact(spark, spec, root)
+    assert sorted(r.k for r in K.read_current(spark, f"{root}/t").collect()) == ["a", "b"]
+    # Trying again builds on what is there by now.
+    again = K.save(rows("c"), spec, root) if late == "save" else K.compact(spark, spec, root)
+    assert sorted(r.k for r in again.collect()) == (["a", "b", "c"] if late == "save" else ["a", "b"])
+
+
 def test_closed_tables_take_declared_columns(spark):
     rows = spark.createDataFrame([("a", "7", "x")], "k string, n string, more string")
     declared = spark.createDataFrame([], "n bigint, absent string").schema
