@@ -244,7 +244,7 @@ def class_documents(spark, sf_dir):
         ).alias("equipment"),
     )
     post = F.struct(F.concat("c_name", F.lit(", ")).alias("class"), content.alias("content"))
-    return customers.select(F.to_json(F.struct(F.struct(post.alias("post")).alias("pageProps"), F.lit(1).alias("other"))).alias("text"))
+    return customers.select("c_custkey", F.to_json(F.struct(F.struct(post.alias("post")).alias("pageProps"), F.lit(1).alias("other"))).alias("text"))
 
 
 EFFECT = "CASE WHEN c_custkey % 2 = 0 THEN 'Grants flat ' || c_mktsegment ELSE 'Increases ' || c_mktsegment || ' more ' END"
@@ -273,6 +273,31 @@ def class_weapons(spark, sf_dir):
     return main.unionByName(found["ClassSecWeapon"].select("ClassName", F.col("Secondary").alias("name"), F.lit("second").alias("hand")))
 
 
+DATA = "https://shop.example/_data/"
+
+
+def class_corpus(spark, sf_dir):
+    """List pages of classes, every third of an excluded name, each page of a build of its own; documents but for multiples of 4."""
+    customers = table(spark, sf_dir, "customer")
+    word = RulePack().excluded_class_phrases[0].split(" ")[0]
+    slug = F.concat(F.when(F.col("c_custkey") % 3 == 0, word + "-").otherwise("Class-"), n("c_custkey"))
+    anchor = F.concat(F.lit("<div class='lazyload-wrapper'><a class='hvr-float' href='/classes/"), slug, F.lit("'>x</a><a href='/classes/Odd-"), n("c_custkey"), F.lit("'>y</a></div>"))
+    build = F.concat(F.lit("""<html><body><script id="__NEXT_DATA__" type="application/json">{"props": 1, "buildId": "b"""), n("page_id"), F.lit("""\"}</script>"""))
+    listing = chunked(customers, "c_custkey", anchor, build, "</body></html>")
+    held = class_documents(spark, sf_dir).where("c_custkey % 4 <> 0")
+    at = F.concat(F.lit(DATA + "b"), n(F.floor(F.col("c_custkey") / 50)), F.lit("/classes/Class-"), n("c_custkey"), F.lit(".json"))
+    return listing.unionByName(held.select((F.col("c_custkey") + 1_000_000_000_000).cast("bigint").alias("page_id"), at.alias("url"), F.col("text").alias("html")))
+
+
+@check("class_job", f"""
+  SELECT c_name AS "ClassName", c_mktsegment AS "Faction", {EFFECT} AS "UnionEffect", CAST(NULL AS VARCHAR) AS missing FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 4 <> 0
+  UNION ALL SELECT NULL, NULL, NULL, '{DATA}b' || c_custkey // 50 || '/classes/Class-' || c_custkey || '.json' FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 4 = 0""")
+def class_job(spark, sf_dir):
+    found = classes.class_jobs(class_corpus(spark, sf_dir), DATA, only=("CharacterData", "Missing"))
+    facts = found["CharacterData"].select("ClassName", "Faction", "UnionEffect")
+    return facts.unionByName(found["Missing"].select(F.col("url").alias("missing")), allowMissingColumns=True)
+
+
 def equipment_corpus(spark, sf_dir):
     """List pages of rings with a tab box, and one detail page per part that is not a multiple of 4."""
     parts = table(spark, sf_dir, "part")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.plans import classes, equipment, flames, hyper, potential, sets, stars
 from tablewright.operators.sinks import save
 from tablewright.session import scratch
+from tablewright.sources.page_store import write_store
 from tablewright.specs import EQUIP
 
 
@@ -182,3 +183,27 @@ def test_set_pages(spark):
     found = sets.set_effects(pages, ["STR", "DamageAgainstNormalMonsters"])
     assert rows(found, "Destination", "EquipSet", "SetAt", "STR") == [("EquipSetEffectAt", "Root Abyss", "3", "10"), ("EquipSetEffectCul", "Root Abyss", "3", "10")]
     assert found.where("Destination = 'EquipSetEffectAt'").first()["DamageAgainstNormalMonsters"] == "5"
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_class_pages_of_odd_kinds(spark, stored):
+    anchor = lambda slug, name="hvr-float": f"<a class='{name}' href='/classes/{slug}'>x</a>"
+    build = '<script id="__NEXT_DATA__">{"buildId": "b1"}</script>'
+    document = lambda name: '{"pageProps": {"post": {"class": "%s", "content": {}}}}' % name
+    at = "https://s.example/data/b1/classes/"
+    rows = [
+        (1, "https://s.example/c", build + anchor("A") + anchor("A#more") + anchor("B") + anchor("C") + anchor("jett") + anchor("D", "other")),
+        (2, "https://s.example/d", anchor("E")),
+        (3, "https://s.example/e", build.replace("buildId", "id") + anchor("F")),
+        (4, "https://s.example/f", None),
+        (10, at + "A.json", document("first")),
+        (11, at + "A.json", document("second")),
+        (12, at + "B.json", "no JSON"),
+        (13, at + "D.json", document("not linked")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages = write_store(pages, F.col("url")) if stored else pages
+    found = classes.class_jobs(pages, "https://s.example/data/", only=("CharacterData", "Missing"))
+    assert [r.ClassName for r in found["CharacterData"].collect()] == ["first"]
+    assert [r.url for r in found["Missing"].collect()] == [at + "C.json"]
+    assert classes.class_addresses(pages.limit(0), "p").count() == 0
