@@ -24,6 +24,8 @@ from tablewright.llm.common import written
 
 #: Rows are ranked in cells of the ring: so many bits of the hash name a cell.
 CELL_BITS = 16
+#: Equal rows are counted as one run, which is written out again in blocks of so many rows.
+RUN_BLOCK = 65_536
 
 
 def ring(shards: int, points: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,9 +89,10 @@ def shard_rows(docs: DataFrame, shards: int = 40, points: int = 64, slack: float
     gaps. Without ``slack`` the shards' row counts differ by one at most; with it a shard takes up
     to ``1 + slack`` times the mean and fewer rows leave home.
 
-    A missing text counts as empty. A row's place comes from its doc_id, or from its text where
-    the doc_id is missing; repeated rows take neighbouring ranks. Empty tables give no rows. Other
-    columns are not read.
+    A missing text counts as empty, a very long one is read once, for its size and checksum. A row's
+    place comes from its doc_id, or from its text where the doc_id is missing. Rows equal in doc_id,
+    size and checksum are one run of neighbouring ranks, counted on the map side, so however many
+    there are they never meet in one task. Empty tables give no rows. Other columns are not read.
     """
     hashes, owners = ring(shards, points)
 
@@ -98,16 +101,21 @@ def shard_rows(docs: DataFrame, shards: int = 40, points: int = 64, slack: float
         return pd.Series((np.searchsorted(hashes, place.to_numpy(np.int64)) % len(hashes)).astype(np.int32))
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        (F.octet_length(text) + 16).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-    ).withColumn("place", F.when(F.col("doc_id").isNull(), F.xxhash64("text_crc32", "size")).otherwise(F.xxhash64("doc_id")))
+    runs_of_rows = (
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            (F.octet_length(text) + 16).cast("long").alias("size"),
+            F.crc32(text.cast("binary")).alias("text_crc32"),
+        )
+        .groupBy("doc_id", "size", "text_crc32")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("place", F.when(F.col("doc_id").isNull(), F.xxhash64("text_crc32", "size")).otherwise(F.xxhash64("doc_id")))
+    )
     # Hashes beyond the last point belong to point 0: ``turn`` orders them before its other rows.
-    rows = rows.withColumn("point", point_of("place")).withColumn("turn", (F.col("place") <= F.lit(int(hashes[-1]))).cast("int"))
-    rows = written(rows.withColumn("cell", F.shiftright("place", 64 - CELL_BITS)), "ring")
+    runs_of_rows = runs_of_rows.withColumn("point", point_of("place")).withColumn("turn", (F.col("place") <= F.lit(int(hashes[-1]))).cast("int"))
+    runs_of_rows = written(runs_of_rows.withColumn("cell", F.shiftright("place", 64 - CELL_BITS)), "ring")
 
-    cells = rows.groupBy("point", "turn", "cell").agg(F.count(F.lit(1)).alias("rows"))
+    cells = runs_of_rows.groupBy("point", "turn", "cell").agg(F.sum("rows").alias("rows"))
     before = Window.partitionBy("point").orderBy("turn", "cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = written(cells.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))), "cells")
     # One number for each point of the ring, a parameter of this operator.
@@ -125,10 +133,14 @@ def shard_rows(docs: DataFrame, shards: int = 40, points: int = 64, slack: float
             run = np.searchsorted(at, ranks, side="right") - 1
             yield pd.DataFrame({"home_shard": owners[here], "shard": run_shard[run].astype(np.int32), "slot": run_slot[run] + ranks - at[run]})
 
-    in_cell = Window.partitionBy("point", "turn", "cell").orderBy("place", "doc_id", "text_crc32", "size")
-    ranked = (
-        rows.withColumn("in_cell", F.row_number().over(in_cell) - 1)
+    in_cell = Window.partitionBy("point", "turn", "cell").orderBy("place", "doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        runs_of_rows.withColumn("in_cell", F.coalesce(F.sum("rows").over(in_cell), F.lit(0)))
         .join(cells.select("point", "turn", "cell", "before"), ["point", "turn", "cell"])
-        .withColumn("at", placed("point", F.col("before") + F.col("in_cell")))
-    )
+        .select("doc_id", "size", "text_crc32", "point", "rows", (F.col("before") + F.col("in_cell")).alias("first"),
+                F.explode(F.sequence(F.lit(0), F.col("rows") - 1, F.lit(RUN_BLOCK))).alias("block"))
+        .repartition("doc_id", "text_crc32", "size", "block")
+    )
+    ends = F.least(F.col("rows"), F.col("block") + RUN_BLOCK) - 1
+    ranked = blocks.withColumn("nth", F.explode(F.sequence("block", ends))).withColumn("at", placed("point", F.col("first") + F.col("nth")))
     return ranked.select("doc_id", "size", "text_crc32", "at.home_shard", "at.shard", "at.slot")
