@@ -76,7 +76,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
     query's own vec_id. Ties go to the smaller vec_id. With fewer candidates the list is shorter.
     Vectors of another length than the query's do not meet it. Of query rows that share a vec_id
     the smallest vector searches; repeated candidate rows are found as often as they occur.
-    Empty tables give no rows; other columns are not read.
+    Empty tables give no rows; other columns are not read. Scores are 64-bit: a finite component
+    beyond 2^63 / ``scale`` counts as the 64-bit limit, and inner products must themselves fit.
     """
     usable = quantised(vectors, scale)
     queries = usable.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))

@@ -339,6 +339,19 @@ def test_shards(docs, empty):
     assert sharding.shard_rows(empty, shards=4).count() == 0
 
 
+def test_shards_of_equal_rows(spark, monkeypatch):
+    """Missing ids with one text and a row that repeats: long runs, written out in blocks."""
+    monkeypatch.setattr(sharding, "RUN_BLOCK", 7)
+    rows = [(None, "the same text")] * 100 + [(5, "again")] * 15 + [(d, f"text {d}") for d in range(10, 31)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sharding.shard_rows(table, shards=4, points=8).collect()
+    assert sorted((r.doc_id or -1, r["size"]) for r in got) == sorted((d or -1, len(t) + 16) for d, t in rows)
+    slots = [sorted(r.slot for r in got if r.shard == s) for s in range(4)]
+    assert slots == [list(range(34))] * 4
+    again = sharding.shard_rows(table.repartition(2), shards=4, points=8).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_pieces(spark, docs, empty):
     odd = spark.createDataFrame([(1, "a▁b"), (2, "  two  blanks "), (3, "\n\nlines\n"), (4, "日本 😀 ﬁ"), (5, "\0"), (6, "<s> <0x0A>")], "doc_id long, text string")
     library = sentencepieces_library()
@@ -357,6 +370,43 @@ def sentencepieces_library():
     return sentencepiece.SentencePieceProcessor(model_file=PIECES)
 
 
+def test_decode(spark, empty):
+    line = sentencepieces_library().encode("two\nlines")
+    ids = spark.createDataFrame([(1, None, "x"), (2, [], "y"), (3, line, "z"), (3, line, "z")], "doc_id long, ids array<int>, text string")
+    got = sentencepieces.decode_ids(ids, PIECES)
+    assert got.columns == ["doc_id", "ids", "text"]
+    assert sorted((r.doc_id, r.text) for r in got.collect() if r.text is not None) == [(2, ""), (3, "two\nlines"), (3, "two\nlines")]
+    assert [r.doc_id for r in got.where("text IS NULL").collect()] == [1]
+    assert sentencepieces.decode_ids(ids.limit(0), PIECES).count() == 0
+
+
+def test_unigram_model_on_a_table(spark, docs, tmp_path):
+    """Best sums of scores over whole texts: the library's ids, or a better sum where its float sums have lost digits."""
+    import math
+
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(PIECES, "rb") as file:
+        model.ParseFromString(file.read())
+    model.trainer_spec.model_type = 1
+    # Scores like logarithms of frequencies, in steps that floats add without loss up to 2^18.
+    for i, piece in enumerate(model.pieces):
+        piece.score = -round(64 * math.log(i + 2)) / 64
+    path = tmp_path / "unigram.model"
+    path.write_bytes(model.SerializeToString())
+    library = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    for texts in (given, docs.select("doc_id", "text")):
+        for r in sentencepieces.encode_texts(texts, str(path)).collect():
+            ids, want = list(r.ids), library.encode(r.text or "")
+            if len(r.text or "") < 50_000:
+                assert ids == want, (r.text or "")[:50]
+            else:
+                assert r.round_trip and sum(model.pieces[i].score for i in ids) >= sum(model.pieces[i].score for i in want)
+
+
 def test_unigram_pieces():
     """The best sum of scores, against every segmentation of short words."""
     import random
