@@ -109,7 +109,8 @@ def extract(pages: DataFrame, region: str | None = None) -> DataFrame:
     """
     area = _markup(F.col("html") if region is None else F.regexp_extract("html", region, 1))
     pieces = F.split(area, ANCHOR_START)
-    anchors = F.slice(pieces, 2, F.size(pieces))
+    # A length beyond any page: the size of the pieces would have the page split a second time.
+    anchors = F.slice(pieces, 2, 1 << 30)
     named = base_named(F.col("html")).alias("_base")
     found = with_base(pages.where(F.col("html").isNotNull()).select("page_id", "url", named, F.posexplode(anchors).alias("pos", "anchor")))
     attrs = F.regexp_extract("anchor", OPENING, 1)

@@ -25,12 +25,16 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
+# Fixed when a session starts. Expressions are long here: noting the line each part was written in takes
+# longer than planning them.
+AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app: str = "tablewright", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **AT_START, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
