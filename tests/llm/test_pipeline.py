@@ -76,3 +76,39 @@ def test_run(spark, stages):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == last.columns
     assert sorted(map(tuple, rows.select("doc_id", "n_tokens").collect())) == sorted(map(tuple, last.select("doc_id", "n_tokens").collect()))
+
+
+ODD = "doc_id long, text string, lang string, source string, mix_source string, _kept_id string, _digest string, ids string"
+
+
+def odd_rows(spark, tmp_path_factory, rows):
+    """A folder of tables with these documents and the given labels."""
+    folder = tmp_path_factory.mktemp("odd")
+    spark.createDataFrame(rows, ODD).write.parquet(str(folder / "documents.parquet"))
+    spark.read.parquet(f"{SF}/labels.parquet").where("doc_id < 0").write.parquet(str(folder / "labels.parquet"))
+    return str(folder)
+
+
+def test_odd_documents(spark, tmp_path_factory):
+    """Missing values, empty and long texts, rows that repeat and clashing columns pass all stages."""
+    long = " ".join(f"w{i * 7919 % 5003}" for i in range(20_000))
+    texts = [(1, None), (2, ""), (3, " \n "), (4, long), (4, long), (5, long + " end"), (None, "nobody knows this one"), (6, "same"), (7, "same"), (8, "a▁b")]
+    rows = [(d, t, None, None if d is None else "s", "m", "k", "g", "i") for d, t in texts]
+    folder = odd_rows(spark, tmp_path_factory, rows)
+    docs, left = table(spark, folder, "documents"), []
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        kept = written(stage(spark, docs, folder), "odd")
+        assert kept.columns == docs.columns
+        left.append(sorted((r.doc_id or 0) for r in kept.collect()))
+        docs = kept
+    # No labels: nothing is known to be toxic. A missing text equals an empty one, white space is one space.
+    assert left[0] == [0, 1, 2, 3, 4, 4, 5, 6, 7, 8]
+    assert left[1] == [0, 1, 3, 4, 5, 6, 8]
+    assert left[2] == [0, 1, 3, 4, 6, 8]
+    out = corpus_pipeline.run(spark, folder).collect()
+    assert {r.doc_id or 0 for r in out} <= set(left[2])
+    assert all(r.n_tokens == len(r.ids) and r.round_trip == (r.doc_id != 8) for r in out)
+
+
+def test_no_documents(spark, tmp_path_factory):
+    assert corpus_pipeline.run(spark, odd_rows(spark, tmp_path_factory, [])).collect() == []
