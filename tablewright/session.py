@@ -17,6 +17,9 @@ SETTINGS = {
     # Split a hot join key even where that costs a further shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A file says little of what its rows take: pages are rendered from a few coded columns. Joins of files are
+    # broadcast only where a shuffle has measured a side; local relations have a known size and still are.
+    "spark.sql.sources.fileCompressionFactor": "1000",
     # Parsing is CPU work: 64 MB of stored pages is well under a minute for one task.
     "spark.sql.files.maxPartitionBytes": "64m",
     # Addresses seen by a stream are kept outside the heap.
