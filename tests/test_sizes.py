@@ -26,3 +26,11 @@ def test_pages_of_linked_addresses_are_not_broadcast(spark, tmp_path):
     found = details.linked_pages(pages, links)
     assert broadcasts(found) == 0
     assert found.count() == 300_000
+
+
+def test_facts_of_list_rows_are_not_broadcast(spark, tmp_path):
+    rows, pages = coded(spark, str(tmp_path / "coded"))
+    facts = pages.select("url", F.col("html").alias("fact"))
+    found = details.join_details(rows.select("id", F.concat(F.lit("https://shop.example/weapon/"), F.col("id").cast("string")).alias("link")), facts)
+    assert broadcasts(found) == 0
+    assert found.where("fact IS NOT NULL").count() == 300_000
