@@ -17,6 +17,10 @@ SETTINGS = {
     # Split a hot join key even where that costs a further shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Bytes of a shuffle are compressed, and rows of pages that are alike take some seventy times as much
+    # in memory, once for each window over them: what a task gets stays that small however large the input.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     # A file says little of what its rows take: pages are rendered from a few coded columns. Joins of files are
     # broadcast only where a shuffle has measured a side; local relations have a known size and still are.
     "spark.sql.sources.fileCompressionFactor": "1000",
@@ -32,6 +36,10 @@ SETTINGS = {
 # longer than planning them.
 AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
+# Shuffles begin with this many partitions at least, and small ones are merged. Beyond them a partition grows with its input.
+_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_LEAST_PARTITIONS = 1000
+
 
 def build_session(app: str = "tablewright", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -39,16 +47,35 @@ def build_session(app: str = "tablewright", master: str | None = None, **conf: s
         builder = builder.master(master)
     for key, value in {**SETTINGS, **AT_START, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return _many_partitions(builder.getOrCreate())
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on to a session made elsewhere."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    return _many_partitions(spark)
+
+
+def _many_partitions(spark: SparkSession) -> SparkSession:
+    spark.conf.set(_PARTITIONS, str(max(_LEAST_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return spark
 
 
+@contextmanager
+def _partitions(spark: SparkSession, count: int) -> Iterator[None]:
+    """Shuffles begin with ``count`` partitions, so that they match tables in as many buckets."""
+    before = spark.conf.get(_PARTITIONS, None)
+    spark.conf.set(_PARTITIONS, str(count))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PARTITIONS)
+        else:
+            spark.conf.set(_PARTITIONS, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
@@ -96,9 +123,12 @@ class Buckets:
         self.paths: dict[str, tuple[str, StructType]] = {}
 
     def __enter__(self) -> Buckets:
+        self.matching = _partitions(self.spark, self.count)
+        self.matching.__enter__()
         return self
 
     def __exit__(self, *_) -> None:
+        self.matching.__exit__(None, None, None)
         for name in self.paths:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -129,6 +159,7 @@ def bucketed(df: DataFrame, key: str, label: str) -> Iterator[DataFrame]:
     name = f"tw_{label}_{uuid.uuid4().hex}"
     df.repartition(count, key).write.bucketBy(count, key).sortBy(key).option("path", scratch(spark, label)).saveAsTable(name)
     try:
-        yield spark.table(name)
+        with _partitions(spark, count):
+            yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tablewright.operators import details
+from tablewright.operators import details, layout
+from tablewright.session import Buckets
 
 
 def coded(spark, path, n=300_000):
@@ -34,3 +35,20 @@ def test_facts_of_list_rows_are_not_broadcast(spark, tmp_path):
     found = details.join_details(rows.select("id", F.concat(F.lit("https://shop.example/weapon/"), F.col("id").cast("string")).alias("link")), facts)
     assert broadcasts(found) == 0
     assert found.where("fact IS NOT NULL").count() == 300_000
+
+
+def test_a_task_over_pages_holds_few_bytes(spark):
+    rows = spark.range(0, 400_000, 1, 8).select((F.col("id") % 50_000).alias("page_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    dealt = layout.by_page(rows).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    # 64 characters a row: a task has 4 MB of them at most where a shuffle cannot shorten them to less than half.
+    assert dealt < 60_000 * 2
+    # Every row of a page is in one task.
+    assert layout.by_page(rows).select("page_id", F.spark_partition_id()).distinct().count() == 50_000
+
+
+def test_rounds_of_a_search_keep_the_partitions_of_their_buckets(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(name)
+    with Buckets(spark, "sizes") as buckets:
+        assert spark.conf.get(name) == str(buckets.count)
+    assert spark.conf.get(name) == before
