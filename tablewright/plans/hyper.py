@@ -42,7 +42,7 @@ def hyper_tables(pages: DataFrame) -> dict[str, DataFrame]:
     )
     of_points = F.col("points").isNotNull()
     blocks = rows.where((F.col("tag") == "table") & (of_points | F.col("in_stats"))).withColumn("of_points", of_points)
-    rows = stage(Y.block_rows(read, blocks, "of_points", "h3"), "hyper")
+    rows = stage(Y.block_rows(read, blocks, "of_points", "h3"), "hyper", walk=True)
     points_rows = rows.where(F.col("block")["of_points"])
     stat_rows = rows.where(~F.col("block")["of_points"])
 

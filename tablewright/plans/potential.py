@@ -101,7 +101,7 @@ def _table_fields(rows: DataFrame) -> DataFrame:
 def potential_tables(pages: DataFrame) -> dict[str, DataFrame]:
     rows = stored_nodes(pages, (TEXT_TAGS - {"li", "ul", "script", "title"}) | {"div", "table"}, "potential-nodes")
     fields = _table_fields(rows)
-    tables = stage(_tables(_walk(rows)), "potential-tables")
+    tables = stage(_tables(_walk(rows)), "potential-tables", walk=True)
     # Each chance table of a block releases the last value table before it, so several pairs may share a heading.
     block = ["page_id", "content_id", "block"]
     is_chance = F.col("table_kind") == "chance"

@@ -34,6 +34,7 @@ def set_index(pages: DataFrame, rules: RulePack = RulePack()) -> DataFrame:
     rows = rows.withColumn("after", Y.seen_before((F.col("tag") == "h2") & (F.col("label") == SECTION)))
     box = (F.col("tag") == "div") & Y.has_class("tabber") & F.col("after")
     rows = rows.withColumn("nth", Y.running_count(box)).withColumn("box", Y.enclosing(box & (F.col("nth") == 1))).where(F.col("box").isNotNull())
+    rows = stage(rows.select("page_id", "node_id", "tag", "attrs", "text", "top_id"), "set-boxes", walk=True)
     titles = Y.numbered(rows.where((F.col("tag") == "li") & Y.has_class("wds-tabs__tab"))).select("page_id", "pos", F.trim("text").alias("title"))
     grids = Y.numbered(rows.where((F.col("tag") == "table") & Y.has_class("wikitable"))).select("page_id", "pos", "top_id")
     owned = titles.join(grids, ["page_id", "pos"]).select("page_id", "top_id", class_of_tab(F.col("title")).alias("ClassType"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -36,7 +36,7 @@ SETTINGS = {
 # longer than planning them.
 AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
-# Shuffles begin with this many partitions at least, and small ones are merged. Beyond them a partition grows with its input.
+# Shuffles of walks over pages begin with this many partitions at least, and small ones are merged.
 _PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _LEAST_PARTITIONS = 1000
 
@@ -47,26 +47,21 @@ def build_session(app: str = "tablewright", master: str | None = None, **conf: s
         builder = builder.master(master)
     for key, value in {**SETTINGS, **AT_START, **conf}.items():
         builder = builder.config(key, value)
-    return _many_partitions(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on to a session made elsewhere."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    return _many_partitions(spark)
-
-
-def _many_partitions(spark: SparkSession) -> SparkSession:
-    spark.conf.set(_PARTITIONS, str(max(_LEAST_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return spark
 
 
 @contextmanager
-def _partitions(spark: SparkSession, count: int) -> Iterator[None]:
-    """Shuffles begin with ``count`` partitions, so that they match tables in as many buckets."""
+def _many_partitions(spark: SparkSession) -> Iterator[None]:
+    """Shuffles planned in the block begin with many partitions. Not for joins with tables in buckets, which would be dealt anew."""
     before = spark.conf.get(_PARTITIONS, None)
-    spark.conf.set(_PARTITIONS, str(count))
+    spark.conf.set(_PARTITIONS, str(max(_LEAST_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     try:
         yield
     finally:
@@ -99,14 +94,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, walk: bool = False) -> DataFrame:
     """Write an intermediate table to the shared folder once and read it back.
 
     For rows that several results are made of: the costly parse runs once, later reads take
-    only the columns they need, and a lost executor loses none of it.
+    only the columns they need, and a lost executor loses none of it. ``walk``: the rows come out of
+    windows over pages, whose tasks are kept small by many partitions.
     """
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    with _many_partitions(df.sparkSession) if walk else nullcontext():
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -123,12 +120,9 @@ class Buckets:
         self.paths: dict[str, tuple[str, StructType]] = {}
 
     def __enter__(self) -> Buckets:
-        self.matching = _partitions(self.spark, self.count)
-        self.matching.__enter__()
         return self
 
     def __exit__(self, *_) -> None:
-        self.matching.__exit__(None, None, None)
         for name in self.paths:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -159,7 +153,6 @@ def bucketed(df: DataFrame, key: str, label: str) -> Iterator[DataFrame]:
     name = f"tw_{label}_{uuid.uuid4().hex}"
     df.repartition(count, key).write.bucketBy(count, key).sortBy(key).option("path", scratch(spark, label)).saveAsTable(name)
     try:
-        with _partitions(spark, count):
-            yield spark.table(name)
+        yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
