@@ -28,7 +28,9 @@ BODY = rf"(?is)^\s{TAG}>(.*?(?=</a\s*>)|[^<]*)"
 def attribute(attrs: Column, name: str) -> Column:
     """Value of an attribute, quoted or not, or null."""
     given = F.regexp_extract(attrs, rf"(?is)(?:^|\s){name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
-    return F.when(given != "", F.when(given.rlike("^[\"']"), F.substring(given, 2, F.length(given) - 2)).otherwise(given))
+    value = lambda v: F.when(v != "", F.when(F.substring(v, 1, 1).isin('"', "'"), F.substring(v, 2, F.length(v) - 2)).otherwise(v))
+    # An element of a list is looked for once, however often it is read.
+    return F.get(F.transform(F.array(given), value), F.lit(0))
 
 
 # The names of entities are those the parse pass knows; old ones need no semicolon.
@@ -100,8 +102,8 @@ def with_base(df: DataFrame, named: str = "_base") -> DataFrame:
     return df.withColumn("base", base).drop(named)
 
 
-def extract(pages: DataFrame, region: str | None = None) -> DataFrame:
-    """One row per anchor: ``page_id, url, base, pos, href, title, text, attrs, body``.
+def extract(pages: DataFrame, region: str | None = None, text: bool = True) -> DataFrame:
+    """One row per anchor: ``page_id, url, base, pos, href, title, text, attrs, body``; without ``text`` that column is left out.
 
     Stays in the JVM and reads each page once, closed anchors or not: the page is split where
     anchors start, and small patterns take the pieces apart. ``region`` is a pattern whose first
@@ -116,9 +118,10 @@ def extract(pages: DataFrame, region: str | None = None) -> DataFrame:
     attrs = F.regexp_extract("anchor", OPENING, 1)
     body = F.regexp_extract("anchor", BODY, 1)
     taken = found.select("page_id", "url", "base", "pos", attrs.alias("attrs"), body.alias("body"))
-    texts = F.array(attribute(F.col("attrs"), "href"), attribute(F.col("attrs"), "title"), F.trim(F.regexp_replace("body", r"<[^>]*>", "")))
-    # Decoded as elements of one list: the rules for entities are many, and planned once so.
-    read = taken.withColumn("_read", F.transform(texts, unescape))
+    texts = F.array(attribute(F.col("attrs"), "href"), attribute(F.col("attrs"), "title"), *([F.trim(F.regexp_replace("body", r"<[^>]*>", ""))] if text else []))
+    # Decoded as elements of one list: the rules for entities are many, and planned once so. Exploded from a list
+    # of its own, as filters on what was read would else go below and read it again, each for itself.
+    read = taken.select("*", F.explode(F.array(F.transform(texts, unescape))).alias("_read"))
     return read.select(
         "page_id",
         "url",
@@ -126,7 +129,7 @@ def extract(pages: DataFrame, region: str | None = None) -> DataFrame:
         "pos",
         address(F.col("_read")[0]).alias("href"),
         F.col("_read")[1].alias("title"),
-        F.col("_read")[2].alias("text"),
+        *([F.col("_read")[2].alias("text")] if text else []),
         "attrs",
         "body",
     ).where(F.col("href").isNotNull())

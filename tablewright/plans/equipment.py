@@ -49,7 +49,7 @@ def slot_corpus(index: DataFrame, pages: DataFrame) -> DataFrame:
     """
     # The search follows pairs of slot and address, each written as one JSON text.
     at = lambda slot, url: F.to_json(F.struct(slot.alias("slot"), canonical(url).alias("at")))
-    links = extract(pages).where(F.col("title").contains("/"))
+    links = extract(pages, text=False).where(F.col("title").contains("/"))
     slot = F.split_part("title", F.lit("/"), F.lit(1))
     edges = links.select(at(slot, F.col("url")).alias("src"), at(slot, resolve(F.col("base"), F.col("href"))).alias("dst")).distinct()
     reached = reach(index.select(at(F.col("EquipSlot"), F.col("link")).alias("url")), edges)
