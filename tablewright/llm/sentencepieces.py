@@ -16,6 +16,7 @@ no digits; beyond that the sums here are the better ones.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,8 +30,9 @@ from pyspark.sql import types as T
 from tablewright.llm.common import lean
 
 MARK = "▁"
-#: Bytes of text encoded at a time; words and pairs of pieces that a worker remembers, some 100 MB.
-CHUNK, REMEMBERED, PAIRS = 4 << 20, 100_000, 250_000
+#: Bytes of text encoded at a time, which take some 60 times as much; words and strings of one or two pieces that a
+#: worker remembers, some 40 MB.
+CHUNK, REMEMBERED, PAIRS = 2 << 20, 100_000, 250_000
 
 
 @dataclass(frozen=True)
@@ -82,8 +84,10 @@ class Encoder:
         self.lengths = {end: sorted(found, reverse=True) for end, found in lengths.items() if len(end) == 2}
         # A line end is a word of its own if no piece holds one.
         self.lines_apart = not any("\n" in p for p in self.id_of)
-        self.fitting: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, list[int]] = {}
+        # Of a string the length of the first of the two pieces that merging makes of it, or its own if it makes one, else 0.
+        self.fitting: dict[str, int] = {}
+        # Ids of a word, four bytes each.
+        self.known: dict[str, bytes] = {}
         self.surface = [(p.replace(MARK, " ").encode() if kind == "normal" else bytes([int(p[3:5], 16)]) if kind == "byte" else b"" if kind == "control" else " ⁇ ".encode()) for p, _, kind in rows]
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -99,31 +103,31 @@ class Encoder:
                 return symbols
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
 
-    def fits(self, left: str, right: str) -> bool:
-        """Whether merging would leave the cut between these two pieces."""
-        found = self.fitting.get((left, right))
-        if found is None:
-            if len(self.fitting) > PAIRS:
-                self.fitting.clear()
-            found = self.fitting[left, right] = self.merged([*left, *right]) == [left, right]
+    def first_of(self, text: str) -> int:
+        """The length of the first of at most two pieces that merging makes of a string, 0 if it leaves more."""
+        if len(self.fitting) > PAIRS:
+            self.fitting.clear()
+        symbols = self.merged(list(text))
+        found = self.fitting[text] = len(symbols[0]) if len(symbols) < 3 else 0
         return found
 
     def last_merge(self, word: str, end: int, last: list) -> str:
-        """The piece that the surviving segmentation of this prefix ends with."""
+        """The piece that the surviving segmentation of this prefix ends with.
+
+        Merging would leave the cut between it and the piece before, or make it where it begins the word.
+        """
+        pieces, fitting = self.id_of, self.fitting
         for n in self.lengths.get(word[max(0, end - 2) : end], ()):
             if n <= end:
                 piece = word[end - n : end]
-                if piece in self.id_of and (self.fits(last[end - n], piece) if n < end else self.fits_alone(piece)):
-                    return piece
+                if piece in pieces:
+                    before = len(last[end - n]) if n < end else 0
+                    text = word[end - n - before : end]
+                    found = fitting.get(text)
+                    if (self.first_of(text) if found is None else found) == (before or n):
+                        return piece
         return word[end - 1 : end]
 
-    def fits_alone(self, piece: str) -> bool:
-        """Whether merging ever makes this piece."""
-        found = self.fitting.get(("", piece))
-        if found is None:
-            found = self.fitting["", piece] = self.merged(list(piece)) == [piece]
-        return found
-
     def last_best(self, word: str, end: int, best: list[float]) -> tuple[float, str]:
         """The best sum of this prefix and the piece that it ends with; the longer piece of equals."""
         value, piece = best[end - 1] + self.score_of.get(word[end - 1], self.least), word[end - 1]
@@ -134,9 +138,9 @@ class Encoder:
                     value, piece = best[end - n] + score, word[end - n : end]
         return value, piece
 
-    def encode_sorted(self, words: list[str]) -> list[list[int]]:
-        """Ids of sorted words: a depth-first walk of their trie, each prefix looked at once."""
-        out: list[list[int]] = []
+    def encode_sorted(self, words: list[str]) -> list[bytes]:
+        """Ids of sorted words, four bytes each: a depth-first walk of their trie, each prefix looked at once."""
+        out: list[bytes] = []
         before = ""
         last: list = [None]
         best = [0.0]
@@ -156,7 +160,7 @@ class Encoder:
             while end:
                 pieces.append(last[end])
                 end -= len(last[end])
-            out.append([i for p in reversed(pieces) for i in self.ids(p)])
+            out.append(array("i", [i for p in reversed(pieces) for i in self.ids(p)]).tobytes())
             before = word
         return out
 
@@ -166,8 +170,8 @@ class Encoder:
             return [found]
         return [self.byte_id[b] for b in piece.encode()] if self.byte_id else [self.unknown]
 
-    def encode_distinct(self, words: list[str]) -> list[list[int]]:
-        """Ids of distinct words, new ones through the trie."""
+    def encode_distinct(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, four bytes each, new ones through the trie."""
         new = sorted(w for w in words if w not in self.known)
         fresh = dict(zip(new, self.encode_sorted(new), strict=True))
         out = [fresh[w] if w in fresh else self.known[w] for w in words]
@@ -198,8 +202,8 @@ class Encoder:
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, offsets.buffers()[1], marked.buffers()[2]]).dictionary_encode()
         index = words.indices.to_numpy()
         found = self.encode_distinct([w.decode().replace(" ", MARK) for w in words.dictionary.to_pylist()])
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.int32)
         first = np.r_[0, np.cumsum(sizes)[:-1]]
         per_word = sizes[index]
         ends = np.r_[0, np.cumsum(per_word)]
@@ -212,6 +216,24 @@ class Encoder:
         return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
+def in_pieces(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``CHUNK`` bytes in column ``place``, however many bytes come at once; a row stays whole."""
+    waiting, held = [], 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False)
+        begun = 0
+        for end, size in enumerate(sizes.tolist(), 1):
+            held += size
+            if held >= CHUNK:
+                waiting.append(batch.slice(begun, end - begun))
+                yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+                waiting, held, begun = [], 0, end
+        if begun < batch.num_rows:
+            waiting.append(batch.slice(begun))
+    if waiting:
+        yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+
+
 _encoders: dict[int, Encoder] = {}
 
 
@@ -242,9 +264,9 @@ def encode_texts(docs: DataFrame, model_path: str, column: str = "text") -> Data
     more = T.StructType().add("n_tokens", T.IntegerType()).add("ids", T.ArrayType(T.IntegerType())).add("round_trip", T.BooleanType())
     schema = T.StructType([*docs.schema.fields, *more.fields])
 
-    def encoded(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(shared.value, key)
-        for batch in rows:
+        for batch in in_pieces(batches, place):
             texts = batch.column(place)
             ids, bounds = encoder.encode(texts)
             same = [encoder.decode(ids[a:b].tolist()) == (t or "") for a, b, t in zip(bounds[:-1], bounds[1:], texts.to_pylist(), strict=True)]
@@ -252,16 +274,6 @@ def encode_texts(docs: DataFrame, model_path: str, column: str = "text") -> Data
             columns = [*batch.columns, pa.array(np.diff(bounds), pa.int32()), lists, pa.array(same, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "n_tokens", "ids", "round_trip"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
-        for batch in batches:
-            waiting.append(batch)
-            if sum(b.nbytes for b in waiting) >= CHUNK:
-                yield from encoded(pa.Table.from_batches(waiting).combine_chunks().to_batches())
-                waiting = []
-        if waiting:
-            yield from encoded(pa.Table.from_batches(waiting).combine_chunks().to_batches())
-
     return docs.mapInArrow(lean(run), schema)
 
 
