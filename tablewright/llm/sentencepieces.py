@@ -30,9 +30,11 @@ from pyspark.sql import types as T
 from tablewright.llm.common import lean
 
 MARK = "▁"
-#: Bytes of text encoded at a time, which take some 60 times as much; words and strings of one or two pieces that a
-#: worker remembers, some 40 MB.
-CHUNK, REMEMBERED, PAIRS = 2 << 20, 100_000, 250_000
+#: Bytes of text encoded at a time, which take some 60 times as much; words, neighbouring pieces and steps from prefix
+#: to prefix that a worker remembers, some 80 MB.
+CHUNK, REMEMBERED, PAIRS, STEPS = 2 << 20, 100_000, 250_000, 250_000
+#: Characters of a word whose prefixes have their ids at hand; numbers of pieces and other characters stay below the other.
+LONG, SPAN = 64, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -84,8 +86,16 @@ class Encoder:
         self.lengths = {end: sorted(found, reverse=True) for end, found in lengths.items() if len(end) == 2}
         # A line end is a word of its own if no piece holds one.
         self.lines_apart = not any("\n" in p for p in self.id_of)
-        # Of a string the length of the first of the two pieces that merging makes of it, or its own if it makes one, else 0.
-        self.fitting: dict[str, int] = {}
+        # Pieces by number, from 1, then characters that are none; their texts, ids (four bytes each) and lengths.
+        self.number = {p: k for k, p in enumerate(self.id_of, 1)}
+        self.texts = ["", *self.id_of]
+        self.coded = [b"", *(array("i", [i]).tobytes() for i in self.id_of.values())]
+        self.sizes = [*map(len, self.texts)]
+        # Whether merging leaves the cut between two pieces, by both numbers; 0 and a piece: whether it makes the piece.
+        self.fitting: dict[int, bool] = {}
+        # Where a prefix of a word stands: at the longest of its ends that a piece begins with. Made when first reached.
+        self.begun: dict[str, dict | None] = dict.fromkeys(p[:n] for p in ["", *self.id_of] for n in range(len(p) + 1)) if self.merges else {}
+        self.steps = 0
         # Ids of a word, four bytes each.
         self.known: dict[str, bytes] = {}
         self.surface = [(p.replace(MARK, " ").encode() if kind == "normal" else bytes([int(p[3:5], 16)]) if kind == "byte" else b"" if kind == "control" else " ⁇ ".encode()) for p, _, kind in rows]
@@ -103,30 +113,39 @@ class Encoder:
                 return symbols
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
 
-    def first_of(self, text: str) -> int:
-        """The length of the first of at most two pieces that merging makes of a string, 0 if it leaves more."""
+    def fits(self, before: int, piece: int) -> bool:
+        """Whether merging would leave the cut between two pieces, or make the second where there is none before."""
         if len(self.fitting) > PAIRS:
             self.fitting.clear()
-        symbols = self.merged(list(text))
-        found = self.fitting[text] = len(symbols[0]) if len(symbols) < 3 else 0
+        cut = [t for t in (self.texts[before], self.texts[piece]) if t]
+        found = self.fitting[before * SPAN + piece] = self.merged(list("".join(cut))) == cut
         return found
 
-    def last_merge(self, word: str, end: int, last: list) -> str:
-        """The piece that the surviving segmentation of this prefix ends with.
+    def place(self, name: str) -> dict:
+        """Steps from the place of this name, by character; under "" its name and the pieces of two and more characters that it ends with, longest first."""
+        found = self.begun[name]
+        if found is None:
+            ends = [(len(name) - i, self.number[name[i:]]) for i in range(len(name) - 1) if name[i:] in self.number]
+            found = self.begun[name] = {"": (name, ends)}
+        return found
 
-        Merging would leave the cut between it and the piece before, or make it where it begins the word.
-        """
-        pieces, fitting = self.id_of, self.fitting
-        for n in self.lengths.get(word[max(0, end - 2) : end], ()):
-            if n <= end:
-                piece = word[end - n : end]
-                if piece in pieces:
-                    before = len(last[end - n]) if n < end else 0
-                    text = word[end - n - before : end]
-                    found = fitting.get(text)
-                    if (self.first_of(text) if found is None else found) == (before or n):
-                        return piece
-        return word[end - 1 : end]
+    def step(self, place: dict, character: str) -> tuple[dict, list[tuple[int, int]], int]:
+        """The place that a character leads to, the pieces that end there, and the number of the character."""
+        if self.steps > STEPS:
+            self.begun, self.steps = dict.fromkeys(self.begun), 0
+        self.steps += 1
+        name = place[""][0] + character
+        while name not in self.begun:
+            name = name[1:]
+        to = self.place(name)
+        number = self.number.get(character)
+        if number is None:
+            number = self.number[character] = len(self.texts)
+            self.texts.append(character)
+            self.coded.append(array("i", self.ids(character)).tobytes())
+            self.sizes.append(1)
+        found = place[character] = (to, to[""][1], number)
+        return found
 
     def last_best(self, word: str, end: int, best: list[float]) -> tuple[float, str]:
         """The best sum of this prefix and the piece that it ends with; the longer piece of equals."""
@@ -138,8 +157,54 @@ class Encoder:
                     value, piece = best[end - n] + score, word[end - n : end]
         return value, piece
 
-    def encode_sorted(self, words: list[str]) -> list[bytes]:
+    def merge_sorted(self, words: list[str]) -> list[bytes]:
+        """``coded_sorted`` for a merge model.
+
+        The surviving segmentation of a prefix ends with the longest piece whose cut from the piece before it
+        merging would leave (or that merging makes, where it begins the word), else with its last character.
+        """
+        coded, fitting, sizes = self.coded, self.fitting, self.sizes
+        out: list[bytes] = []
+        before = ""
+        # Of each prefix: its place, the number of its last piece and, up to LONG characters, its ids.
+        places, last, done = [self.place("")], [0], [b""]
+        for word in words:
+            shared, most = 0, min(len(before), len(word))
+            while shared < most and before[shared] == word[shared]:
+                shared += 1
+            del places[shared + 1 :], last[shared + 1 :], done[shared + 1 :]
+            place = places[shared]
+            for end in range(shared + 1, len(word) + 1):
+                character = word[end - 1]
+                found = place.get(character)
+                place, ends, piece = self.step(place, character) if found is None else found
+                n = 1
+                for size, longer in ends:
+                    left = last[end - size]
+                    fit = fitting.get(left * SPAN + longer)
+                    if self.fits(left, longer) if fit is None else fit:
+                        n, piece = size, longer
+                        break
+                places.append(place)
+                last.append(piece)
+                if end <= LONG:
+                    done.append(done[end - n] + coded[piece])
+            end, rest = len(word), []
+            while end > LONG:
+                rest.append(coded[last[end]])
+                end -= sizes[last[end]]
+            out.append(done[end] + b"".join(reversed(rest)) if rest else done[end])
+            before = word
+        return out
+
+    def encode_sorted(self, words: list[str]) -> list[list[int]]:
+        """Ids of sorted words."""
+        return [array("i", ids).tolist() for ids in self.coded_sorted(words)]
+
+    def coded_sorted(self, words: list[str]) -> list[bytes]:
         """Ids of sorted words, four bytes each: a depth-first walk of their trie, each prefix looked at once."""
+        if self.merges:
+            return self.merge_sorted(words)
         out: list[bytes] = []
         before = ""
         last: list = [None]
@@ -150,12 +215,9 @@ class Encoder:
                 shared += 1
             del last[shared + 1 :], best[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                if self.merges:
-                    last.append(self.last_merge(word, end, last))
-                else:
-                    value, piece = self.last_best(word, end, best)
-                    best.append(value)
-                    last.append(piece)
+                value, piece = self.last_best(word, end, best)
+                best.append(value)
+                last.append(piece)
             pieces, end = [], len(word)
             while end:
                 pieces.append(last[end])
@@ -173,7 +235,7 @@ class Encoder:
     def encode_distinct(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, four bytes each, new ones through the trie."""
         new = sorted(w for w in words if w not in self.known)
-        fresh = dict(zip(new, self.encode_sorted(new), strict=True))
+        fresh = dict(zip(new, self.coded_sorted(new), strict=True))
         out = [fresh[w] if w in fresh else self.known[w] for w in words]
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known.clear()
@@ -201,7 +263,7 @@ class Encoder:
         offsets = pa.array(np.r_[starts, bounds[-1]].astype(np.int64))
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, offsets.buffers()[1], marked.buffers()[2]]).dictionary_encode()
         index = words.indices.to_numpy()
-        found = self.encode_distinct([w.decode().replace(" ", MARK) for w in words.dictionary.to_pylist()])
+        found = self.encode_distinct(pc.replace_substring(words.dictionary.cast(pa.large_string()), " ", MARK).to_pylist())
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), np.int32)
         first = np.r_[0, np.cumsum(sizes)[:-1]]
@@ -210,6 +272,14 @@ class Encoder:
         ids = flat[np.repeat(first[index] - ends[:-1], per_word) + np.arange(ends[-1])]
         return ids, ends[np.searchsorted(starts, bounds)]
 
+    def round_trips(self, ids: np.ndarray, bounds: np.ndarray, texts: pa.Array) -> pa.Array:
+        """Whether each text comes back from its ids, which ``bounds`` part."""
+        marked = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise("", texts, " ")).cast(pa.large_binary())
+        decoded = pa.array(self.surface, pa.large_binary()).take(pa.array(ids))
+        places = np.frombuffer(decoded.buffers()[1], np.int64, len(decoded) + 1, decoded.offset * 8)[bounds]
+        back = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(places), decoded.buffers()[2]])
+        return pc.equal(back, marked)
+
     def decode(self, ids: list[int]) -> str:
         """The text of some ids, without the leading mark."""
         data = b"".join([self.surface[i] for i in ids])
@@ -269,9 +339,9 @@ def encode_texts(docs: DataFrame, model_path: str, column: str = "text") -> Data
         for batch in in_pieces(batches, place):
             texts = batch.column(place)
             ids, bounds = encoder.encode(texts)
-            same = [encoder.decode(ids[a:b].tolist()) == (t or "") for a, b, t in zip(bounds[:-1], bounds[1:], texts.to_pylist(), strict=True)]
+            same = encoder.round_trips(ids, bounds, pc.fill_null(texts, ""))
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-            columns = [*batch.columns, pa.array(np.diff(bounds), pa.int32()), lists, pa.array(same, pa.bool_())]
+            columns = [*batch.columns, pa.array(np.diff(bounds), pa.int32()), lists, same]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "n_tokens", "ids", "round_trip"])
 
     return docs.mapInArrow(lean(run), schema)
